@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import change_hash
 from tidemark.operators import slices
+from tidemark.operators.latest import keep_latest
 from tidemark.operators.merge import one_row_per_key
 
 VERSION_COLUMNS = ("_valid_from", "_valid_to", "_is_current", "_version", "_hash_key")
@@ -154,10 +155,8 @@ def chain_versions(
     events = changes.withColumn("_valid_from", F.col(event_time).cast("timestamp")).filter(
         F.col("_valid_from").isNotNull()
     )
-    from tidemark.operators.latest import keep_latest
-
-    events = keep_latest(events, [*keys, "_valid_from"], list(tie))
     events = events.withColumn("_hash_key", change_hash(*tracked))
+    events = keep_latest(events, [*keys, "_valid_from"], [*tie, "_hash_key"])
     events = slices.with_slice(events, slices.day_slice("_valid_from"))
     events = slices.previous_value(events, keys, ["_valid_from"], "_hash_key", "_before")
     starts = events.filter(F.col("_before").isNull() | (F.col("_before") != F.col("_hash_key"))).drop("_before")

@@ -36,6 +36,8 @@ def keep_latest(
         if found is None:
             return df.dropDuplicates(list(keys))
         order = [found]
+    if not order and not tie:
+        return df.dropDuplicates(list(keys))
     ranking = [F.col(c).desc_nulls_last() for c in order]
     ranking += [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in tie]
     w = Window.partitionBy(*keys).orderBy(*ranking)

@@ -17,6 +17,8 @@ RUNTIME = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+_local_dir: tempfile.TemporaryDirectory | None = None
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
@@ -51,9 +53,10 @@ def shared_dir(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    global _local_dir
+    if _local_dir is None:
+        _local_dir = tempfile.TemporaryDirectory(prefix="tidemark-", ignore_cleanup_errors=True)
+    return _local_dir.name
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
