@@ -178,7 +178,7 @@ def test_dim_campaign_members_and_contract(spark):
     assert sorted((r.dim_campaign_key, r.campaign_id, r.campaign_name) for r in dim.collect()) == [
         (-2, -2, "ORGANIC"), (-1, -1, "UNKNOWN")
     ]
-    assert with_members(dim, MEMBERS["dim_campaign"], "dim_campaign_key").count() == 2
+    assert with_members(dim, MEMBERS["dim_campaign"], "dim_campaign_key", dim).count() == 2
 
 
 def test_scd1_dimension_keeps_keys(spark):

@@ -95,6 +95,11 @@ def lifespan_months(last_order: Column | str, registered: Column | str, churned:
     return elapsed_months(registered, end)
 
 
+def per_30_days(orders: Column | str, days: Column | str) -> Column:
+    """Orders per 30 days; NULL for an empty span. Multiplies first, so no digit is lost in ``days / 30``."""
+    return F.try_divide(_c(orders) * 30, _c(days))
+
+
 def span_frequency(orders: Column | str, first: Column | str, last: Column | str) -> Column:
     """Orders per 30 days between first and last order; NULL when both fall on one day."""
-    return F.try_divide(_c(orders), F.datediff(_c(last), _c(first)) / F.lit(30.0))
+    return per_30_days(orders, F.datediff(_c(last), _c(first)))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import change_hash
@@ -148,8 +148,9 @@ def chain_versions(
     """Type 2 table from a feed with any number of changes per key.
 
     Consecutive rows with equal tracked values collapse into the first; each version ends where the next begins.
-    Look-behind, look-ahead and version numbers use day slices, so a key with a large share of all changes is
-    spread over its days. Of several changes at one instant the last (by ``tie``) counts.
+    The windows run per key and day, so a key with a large share of all changes is spread over its days; one row per
+    key and day carries the last state, the version count and the next start across the borders. Of several changes at
+    one instant the last (by ``tie``) counts.
     """
     keys = list(keys)
     events = changes.withColumn("_valid_from", F.col(event_time).cast("timestamp")).filter(
@@ -158,13 +159,42 @@ def chain_versions(
     events = events.withColumn("_hash_key", change_hash(*tracked))
     events = keep_latest(events, [*keys, "_valid_from"], [*tie, "_hash_key"])
     events = slices.with_slice(events, slices.day_slice("_valid_from"))
-    events = slices.previous_value(events, keys, ["_valid_from"], "_hash_key", "_before")
-    starts = events.filter(F.col("_before").isNull() | (F.col("_before") != F.col("_hash_key"))).drop("_before")
-    starts = slices.next_value(starts, keys, ["_valid_from"], "_valid_from", "_valid_to")
-    starts = slices.running_count(starts, keys, ["_valid_from"], "_version")
+
+    # inside a slice: compare each event with the one before it
+    part = [*keys, slices.SLICE]
+    by_time = Window.partitionBy(*part).orderBy("_valid_from")
+    marked = events.withColumn("_before", F.lag("_hash_key").over(by_time))
+    inner = F.col("_before").isNotNull() & (F.col("_before") != F.col("_hash_key"))
+
+    # one row per slice; only these move to the key to be carried across slice borders
+    ends = marked.groupBy(*part).agg(
+        F.min("_valid_from").alias("_first"),
+        F.min_by("_hash_key", "_valid_from").alias("_first_hash"),
+        F.max_by("_hash_key", "_valid_from").alias("_last_hash"),
+        F.count_if(inner).alias("_inner"),
+        F.min(F.when(inner, F.col("_valid_from"))).alias("_first_inner"),
+    )
+    by_slice = Window.partitionBy(*keys).orderBy(slices.SLICE)
+    earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(*keys).orderBy(F.desc(slices.SLICE)).rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.withColumn("_carried", F.lag("_last_hash").over(by_slice))
+    opens = F.col("_carried").isNull() | (F.col("_carried") != F.col("_first_hash"))
+    ends = ends.withColumn("_opens", opens).withColumn("_start", F.when(opens, F.col("_first")).otherwise(F.col("_first_inner")))
+    ends = ends.select(
+        *part,
+        "_opens",
+        F.coalesce(F.sum(F.col("_inner") + F.col("_opens").cast("long")).over(earlier), F.lit(0)).alias("_versions_before"),
+        F.last("_start", ignorenulls=True).over(later).alias("_next_start"),
+    )
+    starts = marked.join(ends, part).filter(inner | (F.col("_before").isNull() & F.col("_opens")))
     return starts.withColumns(
-        {"_is_current": F.col("_valid_to").isNull(), "_version": F.col("_version").cast("int")}
-    ).drop(slices.SLICE)
+        {
+            "_version": (F.col("_versions_before") + F.row_number().over(by_time)).cast("int"),
+            "_valid_to": F.coalesce(F.lead("_valid_from").over(by_time), F.col("_next_start")),
+        }
+    ).withColumn("_is_current", F.col("_valid_to").isNull()).drop(
+        slices.SLICE, "_before", "_opens", "_versions_before", "_next_start"
+    )
 
 
 def scd2_feed(

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tidemark.functions.exprs import ORGANIC_KEY, UNKNOWN_KEY
 
@@ -87,15 +89,20 @@ MEMBERS = {
 }
 
 
-def with_members(dim: DataFrame, members: Sequence[dict], key: str) -> DataFrame:
-    """Add the special members that are not there yet, with the reserved values as surrogate keys."""
-    spark = dim.sparkSession
-    rows = None
-    for member in members:
-        cols = [F.lit(member.get(f.name)).cast(f.dataType).alias(f.name) for f in dim.schema.fields]
-        row = spark.range(1).select(*cols)
-        rows = row if rows is None else rows.unionByName(row)
-    # two or three constant rows against the reserved part of the dimension only (keys below zero)
-    present = dim.filter(F.col(key) < 0).select(F.col(key).alias("_present"))
-    missing = rows.join(present, F.col(key) == F.col("_present"), "left_anti")
-    return dim.unionByName(missing)
+def with_members(dim: DataFrame, members: Sequence[dict], key: str, stored: DataFrame | None = None) -> DataFrame:
+    """Add the special members that ``stored`` does not have yet, with the reserved values as surrogate keys.
+
+    ``stored`` is the dimension before this load (None: nothing is there yet). Only its reserved keys, those below
+    zero, are looked at.
+    """
+    rows = [tuple(_member_value(m.get(f.name), f.dataType.typeName()) for f in dim.schema.fields) for m in members]
+    nullable = StructType([StructField(f.name, f.dataType, True) for f in dim.schema.fields])
+    constant = dim.sparkSession.createDataFrame(rows, nullable)
+    if stored is not None:
+        present = stored.filter(F.col(key) < 0).select(F.col(key).alias("_present"))
+        constant = constant.join(present, F.col(key) == F.col("_present"), "left_anti")
+    return dim.unionByName(constant)
+
+
+def _member_value(value, kind: str):
+    return datetime.fromisoformat(value) if kind == "timestamp" and value is not None else value

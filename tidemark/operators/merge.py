@@ -205,6 +205,15 @@ def missing_keys(target: DataFrame, full_keys: DataFrame, keys: Sequence[str]) -
     return target.select(*keys).join(full_keys.select(*keys), keys, "left_anti")
 
 
+def touched_partitions(
+    target: DataFrame, source: DataFrame, key: str, partition: str, limit: int = 10_000
+) -> list | None:
+    """Partition values that a fact merge changes, old and new; None when there are more than ``limit``."""
+    moved = target.select(key, F.col(partition).alias("_p")).join(source.select(key), key, "left_semi").select("_p")
+    values = source.select(F.col(partition).alias("_p")).unionByName(moved).distinct().limit(limit + 1).collect()
+    return None if len(values) > limit else [r[0] for r in values]
+
+
 def merge_fact(
     target: DataFrame,
     source: DataFrame,
@@ -214,25 +223,21 @@ def merge_fact(
 ) -> DataFrame:
     """Upsert on the degenerate key; returns only the partitions that change, for a dynamic overwrite.
 
-    A row whose date moved leaves its old partition, so both the old and the new partition are rewritten.
+    A row whose date moved leaves its old partition, so both the old and the new partition are rewritten. Their
+    values (at most a few thousand) become literals, so the scan of the target opens no other folder.
     """
-    moved = target.select(key, F.col(partition).alias("_old")).join(
-        source.select(F.col(key).alias("_k")), F.col(key) == F.col("_k"), "left_semi"
-    )
-    touched = (
-        source.select(F.col(partition).alias("_p"))
-        .unionByName(moved.select(F.col("_old").alias("_p")))
-        .distinct()
-    )
-    # one row per partition value: AQE sees its real size and prunes the target's partitions with it
-    rest = (
-        target.join(touched, F.col(partition) == F.col("_p"), "left_semi")
-        .join(source.select(F.col(key).alias("_k")), F.col(key) == F.col("_k"), "left_anti")
-    )
+    touched = touched_partitions(target, source, key, partition)
+    if touched is not None:
+        rest = target.filter(F.col(partition).isin(touched))
+    else:
+        moved = target.select(key, F.col(partition).alias("_p")).join(source.select(key), key, "left_semi")
+        changed = source.select(F.col(partition).alias("_p")).unionByName(moved.select("_p")).distinct()
+        rest = target.join(changed, F.col(partition) == F.col("_p"), "left_semi")
+    rest = rest.join(source.select(key), key, "left_anti").select(*target.columns)
     if created is not None and created in target.columns:
-        first_seen = target.select(F.col(key).alias("_k"), F.col(created).alias("_first"))
-        source = source.join(first_seen, F.col(key) == F.col("_k"), "left")
-        source = source.withColumn(created, F.coalesce("_first", created)).drop("_k", "_first")
+        first_seen = target.select(key, F.col(created).alias("_first"))
+        source = source.join(first_seen, key, "left")
+        source = source.withColumn(created, F.coalesce("_first", created)).drop("_first")
     return rest.unionByName(source, allowMissingColumns=True)
 
 

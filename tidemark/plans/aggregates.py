@@ -11,7 +11,15 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import lifespan_days, lifespan_months, safe_div, span_frequency
+from tidemark.functions.exprs import (
+    ORGANIC_KEY,
+    UNKNOWN_KEY,
+    lifespan_days,
+    lifespan_months,
+    safe_div,
+    span_frequency,
+)
+from tidemark.operators.joins import salted_lookup
 
 
 def campaign_roi(fact: DataFrame, dim_date: DataFrame, dim_campaign: DataFrame, campaigns: DataFrame) -> DataFrame:
@@ -160,7 +168,8 @@ def customer_cac(attribution: DataFrame, dim_campaign: DataFrame, campaigns: Dat
         "dim_campaign_key",
         F.when(F.upper("channel") == "ORGANIC", F.lit(0)).otherwise(F.col("_cac")).alias("customer_acquisition_cost"),
     )
-    return attribution.join(per_key, "dim_campaign_key", "left").select("customer_id", "customer_acquisition_cost")
+    priced = salted_lookup(attribution, per_key, "dim_campaign_key", (UNKNOWN_KEY, ORGANIC_KEY), "left")
+    return priced.select("customer_id", "customer_acquisition_cost")
 
 
 def rfm(
@@ -180,13 +189,13 @@ def rfm(
     )
     names = {"recency": "recency_days", "frequency": "frequency", "monetary": "monetary"}
     cuts: dict[str, list[Column]] = {}
-    for name, col in names.items():
-        if thresholds is not None:
-            cuts[name] = [F.lit(t) for t in thresholds[name]]
-        else:
-            shares = [i / scores for i in range(1, scores)]
-            sketch = inputs.agg(F.percentile_approx(col, shares, 10_000)).scalar()
-            cuts[name] = [F.element_at(sketch, i) for i in range(1, scores)]
+    if thresholds is not None:
+        cuts = {name: [F.lit(t) for t in thresholds[name]] for name in names}
+    else:
+        shares = [i / scores for i in range(1, scores)]
+        sketches = [F.percentile_approx(col, shares, 10_000).alias(name) for name, col in names.items()]
+        inputs = inputs.withColumn("_cuts", inputs.agg(*sketches).select(F.struct(*names)).scalar())
+        cuts = {name: [F.element_at(F.col(f"_cuts.{name}"), i) for i in range(1, scores)] for name in names}
 
     def passed(name: str) -> Column:
         out = F.lit(1)
@@ -197,7 +206,7 @@ def rfm(
     # low recency is good, so its score runs the other way
     r = F.lit(len(cuts["recency"]) + 2) - passed("recency")
     scored = inputs.withColumns({"r_score": r, "f_score": passed("frequency"), "m_score": passed("monetary")})
-    return scored.withColumn("rfm_segment", F.concat("r_score", "f_score", "m_score"))
+    return scored.withColumn("rfm_segment", F.concat("r_score", "f_score", "m_score")).drop("_cuts")
 
 
 def loyalty_tier(metrics: DataFrame, tiers: Sequence[tuple[str, float]], spend: str = "lifetime_revenue") -> DataFrame:

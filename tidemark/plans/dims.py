@@ -76,7 +76,7 @@ def _scd1_dim(
     rows = rows.withColumn("_created_date", F.coalesce("_first_created", "_created_date"))
     rows = assign_keys(rows, key, surrogate, max_key(target, surrogate))
     untouched = target.join(source.select(key), key, "left_anti").select(*target.columns)
-    return with_members(untouched.unionByName(_shape(rows, name)), MEMBERS[name], surrogate)
+    return with_members(untouched.unionByName(_shape(rows, name)), MEMBERS[name], surrogate, target)
 
 
 def customer_source(silver: DataFrame) -> DataFrame:
@@ -118,7 +118,7 @@ def build_dim_customer(
     # one new version per key and batch, so its position among the new rows of the key is always 1
     merged = merged.withColumn("_ordinal", F.lit(1))
     keyed = assign_keys(merged, "customer_id", "dim_customer_key", start, "_ordinal").drop("_ordinal")
-    return with_members(_shape(keyed, "dim_customer"), MEMBERS["dim_customer"], "dim_customer_key")
+    return with_members(_shape(keyed, "dim_customer"), MEMBERS["dim_customer"], "dim_customer_key", target)
 
 
 def build_dim_product(

@@ -21,7 +21,7 @@ from tidemark.functions.exprs import (
     is_organic,
     year_month,
 )
-from tidemark.operators.joins import asof_join, lookup, with_parent
+from tidemark.operators.joins import asof_join, lookup, salted_lookup, with_parent
 from tidemark.operators.latest import keep_latest
 from tidemark.operators.quality import dq_split
 from tidemark.plans.quality_rules import GOLD_DQ
@@ -42,7 +42,8 @@ def campaign_attribution(crs: DataFrame, dim_campaign: DataFrame) -> DataFrame:
     one = keep_latest(crs.filter(F.col("customer_id").isNotNull()), ["customer_id"], order, tie)
     campaigns = dim_campaign.select("campaign_id", F.col("dim_campaign_key").alias("_key"))
     organic = is_organic("channel") & F.col("campaign_id").isNull()
-    return one.join(campaigns, "campaign_id", "left").select(
+    # organic customers have no campaign: the null keys are spread instead of meeting in one task
+    return salted_lookup(one, campaigns, "campaign_id", (), "left").select(
         "customer_id",
         F.coalesce(F.col("_key"), F.when(organic, F.lit(ORGANIC_KEY)).otherwise(F.lit(UNKNOWN_KEY)))
         .cast("long")
@@ -62,6 +63,11 @@ def customer_version(
     return found.withColumn("dim_customer_key", F.coalesce("dim_customer_key", F.lit(UNKNOWN_KEY).cast("long")))
 
 
+def version_bound(dim: DataFrame, version: str = "_version") -> int:
+    """Highest number of versions any key has: one column of a stored dimension is read."""
+    return dim.agg(F.max(version)).first()[0] or 0
+
+
 def build_fact_sales(
     lines: DataFrame,
     headers: DataFrame,

@@ -89,7 +89,7 @@ METRICS = {
         ratio("customer_acquisition_cost", "total_spend", "customers_acquired"),
         derived(
             "purchase_frequency",
-            "try_divide(order_count, datediff(last_order_date, first_order_date) / 30.0)",
+            "try_divide(order_count * 30, datediff(last_order_date, first_order_date))",
             "order_count", "first_order_date", "last_order_date",
         ),
         derived(
@@ -172,6 +172,8 @@ def query_metrics(
                 *[F.expr(base.column(g)).alias(g) for g in group_by], F.expr(base.entities[entity]).alias(entity)
             ).distinct()
             kinds = {m.name: m.agg for m in model.measures}
+            if any(kinds[n] not in ("sum", "min", "max") for n in wanted[name]):
+                raise ValueError(f"{wanted[name]} cannot be aggregated a second time")
             again = [_AGGREGATES[kinds[n]](n).alias(n) for n in wanted[name]]
             part = pairs.join(per_entity, entity).groupBy(*group_by).agg(*again)
         if out is None:

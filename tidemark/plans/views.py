@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import ORGANIC_KEY, UNKNOWN_KEY, safe_div
+from tidemark.functions.exprs import ORGANIC_KEY, UNKNOWN_KEY, per_30_days
 from tidemark.operators.joins import salted_lookup
 
 _SPECIAL = (UNKNOWN_KEY, ORGANIC_KEY)
@@ -53,7 +53,7 @@ def vw_churn_features(clv: DataFrame, dim_customer: DataFrame) -> DataFrame:
         "average_order_value",
         "customer_lifespan_days",
         "total_orders",
-        safe_div("total_orders", F.col("customer_lifespan_days") / F.lit(30.0)).alias("purchase_frequency_monthly"),
+        per_30_days("total_orders", "customer_lifespan_days").alias("purchase_frequency_monthly"),
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -29,7 +30,15 @@ def read_files(
 
 
 def _start(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], once: bool) -> StreamingQuery:
-    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
+    def cached(batch: DataFrame, batch_id: int) -> None:
+        # a batch is looked at several times; what an executor loses is read again from the source files
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            each(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(cached)
     if once:
         writer = writer.trigger(availableNow=True)
     return writer.start()

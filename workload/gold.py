@@ -6,9 +6,10 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import UNKNOWN_KEY, elapsed_months
+from tidemark.functions.exprs import UNKNOWN_KEY
 from tidemark.functions.masking import MASKED, mask_email, mask_phone, mask_string
 from tidemark.operators import quality as q
+from tidemark.operators.contracts import CONTRACTS, to_contract
 from tidemark.operators.governance import apply_policy, row_filter
 from tidemark.operators.lineage import dependency_levels
 from tidemark.operators.quality import reconcile_sum, unknown_usage
@@ -22,7 +23,7 @@ from tidemark.streaming import jobs
 from tidemark.streaming.state import PartitionedState
 from workload.model import gold, plain, r4
 from workload.silver import TS, ts
-from workload.sql_entities import sql
+from workload.sql_entities import cents, ratio, sql
 
 QUERIES: list[tuple] = []
 
@@ -110,17 +111,12 @@ def fact_sales(spark, sf_dir):
 
 
 @query(
-    "fact_sales_bounded_versions",
+    "fact_sales_any_versions",
     sql("fact_sales", body="SELECT line_id, dim_customer_key, dim_campaign_key FROM fact_sales"),
 )
-def fact_sales_bounded(spark, sf_dir):
-    g = gold(spark, sf_dir)
-    dims = g.dims()
-    bound = dims["dim_customer"].agg(F.max("_version")).first()[0]
-    f = facts.build_fact_sales(
-        g.silver("oe_order_lines_all"), g.silver("oe_order_headers_all"), dims,
-        g.silver("customer_registration_source"), versions_per_key=bound,
-    )
+def fact_sales_any_versions(spark, sf_dir):
+    # the lookup that holds for any number of versions per customer
+    f = gold(spark, sf_dir).build_fact("fact_sales", measured=False)
     return f.select("line_id", "dim_customer_key", "dim_campaign_key")
 
 
@@ -154,10 +150,11 @@ def campaign_attribution(spark, sf_dir):
 
 # -- aggregates ---------------------------------------------------------------------------------------------------
 
-_ROI_SQL = """year_month, dim_campaign_key, campaign_name, channel, total_revenue, total_orders, total_spend,
-    customers_acquired, round(CASE WHEN channel = 'ORGANIC' THEN 0
-      ELSE round(total_spend / nullif(customers_acquired, 0), 2) END, 2) AS customer_acquisition_cost,
-    round(total_revenue / nullif(total_spend, 0), 4) AS return_on_ad_spend"""
+_ROI_SQL = f"""year_month, dim_campaign_key, campaign_name, channel, total_revenue, total_orders, total_spend,
+    customers_acquired, CASE WHEN channel = 'ORGANIC' THEN 0.0 WHEN customers_acquired = 0 THEN NULL
+      ELSE CAST((2 * CAST(round(total_spend * 100) AS BIGINT) + customers_acquired) // (2 * customers_acquired) AS DOUBLE)
+      / 100 END AS customer_acquisition_cost,
+    {ratio(cents('total_revenue'), cents('total_spend'))} AS return_on_ad_spend"""
 
 
 def _ratios(df, *names):
@@ -169,8 +166,9 @@ def agg_monthly_campaign_roi(spark, sf_dir):
     return _ratios(gold(spark, sf_dir).roi(), "return_on_ad_spend")
 
 
-_CLV_SQL = """round(lifetime_revenue / nullif(total_orders, 0), 4) AS average_order_value,
-    round(total_orders / nullif(date_diff('day', first_order_date, last_order_date) / 30.0, 0), 4) AS purchase_frequency"""
+_AOV = ratio(cents("lifetime_revenue"), "total_orders * 100")
+_SPAN = "date_diff('day', first_order_date, last_order_date)"
+_CLV_SQL = f"""{_AOV} AS average_order_value, {ratio('total_orders * 30', _SPAN)} AS purchase_frequency"""
 
 
 @query("agg_customer_clv", sql("clv", body=f"SELECT *, {_CLV_SQL} FROM clv"))
@@ -221,8 +219,8 @@ def customer_lifetime_value(spark, sf_dir):
     "cac_by_channel",
     sql("campaigns", body="""SELECT channel, CAST(sum(total_spend) AS DOUBLE) AS total_spend,
         CAST(sum(customers_acquired) AS BIGINT) AS customers_acquired,
-        round(CASE WHEN channel = 'ORGANIC' THEN 0 ELSE CAST(sum(total_spend) AS DOUBLE)
-              / nullif(sum(customers_acquired), 0) END, 4) AS customer_acquisition_cost FROM campaigns GROUP BY 1"""),
+        CASE WHEN channel = 'ORGANIC' THEN 0.0 ELSE """ + ratio("sum(total_spend) * 100", "sum(customers_acquired) * 100") + """
+        END AS customer_acquisition_cost FROM campaigns GROUP BY 1"""),
 )
 def cac_by_channel(spark, sf_dir):
     return _ratios(
@@ -233,7 +231,7 @@ def cac_by_channel(spark, sf_dir):
 @query(
     "aov_revenue_orders",
     sql("headers", body="""SELECT _order_year_month, count(DISTINCT order_id) AS orders,
-        round(CAST(sum(total_amount) AS DOUBLE) / count(DISTINCT order_id), 4) AS average_order_value FROM headers
+        """ + ratio("sum(total_amount) * 100", "count(DISTINCT order_id) * 100") + """ AS average_order_value FROM headers
         WHERE order_status NOT IN ('CANCELLED', 'RETURNED') GROUP BY 1"""),
 )
 def aov_revenue_orders(spark, sf_dir):
@@ -268,7 +266,7 @@ _RULES = [
     "agg_rules_campaign_month",
     sql("fact_sales", body="""SELECT order_year_month, dim_campaign_key, CAST(sum(line_total) AS DOUBLE) AS total_revenue,
         count(DISTINCT order_number) AS orders, count(*) FILTER (WHERE order_status = 'DELIVERED') AS delivered_lines,
-        round(avg(quantity), 4) AS avg_quantity, CAST(min(unit_price) AS DOUBLE) AS min_price,
+        """ + ratio("sum(quantity)", "count(*)") + """ AS avg_quantity, CAST(min(unit_price) AS DOUBLE) AS min_price,
         CAST(max(unit_price) AS DOUBLE) AS max_price, round(sum(allocated_tax_amount), 2) AS tax
         FROM fact_sales GROUP BY 1, 2"""),
 )
@@ -330,7 +328,7 @@ def loyalty_tiers(spark, sf_dir):
 @query(
     "gold_unknown_usage",
     sql("fact_sales", body="\nUNION ALL\n".join(
-        f"""SELECT '{k}' AS key_column, round(100.0 * count(*) FILTER (WHERE {k} = -1) / count(*), 4) AS unknown_pct,
+        f"""SELECT '{k}' AS key_column, {ratio(f"100 * count(*) FILTER (WHERE {k} = -1)", "count(*)")} AS unknown_pct,
             CAST(100.0 * count(*) FILTER (WHERE {k} = -1) / count(*) > 5 AS INTEGER) AS over_threshold FROM fact_sales"""
         for k in ("dim_customer_key", "dim_product_key", "dim_location_key", "dim_campaign_key"))),
 )
@@ -342,10 +340,10 @@ def gold_unknown_usage(spark, sf_dir):
 
 @query(
     "gold_reconcile_roi",
-    sql("roi", "fact_sales", body="""SELECT 'DQ-G-A-001' AS rule_id,
-        (SELECT round(sum(total_revenue), 2) FROM roi) AS total_a,
-        (SELECT CAST(sum(line_total) AS DOUBLE) FROM fact_sales) AS total_b,
-        round(abs(total_a - total_b), 2) AS variance, CAST(variance < 1 AS INTEGER) AS matched"""),
+    sql("roi", "fact_sales", body="""SELECT 'DQ-G-A-001' AS rule_id, total_a, total_b,
+        round(abs(total_a - total_b), 2) AS variance, CAST(abs(total_a - total_b) < 1 AS INTEGER) AS matched
+        FROM (SELECT (SELECT round(sum(total_revenue), 2) FROM roi) AS total_a,
+                     (SELECT CAST(sum(line_total) AS DOUBLE) FROM fact_sales) AS total_b)"""),
 )
 def gold_reconcile_roi(spark, sf_dir):
     g = gold(spark, sf_dir)
@@ -394,6 +392,23 @@ def gold_scd_validity(spark, sf_dir):
     return q.scd_violations(gold(spark, sf_dir).dim("dim_customer"), ["customer_id"]).select("customer_id", "_version")
 
 
+@query(
+    "contract_customer_metrics",
+    sql("clv_by_customer", body="""SELECT CAST(customer_id AS VARCHAR) AS customer_id,
+        CAST((2 * CAST(round(lifetime_revenue * 100) AS BIGINT) + total_orders) // (2 * total_orders) AS DOUBLE) / 100
+          AS average_order_value,
+        CAST((2 * total_orders * 300000 + days) // (2 * days) AS DOUBLE) / 10000 AS purchase_frequency,
+        lifetime_revenue AS total_lifetime_revenue
+        FROM (SELECT *, nullif(date_diff('day', first_order_date, last_order_date), 0) AS days FROM clv_by_customer)"""),
+)
+def contract_customer_metrics(spark, sf_dir):
+    out = to_contract(
+        gold(spark, sf_dir).clv_by_customer(), CONTRACTS["agg_customer_clv_metrics"],
+        {"total_lifetime_revenue": "lifetime_revenue"},
+    )
+    return plain(out)
+
+
 # -- marts --------------------------------------------------------------------------------------------------------
 
 @query(
@@ -413,9 +428,9 @@ def mart_sales_dashboard(spark, sf_dir):
 
 @query(
     "mart_churn_features",
-    sql("clv", "dim_customer", body="""SELECT c.customer_id, c.status, c.customer_type, a.lifetime_revenue,
-        round(a.lifetime_revenue / nullif(a.total_orders, 0), 4) AS average_order_value, a.customer_lifespan_days,
-        a.total_orders, round(a.total_orders / nullif(a.customer_lifespan_days / 30.0, 0), 4) AS purchase_frequency_monthly
+    sql("clv", "dim_customer", body=f"""SELECT c.customer_id, c.status, c.customer_type, a.lifetime_revenue,
+        {_AOV} AS average_order_value, a.customer_lifespan_days,
+        a.total_orders, {ratio('total_orders * 30', 'customer_lifespan_days')} AS purchase_frequency_monthly
         FROM clv a JOIN dim_customer c USING (dim_customer_key) WHERE c._is_current"""),
 )
 def mart_churn_features(spark, sf_dir):
@@ -434,8 +449,8 @@ def mart_marketing_performance(spark, sf_dir):
 
 @query(
     "bi_churn_features",
-    sql("clv", "dim_customer", body="""SELECT c.customer_id, c.status, a.lifetime_revenue,
-        round(a.lifetime_revenue / nullif(a.total_orders, 0), 4) AS average_order_value, a.customer_lifespan_days
+    sql("clv", "dim_customer", body=f"""SELECT c.customer_id, c.status, a.lifetime_revenue,
+        {_AOV} AS average_order_value, a.customer_lifespan_days
         FROM clv a JOIN dim_customer c USING (dim_customer_key) WHERE c._is_current"""),
 )
 def bi_churn_features(spark, sf_dir):
@@ -462,14 +477,15 @@ def _metric_tables(g):
 
 
 _COSTS = """SELECT dim_campaign_key, k.channel, k.campaign_name, m.total_spend, m.customers_acquired,
-    CASE WHEN k.channel = 'ORGANIC' THEN 0 ELSE round(CAST(m.total_spend AS DOUBLE) / nullif(m.customers_acquired, 0), 2)
+    CASE WHEN k.channel = 'ORGANIC' THEN 0.0 WHEN m.customers_acquired = 0 THEN NULL
+    ELSE CAST((2 * CAST(m.total_spend * 100 AS BIGINT) + m.customers_acquired) // (2 * m.customers_acquired) AS DOUBLE) / 100
     END AS acquisition_cost FROM dim_campaign k LEFT JOIN campaigns m ON m.campaign_id = k.campaign_id"""
 
 
 @query(
     "metric_aov_by_month_status",
     sql("fact_sales", body="""SELECT order_year_month AS year_month, order_status,
-        round(CAST(sum(line_total) AS DOUBLE) / count(DISTINCT order_id), 4) AS average_order_value
+        """ + ratio("sum(line_total) * 100", "count(DISTINCT order_id) * 100") + """ AS average_order_value
         FROM fact_sales WHERE order_status NOT IN ('CANCELLED', 'RETURNED') GROUP BY 1, 2"""),
 )
 def metric_aov(spark, sf_dir):
@@ -505,7 +521,7 @@ def metric_clv_by_customer(spark, sf_dir):
 @query(
     "metric_cac_by_channel",
     sql("dim_campaign", "campaigns", body=f"""SELECT channel,
-        round(CAST(sum(total_spend) AS DOUBLE) / nullif(sum(customers_acquired), 0), 4) AS customer_acquisition_cost
+        {ratio("sum(total_spend) * 100", "sum(customers_acquired) * 100")} AS customer_acquisition_cost
         FROM ({_COSTS}) GROUP BY 1"""),
 )
 def metric_cac(spark, sf_dir):
@@ -517,9 +533,9 @@ def metric_cac(spark, sf_dir):
     "metric_frequency_by_customer",
     sql("fact_sales", body="""
         SELECT dim_customer_key AS customer,
-          round(count(DISTINCT order_id) / nullif(date_diff('day', min(d), max(d)) / 30.0, 0), 4) AS purchase_frequency,
-          round(count(DISTINCT order_id)::DOUBLE / nullif(datesub('month', min(d), DATE '2002-01-01'), 0), 4)
-            AS tenure_frequency
+          """ + ratio("count(DISTINCT order_id) * 30", "date_diff('day', min(d), max(d))") + """ AS purchase_frequency,
+          """ + ratio("count(DISTINCT order_id)", "(2002 * 12 + 1) - (year(min(d)) * 12 + month(min(d))) "
+                      "- CAST(1 < day(min(d)) AS INTEGER)") + """ AS tenure_frequency
         FROM (SELECT *, strptime(CAST(dim_date_key AS VARCHAR), '%Y%m%d')::DATE AS d FROM fact_sales) GROUP BY 1"""),
 )
 def metric_frequency(spark, sf_dir):
@@ -533,8 +549,9 @@ def metric_frequency(spark, sf_dir):
 @query(
     "metric_total_aov_cac",
     sql("fact_sales", "campaigns", body="""SELECT
-        (SELECT round(CAST(sum(line_total) AS DOUBLE) / count(DISTINCT order_id), 4) FROM fact_sales) AS average_order_value,
-        (SELECT round(CAST(sum(total_spend) AS DOUBLE) / sum(customers_acquired), 4) FROM campaigns)
+        (SELECT """ + ratio("sum(line_total) * 100", "count(DISTINCT order_id) * 100") + """ FROM fact_sales)
+          AS average_order_value,
+        (SELECT """ + ratio("sum(total_spend) * 100", "sum(customers_acquired) * 100") + """ FROM campaigns)
           AS customer_acquisition_cost"""),
 )
 def metric_total(spark, sf_dir):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans import aggregates, dims, facts
@@ -57,16 +57,21 @@ class Gold:
         return {n: self.dim(n) for n in ("dim_date", *DIM_NAMES)}
 
     # -- facts ---------------------------------------------------------------------------------------------
-    def build_fact(self, name: str) -> DataFrame:
+    def build_fact(self, name: str, measured: bool = True) -> DataFrame:
+        """``measured``: take the number of versions per customer from the stored dimension."""
         s = self.silver
+        bound = facts.version_bound(self.dim("dim_customer")) if measured else None
         if name == "fact_sales":
             return facts.build_fact_sales(
-                s("oe_order_lines_all"), s("oe_order_headers_all"), self.dims(), s("customer_registration_source")
+                s("oe_order_lines_all"), s("oe_order_headers_all"), self.dims(), s("customer_registration_source"),
+                versions_per_key=bound,
             )
         if name == "fact_interactions":
-            return facts.build_fact_interactions(s("interactions"), s("incidents"), self.dim("dim_customer"))
+            return facts.build_fact_interactions(
+                s("interactions"), s("incidents"), self.dim("dim_customer"), versions_per_key=bound
+            )
         if name == "fact_surveys":
-            return facts.build_fact_surveys(s("surveys"), self.dim("dim_customer"))
+            return facts.build_fact_surveys(s("surveys"), self.dim("dim_customer"), versions_per_key=bound)
         raise KeyError(name)
 
     def fact(self, name: str) -> DataFrame:
@@ -110,6 +115,6 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def r4(col) -> "F.Column":
-    """Ratio as DOUBLE rounded to four digits."""
-    return F.round((F.col(col) if isinstance(col, str) else col).cast("double"), 4)
+def r4(col) -> Column:
+    """Ratio rounded half up to four digits (decimals before they become DOUBLE)."""
+    return F.round(F.col(col) if isinstance(col, str) else col, 4).cast("double")

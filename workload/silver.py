@@ -751,7 +751,7 @@ def dq_control_totals(spark, sf_dir):
 
 @query(
     "dq_contract_keys",
-    """SELECT 0 AS null_key_rows, count(*) AS duplicate_keys FROM
+    """SELECT CAST(0 AS BIGINT) AS null_key_rows, count(*) AS duplicate_keys FROM
        (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1)""",
 )
 def dq_contract_keys(spark, sf_dir):
