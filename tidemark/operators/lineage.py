@@ -25,19 +25,18 @@ def dependency_levels(nodes: DataFrame, edges: DataFrame, node: str = "node", pa
     left = left.join(ids, "n", "left_semi").join(ids.withColumnRenamed("n", "p"), "p", "left_semi").select("n", "p")
     left = durable(left, "edges")
     # round 0: nodes without any edge
-    levels = [ids.join(left.select("n").distinct(), "n", "left_anti").withColumn("level", F.lit(0))]
-    placed = durable(levels[0], "level")
+    placed = durable(ids.join(left, "n", "left_anti").withColumn("level", F.lit(0)), "level")
     levels = [placed]
-    depth = 0
     while not left.isEmpty():
-        depth += 1
-        rest = left.join(placed.select(F.col("n").alias("p")), "p", "left_anti").select("n", "p")
-        # nodes that had an edge before this round and have none after it
-        ready = left.select("n").distinct().join(rest.select("n").distinct(), "n", "left_anti")
-        placed = durable(ready.withColumn("level", F.lit(depth)), "level")
+        done = placed.select(F.col("n").alias("p"), F.lit(True).alias("done"))
+        marked = left.join(done, "p", "left")
+        # a node is ready when this round settles the last of its open edges
+        open_edges = marked.groupBy("n").agg(F.count_if(F.col("done").isNull()).alias("open"))
+        ready = open_edges.filter("open = 0").select("n", F.lit(len(levels)).alias("level"))
+        placed = durable(ready, "level")
         if placed.isEmpty():
-            raise CycleError(f"no node can be placed at level {depth}: the edges contain a cycle")
-        left = durable(rest, "edges")
+            raise CycleError(f"no node can be placed at level {len(levels)}: the edges contain a cycle")
+        left = durable(marked.filter(F.col("done").isNull()).select("n", "p"), "edges")
         levels.append(placed)
     out = levels[0]
     for part in levels[1:]:

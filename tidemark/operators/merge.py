@@ -193,6 +193,13 @@ def scd1(target: DataFrame | None, source: DataFrame, keys: Sequence[str], check
     return untouched.unionByName(source, allowMissingColumns=True)
 
 
+def soft_delete(target: DataFrame, deleted: DataFrame, keys: Sequence[str], flag: str = "_is_deleted") -> DataFrame:
+    """Mark the rows whose key is in ``deleted``; everything else about them stays."""
+    marks = deleted.select(*keys).distinct().withColumn("_gone", F.lit(True))
+    marked = target.join(marks, list(keys), "left").withColumn(flag, F.coalesce("_gone", flag, F.lit(False)))
+    return marked.select(*target.columns)
+
+
 def delete_where(df: DataFrame, condition: Column | str) -> DataFrame:
     """Remove rows for which the condition is TRUE (a NULL verdict keeps the row)."""
     cond = F.expr(condition) if isinstance(condition, str) else condition

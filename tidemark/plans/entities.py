@@ -59,7 +59,7 @@ ENTITIES = {
             "cancellation_reason:trim order_source:upper org_id:int created_by:trim created_date:timestamp "
             "last_update_date:timestamp",
             partition_by=("_order_year_month",), cluster_by=("customer_id",),
-            derived={"_order_year_month": "date_format(order_date, 'yyyy-MM')"},
+            derived={"_order_year_month": ("ORDER_DATE", "date_format(order_date, 'yyyy-MM')")},
         ),
         Entity(
             "oe_order_lines_all", "SRC-001", ("line_id",),
@@ -140,15 +140,15 @@ def silver_rules(name: str) -> list[dict]:
         else:
             r = rule("CAST", col.upper(), col, kind, seq * 10)
         rules.append(r)
-    for seq, (col, expr) in enumerate(ENTITIES[name].derived.items(), start=1):
-        rules.append(rule("TRANSFORM", None, col, expr, 10_000 + seq))
+    for seq, (col, (needs, expr)) in enumerate(ENTITIES[name].derived.items(), start=1):
+        rules.append(rule("TRANSFORM", needs, col, expr, 10_000 + seq))
     return rules
 
 
 def standardise(name: str, bronze: DataFrame) -> DataFrame:
     """Apply the rules whose source columns the batch has, and keep metadata columns (leading underscore)."""
     have = {c.upper() for c in bronze.columns}
-    rules = [r for r in silver_rules(name) if r["source_column"] is None or r["source_column"] in have]
+    rules = [r for r in silver_rules(name) if r["source_column"] in have]
     out = apply_rules(bronze, rules)
     wanted = [r["target_column"] for r in rules]
     return out.select(*wanted, *[c for c in bronze.columns if c.startswith("_") and c not in wanted])
