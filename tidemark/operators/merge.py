@@ -235,7 +235,8 @@ def merge_fact(
     """
     touched = touched_partitions(target, source, key, partition)
     if touched is not None:
-        rest = target.filter(F.col(partition).isin(touched))
+        hit = F.col(partition).isin([v for v in touched if v is not None])
+        rest = target.filter(hit | F.col(partition).isNull() if None in touched else hit)
     else:
         moved = target.select(key, F.col(partition).alias("_p")).join(source.select(key), key, "left_semi")
         changed = source.select(F.col(partition).alias("_p")).unionByName(moved.select("_p")).distinct()

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import quality as q
 from tidemark.operators.history import scd2
 from tidemark.operators.latest import keep_latest
-from tidemark.operators.merge import merge_fact, scd1, soft_delete, touched_partitions
+from tidemark.operators.merge import merge_fact, scd1, soft_delete
 from tidemark.operators.rules import add_silver_metadata
 from tidemark.operators.runlog import append_run
 from tidemark.plans import aggregates, dims, facts
@@ -24,7 +25,8 @@ from tidemark.plans.quality_rules import REFERENTIAL, SILVER_DQ
 from tidemark.session import durable
 from tidemark.sources.calendar import DEFAULT_END, DEFAULT_START, build_dim_date
 from tidemark.sources.sinks import append_table, write_table
-from tidemark.streaming.state import PartitionedState
+from tidemark.sources.tables import is_empty
+from tidemark.streaming.state import PartitionedState, touched_values
 
 FACTS = {
     "fact_sales": ("line_id", "order_year_month"),
@@ -35,7 +37,8 @@ FACTS = {
 
 def _store(df: DataFrame, path: str, **layout) -> DataFrame:
     write_table(df, path, **layout)
-    return df.sparkSession.read.parquet(path)
+    # the known schema keeps partition column types and makes an empty table readable
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def silver_entity(
@@ -47,7 +50,7 @@ def silver_entity(
     now: datetime,
     error_limit: float = 0.05,
 ) -> tuple[DataFrame, DataFrame]:
-    """One entity: dedupe, standardise, check, merge. Returns (silver table, quarantine of this batch).
+    """One entity: dedupe, standardise, check, merge. Returns (silver table, checked rows of this batch).
 
     Deletes carry no payload, so they skip the quality rules and only mark their key.
     """
@@ -64,7 +67,6 @@ def silver_entity(
     if any(r.severity == "ERROR" for r in SILVER_DQ[name]):
         q.enforce_threshold(q.error_share(staged, SILVER_DQ[name], keys[0]), error_limit)
     valid = staged.filter(~F.col("quarantined")).drop("quarantined", q.FAILED)
-    bad = staged.filter("quarantined").drop("quarantined")
     if entity.scd == 2:
         merged = scd2(previous, valid, keys, entity.tracked, "last_update_date", check_unique=False)
     else:
@@ -73,7 +75,7 @@ def silver_entity(
         merged = soft_delete(merged, rows.filter("_is_deleted"), keys)
     out = _store(merged, f"{path}/silver/{name}", partition_by=[c for c in entity.partition_by if c in merged.columns],
                  cluster_by=entity.cluster_by)
-    return out, bad
+    return out, staged
 
 
 def _current(df: DataFrame) -> DataFrame:
@@ -86,11 +88,11 @@ def _refresh_fact(state: PartitionedState, key: str, rows: DataFrame, run_no: in
         rows = durable(rows, "fact")
         target = state.read()
         if target is None:
-            touched = [str(r[0]) for r in rows.select(state.partition).distinct().collect()]
-            state.write(rows, touched, run_no)
+            state.write(rows, touched_values(rows, state.partition), run_no)
         else:
-            touched = touched_partitions(target, rows, key, state.partition, limit=100_000)
-            state.write(merge_fact(target, rows, key, state.partition), [str(t) for t in touched], run_no)
+            moved = target.join(rows.select(key), key, "left_semi").select(state.partition)
+            touched = touched_values(moved.unionByName(rows.select(state.partition)), state.partition)
+            state.write(merge_fact(target, rows, key, state.partition), touched, run_no)
     return state.read()
 
 
@@ -116,13 +118,14 @@ def run_medallion(
     batch_keys: dict[str, DataFrame] = {}
 
     for name in ENTITIES:
-        if name not in bronze:
+        if name not in bronze or (name in previous and is_empty(bronze[name])):
+            # no batch: the stored table stays as it is
             if name in previous:
                 out[name] = previous[name]
             continue
-        table, bad = silver_entity(name, bronze[name], previous.get(name), root, run_id, now)
-        out[name] = table
-        batch_keys[name] = spark.read.parquet(f"{root}/checked/{name}").filter(~F.col("quarantined"))
+        out[name], staged = silver_entity(name, bronze[name], previous.get(name), root, run_id, now)
+        batch_keys[name] = staged.filter(~F.col("quarantined"))
+        bad = staged.filter("quarantined").drop("quarantined")
         append_table(q.dlq_rows(bad, SILVER_DQ[name], run_id, name, now), f"{path}/dead_letters")
     warnings = None
     for rule_id, child, key, parent, parent_key in REFERENTIAL:
@@ -159,11 +162,10 @@ def run_medallion(
     out["dim_date"] = build_dim_date(spark, *calendar)
 
     bound = facts.version_bound(out["dim_customer"]) if "dim_customer" in out else None
-    if {"oe_order_lines_all", "oe_order_headers_all"} <= batch_keys.keys():
+    changed_orders = [batch_keys[n].select("order_id") for n in ("oe_order_headers_all", "oe_order_lines_all") if n in batch_keys]
+    if changed_orders and {"oe_order_lines_all", "oe_order_headers_all"} <= now_of.keys():
         # lines of changed orders and changed lines of any order
-        orders = batch_keys["oe_order_headers_all"].select("order_id").unionByName(
-            batch_keys["oe_order_lines_all"].select("order_id")
-        ).distinct()
+        orders = reduce(DataFrame.unionByName, changed_orders).distinct()
         lines = now_of["oe_order_lines_all"].join(orders, "order_id", "left_semi")
         rows = facts.build_fact_sales(
             lines, now_of["oe_order_headers_all"], out, now_of["customer_registration_source"], run_id, now, bound

@@ -144,7 +144,7 @@ def stream_quality(
         checked = dq_check(batch, rules)
         if fail_limit is not None:
             enforce_threshold(error_share(checked, rules, key), fail_limit)
-        checked.withColumn("quarantined", F.size(FAILED) > 0).write.mode("overwrite").partitionBy(
+        checked.withColumn("quarantined", (F.size(FAILED) > 0).cast("int")).write.mode("overwrite").partitionBy(
             "quarantined"
         ).parquet(f"{path}/batch={batch_id}")
 
@@ -154,7 +154,7 @@ def stream_quality(
 def read_quality(spark: SparkSession, path: str, quarantined: bool) -> DataFrame:
     """One side of the split (partition pruning reads only that side)."""
     df = spark.read.parquet(path)
-    return df.filter(F.col("quarantined") == F.lit(quarantined)).drop("quarantined", "batch")
+    return df.filter(F.col("quarantined") == F.lit(int(quarantined))).drop("quarantined", "batch")
 
 
 def stream_gold(

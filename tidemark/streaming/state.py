@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.sinks import append_table
 
+# Fixed value: folder name of a null partition value.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
 
 class PartitionedState:
     def __init__(self, spark: SparkSession, path: str, partition: str):
@@ -73,9 +76,9 @@ class PartitionedState:
             raise
         if self.partition not in df.columns:
             return set()
-        return {str(r[0]) for r in df.select(self.partition).distinct().collect()}
+        return set(touched_values(df, self.partition))
 
 
 def touched_values(df: DataFrame, col: str) -> list[str]:
-    """Distinct partition values of a batch; bounded by the number of partitions."""
-    return [str(r[0]) for r in df.select(col).distinct().collect()]
+    """Distinct partition values of a batch, as folder names; bounded by the number of partitions."""
+    return [NULL_FOLDER if r[0] is None else str(r[0]) for r in df.select(col).distinct().collect()]
