@@ -1,7 +1,7 @@
 """Business entities derived from the test tables.
 
-Raw (bronze) frames have upper-case columns, untrimmed text and numbers as text, as a staged extract would. Every
-derivation covers its whole table and uses integer or decimal arithmetic only.
+Raw (bronze) frames have upper-case columns and untrimmed text, as a staged extract would; the smaller ones carry
+numbers and dates as text. Every derivation covers its whole table and uses integer or decimal arithmetic only.
 """
 
 from __future__ import annotations
@@ -82,39 +82,40 @@ class Raw:
         disc = f"cast({sub} * 0.10 as decimal(15,2))"
         tax = f"cast({sub} * 0.05 as decimal(15,2))"
         return self.table("orders").selectExpr(
-            "cast(o_orderkey as string) as ORDER_ID",
+            "o_orderkey as ORDER_ID",
             "concat(' ORD-', o_orderkey) as ORDER_NUMBER",
-            "case when o_orderkey % 101 = 0 then null when o_orderkey % 103 = 0 then cast(9000000 + o_custkey as string) "
-            "else cast(o_custkey as string) end as CUSTOMER_ID",
-            "cast(o_orderdate as string) as ORDER_DATE",
+            "case when o_orderkey % 101 = 0 then null when o_orderkey % 103 = 0 then 9000000 + o_custkey "
+            "else o_custkey end as CUSTOMER_ID",
+            "o_orderdate as ORDER_DATE",
             "case when o_orderkey % 11 = 0 then 'Cancelled' when o_orderkey % 13 = 0 then 'Returned' "
             "when o_orderstatus = 'F' then ' Delivered' when o_orderstatus = 'O' then 'Booked' else 'Processing ' end "
             "as ORDER_STATUS",
-            f"cast({sub} as string) as SUBTOTAL_AMOUNT",
-            f"cast({disc} as string) as DISCOUNT_AMOUNT",
-            f"cast({tax} as string) as TAX_AMOUNT",
-            "cast(null as string) as SHIPPING_AMOUNT",
-            f"case when o_orderkey % 107 = 0 then '-1' else cast({sub} - {disc} + {tax} as string) end as TOTAL_AMOUNT",
-            "cast(o_custkey as string) as SHIPPING_ADDRESS_ID",
-            "case when o_orderstatus = 'F' and o_orderkey % 17 <> 0 then cast(o_orderdate as string) end as DELIVERED_DATE",
+            f"{sub} as SUBTOTAL_AMOUNT",
+            f"{disc} as DISCOUNT_AMOUNT",
+            f"{tax} as TAX_AMOUNT",
+            "cast(null as decimal(15,2)) as SHIPPING_AMOUNT",
+            f"case when o_orderkey % 107 = 0 then cast(-1 as decimal(15,2)) "
+            f"else cast({sub} - {disc} + {tax} as decimal(15,2)) end as TOTAL_AMOUNT",
+            "o_custkey as SHIPPING_ADDRESS_ID",
+            "case when o_orderstatus = 'F' and o_orderkey % 17 <> 0 then o_orderdate end as DELIVERED_DATE",
             "o_orderpriority as ORDER_SOURCE",
-            "cast(o_orderdate as string) as LAST_UPDATE_DATE",
+            "o_orderdate as LAST_UPDATE_DATE",
             "'I' as _cdc_operation",
         )
 
     def oe_order_lines_all(self) -> DataFrame:
         cents = "cast(round(l_extendedprice * 100) as bigint)"
         qty = "cast(l_quantity as bigint)"
-        price = f"cast((2 * {cents} + {qty}) div (2 * {qty}) as decimal(17,0)) / 100"
         sign = "case when l_suppkey % 51 = 0 then -1 else 1 end"
         return self.table("lineitem").selectExpr(
-            "cast(l_orderkey * 10 + l_linenumber as string) as LINE_ID",
-            "cast(l_orderkey as string) as ORDER_ID",
-            "cast(l_partkey as string) as PRODUCT_ID",
-            "case when l_suppkey % 50 = 0 then '0' else cast(cast(l_quantity as int) as string) end as QUANTITY",
-            f"cast(cast({sign} * {price} as decimal(15,2)) as string) as UNIT_PRICE",
-            f"cast(cast({sign} * cast({cents} as decimal(17,0)) / 100 as decimal(15,2)) as string) as LINE_TOTAL",
-            "cast(l_shipdate as string) as LAST_UPDATE_DATE",
+            "l_orderkey * 10 + l_linenumber as LINE_ID",
+            "l_orderkey as ORDER_ID",
+            "l_partkey as PRODUCT_ID",
+            "case when l_suppkey % 50 = 0 then 0 else cast(l_quantity as int) end as QUANTITY",
+            f"cast(cast({sign} * ((2 * {cents} + {qty}) div (2 * {qty})) as decimal(17,0)) / 100 as decimal(15,2)) "
+            "as UNIT_PRICE",
+            f"cast(cast({sign} * {cents} as decimal(17,0)) / 100 as decimal(15,2)) as LINE_TOTAL",
+            "l_shipdate as LAST_UPDATE_DATE",
             "l_shipdate as _ingest_timestamp",
             "'I' as _cdc_operation",
             "l_partkey as _PARTKEY", "l_suppkey as _SUPPKEY", "l_extendedprice as _PRICE", "l_quantity as _QTY",
