@@ -142,26 +142,24 @@ def clv(metrics: DataFrame, cac: DataFrame, customers: DataFrame) -> DataFrame:
     wide = customers.select("customer_id").join(metrics, "customer_id", "left").join(cac, "customer_id", "left")
     has_orders = F.coalesce(F.col("total_orders"), F.lit(0)) >= 1
     # double from here on: the product of three ratios has no natural decimal scale
+    revenue, orders = F.col("lifetime_revenue").cast("double"), F.col("total_orders").cast("double")
     months = F.col("customer_lifespan_days").cast("double") / F.lit(30.0).cast("double")
-    gross = (
-        F.col("average_order_value").cast("double")
-        * F.coalesce(F.col("purchase_frequency"), F.lit(0)).cast("double")
-        * months
-    )
+    frequency = F.coalesce(F.col("purchase_frequency"), F.lit(0)).cast("double")
+    gross = F.try_divide(revenue, orders) * frequency * months
     cost = F.coalesce(F.col("customer_acquisition_cost"), F.lit(0)).cast("double")
     return wide.select(
         "customer_id",
         F.when(has_orders, F.lit("Existing")).otherwise(F.lit("New")).alias("segment"),
         F.coalesce("total_orders", F.lit(0)).alias("total_orders"),
         F.when(has_orders, gross - cost).alias("customer_lifetime_value"),
-        F.when(has_orders, F.col("lifetime_revenue").cast("double") - cost).alias("net_lifetime_value"),
+        F.when(has_orders, revenue - cost).alias("net_lifetime_value"),
     )
 
 
 def customer_cac(attribution: DataFrame, dim_campaign: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Acquisition cost of each customer: that of the campaign that brought them, 0 without one."""
     cost = campaigns.groupBy("campaign_id").agg(
-        safe_div(F.max("total_spend"), F.max("customers_acquired")).alias("_cac")
+        safe_div(F.max("total_spend").cast("double"), F.max("customers_acquired")).alias("_cac")
     )
     per_key = dim_campaign.select("dim_campaign_key", "campaign_id", "channel").join(cost, "campaign_id", "left")
     per_key = per_key.select(

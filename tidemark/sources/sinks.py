@@ -19,6 +19,14 @@ def clustered(df: DataFrame, cols: Sequence[str], files: int | None = None) -> D
     return ranged.sortWithinPartitions(*cols)
 
 
+def rebalanced(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Group rows by partition value before a partitioned write, so that a task opens few folders.
+
+    AQE merges small and splits large partitions from measured sizes: a hot value becomes several files.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in cols])
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -39,7 +47,7 @@ def write_table(
 
 def overwrite_partitions(df: DataFrame, path: str, cols: Sequence[str], cluster_by: Sequence[str] = ()) -> None:
     """Replace only the partitions present in ``df``; a re-run gives the same table."""
-    out = clustered(df, [*cols, *cluster_by]) if cluster_by else df
+    out = clustered(df, [*cols, *cluster_by]) if cluster_by else rebalanced(df, cols)
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

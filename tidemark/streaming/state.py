@@ -13,7 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.sinks import append_table
+from tidemark.sources.sinks import append_table, rebalanced
 
 # Fixed value: folder name of a null partition value.
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
@@ -55,7 +55,7 @@ class PartitionedState:
     def write(self, rows: DataFrame, touched: Iterable[str], batch_id: int) -> None:
         """Replace the touched partitions and commit. A partition that lost all its rows stays as an empty file."""
         folder = f"{self.path}/data/v={batch_id}"
-        rows.write.mode("overwrite").partitionBy(self.partition).parquet(folder)
+        rebalanced(rows, [self.partition]).write.mode("overwrite").partitionBy(self.partition).parquet(folder)
         touched = list(touched)
         empty = rows.limit(0).drop(self.partition)
         present = self._present(folder)

@@ -191,8 +191,9 @@ _CLV_VALUE = """
     SELECT c.customer_id, CASE WHEN m.total_orders >= 1 THEN 'Existing' ELSE 'New' END AS segment,
            coalesce(m.total_orders, 0) AS total_orders,
            round(CASE WHEN m.total_orders >= 1 THEN m.lifetime_revenue / m.total_orders
-             * coalesce(m.total_orders / nullif(date_diff('day', m.first_order_date, m.last_order_date) / 30.0, 0), 0)
-             * (m.customer_lifespan_days / 30.0) - coalesce(x.cac, 0) END, 2) AS customer_lifetime_value,
+             * coalesce(CAST(m.total_orders * 30 AS DOUBLE)
+                        / nullif(date_diff('day', m.first_order_date, m.last_order_date), 0), 0)
+             * (CAST(m.customer_lifespan_days AS DOUBLE) / 30) - coalesce(x.cac, 0) END, 2) AS customer_lifetime_value,
            round(CASE WHEN m.total_orders >= 1 THEN m.lifetime_revenue - coalesce(x.cac, 0) END, 2) AS net_lifetime_value
     FROM customers c LEFT JOIN clv_by_customer m USING (customer_id)
     LEFT JOIN (SELECT a.customer_id, CASE WHEN k.channel = 'ORGANIC' THEN 0
