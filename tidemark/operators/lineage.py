@@ -20,7 +20,7 @@ def dependency_levels(nodes: DataFrame, edges: DataFrame, node: str = "node", pa
     Each round is written to the shared folder, which keeps the lineage flat and survives executor loss. Only
     edges whose ends are both nodes count. A round that places nothing while edges remain is a cycle.
     """
-    ids = nodes.select(F.col(node).alias("n")).distinct()
+    ids = durable(nodes.select(F.col(node).alias("n")).distinct(), "nodes")
     left = edges.select(F.col(node).alias("n"), F.col(parent).alias("p")).distinct()
     left = left.join(ids, "n", "left_semi").join(ids.withColumnRenamed("n", "p"), "p", "left_semi").select("n", "p")
     left = durable(left, "edges")
@@ -41,7 +41,9 @@ def dependency_levels(nodes: DataFrame, edges: DataFrame, node: str = "node", pa
     out = levels[0]
     for part in levels[1:]:
         out = out.unionByName(part)
-    return nodes.join(out.withColumnRenamed("n", node), node)
+    out = out.withColumnRenamed("n", node)
+    # further node attributes come back in one join
+    return out if nodes.columns == [node] else nodes.join(out, node)
 
 
 def load_order(tables: DataFrame, edges: DataFrame) -> DataFrame:
