@@ -1,0 +1,197 @@
+"""Secret scan: stated patterns, and a guess-cost dynamic program over values in credential contexts.
+
+The cost of a value is the least log10 of guesses over all its segmentations into dictionary words, dates, repeats,
+keyboard or alphabet walks and brute-force spans. A value that stands after a credential word and costs at least
+``min_log10`` guesses is a secret of kind ``guess``; values like ``password123`` are not.
+
+Defined results: null text counts as empty; repeated rows are scanned each; an empty table gives no row; other columns
+of the input are ignored. Values of any length are priced in one pass that is linear in the length.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+from collections.abc import Iterable, Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# The three stated patterns. Short matches are dropped after matching, never retried.
+ASSIGN = re.compile(
+    r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
+)
+ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
+HEX = re.compile(r"[0-9a-f]{16,}")
+KINDS = ("assign", "access", "hex", "guess")
+# A credential word, an optional connector, and a value without blanks or quotes.
+CONTEXT = re.compile(
+    r"""\b(?:password|passwd|passphrase|passcode|pwd|secret|token|api[_-]?key|credentials?|bearer|auth)\b["']?"""
+    r"""(?:\x20{0,4}(?:[:=]|=>|->|is|was)\x20{0,4}|\x20)["'`]?([^\s"'`<>,;]{8,})""",
+    re.IGNORECASE | re.ASCII,
+)
+# Frequent passwords and password parts, most frequent first; the place is the number of guesses.
+WORDS = (
+    "password pass admin welcome letmein login master secret dragon monkey shadow sunshine princess football baseball "
+    "superman batman iloveyou love hello freedom whatever michael jordan hunter killer soccer summer winter spring "
+    "autumn computer internet test guest root user changeme default temp demo example sample token key api auth access "
+    "database server system network office company money secure security private public github google amazon azure "
+    "cloud docker production staging service account client none null true false undefined placeholder your here xxx"
+).split()
+RANK = {word: place for place, word in enumerate(WORDS, 1)}
+LONGEST = max(map(len, WORDS))
+LEET = str.maketrans("@4301$5!7", "aaeoissit")
+ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
+NEXT = {pair for row in ROWS for pair in zip(row, row[1:])}
+NEXT |= {(b, a) for a, b in NEXT}
+DATE = re.compile(r"(?:19|20)\d\d(?:[-/._]?(?:0[1-9]|1[0-2])(?:[-/._]?(?:0[1-9]|[12]\d|3[01]))?)?|"
+                  r"(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d")
+UNIT = 8  # longest repeated unit; a longer unit costs more than any threshold on its own, or is priced by its parts
+PART = math.log10(4)  # what one more segment costs: the guesser doesn't know where segments end
+
+
+def _segments(value: str) -> Iterator[tuple[int, int, float]]:
+    """(start, stop, log10 of guesses) of every pattern in ``value``, without brute force."""
+    low = value.lower()
+    plain = low.translate(LEET)
+    n = len(value)
+    for i in range(n):
+        for j in range(i + 3, min(n, i + LONGEST) + 1):
+            place = RANK.get(low[i:j]) or RANK.get(plain[i:j])
+            if place:
+                changed = (low[i:j] not in RANK) + any(map(str.isupper, value[i:j]))
+                yield i, j, math.log10(place) + changed * math.log10(4)
+    for m in DATE.finditer(value):
+        yield m.start(), m.end(), math.log10(365 * 120 if m.end() - m.start() > 6 else 12 * 120)
+    start = 0
+    for i in range(1, n + 1):  # walks: neighbours on a keyboard row, or in the alphabet or digits
+        linked = i < n and ((low[i - 1], low[i]) in NEXT or low[i].isalnum() and abs(ord(low[i]) - ord(low[i - 1])) == 1)
+        if not linked:
+            if i - start >= 3:
+                yield start, i, math.log10(40) + 2 * math.log10(i - start)
+            start = i
+    for unit in range(1, min(UNIT, n // 2) + 1):
+        start = 0
+        for i in range(unit, n + 1):
+            if i == n or value[i] != value[i - unit]:
+                if i - start >= max(3, 2 * unit):
+                    yield start, i, unit * _per_char(value[start : start + unit]) + math.log10((i - start) / unit)
+                start = i - unit + 1
+
+
+def _per_char(part: str) -> float:
+    if part.isdigit():
+        return 1.0
+    if all(c in "0123456789abcdef" for c in part) or all(c in "0123456789ABCDEF" for c in part):
+        return math.log10(16)
+    size = 26 * (any(map(str.islower, part)) + any(map(str.isupper, part)))
+    size += 10 * any(map(str.isdigit, part)) + 20 * (not part.isalnum())
+    return math.log10(max(size, 10))
+
+
+def guess_cost(value: str) -> float:
+    """Least log10 of guesses over all segmentations of ``value``."""
+    ends: dict[int, list[tuple[int, float]]] = {}
+    for start, stop, cost in _segments(value):
+        ends.setdefault(stop, []).append((start, cost))
+    char = _per_char(value)
+    best, brute = 0.0, math.inf  # cheapest price of the prefix; of those, ending in a brute-force span
+    prices = [0.0]
+    for stop in range(1, len(value) + 1):
+        brute = min(brute, best + PART) + char
+        best = min([brute, *(prices[start] + PART + cost for start, cost in ends.get(stop, ()))])
+        prices.append(best)
+    return best
+
+
+def find_secrets(text: str, min_log10: float = 10.0) -> list[tuple[int, int, int, float]]:
+    """(start, kind number, stop, log10 of guesses) in order. Costs are those of the value, not of the whole span."""
+    found, values = [], set()
+    for m in ASSIGN.finditer(text):
+        if len(m[2]) >= 12:
+            found.append((m.start(), 0, m.end(), guess_cost(m[2])))
+            values.add(m.start(2))
+    found += ((m.start(), 1, m.end(), guess_cost(m[0])) for m in ACCESS.finditer(text))
+    found += ((m.start(), 2, m.end(), guess_cost(m[0])) for m in HEX.finditer(text))
+    for m in CONTEXT.finditer(text):
+        value = m[1].rstrip(".!?:)]}")
+        if m.start(1) not in values and len(value) >= 8 and (mixed(value)):
+            cost = guess_cost(value)
+            if cost >= min_log10:
+                found.append((m.start(1), 3, m.start(1) + len(value), cost))
+    return sorted(found)
+
+
+def mixed(value: str) -> bool:
+    """Prose is letters only, with at most punctuation; a generated value holds a digit or an inner capital."""
+    return any(c.isdigit() for c in value) or any(c.isupper() for c in value[1:]) and any(c.islower() for c in value)
+
+
+def _text(spans: Iterable[tuple]) -> str:
+    return ",".join(f"{KINDS[kind]}:{start}:{stop}" for start, kind, stop, *_ in spans)
+
+
+def scan_secrets(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_log10: float = 10.0
+) -> DataFrame:
+    """One row per document: ``spans`` array of (start, kind, stop, log10 of guesses) over the whole text."""
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+
+    def scan(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            spans = [
+                [{"start": s, "kind": KINDS[k], "stop": e, "log10_guesses": c} for s, k, e, c in find_secrets(t or "", min_log10)]
+                for t in batch["text"]
+            ]
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "spans": spans})
+
+    kind = "array<struct<start:long,kind:string,stop:long,log10_guesses:double>>"
+    return narrow.mapInPandas(scan, f"doc_id long, spans {kind}")
+
+
+def secret_digest(spans: DataFrame) -> DataFrame:
+    """Counts of the base kinds, a digest of their spans, and all spans as text."""
+
+    def text(col):
+        return F.array_join(F.transform(col, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = ((F.size("spans") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in KINDS)
+    return spans.select(
+        "doc_id",
+        *counts,
+        F.sha2(text(F.filter("spans", lambda s: s["kind"] != KINDS[3])), 256).alias("base_sha256"),
+        text(F.col("spans")).alias("spans"),
+        F.round(F.array_max(F.transform("spans", lambda s: s["log10_guesses"])), 6).alias("max_log10_guesses"),
+    )
+
+
+def redact_secrets(docs: DataFrame, text_col: str = "text", min_log10: float = 10.0, mask: str = "<SECRET>") -> DataFrame:
+    """``docs`` with every found span replaced, all other columns and rows as they are; null text stays null.
+
+    Overlapping spans are replaced as one. ``n_chars`` is counted anew where the input has it.
+    """
+
+    def clean(text: str | None) -> str | None:
+        if text is None:
+            return None
+        parts, at = [], 0
+        for start, _, stop, _ in find_secrets(text, min_log10):
+            if start >= at:
+                parts += (text[at:start], mask)
+            at = max(at, stop)
+        return "".join((*parts, text[at:])) if parts else text
+
+    @F.pandas_udf("string")
+    def cleaned(texts: pd.Series) -> pd.Series:
+        return texts.map(clean, na_action="ignore")
+
+    out = docs.withColumn(text_col, cleaned(F.col(text_col)))
+    return out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+
+
+def digest_of(text: str) -> str:
+    """What ``secret_digest`` gives for one text; for tests."""
+    return hashlib.sha256(_text(s for s in find_secrets(text) if s[1] < 3).encode()).hexdigest()
