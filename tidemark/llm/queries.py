@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import language, licenses, pii, secrets, urls
+from tidemark.llm import jaccard, language, licenses, pii, secrets, urls
 from tidemark.session import tune
 
 QUERIES: list[tuple] = []
@@ -56,3 +56,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return urls.filter_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op8_jaccard_join")
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
