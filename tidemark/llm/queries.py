@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import jaccard, language, licenses, pii, secrets, urls
+from tidemark.llm import decontam, jaccard, language, licenses, packing, pii, secret_scan, urls
 from tidemark.session import tune
 
 QUERIES: list[tuple] = []
 
+# The same vocabulary and ids as byte_bpe_50k.json (a test compares them), in the form that is encoded faster.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
 # The rules of the URL query.
 URL_RULES = (
     ("com", "/", "allow"),
@@ -33,7 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query("op1_secret_scan")
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.secret_digest(secrets.scan_secrets(table(spark, sf_dir, "documents")))
+    return secret_scan.secret_digest(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
 
 
 @query("op2_license_scan")
@@ -61,3 +65,16 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_jaccard_join")
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op5_decontaminate")
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op7_best_fit_packing")
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), VOCABULARY)
+    return packing.pack(pieces).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
