@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontam, jaccard, language, licenses, packing, pii, secret_scan, urls
+from tidemark.llm import ann, decontam, jaccard, language, licenses, packing, pii, secret_scan, urls, warc
 from tidemark.session import tune
 
 QUERIES: list[tuple] = []
@@ -31,7 +31,13 @@ def query(name: str, statement: str | None = None):
     return register
 
 
+# Texts reach Python in batches of bounded size.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -67,11 +73,23 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+@query("op4_warc_chain")
+def op4_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
 @query("op5_decontaminate")
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op6_learned_partitions")
+def op6_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
 @query("op7_best_fit_packing")
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(table(spark, sf_dir, "documents"), VOCABULARY)
