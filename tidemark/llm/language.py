@@ -178,3 +178,20 @@ def identify(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(rest == 2, F.lit(False)).alias("held_out"), "text"
     )
     return predict(rows, filters, ["doc_id", "held_out"])
+
+
+def keep_identified(docs: DataFrame, min_score: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text has a language: not ``und``, and a score of at least ``min_score``.
+
+    All columns stay as they are, and the label plays no part in the decision. Filters are learned as in ``identify``.
+    """
+    rest = F.crc32(F.col(id_col).cast("string")) % 4
+    train = docs.filter((rest != 2) & F.col("lang").isNotNull())
+    sent = docs.sparkSession.sparkContext.broadcast(learn(train.select(F.col(text_col).alias("text"), "lang")))
+
+    @F.pandas_udf("boolean")
+    def found(texts: pd.Series) -> pd.Series:
+        names, scores = judge([t or "" for t in texts], sent.value)
+        return pd.Series([n != "und" for n in names]) & (scores >= min_score)
+
+    return docs.filter(found(F.col(text_col)))

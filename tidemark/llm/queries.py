@@ -35,10 +35,14 @@ def query(name: str, statement: str | None = None):
 BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def settings(spark: SparkSession) -> SparkSession:
     for key, value in BATCHES.items():
         spark.conf.set(key, value)
-    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return tune(spark)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return settings(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 @query("op1_secret_scan")
