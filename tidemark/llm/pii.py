@@ -91,15 +91,25 @@ KINDS = (
     ),
 )
 BOOST, NEAR, THRESHOLD = 0.3, 50, 0.5
+BLOCK = 256
 _SPAN = "struct<start:int,kind:int,stop:int,score:double>"
 
 
-def _found(text: Column, number: int, kind: Kind) -> Column:
-    """The valid spans of one kind, each with its score."""
+def _width(pair: Column) -> Column:
+    return F.length(pair["gap"]) + F.coalesce(F.length(pair["hit"]), F.lit(0))
+
+
+def _with_spans(df: DataFrame, number: int, kind: Kind) -> DataFrame:
+    """``df`` and a column of the valid spans of one kind, each with its score.
+
+    Matches are worked on in blocks of ``BLOCK``, so that a text with very many of them takes linear time.
+    """
+    text = F.col("text")
     none = F.array().cast(f"array<{_SPAN}>")
     pairs = F.arrays_zip(
         F.split(text, kind.pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(kind.pattern), 0).alias("hit")
     )
+    last = F.floor((F.size("_pairs") - 1) / BLOCK).cast("int")
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["pos"] + F.length(x["gap"])
@@ -116,14 +126,25 @@ def _found(text: Column, number: int, kind: Kind) -> Column:
             stop.alias("pos"), F.when(valid, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out")
         )
 
-    start = F.struct(F.lit(0).alias("pos"), none.alias("out"))
-    return F.when(kind.gate(text), F.aggregate(pairs, start, step, lambda acc: acc["out"])).otherwise(none)
+    def spans(block: Column, i: Column) -> Column:
+        base = F.aggregate(F.slice("_sizes", F.lit(1), i), F.lit(0), lambda a, n: a + n)
+        return F.aggregate(block, F.struct(base.alias("pos"), none.alias("out")), step, lambda acc: acc["out"])
+
+    blocks = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice("_pairs", b * BLOCK + 1, F.lit(BLOCK)))
+    sizes = F.transform("_blocks", lambda b: F.aggregate(b, F.lit(0), lambda a, x: a + _width(x)))
+    return (
+        df.withColumn("_pairs", F.when(kind.gate(text), pairs))
+        .withColumn("_blocks", blocks)
+        .withColumn("_sizes", sizes)
+        .withColumn(f"_{number}", F.coalesce(F.flatten(F.transform("_blocks", spans)), none))
+        .drop("_pairs", "_blocks", "_sizes")
+    )
 
 
 def pii_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``spans`` array of (start, kind number, stop, score), by start and kind."""
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    found = reduce(lambda df, x: df.withColumn(f"_{x[0]}", _found(F.col("text"), *x)), enumerate(KINDS), narrow)
+    found = reduce(lambda df, x: _with_spans(df, *x), enumerate(KINDS), narrow)
     return found.select("doc_id", F.array_sort(F.concat(*(f"_{i}" for i in range(len(KINDS))))).alias("spans"))
 
 
