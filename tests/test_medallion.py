@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import facts
 from tidemark.plans.entities import ENTITIES
-from tidemark.plans.medallion import run_medallion
-from tidemark.sources.fixtures import CALENDAR, Raw
+from tidemark.operators.quality import QualityError
+from tidemark.plans.medallion import LOGGED, run_medallion
+from tidemark.sources.fixtures import Raw
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,7 +20,7 @@ def test_two_runs(spark, tmp_path):
     raw = Raw(spark, SF)
     path = str(tmp_path)
     bronze = {n: getattr(raw, n)() for n in ENTITIES}
-    first = run_medallion(spark, bronze, path, 0, now=datetime(2024, 1, 1), calendar=CALENDAR)
+    first = run_medallion(spark, bronze, path, 0, now=datetime(2024, 1, 1), error_limit=0.6)
     assert first["reconciliation"].first().matched
     assert {r.rule_id for r in first["ri_warnings"].collect()} == {"DQ-RI-001", "DQ-RI-002", "DQ-RI-003"}
     assert first["fact_sales"].count() > 0
@@ -35,7 +36,7 @@ def test_two_runs(spark, tmp_path):
         "oe_order_headers_all": moved.unionByName(gone),
         "oe_order_lines_all": bronze["oe_order_lines_all"].limit(0),
     }
-    second = run_medallion(spark, batch, path, 1, first, now=datetime(2024, 1, 2), calendar=CALENDAR)
+    second = run_medallion(spark, batch, path, 1, first, now=datetime(2024, 1, 2), error_limit=0.6)
 
     dim = second["dim_customer"]
     assert dim.filter("_is_current").groupBy("customer_id").count().filter("count > 1").count() == 0
@@ -55,6 +56,24 @@ def test_two_runs(spark, tmp_path):
     have = second["fact_sales"].join(touched.select("order_id"), "order_id", "left_semi").select(*want.columns)
     assert sorted(map(tuple, have.collect())) == sorted(map(tuple, want.collect()))
     assert second["fact_sales"].groupBy("line_id").count().filter("count > 1").count() == 0
-    assert second["fact_sales"].count() == first["fact_sales"].count()
+    # facts of deleted orders are gone: the fact equals a rebuild of all orders, not only of the touched ones
+    live = second["oe_order_headers_all"].filter("not _is_deleted")
+    rebuilt = facts.build_fact_sales(second["oe_order_lines_all"], live, second, second["customer_registration_source"])
+    assert sorted(r.line_id for r in second["fact_sales"].collect()) == sorted(r.line_id for r in rebuilt.collect())
+    assert second["fact_sales"].count() < first["fact_sales"].count()
+    total = second["fact_sales"].agg(F.sum("line_total")).first()[0]
+    assert rebuilt.agg(F.sum("line_total")).first()[0] == total
+    assert second["reconciliation"].first().matched
     log = spark.read.parquet(f"{path}/run_log")
     assert log.filter("pipeline_run_id = 'run-1'").count() == len(second)
+    ids = {r.table_id: r.records_loaded for r in log.filter("pipeline_run_id = 'run-1'").collect()}
+    assert ids[LOGGED.index("fact_sales")] == second["fact_sales"].count()
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
+def test_breaker_stops_the_run_and_is_logged(spark, tmp_path):
+    surveys = Raw(spark, SF).surveys().withColumn("CSAT_SCORE", F.lit("99"))
+    with pytest.raises(QualityError):
+        run_medallion(spark, {"surveys": surveys}, str(tmp_path), 0, now=datetime(2024, 1, 1))
+    row = spark.read.parquet(f"{tmp_path}/run_log").first()
+    assert row.status == "FAILED" and row.table_id == LOGGED.index("surveys") and row.error_message

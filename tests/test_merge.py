@@ -14,25 +14,20 @@ FEED = "SYS_CHANGE_OPERATION string, SYS_CHANGE_VERSION int, CUSTOMER_ID int, _c
 
 @pytest.fixture(scope="module")
 def target(spark):
-    return spark.createDataFrame(
-        [(i, n, "ACTIVE", "init", "CRM", "I", "2023-01-01") for i, n in ((1, "Alice"), (2, "Bob"), (3, "Charlie"))],
-        TARGET,
-    )
+    names = {10: "Nora", 20: "Ivo", 30: "Lena"}
+    return spark.createDataFrame([(i, n, "OPEN", "load-0", "SHOP", "I", "2021-06-30") for i, n in names.items()], TARGET)
 
 
 @pytest.fixture(scope="module")
 def feed(spark):
-    df = spark.createDataFrame(
-        [
-            ("U", 101, 1, 105, "Alice Updated", "ACTIVE"),
-            ("D", 102, 2, 105, None, None),
-            ("I", 103, 4, 105, "David", "ACTIVE"),
-            ("I", 104, 5, 105, "Eve", "ACTIVE"),
-            ("U", 105, 5, 105, "Eve", "INACTIVE"),
-        ],
-        FEED,
-    )
-    return add_ingest_metadata(df, "run1", "crm")
+    changes = [
+        ("I", 9, 50, 12, "Rui", "OPEN"),
+        ("I", 8, 40, 12, "Omar", "OPEN"),
+        ("D", 11, 20, 12, None, None),
+        ("U", 12, 50, 12, "Rui", "CLOSED"),
+        ("U", 10, 10, 12, "Nora Lind", "OPEN"),
+    ]
+    return add_ingest_metadata(spark.createDataFrame(changes, FEED), "load-1", "shop")
 
 
 def state(df, *cols):
@@ -42,14 +37,14 @@ def state(df, *cols):
 def test_cdc_hard_delete(target, feed):
     out = apply_cdc(target, feed, ["CUSTOMER_ID"])
     assert state(out, "CUSTOMER_ID", "NAME", "STATUS", "_cdc_operation") == [
-        (1, "Alice Updated", "ACTIVE", "U"),
-        (3, "Charlie", "ACTIVE", "I"),
-        (4, "David", "ACTIVE", "I"),
-        (5, "Eve", "INACTIVE", "U"),
+        (10, "Nora Lind", "OPEN", "U"),
+        (30, "Lena", "OPEN", "I"),
+        (40, "Omar", "OPEN", "I"),
+        (50, "Rui", "CLOSED", "U"),
     ]
     by_id = {r.CUSTOMER_ID: r for r in out.collect()}
-    assert by_id[1].ingest_date == "2023-01-01"  # not overwritten by an update
-    assert by_id[5]._cdc_version == 105 and by_id[3]._cdc_version is None
+    assert by_id[10].ingest_date == "2021-06-30"  # not overwritten by an update
+    assert by_id[50]._cdc_version == 12 and by_id[30]._cdc_version is None
     assert "SYS_CHANGE_VERSION" not in out.columns
 
 
@@ -62,22 +57,22 @@ def test_cdc_is_idempotent_and_ignores_late_changes(spark, target, feed):
         map(tuple, twice.select(*cols).collect()), key=key
     )
     late = add_ingest_metadata(
-        spark.createDataFrame([("U", 50, 5, 60, "Old", "OLD")], FEED), "run0", "crm"
+        spark.createDataFrame([("U", 7, 50, 7, "Before", "NEW")], FEED), "run0", "crm"
     )
     after = apply_cdc(once, late, ["CUSTOMER_ID"])
-    assert [r.STATUS for r in after.filter("CUSTOMER_ID = 5").collect()] == ["INACTIVE"]
+    assert [r.STATUS for r in after.filter("CUSTOMER_ID = 50").collect()] == ["CLOSED"]
 
 
 def test_cdc_soft_delete(target, feed):
     out = apply_cdc(target, feed, ["CUSTOMER_ID"], delete="soft")
     assert state(out, "CUSTOMER_ID", "_is_deleted") == [
-        (1, False), (2, True), (3, False), (4, False), (5, False)
+        (10, False), (20, True), (30, False), (40, False), (50, False)
     ]
-    assert out.filter("CUSTOMER_ID = 2").first().NAME == "Bob"
+    assert out.filter("CUSTOMER_ID = 20").first().NAME == "Ivo"
 
 
 def test_soft_delete_ignores_unmatched_delete(spark, target):
-    f = add_ingest_metadata(spark.createDataFrame([("D", 9, 77, 9, None, None)], FEED), "r", "crm")
+    f = add_ingest_metadata(spark.createDataFrame([("D", 13, 99, 13, None, None)], FEED), "r", "crm")
     assert apply_cdc(target, f, ["CUSTOMER_ID"], delete="soft").count() == 3
 
 
@@ -110,14 +105,21 @@ def test_merge_rejects_two_source_rows_for_one_key(spark):
 
 
 def test_scd1(spark):
-    t = spark.createDataFrame([(1, "Alice", 100), (2, "Bob", 200)], "k int, n string, amount int")
-    s = spark.createDataFrame([(1, "Alice", 150), (3, "Charlie", 300)], "k int, n string, amount int")
+    t = spark.createDataFrame([(7, "desk", 12), (8, "lamp", 4)], "k int, n string, amount int")
+    s = spark.createDataFrame([(8, "lamp", 5), (9, "shelf", 1)], "k int, n string, amount int")
     once = scd1(t, s, ["k"])
-    want = [(1, "Alice", 150), (2, "Bob", 200), (3, "Charlie", 300)]
+    want = [(7, "desk", 12), (8, "lamp", 5), (9, "shelf", 1)]
     assert state(once, "k", "n", "amount") == want
     assert state(scd1(once, s, ["k"]), "k", "n", "amount") == want
 
 
+def test_scd1_and_fact_merge_keep_columns_the_batch_lacks(spark):
+    t = spark.createDataFrame([(1, "a", 1, 5), (2, "b", 1, 6)], "k int, n string, m int, x int")
+    s = spark.createDataFrame([(1, "A", 1), (3, "C", 1)], "k int, n string, m int")
+    assert state(scd1(t, s, ["k"]).fillna(-1), "k", "n", "x") == [(1, "A", 5), (2, "b", 6), (3, "C", -1)]
+    assert state(merge_fact(t, s, "k", "m").fillna(-1), "k", "n", "x") == [(1, "A", 5), (2, "b", 6), (3, "C", -1)]
+
+
 def test_keep_latest_order_fallbacks(spark):
     df = spark.createDataFrame([(1, 5, "x"), (1, 6, "y"), (2, None, "z")], "k int, _cdc_version int, v string")
     assert state(keep_latest(df, ["k"]), "k", "v") == [(1, "y"), (2, "z")]
@@ -150,3 +152,16 @@ def test_merge_fact_rewrites_only_touched_partitions(spark):
     ]
     gone = emptied_partitions(t, out, s, "line_id", "m")
     assert [r.m for r in gone.collect()] == [202301]
+
+
+def test_merge_fact_null_partition_deletes_and_repeated_keys(spark):
+    cols = "line_id int, m int, v int"
+    t = spark.createDataFrame([(1, None, 1), (2, None, 2), (3, 5, 3), (4, 5, 4), (5, 6, 5)], cols)
+    s = spark.createDataFrame([(1, 7, 10)], cols)
+    want = [(1, 7, 10), (2, None, 2)]
+    assert sorted(map(tuple, merge_fact(t, s, "line_id", "m").collect())) == want
+    assert sorted(map(tuple, merge_fact(t, s, "line_id", "m", touched=[None, 7]).collect())) == want
+    gone = spark.createDataFrame([(4,), (99,)], "line_id int")
+    assert sorted(map(tuple, merge_fact(t, s, "line_id", "m", deleted=gone).collect())) == [*want, (3, 5, 3)]
+    with pytest.raises(Exception, match="several source rows"):
+        merge_fact(t, s.union(s), "line_id", "m").collect()

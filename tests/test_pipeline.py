@@ -138,7 +138,10 @@ def test_masks_policy_and_row_filter(spark):
         ("j***@x.com", "***-***-4567", "[REDACTED]"), ("[REDACTED]", "***-***-12", None), (None, None, "[REDACTED]")
     ]
     assert apply_policy(df, "customers", ["pii_readers"]) is df
-    assert apply_policy(df, "customers", []).first().first_name == "[REDACTED]"
+    with pytest.raises(ValueError, match="last_name"):  # a masked column is absent: it may have another name
+        apply_policy(df, "customers", [])
+    upper = df.withColumn("last_name", F.lit("Doe")).toDF("EMAIL", "Phone", "FIRST_NAME", "LAST_NAME")
+    assert tuple(apply_policy(upper, "CUSTOMERS", []).first()) == ("j***@x.com", "***-***-4567", "[REDACTED]", "[REDACTED]")
     regions = spark.createDataFrame([("NA",), ("EMEA",), ("APAC",)], "region string")
     assert [r.region for r in row_filter(regions, "region", ["analysts_na"]).collect()] == ["NA"]
     assert row_filter(regions, "region", []).count() == 0

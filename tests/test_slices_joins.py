@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import slices
-from tidemark.operators.joins import asof_join, bounded_broadcast, hot_keys, orphans, salted_lookup, with_parent
+from tidemark.operators.joins import asof_join, hot_keys, orphans, salted_lookup, with_parent
 
 T0 = datetime(2023, 1, 1)
 
@@ -105,12 +105,9 @@ def test_salted_lookup_equals_plain_join(spark):
             assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
 
 
-def test_hot_keys_and_bounded_broadcast(spark):
+def test_hot_keys(spark):
     df = spark.createDataFrame([(1,)] * 60 + [(i,) for i in range(2, 42)], "k int")
     assert hot_keys(df, "k", 0.1) == [1]
-    assert "broadcast" in bounded_broadcast(df, 1000)._jdf.queryExecution().logical().toString().lower() \
-        or "ResolvedHint" in bounded_broadcast(df, 1000)._jdf.queryExecution().toString()
-    assert bounded_broadcast(df, 10) is df
 
 
 def test_orphans_and_parents(spark):

@@ -56,14 +56,19 @@ CLASSIFICATION = (
 
 
 def apply_policy(df: DataFrame, table: str, groups: Collection[str], policy=CLASSIFICATION) -> DataFrame:
-    """Mask the classified columns of a table unless one of the caller's groups reads raw values."""
+    """Mask the classified columns of a table unless one of the caller's groups reads raw values.
+
+    Table and column names match in any case. A classified table without one of its masked columns fails: the column may
+    have been renamed and would be shown in clear.
+    """
     if PII_READERS & set(groups):
         return df
-    masked = {
-        c.column: MASKS[c.masking](F.col(c.column))
-        for c in policy
-        if c.table == table and c.masking and c.column in df.columns
-    }
+    names = {c.lower(): c for c in df.columns}
+    wanted = [c for c in policy if c.table.lower() == table.lower() and c.masking]
+    absent = [c.column for c in wanted if c.column.lower() not in names]
+    if absent:
+        raise ValueError(f"{table} has no column {', '.join(absent)} to mask")
+    masked = {names[c.column.lower()]: MASKS[c.masking](F.col(f"`{names[c.column.lower()]}`")) for c in wanted}
     return df.withColumns(masked) if masked else df
 
 

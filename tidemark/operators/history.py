@@ -32,6 +32,11 @@ def initial_versions(source: DataFrame, tracked: Sequence[str], event_time: str)
     )
 
 
+def _after(moment: Column, start: Column) -> Column:
+    """Whether a known moment lies after ``start``; a version without a start began before everything."""
+    return moment.isNotNull() & F.coalesce(moment > start, F.lit(True))
+
+
 def scd2(
     target: DataFrame | None,
     source: DataFrame,
@@ -46,13 +51,15 @@ def scd2(
     * no current row: insert version 1
     * tracked columns equal (null-safe): keep the row
     * tracked columns differ: close the current row at the event time and add the next version
-    * event time not after the current ``_valid_from``: ignored (see :func:`late_changes`)
+    * event time null, or not after the current ``_valid_from``: ignored (see :func:`late_changes`)
+    * a null key: ignored, also on the first load
 
-    ``overwrite`` columns are type 1: the incoming value replaces the old one on every version of the key.
-    Applying the same batch twice gives the same table. Closed history takes part in no join unless there are
-    type 1 columns.
+    ``overwrite`` columns are type 1: the incoming value replaces the old one on every version of the key, unless the
+    event is older than the current version. Applying the same batch twice gives the same table. Closed history takes
+    part in no join unless there are type 1 columns.
     """
     keys = list(keys)
+    source = source.dropna(subset=keys)
     if check_unique:
         source = one_row_per_key(source, keys)
     incoming = initial_versions(source, tracked, event_time)
@@ -61,8 +68,8 @@ def scd2(
 
     columns = target.columns
     types = {f.name: f.dataType for f in target.schema.fields}
-    current = target.filter(F.col("_is_current"))
-    history = target.filter(~F.col("_is_current"))
+    is_current = F.coalesce("_is_current", F.lit(False))
+    current, history = target.filter(is_current), target.filter(~is_current)
 
     t = current.withColumn("_in", F.lit(True)).alias("t")
     s = incoming.withColumn("_in", F.lit(True)).alias("s")
@@ -73,7 +80,9 @@ def scd2(
     same = F.lit(True)
     for c in tracked:
         same = same & F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}"))
-    changed = in_t & in_s & ~same & (F.col("s._valid_from") > F.col("t._valid_from"))
+    newer = _after(F.col("s._valid_from"), F.col("t._valid_from"))
+    changed = in_t & in_s & ~same & newer
+    fresh_values = in_s & (newer | F.coalesce(F.col("s._valid_from") == F.col("t._valid_from"), F.lit(False)))
 
     def pick(name: str, source_value: Column) -> Column:
         return source_value.cast(types[name]).alias(name)
@@ -89,7 +98,7 @@ def scd2(
             elif c == "_is_current":
                 value = ~changed
             elif c in overwrite and c in incoming_names:
-                value = F.when(in_s, F.col(f"s.{c}")).otherwise(value)
+                value = F.when(fresh_values, F.col(f"s.{c}")).otherwise(value)
             fields.append(pick(c, value))
         return F.struct(*fields)
 
@@ -110,7 +119,11 @@ def scd2(
     merged = joined.select(F.explode(rows).alias("r")).select("r.*")
 
     if overwrite:
-        fresh = incoming.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.struct(*overwrite).alias("_new"))
+        since = current.select(*keys, F.col("_valid_from").alias("_since"))
+        fresh = incoming.join(since, keys, "left").filter(
+            _after(F.col("_valid_from"), F.col("_since")) | F.coalesce(F.col("_valid_from") == F.col("_since"), F.lit(False))
+        )
+        fresh = fresh.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.struct(*overwrite).alias("_new"))
         match = [F.col(k) == F.col(f"_k_{k}") for k in keys]
         history = history.join(fresh, match, "left").select(
             *[
@@ -126,7 +139,10 @@ def scd2(
 def late_changes(
     target: DataFrame, source: DataFrame, keys: Sequence[str], tracked: Sequence[str], event_time: str
 ) -> DataFrame:
-    """Changes that :func:`scd2` ignores: tracked values differ but the event is not after the current version."""
+    """Changes that :func:`scd2` ignores: tracked values differ but the event is not after the current version.
+
+    That includes events without a time.
+    """
     keys = list(keys)
     t = target.filter(F.col("_is_current")).select(
         *keys, *[F.col(c).alias(f"_cur_{c}") for c in tracked], F.col("_valid_from").alias("_cur_from")
@@ -134,7 +150,7 @@ def late_changes(
     differs = F.lit(False)
     for c in tracked:
         differs = differs | ~F.col(c).eqNullSafe(F.col(f"_cur_{c}"))
-    late = F.col(event_time).cast("timestamp") <= F.col("_cur_from")
+    late = ~_after(F.col(event_time).cast("timestamp"), F.col("_cur_from"))
     return source.join(t, keys).filter(differs & late).select(*source.columns)
 
 
@@ -144,57 +160,80 @@ def chain_versions(
     tracked: Sequence[str],
     event_time: str,
     tie: Sequence[str] = (),
+    deleted: Column | None = None,
+    keep_events: bool = False,
 ) -> DataFrame:
     """Type 2 table from a feed with any number of changes per key.
 
-    Consecutive rows with equal tracked values collapse into the first; each version ends where the next begins.
+    Consecutive rows with equal tracked values (compared null-safe, column by column) collapse into the first; each version
+    ends where the next begins. Rows for which ``deleted`` holds end the version before them and start none.
     The windows run per key and day, so a key with a large share of all changes is spread over its days; one row per
     key and day carries the last state, the version count and the next start across the borders. Of several changes at
     one instant the last (by ``tie``) counts.
+
+    With ``keep_events`` the repeats and deletes stay, with ``_shown`` false: a later feed can be chained with them
+    (:func:`shown_versions` leaves them out).
     """
     keys = list(keys)
     events = changes.withColumn("_valid_from", F.col(event_time).cast("timestamp")).filter(
         F.col("_valid_from").isNotNull()
     )
+    events = events.withColumn("_gone", F.lit(False) if deleted is None else F.coalesce(deleted, F.lit(False)))
     events = events.withColumn("_hash_key", change_hash(*tracked))
     events = keep_latest(events, [*keys, "_valid_from"], [*tie, "_hash_key"])
-    events = slices.with_slice(events, slices.day_slice("_valid_from"))
+    state = F.struct(F.col("_gone").alias("gone"), *[F.when(~F.col("_gone"), F.col(c)).alias(f"v{i}") for i, c in enumerate(tracked)])
+    events = slices.with_slice(events.withColumn("_state", state), slices.day_slice("_valid_from"))
 
     # inside a slice: compare each event with the one before it
     part = [*keys, slices.SLICE]
     by_time = Window.partitionBy(*part).orderBy("_valid_from")
-    marked = events.withColumn("_before", F.lag("_hash_key").over(by_time))
-    inner = F.col("_before").isNotNull() & (F.col("_before") != F.col("_hash_key"))
+    marked = events.withColumn("_before", F.lag("_state").over(by_time))
+    inner = F.col("_before").isNotNull() & ~F.col("_before").eqNullSafe(F.col("_state"))
 
     # one row per slice; only these move to the key to be carried across slice borders
     ends = marked.groupBy(*part).agg(
         F.min("_valid_from").alias("_first"),
-        F.min_by("_hash_key", "_valid_from").alias("_first_hash"),
-        F.max_by("_hash_key", "_valid_from").alias("_last_hash"),
-        F.count_if(inner).alias("_inner"),
+        F.min_by("_state", "_valid_from").alias("_first_state"),
+        F.max_by("_state", "_valid_from").alias("_last_state"),
+        F.count_if(inner & ~F.col("_gone")).alias("_inner"),
         F.min(F.when(inner, F.col("_valid_from"))).alias("_first_inner"),
     )
     by_slice = Window.partitionBy(*keys).orderBy(slices.SLICE)
     earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)
     later = Window.partitionBy(*keys).orderBy(F.desc(slices.SLICE)).rowsBetween(Window.unboundedPreceding, -1)
-    ends = ends.withColumn("_carried", F.lag("_last_hash").over(by_slice))
-    opens = F.col("_carried").isNull() | (F.col("_carried") != F.col("_first_hash"))
+    ends = ends.withColumn("_carried", F.lag("_last_state").over(by_slice))
+    opens = F.col("_carried").isNull() | ~F.col("_carried").eqNullSafe(F.col("_first_state"))
     ends = ends.withColumn("_opens", opens).withColumn("_start", F.when(opens, F.col("_first")).otherwise(F.col("_first_inner")))
+    versions = F.col("_inner") + (F.col("_opens") & ~F.col("_first_state.gone")).cast("long")
     ends = ends.select(
         *part,
         "_opens",
-        F.coalesce(F.sum(F.col("_inner") + F.col("_opens").cast("long")).over(earlier), F.lit(0)).alias("_versions_before"),
+        F.coalesce(F.sum(versions).over(earlier), F.lit(0)).alias("_versions_before"),
         F.last("_start", ignorenulls=True).over(later).alias("_next_start"),
     )
-    starts = marked.join(ends, part).filter(inner | (F.col("_before").isNull() & F.col("_opens")))
-    return starts.withColumns(
+    starts = inner | (F.col("_before").isNull() & F.col("_opens"))
+    rows = marked.join(ends, part).withColumn("_starts", starts).withColumn("_shown", starts & ~F.col("_gone"))
+    if not keep_events:
+        rows = rows.filter("_starts")
+    back = Window.partitionBy(*part).orderBy(F.desc("_valid_from")).rowsBetween(Window.unboundedPreceding, -1)
+    upto = by_time.rowsBetween(Window.unboundedPreceding, 0)
+    shown = F.col("_shown")
+    following = F.last(F.when(F.col("_starts"), F.col("_valid_from")), ignorenulls=True).over(back)
+    number = F.col("_versions_before") + F.sum(shown.cast("long")).over(upto)
+    rows = rows.withColumns({"_version": number.cast("int"), "_valid_to": F.coalesce(following, F.col("_next_start"))})
+    rows = rows.withColumns(
         {
-            "_version": (F.col("_versions_before") + F.row_number().over(by_time)).cast("int"),
-            "_valid_to": F.coalesce(F.lead("_valid_from").over(by_time), F.col("_next_start")),
+            "_is_current": shown & F.col("_valid_to").isNull(),
+            "_valid_to": F.when(shown, F.col("_valid_to")),
+            "_version": F.when(shown, F.col("_version")),
         }
-    ).withColumn("_is_current", F.col("_valid_to").isNull()).drop(
-        slices.SLICE, "_before", "_opens", "_versions_before", "_next_start"
-    )
+    ).drop(slices.SLICE, "_state", "_before", "_opens", "_versions_before", "_next_start", "_starts")
+    return rows if keep_events else shown_versions(rows)
+
+
+def shown_versions(events: DataFrame) -> DataFrame:
+    """The versions of a table that :func:`scd2_feed` keeps."""
+    return events.filter("_shown").drop("_shown", "_gone")
 
 
 def scd2_feed(
@@ -204,28 +243,35 @@ def scd2_feed(
     tracked: Sequence[str],
     event_time: str,
     tie: Sequence[str] = (),
+    deleted: Column | None = None,
 ) -> DataFrame:
     """Merge a feed with several changes per key, late ones included.
 
-    History is rebuilt for the keys in the feed only: their stored versions become events at ``_valid_from`` and
-    are chained again together with the new ones, so a late change splits the version it falls into. All other
-    keys stay as they are.
+    The table keeps every event, those that repeat a state or delete the key with ``_shown`` false, so the result depends
+    on the events alone and not on the order in which they arrive; :func:`shown_versions` gives the versions. History is
+    rebuilt for the keys in the feed only. All other keys stay as they are.
     """
     keys = list(keys)
+    changes = changes.dropna(subset=keys)
     if target is None:
-        return chain_versions(changes, keys, tracked, event_time, tie)
+        return chain_versions(changes, keys, tracked, event_time, tie, deleted, keep_events=True)
     ids = changes.select(*keys).distinct()
     columns = target.columns
     stored = target.join(ids, keys, "left_semi").withColumn("_incoming", F.lit(0))
-    incoming = changes.withColumn("_valid_from", F.col(event_time).cast("timestamp")).withColumn("_incoming", F.lit(1))
+    gone = F.lit(False) if deleted is None else F.coalesce(deleted, F.lit(False))
+    incoming = changes.withColumns(
+        {"_valid_from": F.col(event_time).cast("timestamp"), "_gone": gone, "_incoming": F.lit(1)}
+    )
     rebuilt = chain_versions(
-        stored.drop("_valid_to", "_is_current", "_version", "_hash_key").unionByName(
+        stored.drop("_valid_to", "_is_current", "_version", "_hash_key", "_shown").unionByName(
             incoming, allowMissingColumns=True
         ),
         keys,
         tracked,
         "_valid_from",
-        ["_incoming", *tie],
+        [*tie, "_incoming"],
+        F.col("_gone"),
+        keep_events=True,
     )
     untouched = target.join(ids, keys, "left_anti")
     return untouched.unionByName(rebuilt.select(*columns))

@@ -1,10 +1,10 @@
-"""Joins that hold up under hot keys: point-in-time lookup, salted lookup, size-checked broadcast."""
+"""Joins that hold up under hot keys: point-in-time lookup, salted lookup."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import FAR_FUTURE
@@ -13,14 +13,6 @@ from tidemark.operators import slices
 SALT = "_salt"
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only after counting at most ``max_rows + 1`` rows; otherwise the frame as it is.
-
-    Use it on tables already on storage: the check reads the table.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def hot_keys(df: DataFrame, key: str, share: float = 0.005) -> list:
     """Key values that each hold more than ``share`` of the non-null rows.
 
@@ -69,30 +61,34 @@ def asof_join(
     valid_to: str = "_valid_to",
     versions_per_key: int | None = None,
 ) -> DataFrame:
-    """Left point-in-time lookup: ``valid_from <= at < coalesce(valid_to, far future)``.
+    """Left point-in-time lookup: the version that started last, if it still holds at the moment.
+
+    A version holds while ``valid_from <= at < coalesce(valid_to, far future)``, and no longer than until the next one
+    of its key starts. A fact therefore finds one version at most, however versions overlap; of several that start at
+    one instant the greatest (by end, then attributes) counts.
 
     ``versions_per_key`` is a bound the caller has measured. With a small one (up to 64) an equi join with the
     range as residual predicate is used. Without it, a key with many facts *and* many versions would make that
     join quadratic, so the lookup is solved on the distinct (key, time) pairs by a sliced look-behind, which is
-    linear, and the facts pick the answer up with one equi join on (key, time).
+    linear, and the facts pick the answer up with one equi join on (key, time). Both give the same rows.
     """
     attrs = {name: (F.col(c) if isinstance(c, str) else c) for name, c in attributes.items()}
     open_end = F.coalesce(F.col(valid_to), F.lit(FAR_FUTURE).cast("timestamp"))
+    versions = (
+        versions.filter(F.col(key).isNotNull() & F.col(valid_from).isNotNull())
+        .groupBy(F.col(key).alias("_k"), F.col(valid_from).alias("_t"))
+        .agg(F.max(F.struct(open_end.alias("_to"), *[c.alias(n) for n, c in attrs.items()])).alias("_version"))
+    )
     if versions_per_key is not None and versions_per_key <= 64:
-        v = versions.select(
-            F.col(key).alias("_k"), F.col(valid_from).alias("_from"), open_end.alias("_to"),
-            *[c.alias(n) for n, c in attrs.items()],
+        following = F.lead("_t").over(Window.partitionBy("_k").orderBy("_t"))
+        v = versions.withColumn("_next", F.least("_version._to", following)).select(
+            "_k", "_t", "_next", *[F.col(f"_version.{n}").alias(n) for n in attrs]
         )
-        hit = (F.col(key) == F.col("_k")) & (F.col(at) >= F.col("_from")) & (F.col(at) < F.col("_to"))
-        return facts.join(v, hit, "left").drop("_k", "_from", "_to")
+        hit = (F.col(key) == F.col("_k")) & (F.col(at) >= F.col("_t")) & (F.col(at) < F.col("_next"))
+        return facts.join(v, hit, "left").drop("_k", "_t", "_next")
 
     moments = facts.select(F.col(key).alias("_k"), F.col(at).alias("_t")).dropna().distinct()
-    starts = versions.filter(F.col(key).isNotNull() & F.col(valid_from).isNotNull()).select(
-        F.col(key).alias("_k"),
-        F.col(valid_from).alias("_t"),
-        F.lit(0).alias("_kind"),
-        F.struct(open_end.alias("_to"), *[c.alias(n) for n, c in attrs.items()]).alias("_version"),
-    )
+    starts = versions.withColumn("_kind", F.lit(0))
     timeline = starts.unionByName(moments.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
     timeline = slices.with_slice(timeline, slices.day_slice("_t"))
     found = slices.previous_value(timeline, ["_k"], ["_t", "_kind"], "_version", "_hit")

@@ -76,17 +76,20 @@ def merge(
 
     # rows with a null key match nothing: target rows stay, source rows can only be inserted
     loose = target.filter(~_all_keys(keys))
-    empty_t = target.limit(0).withColumn("_in", F.lit(True)).alias("t")
     return (
         _apply(joined, target, source, clauses)
         .unionByName(loose)
-        .unionByName(_insert_only(source.filter(~_all_keys(keys)), empty_t, target, source, clauses))
+        .unionByName(_insert_only(source.filter(~_all_keys(keys)), target, source, clauses))
     )
 
 
-def _insert_only(loose: DataFrame, empty_t: DataFrame, target, source, clauses) -> DataFrame:
-    s = loose.withColumn("_in", F.lit(True)).alias("s")
-    return _apply(s.join(empty_t, F.lit(False), "left"), target, source, clauses)
+def _insert_only(loose: DataFrame, target: DataFrame, source: DataFrame, clauses: Sequence[Clause]) -> DataFrame:
+    """Source rows that match nothing, beside a target side of nulls."""
+    nothing = F.struct(
+        *(F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema.fields), F.lit(None).cast("boolean").alias("_in")
+    )
+    pairs = loose.select(F.struct("*", F.lit(True).alias("_in")).alias("s"), nothing.alias("t"))
+    return _apply(pairs, target, source, clauses)
 
 
 def _apply(joined: DataFrame, target: DataFrame, source: DataFrame, clauses: Sequence[Clause]) -> DataFrame:
@@ -179,7 +182,7 @@ def apply_cdc(
 
 
 def scd1(target: DataFrame | None, source: DataFrame, keys: Sequence[str], check_unique: bool = True) -> DataFrame:
-    """Upsert: source rows win, unmatched target rows stay.
+    """Upsert: source rows win, unmatched target rows stay; columns the source lacks keep the target's values.
 
     Target rows whose key is in the source are dropped by an anti join and the source is appended, so only the
     source *keys* are shuffled, not its rows.
@@ -189,10 +192,18 @@ def scd1(target: DataFrame | None, source: DataFrame, keys: Sequence[str], check
         source = one_row_per_key(source, keys)
     if target is None:
         return source
+    source = with_kept_columns(source, target, keys)
     untouched = target.join(source.select(*keys), keys, "left_anti")
     return untouched.unionByName(source, allowMissingColumns=True)
 
 
+def with_kept_columns(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``source`` and, from the target row of its key, the columns that it does not bring."""
+    have = {c.lower() for c in source.columns}
+    kept = [c for c in target.columns if c.lower() not in have]
+    return source.join(target.select(*keys, *kept), list(keys), "left") if kept else source
+
+
 def soft_delete(target: DataFrame, deleted: DataFrame, keys: Sequence[str], flag: str = "_is_deleted") -> DataFrame:
     """Mark the rows whose key is in ``deleted``; everything else about them stays."""
     marks = deleted.select(*keys).distinct().withColumn("_gone", F.lit(True))
@@ -212,40 +223,43 @@ def missing_keys(target: DataFrame, full_keys: DataFrame, keys: Sequence[str]) -
     return target.select(*keys).join(full_keys.select(*keys), keys, "left_anti")
 
 
-def touched_partitions(
-    target: DataFrame, source: DataFrame, key: str, partition: str, limit: int = 10_000
-) -> list | None:
-    """Partition values that a fact merge changes, old and new; None when there are more than ``limit``."""
-    moved = target.select(key, F.col(partition).alias("_p")).join(source.select(key), key, "left_semi").select("_p")
-    values = source.select(F.col(partition).alias("_p")).unionByName(moved).distinct().limit(limit + 1).collect()
-    return None if len(values) > limit else [r[0] for r in values]
-
-
 def merge_fact(
     target: DataFrame,
     source: DataFrame,
     key: str,
     partition: str,
     created: str | None = "_created_date",
+    deleted: DataFrame | None = None,
+    touched: Sequence | None = None,
 ) -> DataFrame:
     """Upsert on the degenerate key; returns only the partitions that change, for a dynamic overwrite.
 
-    A row whose date moved leaves its old partition, so both the old and the new partition are rewritten. Their
-    values (at most a few thousand) become literals, so the scan of the target opens no other folder.
+    A row whose date moved leaves its old partition, so both the old and the new partition are rewritten; so are
+    those of the keys in ``deleted``, whose rows go. The null partition is one like any other. Columns the source lacks
+    keep the target's values, and two source rows for one key fail.
+
+    ``touched`` (the values of exactly those partitions, if the caller has them) only becomes a filter on the scan; the
+    rows it returns are the same without.
     """
-    touched = touched_partitions(target, source, key, partition)
+    source = one_row_per_key(source, [key])
+    gone = source.select(key)
+    if deleted is not None:
+        gone = gone.unionByName(deleted.select(key)).distinct()
     if touched is not None:
-        hit = F.col(partition).isin([v for v in touched if v is not None])
-        rest = target.filter(hit | F.col(partition).isNull() if None in touched else hit)
+        part = F.col(partition).cast("string")
+        hit = part.isin([str(v) for v in touched if v is not None])
+        target_rows = target.filter(hit | part.isNull() if None in touched else hit)
     else:
-        moved = target.select(key, F.col(partition).alias("_p")).join(source.select(key), key, "left_semi")
-        changed = source.select(F.col(partition).alias("_p")).unionByName(moved.select("_p")).distinct()
-        rest = target.join(changed, F.col(partition) == F.col("_p"), "left_semi")
-    rest = rest.join(source.select(key), key, "left_anti").select(*target.columns)
+        target_rows = target
+    moved = target_rows.select(key, F.col(partition).alias("_p")).join(gone, key, "left_semi").select("_p")
+    changed = source.select(F.col(partition).alias("_p")).unionByName(moved).distinct()
+    rest = target_rows.join(changed, F.col(partition).eqNullSafe(F.col("_p")), "left_semi")
+    rest = rest.join(gone, key, "left_anti").select(*target.columns)
     if created is not None and created in target.columns:
-        first_seen = target.select(key, F.col(created).alias("_first"))
+        first_seen = target_rows.select(key, F.col(created).alias("_first"))
         source = source.join(first_seen, key, "left")
         source = source.withColumn(created, F.coalesce("_first", created)).drop("_first")
+    source = with_kept_columns(source, target_rows, [key])
     return rest.unionByName(source, allowMissingColumns=True)
 
 

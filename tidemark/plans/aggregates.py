@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import (
@@ -25,11 +25,17 @@ from tidemark.operators.joins import salted_lookup
 def campaign_roi(fact: DataFrame, dim_date: DataFrame, dim_campaign: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Month and campaign: revenue, orders, spend, acquisition cost (0 for organic), return on ad spend."""
     months = dim_date.select("dim_date_key", (F.col("year") * 100 + F.col("month_number")).alias("year_month"))
+    # lines are reduced to orders of a day before the calendar joins; a day it lacks keeps the month of its key
     monthly = (
-        fact.select("dim_date_key", "dim_campaign_key", "line_total", "order_number")
-        .join(months, "dim_date_key")
+        fact.groupBy("dim_date_key", "dim_campaign_key", "order_number")
+        .agg(F.sum("line_total").alias("line_total"))
+        .join(months, "dim_date_key", "left")
+        .withColumn("year_month", F.coalesce("year_month", F.when(F.col("dim_date_key") > 0, F.expr("dim_date_key div 100")).cast("int")))
         .groupBy("year_month", "dim_campaign_key")
-        .agg(F.sum("line_total").alias("total_revenue"), F.countDistinct("order_number").alias("total_orders"))
+        .agg(
+            F.sum("line_total").cast("decimal(25,2)").alias("total_revenue"),
+            F.countDistinct("order_number").alias("total_orders"),
+        )
     )
     spend = campaigns.groupBy("campaign_id").agg(
         F.max("total_spend").alias("total_spend"), F.max("customers_acquired").alias("customers_acquired")
@@ -68,18 +74,18 @@ def _orders(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
     Partial sums are formed on the map side, and a customer with very many lines is spread over its orders.
     """
-    days = dim_date.select("dim_date_key", "full_date")
-    return (
-        fact.select("dim_customer_key", "order_number", "dim_date_key", "line_total", "quantity")
-        .join(days, "dim_date_key")
-        .groupBy("dim_customer_key", "order_number")
-        .agg(
-            F.sum("line_total").alias("line_total"),
-            F.sum("quantity").alias("quantity"),
-            F.min("full_date").alias("first_date"),
-            F.max("full_date").alias("last_date"),
-        )
+    orders = fact.groupBy("dim_customer_key", "order_number").agg(
+        F.sum("line_total").alias("line_total"),
+        F.sum("quantity").alias("quantity"),
+        F.min("dim_date_key").alias("_first"),
+        F.max("dim_date_key").alias("_last"),
     )
+    # a day the calendar lacks is read from its key, so no order is lost
+    for key, name in (("_first", "first_date"), ("_last", "last_date")):
+        days = dim_date.select(F.col("dim_date_key").alias(key), F.col("full_date").alias(name))
+        spelled = F.try_to_timestamp(F.col(key).cast("string"), F.lit("yyyyMMdd")).cast("date")
+        orders = orders.join(days, key, "left").withColumn(name, F.coalesce(name, spelled))
+    return orders.drop("_first", "_last")
 
 
 def _customer_measures(order_count: Column) -> list[Column]:
@@ -170,13 +176,33 @@ def customer_cac(attribution: DataFrame, dim_campaign: DataFrame, campaigns: Dat
     return priced.select("customer_id", "customer_acquisition_cost")
 
 
+def exact_quantiles(df: DataFrame, col: str, shares: Sequence[float], pieces: int = 256) -> DataFrame:
+    """One row, one array: the least value whose cumulative share reaches each of ``shares``.
+
+    Values are counted first; a sketch then deals the distinct ones into about equal pieces, in which running sums are
+    formed, and the only window over everything sees one row for each piece. The sketch decides the balance alone.
+    """
+    counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    bounds = counts.agg(F.percentile_approx("_v", [i / pieces for i in range(1, pieces)])).scalar()
+    counts = counts.withColumn("_bounds", bounds)
+    counts = counts.withColumn("_piece", F.size(F.filter("_bounds", lambda b: b < F.col("_v")))).drop("_bounds")
+    before = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = counts.groupBy("_piece").agg(F.sum("_n").alias("_size"))
+    sizes = sizes.select("_piece", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    total = counts.agg(F.sum("_n")).scalar()
+    inside = Window.partitionBy("_piece").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.withColumn("_upto", F.sum("_n").over(inside)).join(sizes, "_piece")
+    ranked = ranked.select("_v", (F.col("_upto") + F.col("_before")).alias("_rank"), total.alias("_total"))
+    need = [F.col("_total") - F.floor(F.col("_total") - F.col("_total") * F.lit(float(s))) for s in shares]
+    return ranked.agg(F.array(*[F.min(F.when(F.col("_rank") >= n, F.col("_v"))) for n in need]).alias("cuts"))
+
+
 def rfm(
     metrics: DataFrame, as_of: date, thresholds: Mapping[str, Sequence[float]] | None = None, scores: int = 5
 ) -> DataFrame:
     """Recency, frequency and monetary scores and a three-digit segment.
 
-    ``thresholds`` holds ascending cut points per input. Without them the cut points are quantiles from one
-    mergeable sketch per input: a global ntile window would put every customer into one task.
+    ``thresholds`` holds ascending cut points per input. Without them the cut points are the exact discrete quantiles.
     """
     inputs = metrics.withColumns(
         {
@@ -191,8 +217,8 @@ def rfm(
         cuts = {name: [F.lit(t) for t in thresholds[name]] for name in names}
     else:
         shares = [i / scores for i in range(1, scores)]
-        sketches = [F.percentile_approx(col, shares, 10_000).alias(name) for name, col in names.items()]
-        inputs = inputs.withColumn("_cuts", inputs.agg(*sketches).select(F.struct(*names)).scalar())
+        found = [exact_quantiles(inputs, col, shares).scalar().alias(name) for name, col in names.items()]
+        inputs = inputs.withColumn("_cuts", F.struct(*found))
         cuts = {name: [F.element_at(F.col(f"_cuts.{name}"), i) for i in range(1, scores)] for name in names}
 
     def passed(name: str) -> Column:

@@ -7,7 +7,7 @@ and dimension tables get a new folder per run; facts keep versioned partitions a
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import datetime
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,19 +15,27 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import quality as q
 from tidemark.operators.history import scd2
+from tidemark.operators.joins import hot_keys
 from tidemark.operators.latest import keep_latest
-from tidemark.operators.merge import merge_fact, scd1, soft_delete
+from tidemark.operators.merge import scd1, soft_delete
 from tidemark.operators.rules import add_silver_metadata
 from tidemark.operators.runlog import append_run
 from tidemark.plans import aggregates, dims, facts
 from tidemark.plans.entities import ENTITIES, standardise
-from tidemark.plans.quality_rules import REFERENTIAL, SILVER_DQ
+from tidemark.plans.quality_rules import GOLD_DQ, REFERENTIAL, SILVER_DQ
 from tidemark.session import durable
 from tidemark.sources.calendar import DEFAULT_END, DEFAULT_START, build_dim_date
+from tidemark.streaming.jobs import refresh_fact
 from tidemark.sources.sinks import append_table, write_table
 from tidemark.sources.tables import is_empty
-from tidemark.streaming.state import PartitionedState, touched_values
+from tidemark.streaming.state import PartitionedState
 
+# The place of each stored table in the run log; new tables go to the end.
+LOGGED = (
+    *ENTITIES, "ri_warnings", "dim_customer", "dim_product", "dim_location", "dim_campaign", "dim_registration_source",
+    "dim_date", "fact_sales", "fact_interactions", "fact_surveys", "agg_monthly_campaign_roi", "agg_customer_clv_metrics",
+    "reconciliation",
+)
 FACTS = {
     "fact_sales": ("line_id", "order_year_month"),
     "fact_interactions": ("interaction_id", "interaction_year_month"),
@@ -49,10 +57,11 @@ def silver_entity(
     run_id: str,
     now: datetime,
     error_limit: float = 0.05,
-) -> tuple[DataFrame, DataFrame]:
-    """One entity: dedupe, standardise, check, merge. Returns (silver table, checked rows of this batch).
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One entity: dedupe, standardise, check, merge. Returns (silver table, checked rows, deleted keys of this batch).
 
-    Deletes carry no payload, so they skip the quality rules and only mark their key.
+    Deletes carry no payload, so they skip the quality rules and only mark their key. A batch of which more than
+    ``error_limit`` of the rows would be quarantined, or whose keys are all null, stops the run.
     """
     entity = ENTITIES[name]
     keys = list(entity.keys)
@@ -64,18 +73,18 @@ def silver_entity(
     checked = checked.withColumn("quarantined", F.size(q.FAILED) > 0)
     # one pass writes both sides of the split
     staged = _store(checked, f"{path}/checked/{name}", partition_by=["quarantined"])
-    if any(r.severity == "ERROR" for r in SILVER_DQ[name]):
-        q.enforce_threshold(q.error_share(staged, SILVER_DQ[name], keys[0]), error_limit)
+    q.enforce_threshold(q.quarantine_share(staged, keys[0]), error_limit)
     valid = staged.filter(~F.col("quarantined")).drop("quarantined", q.FAILED)
     if entity.scd == 2:
         merged = scd2(previous, valid, keys, entity.tracked, "last_update_date", check_unique=False)
     else:
         merged = scd1(previous, valid, keys, check_unique=False)
+    gone = _store(rows.filter("_is_deleted").select(*keys), f"{path}/deleted/{name}")
     if previous is not None:
-        merged = soft_delete(merged, rows.filter("_is_deleted"), keys)
+        merged = soft_delete(merged, gone, keys)
     out = _store(merged, f"{path}/silver/{name}", partition_by=[c for c in entity.partition_by if c in merged.columns],
                  cluster_by=entity.cluster_by)
-    return out, staged
+    return out, staged, gone
 
 
 def _current(df: DataFrame) -> DataFrame:
@@ -83,17 +92,14 @@ def _current(df: DataFrame) -> DataFrame:
     return out.filter("_is_current") if "_is_current" in out.columns else out
 
 
-def _refresh_fact(state: PartitionedState, key: str, rows: DataFrame, run_no: int) -> DataFrame:
-    if not state.committed(run_no):
-        rows = durable(rows, "fact")
-        target = state.read()
-        if target is None:
-            state.write(rows, touched_values(rows, state.partition), run_no)
-        else:
-            moved = target.join(rows.select(key), key, "left_semi").select(state.partition)
-            touched = touched_values(moved.unionByName(rows.select(state.partition)), state.partition)
-            state.write(merge_fact(target, rows, key, state.partition), touched, run_no)
-    return state.read()
+def calendar_span(now_of: Mapping[str, DataFrame]) -> tuple[date, date]:
+    """First and last day of the calendar: the default range, widened to every date of the facts' sources."""
+    found = []
+    for name, col in (("oe_order_headers_all", "order_date"), ("interactions", "interaction_date"), ("surveys", "response_date")):
+        if name in now_of and col in now_of[name].columns:
+            found.append(now_of[name].agg(F.min(col).cast("date"), F.max(col).cast("date")).first())
+    days = [d for row in found for d in row if d is not None]
+    return min([DEFAULT_START, *days]), max([DEFAULT_END, *days])
 
 
 def run_medallion(
@@ -103,19 +109,50 @@ def run_medallion(
     run_no: int = 0,
     previous: Mapping[str, DataFrame] | None = None,
     now: datetime | None = None,
-    calendar=(DEFAULT_START, DEFAULT_END),
+    calendar: tuple[date, date] | None = None,
+    error_limit: float = 0.05,
 ) -> dict[str, DataFrame]:
     """Run all layers for one set of batches and return every stored table by name.
 
     ``previous`` is the result of the run before: history, surrogate keys and untouched rows come from it. Facts are
-    built for the entities in this batch only and merged by their key.
+    built for the entities in this batch only and merged by their key; facts of deleted rows go. Without ``calendar`` the
+    date dimension covers every date there is. Each stored table gets a row in the run log; if the run fails, the table
+    it was at gets one that says so.
     """
     now = now or datetime.now()
     run_id = f"run-{run_no}"
-    previous = previous or {}
-    root = f"{path.rstrip('/')}/{run_id}"
     out: dict[str, DataFrame] = {}
+    log = f"{path.rstrip('/')}/run_log"
+    try:
+        _run_layers(spark, bronze, path, run_no, run_id, previous or {}, now, calendar, error_limit, out)
+    except Exception as error:
+        at = next((i for i, name in enumerate(LOGGED) if name not in out and (name in bronze or name not in ENTITIES)), 0)
+        append_run(spark, log, at, run_id, "FAILED", version=run_no, error=str(error)[:1000], ended_at=now)
+        raise
+    for name, df in out.items():
+        append_run(
+            spark, log, LOGGED.index(name), run_id, "SUCCESS", records=df.count(), version=run_no,
+            mark_initial=run_no == 0, ended_at=now,
+        )
+    return out
+
+
+def _run_layers(
+    spark: SparkSession,
+    bronze: Mapping[str, DataFrame],
+    path: str,
+    run_no: int,
+    run_id: str,
+    previous: Mapping[str, DataFrame],
+    now: datetime,
+    calendar: tuple[date, date] | None,
+    error_limit: float,
+    out: dict[str, DataFrame],
+) -> None:
+    """Fill ``out`` with the stored tables, in the order in which they are built."""
+    root = f"{path.rstrip('/')}/{run_id}"
     batch_keys: dict[str, DataFrame] = {}
+    deleted: dict[str, DataFrame] = {}
 
     for name in ENTITIES:
         if name not in bronze or (name in previous and is_empty(bronze[name])):
@@ -123,10 +160,14 @@ def run_medallion(
             if name in previous:
                 out[name] = previous[name]
             continue
-        out[name], staged = silver_entity(name, bronze[name], previous.get(name), root, run_id, now)
+        out[name], staged, deleted[name] = silver_entity(
+            name, bronze[name], previous.get(name), root, run_id, now, error_limit
+        )
         batch_keys[name] = staged.filter(~F.col("quarantined"))
         bad = staged.filter("quarantined").drop("quarantined")
         append_table(q.dlq_rows(bad, SILVER_DQ[name], run_id, name, now), f"{path}/dead_letters")
+        tagged = staged.filter(~F.col("quarantined")).drop("quarantined")
+        append_table(q.dlq_rows(tagged, SILVER_DQ[name], run_id, name, now, q.WARNED), f"{path}/dead_letters")
     warnings = None
     for rule_id, child, key, parent, parent_key in REFERENTIAL:
         if child in out and parent in out:
@@ -159,26 +200,37 @@ def run_medallion(
     for name, (source, build) in builders.items():
         if source in now_of:
             out[name] = _store(build(previous.get(name)), f"{root}/gold/{name}")
-    out["dim_date"] = build_dim_date(spark, *calendar)
+    out["dim_date"] = build_dim_date(spark, *(calendar or calendar_span(now_of)))
 
     bound = facts.version_bound(out["dim_customer"]) if "dim_customer" in out else None
     changed_orders = [batch_keys[n].select("order_id") for n in ("oe_order_headers_all", "oe_order_lines_all") if n in batch_keys]
+    if "oe_order_headers_all" in deleted:
+        changed_orders.append(deleted["oe_order_headers_all"].select("order_id"))
+    if "oe_order_lines_all" in deleted:
+        lost = out["oe_order_lines_all"].join(deleted["oe_order_lines_all"], "line_id", "left_semi")
+        changed_orders.append(lost.select("order_id"))
     if changed_orders and {"oe_order_lines_all", "oe_order_headers_all"} <= now_of.keys():
         # lines of changed orders and changed lines of any order
-        orders = reduce(DataFrame.unionByName, changed_orders).distinct()
+        orders = durable(reduce(DataFrame.unionByName, changed_orders).distinct(), "orders")
         lines = now_of["oe_order_lines_all"].join(orders, "order_id", "left_semi")
         rows = facts.build_fact_sales(
-            lines, now_of["oe_order_headers_all"], out, now_of["customer_registration_source"], run_id, now, bound
+            lines, now_of["oe_order_headers_all"], out, now_of["customer_registration_source"], run_id, now, bound,
+            hot_keys(now_of["oe_order_headers_all"], "customer_id"), hot_keys(now_of["oe_order_lines_all"], "product_id"),
         )
-        out["fact_sales"] = _refresh(spark, path, "fact_sales", rows, run_no)
+        rows = durable(rows, "fact_sales")
+        # lines of these orders that no longer give a fact: deleted, or their order is, or they are rejected now
+        stale = out["oe_order_lines_all"].join(orders, "order_id", "left_semi").select("line_id")
+        stale = stale.join(rows.select("line_id"), "line_id", "left_anti")
+        _log_rejects(lines, "fact_sales", run_id, now, path)
+        out["fact_sales"] = _refresh(spark, path, "fact_sales", rows, run_no, stale)
     if {"interactions", "incidents"} <= now_of.keys() and "interactions" in batch_keys:
         changed = now_of["interactions"].join(batch_keys["interactions"].select("interaction_id"), "interaction_id", "left_semi")
         rows = facts.build_fact_interactions(changed, now_of["incidents"], out["dim_customer"], run_id, now, bound)
-        out["fact_interactions"] = _refresh(spark, path, "fact_interactions", rows, run_no)
+        out["fact_interactions"] = _refresh(spark, path, "fact_interactions", rows, run_no, deleted.get("interactions"))
     if "surveys" in batch_keys:
         changed = now_of["surveys"].join(batch_keys["surveys"].select("survey_id"), "survey_id", "left_semi")
         rows = facts.build_fact_surveys(changed, out["dim_customer"], run_id, now, bound)
-        out["fact_surveys"] = _refresh(spark, path, "fact_surveys", rows, run_no)
+        out["fact_surveys"] = _refresh(spark, path, "fact_surveys", rows, run_no, deleted.get("surveys"))
 
     if "fact_sales" in out:
         sales = out["fact_sales"]
@@ -190,11 +242,19 @@ def run_medallion(
             q.reconcile_sum(out["agg_monthly_campaign_roi"], "total_revenue", sales, "line_total"),
             f"{root}/gold/reconciliation",
         )
-    for i, name in enumerate(sorted(out)):
-        append_run(spark, f"{path}/run_log", i, run_id, "SUCCESS", version=run_no, mark_initial=run_no == 0, ended_at=now)
-    return out
 
 
-def _refresh(spark: SparkSession, path: str, name: str, rows: DataFrame, run_no: int) -> DataFrame:
+def _log_rejects(rows: DataFrame, name: str, run_id: str, now: datetime, path: str) -> None:
+    """Rows that the gold rules keep out of a fact, in the dead-letter log."""
+    _, rejected = q.dq_split(rows, GOLD_DQ[name])
+    append_table(q.dlq_rows(rejected, GOLD_DQ[name], run_id, name, now), f"{path}/dead_letters")
+
+
+def _refresh(
+    spark: SparkSession, path: str, name: str, rows: DataFrame, run_no: int, deleted: DataFrame | None = None
+) -> DataFrame:
     key, partition = FACTS[name]
-    return _refresh_fact(PartitionedState(spark, f"{path.rstrip('/')}/facts/{name}", partition), key, rows, run_no)
+    state = PartitionedState(spark, f"{path.rstrip('/')}/facts/{name}", partition)
+    if not state.committed(run_no):
+        refresh_fact(state, key, rows, run_no, deleted)
+    return state.read()

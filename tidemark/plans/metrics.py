@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -179,7 +180,14 @@ def query_metrics(
         if out is None:
             out = part
         elif group_by:
-            out = out.join(part, group_by, "left")
+            # a group may stand on one side only, and null is a group like any other
+            left, right = out.alias("l"), part.alias("r")
+            same = reduce(lambda a, b: a & b, (F.col(f"l.{g}").eqNullSafe(F.col(f"r.{g}")) for g in group_by))
+            out = left.join(right, same, "full_outer").select(
+                *[F.coalesce(f"l.{g}", f"r.{g}").alias(g) for g in group_by],
+                *[F.col(f"l.{c}") for c in out.columns if c not in group_by],
+                *[F.col(f"r.{c}") for c in part.columns if c not in group_by],
+            )
         else:
             # no grouping: each side is one row
             out = out.select("*", *[part.select(c).scalar().alias(c) for c in part.columns])

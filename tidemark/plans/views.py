@@ -20,7 +20,7 @@ def vw_sales_dashboard(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame
         "dim_date_key", "dim_customer_key", "dim_product_key", "dim_location_key", "dim_campaign_key",
         "order_number", "quantity", "line_total", "allocated_discount_amount",
     )
-    f = f.join(dims["dim_date"].select("dim_date_key", F.col("full_date").alias("order_date")), "dim_date_key")
+    f = f.join(dims["dim_date"].select("dim_date_key", F.col("full_date").alias("order_date")), "dim_date_key", "left")
     f = f.join(
         dims["dim_campaign"].select(
             "dim_campaign_key", "campaign_name", F.col("channel").alias("acquisition_channel")

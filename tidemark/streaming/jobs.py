@@ -14,7 +14,8 @@ from tidemark.operators.history import scd2_feed
 from tidemark.operators.latest import cdc_latest
 from tidemark.operators.merge import apply_cdc, merge_fact
 from tidemark.operators.quality import FAILED, Rule, dq_check, enforce_threshold, error_share
-from tidemark.streaming.state import PartitionedState, touched_values
+from tidemark.session import durable
+from tidemark.streaming.state import NULL_FOLDER, PartitionedState, touched_values
 
 BUCKET = "_bucket"
 
@@ -95,7 +96,8 @@ def stream_apply_changes(
     """Apply a change stream in ``sequence`` order, whatever order it arrives in.
 
     SCD 1 keeps deleted rows as soft deletes: their version must stay, or a late update would bring the row back.
-    SCD 2 chains every change of a key into versions.
+    SCD 2 chains every change of a key into versions and keeps all events (``shown_versions`` gives the versions); a
+    delete closes the version before it.
     """
 
     def scd1(target: DataFrame | None, batch: DataFrame) -> DataFrame:
@@ -108,7 +110,8 @@ def stream_apply_changes(
         return applied.unionByName(_tombstones(applied, batch, keys, op, sequence), allowMissingColumns=True)
 
     def scd2(target: DataFrame | None, batch: DataFrame) -> DataFrame:
-        return scd2_feed(target, batch, keys, tracked, event_time, [sequence])
+        gone = F.col(op) == "D" if op in batch.columns else None
+        return scd2_feed(target, batch, keys, tracked, event_time, [sequence], gone)
 
     change = scd1 if scd == 1 else scd2
 
@@ -125,6 +128,23 @@ def _tombstones(applied: DataFrame, batch: DataFrame, keys: Sequence[str], op: s
     return unseen.select(*keys, F.col(sequence).cast("long").alias("_cdc_version"), F.lit(True).alias("_is_deleted"))
 
 
+def refresh_fact(
+    state: PartitionedState, key: str, rows: DataFrame, batch_id: int, deleted: DataFrame | None = None
+) -> None:
+    """Merge a batch of fact rows, and the keys of deleted ones, into the stored partitions they touch."""
+    rows = durable(rows, "fact")  # looked at several times below
+    target = state.read()
+    if target is None:
+        state.write(rows, touched_values(rows, state.partition), batch_id)
+        return
+    gone = rows.select(key) if deleted is None else rows.select(key).unionByName(deleted.select(key))
+    moved = target.join(gone.distinct(), key, "left_semi").select(state.partition)
+    touched = touched_values(moved.unionByName(rows.select(state.partition)), state.partition)
+    values = [None if v == NULL_FOLDER else v for v in touched]
+    if values:
+        state.write(merge_fact(target, rows, key, state.partition, deleted=deleted, touched=values), touched, batch_id)
+
+
 def stream_quality(
     stream: DataFrame,
     path: str,
@@ -170,13 +190,6 @@ def stream_gold(
     def each(batch: DataFrame, batch_id: int) -> None:
         if state.committed(batch_id) or batch.isEmpty():
             return
-        rows = build(batch)
-        target = state.read()
-        if target is None:
-            state.write(rows, touched_values(rows, state.partition), batch_id)
-            return
-        moved = target.join(rows.select(key), key, "left_semi").select(state.partition)
-        touched = touched_values(moved.unionByName(rows.select(state.partition)), state.partition)
-        state.write(merge_fact(target, rows, key, state.partition), touched, batch_id)
+        refresh_fact(state, key, build(batch), batch_id)
 
     return _start(stream, checkpoint, each, once)

@@ -11,6 +11,7 @@ from tidemark.functions.masking import MASKED, mask_email, mask_phone, mask_stri
 from tidemark.operators import quality as q
 from tidemark.operators.contracts import CONTRACTS, to_contract
 from tidemark.operators.governance import apply_policy, row_filter
+from tidemark.operators.history import shown_versions
 from tidemark.operators.lineage import dependency_levels
 from tidemark.operators.quality import reconcile_sum, unknown_usage
 from tidemark.plans import aggregates, facts, views
@@ -294,6 +295,10 @@ def _score(col: str, cuts: list[int]) -> str:
     return "1 + " + " + ".join(f"CAST({col} > {c} AS INTEGER)" for c in cuts)
 
 
+def _quantile_score(col: str) -> str:
+    return "1 + " + " + ".join(f"CAST({col} > quantile_disc({col}, {i / 5}) OVER () AS INTEGER)" for i in range(1, 5))
+
+
 @query(
     "rfm_segments",
     sql("clv_by_customer", body=f"""SELECT *, CAST(r_score AS VARCHAR) || f_score || m_score AS rfm_segment FROM (
@@ -308,7 +313,14 @@ def rfm_segments(spark, sf_dir):
     return out.select("customer_id", "recency_days", "r_score", "f_score", "m_score", "rfm_segment")
 
 
-@query("rfm_quantile_segments", None)
+@query(
+    "rfm_quantile_segments",
+    sql("clv_by_customer", body=f"""SELECT rfm_segment, count(*) AS customers FROM (
+        SELECT CAST(r AS VARCHAR) || f || m AS rfm_segment FROM (SELECT
+            6 - ({_quantile_score('recency_days')}) AS r, {_quantile_score('total_orders')} AS f,
+            {_quantile_score('lifetime_revenue')} AS m
+        FROM (SELECT *, date_diff('day', last_order_date, DATE '2001-09-01') AS recency_days FROM clv_by_customer) AS c)) GROUP BY 1"""),
+)
 def rfm_quantile_segments(spark, sf_dir):
     out = aggregates.rfm(gold(spark, sf_dir).clv_by_customer(), date(2001, 9, 1))
     return out.groupBy("rfm_segment").agg(F.count(F.lit(1)).alias("customers"))
@@ -415,12 +427,15 @@ def contract_customer_metrics(spark, sf_dir):
 @query(
     "mart_sales_dashboard",
     sql("fact_sales", "dim_date", "dim_customer", "dim_product", "dim_location", "dim_campaign", body="""
-        SELECT f.order_number, d.full_date AS order_date, c.full_name AS customer_name, c.customer_type, p.product_name,
-               p.category_name, p.brand_name, l.city, l.state, k.campaign_name, k.channel AS acquisition_channel,
-               f.quantity, CAST(f.line_total AS DOUBLE) AS line_total, f.allocated_discount_amount
-        FROM fact_sales f JOIN dim_date d USING (dim_date_key) JOIN dim_customer c USING (dim_customer_key)
-        JOIN dim_product p USING (dim_product_key) JOIN dim_location l USING (dim_location_key)
-        JOIN dim_campaign k USING (dim_campaign_key)"""),
+        FROM (WITH who AS (SELECT dim_customer_key, customer_type, full_name AS customer_name FROM dim_customer),
+             place AS (SELECT dim_location_key, state, city FROM dim_location),
+             item AS (SELECT dim_product_key, brand_name, category_name, product_name FROM dim_product),
+             source AS (SELECT dim_campaign_key, channel AS acquisition_channel, campaign_name FROM dim_campaign),
+             line AS (SELECT dim_campaign_key, dim_location_key, dim_product_key, dim_customer_key, order_number, quantity,
+                        allocated_discount_amount, CAST(line_total AS DOUBLE) AS line_total,
+                        CAST(strptime(CAST(dim_date_key AS VARCHAR), '%Y%m%d') AS DATE) AS order_date FROM fact_sales)
+        SELECT * EXCLUDE (dim_campaign_key, dim_location_key, dim_product_key, dim_customer_key)
+        FROM line NATURAL JOIN source NATURAL JOIN place NATURAL JOIN item NATURAL JOIN who)"""),
 )
 def mart_sales_dashboard(spark, sf_dir):
     g = gold(spark, sf_dir)
@@ -579,10 +594,15 @@ def mask_customers(spark, sf_dir):
     )
 
 
-@query("mask_documents", f"SELECT doc_id, {_MASK_EMAIL.format('text')} AS masked FROM documents")
-def mask_documents(spark, sf_dir):
-    d = gold(spark, sf_dir).raw.table("documents")
-    return d.select("doc_id", mask_email("text").alias("masked"))
+@query(
+    "policy_bronze_customers",
+    sql("customers", body=f"""SELECT customer_id AS "CUSTOMER_ID", {_MASK_EMAIL.format('email')} AS "EMAIL",
+        '***-***-' || right(phone, 4) AS "PHONE", '[REDACTED]' AS "FIRST_NAME", '[REDACTED]' AS "LAST_NAME" FROM customers"""),
+)
+def policy_bronze_customers(spark, sf_dir):
+    # bronze columns are upper case
+    c = gold(spark, sf_dir).silver("customers").select("customer_id", "email", "phone", "first_name", "last_name")
+    return apply_policy(c.toDF(*[n.upper() for n in c.columns]), "Customers", ["analysts_na"])
 
 
 @query(
@@ -749,14 +769,14 @@ def stream_changes_scd2(spark, sf_dir):
     g = gold(spark, sf_dir)
     path = scratch_path(spark, "changes")
     changes = g.raw.table("events").selectExpr("user_id", "event_id", "event_type as kind", "ts")
-    for half in ("ts < '2024-01-16'", "ts >= '2024-01-16'"):
+    for half in ("ts >= '2024-01-16'", "ts < '2024-01-16'"):  # the later half arrives first
         changes.filter(half).coalesce(1).write.mode("append").parquet(path)
     state = PartitionedState(spark, scratch_path(spark, "state"), jobs.BUCKET)
     jobs.stream_apply_changes(
         jobs.read_files(spark, path, changes.schema, 1), state, scratch_path(spark, "checkpoint"), ["user_id"],
         "event_id", scd=2, tracked=["kind"], event_time="ts", buckets=8,
     ).awaitTermination()
-    return plain(state.read().select("user_id", "kind", "_valid_from", "_version"))
+    return plain(shown_versions(state.read()).select("user_id", "kind", "_valid_from", "_version"))
 
 
 @query(

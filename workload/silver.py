@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.exprs import change_hash, hash_key, nps_category, year_month, year_month_text
 from tidemark.operators import quality as q
 from tidemark.operators.contracts import key_issues
-from tidemark.operators.history import chain_versions, initial_versions, late_changes, scd2, scd2_feed
+from tidemark.operators.history import chain_versions, initial_versions, late_changes, scd2, scd2_feed, shown_versions
 from tidemark.operators.joins import asof_join, orphans, with_parent
 from tidemark.operators.keys import assign_keys
 from tidemark.operators.latest import cdc_latest, keep_latest
@@ -22,6 +22,7 @@ from tidemark.plans.quality_rules import (
     CUSTOMER_LOAD_RULES, GOLD_DQ, ORDER_LOAD_RULES, REFERENTIAL, SILVER_DQ,
 )
 from tidemark.sources.increments import cdc_changes, read_increment
+from tidemark.session import durable
 from workload.model import gold, plain, r4
 from workload.sql_entities import sql
 
@@ -447,7 +448,64 @@ def scd2_two_feeds(spark, sf_dir):
     changes = _event_changes(gold(spark, sf_dir))
     first = scd2_feed(None, changes.filter("ts < '2024-01-16'"), ["user_id"], ["kind"], "ts", ["event_id"])
     out = scd2_feed(first, changes.filter("ts >= '2024-01-16'"), ["user_id"], ["kind"], "ts", ["event_id"])
-    return plain(out.select(*_CHAIN_COLS))
+    return plain(shown_versions(out).select(*_CHAIN_COLS))
+
+
+@query("scd2_late_feed", _CHAIN)
+def scd2_late_feed(spark, sf_dir):
+    # both parts cover all days; the later half of the ids comes first
+    changes = _event_changes(gold(spark, sf_dir))
+    first = scd2_feed(None, changes.filter("event_id % 2 = 1"), ["user_id"], ["kind"], "ts", ["event_id"])
+    out = scd2_feed(durable(first, "late"), changes.filter("event_id % 2 = 0"), ["user_id"], ["kind"], "ts", ["event_id"])
+    return plain(shown_versions(out).select(*_CHAIN_COLS))
+
+
+@query(
+    "scd2_same_instant",
+    _CHAIN.replace("FROM events)", """FROM (SELECT user_id, date_trunc('day', ts) AS ts, arg_max(event_type, event_id)
+               AS event_type FROM events GROUP BY ALL))"""),
+)
+def scd2_same_instant(spark, sf_dir):
+    # many events share a day; the one with the highest id counts, also when it arrives first
+    changes = _event_changes(gold(spark, sf_dir)).withColumn("ts", F.date_trunc("day", "ts"))
+    first = scd2_feed(None, changes.filter("event_id % 3 = 0"), ["user_id"], ["kind"], "ts", ["event_id"])
+    out = scd2_feed(durable(first, "same"), changes.filter("event_id % 3 <> 0"), ["user_id"], ["kind"], "ts", ["event_id"])
+    return plain(shown_versions(out).select(*_CHAIN_COLS))
+
+
+@query(
+    "scd2_deletes",
+    """SELECT user_id, kind, _valid_from, _valid_to, _is_current,
+              CAST(row_number() OVER (PARTITION BY user_id ORDER BY _valid_from) AS INTEGER) AS _version
+       FROM (SELECT user_id, kind, strftime(ts, '%Y-%m-%d %H:%M:%S') AS _valid_from,
+                    strftime(lead(ts) OVER w, '%Y-%m-%d %H:%M:%S') AS _valid_to,
+                    CAST(lead(ts) OVER w IS NULL AS INTEGER) AS _is_current
+             FROM (SELECT user_id, ts, event_type AS kind, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS before
+                   FROM events)
+             WHERE before IS NULL OR before <> kind WINDOW w AS (PARTITION BY user_id ORDER BY ts))
+       WHERE kind <> 'error'""",
+)
+def scd2_deletes(spark, sf_dir):
+    changes = _event_changes(gold(spark, sf_dir))
+    gone = F.col("kind") == "error"
+    first = scd2_feed(None, changes.filter("event_id % 2 = 1"), ["user_id"], ["kind"], "ts", ["event_id"], gone)
+    out = scd2_feed(durable(first, "gone"), changes.filter("event_id % 2 = 0"), ["user_id"], ["kind"], "ts", ["event_id"], gone)
+    return plain(shown_versions(out).select(*_CHAIN_COLS))
+
+
+@query(
+    "scd2_null_event_time",
+    sql("customers", "customers_v2", body=_SCD2.replace(
+        "a.status IS DISTINCT FROM b.status", "(a.status IS DISTINCT FROM b.status AND a.customer_id % 3 <> 0)"
+    ).replace("a.status IS NOT DISTINCT FROM b.status", "(a.status IS NOT DISTINCT FROM b.status OR a.customer_id % 3 = 0)")),
+)
+def scd2_null_event_time(spark, sf_dir):
+    # a third of the changes has no event time; they are ignored, and the batch comes twice
+    g = gold(spark, sf_dir)
+    args = (["customer_id"], _TRACKED, "last_update_date")
+    change = g.customers_v2().withColumn("last_update_date", F.when(F.col("customer_id") % 3 != 0, F.col("last_update_date")))
+    once = scd2(scd2(None, g.silver("customers"), *args), change, *args)
+    return plain(scd2(once, change, *args).select(*_SCD2_COLS))
 
 
 @query(
@@ -510,6 +568,71 @@ def fact_merge_partitions(spark, sf_dir):
     return merge_fact(target, source, "line_id", "m", created=None)
 
 
+@query(
+    "fact_merge_null_partition",
+    """WITH t AS (SELECT o_orderkey AS line_id, CASE WHEN o_orderstatus <> 'P' THEN CAST(strftime(o_orderdate, '%Y%m') AS INTEGER)
+                  END AS m, o_totalprice AS v FROM orders),
+            s AS (SELECT o_orderkey AS line_id, NULL::INTEGER AS m, o_totalprice + 1 AS v FROM orders
+                  WHERE o_orderpriority = '1-URGENT' AND o_orderdate < TIMESTAMP '1997-06-01'),
+            touched AS (SELECT m FROM s UNION SELECT t.m FROM t JOIN s USING (line_id))
+       SELECT t.line_id, t.m, t.v FROM t JOIN touched ON t.m IS NOT DISTINCT FROM touched.m
+       WHERE t.line_id NOT IN (SELECT line_id FROM s) UNION ALL SELECT line_id, m, v FROM s""",
+)
+def fact_merge_null_partition(spark, sf_dir):
+    # rows lose their date, so the partition without one is rewritten beside those they leave
+    o = gold(spark, sf_dir).raw.table("orders")
+    month = F.when(F.col("o_orderstatus") != "P", year_month("o_orderdate"))
+    target = o.select(F.col("o_orderkey").alias("line_id"), month.alias("m"), F.col("o_totalprice").alias("v"))
+    source = o.filter("o_orderpriority = '1-URGENT' and o_orderdate < '1997-06-01'").select(
+        F.col("o_orderkey").alias("line_id"), F.lit(None).cast("int").alias("m"), (F.col("o_totalprice") + 1).alias("v")
+    )
+    return merge_fact(target, source, "line_id", "m", created=None)
+
+
+@query(
+    "scd1_missing_columns",
+    """SELECT c_custkey AS k, CASE WHEN c_custkey % 4 = 0 THEN 'new' ELSE c_name END AS name, c_acctbal AS balance FROM customer
+       UNION ALL SELECT c_custkey + 100000000, 'new', NULL FROM customer WHERE c_custkey % 8 = 0""",
+)
+def scd1_missing_columns(spark, sf_dir):
+    # the batch brings no balances: known customers keep theirs
+    c = gold(spark, sf_dir).raw.table("customer")
+    target = c.select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"))
+    known = c.filter("c_custkey % 4 = 0").select(F.col("c_custkey").alias("k"))
+    fresh = c.filter("c_custkey % 8 = 0").select((F.col("c_custkey") + 100_000_000).alias("k"))
+    return scd1(target, known.unionByName(fresh).withColumn("name", F.lit("new")), ["k"]).select("k", "name", "balance")
+
+
+def _asof_overlapping(spark, sf_dir, bound):
+    """Versions of very different lengths that overlap and nest."""
+    e = gold(spark, sf_dir).raw.table("events")
+    until = F.when(F.col("event_id") % 5 != 0, F.expr("ts + make_dt_interval(event_id % 9, event_id % 7)"))
+    versions = e.filter("event_type in ('signup', 'error')").select("user_id", "event_id", F.col("ts").alias("_valid_from"), until.alias("_valid_to"))
+    purchases = e.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    return asof_join(purchases, versions, "user_id", "ts", {"version_id": "event_id"}, versions_per_key=bound).select("event_id", "version_id")
+
+
+_OVERLAPPING = """
+    WITH versions AS (SELECT user_id, event_id AS v, ts, CASE WHEN event_id % 5 <> 0
+           THEN ts + to_days(CAST(event_id % 9 AS INTEGER)) + to_hours(event_id % 7) END AS until
+         FROM events WHERE event_type IN ('signup', 'error')),
+       last AS (SELECT e.event_id, arg_max(struct_pack(v := v.v, until := v.until), v.ts) AS x
+         FROM (SELECT * FROM events WHERE event_type = 'purchase') e JOIN versions v ON v.user_id = e.user_id AND e.ts >= v.ts
+         GROUP BY 1)
+    SELECT e.event_id, CASE WHEN x.until IS NULL OR e.ts < x.until THEN x.v END AS version_id
+    FROM (SELECT * FROM events WHERE event_type = 'purchase') e LEFT JOIN last USING (event_id)"""
+
+
+@query("asof_overlapping_measured", _OVERLAPPING)
+def asof_overlapping_measured(spark, sf_dir):
+    return _asof_overlapping(spark, sf_dir, 64)
+
+
+@query("asof_overlapping", _OVERLAPPING)
+def asof_overlapping(spark, sf_dir):
+    return _asof_overlapping(spark, sf_dir, None)
+
+
 # -- data quality -------------------------------------------------------------------------------------------------
 
 _HEADER_FAIL = """list_filter([CASE WHEN order_id IS NULL THEN 'DQ-N-005' END,
