@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 # Metadata columns left out of drift reports.
 METADATA_COLUMNS = frozenset(
-    "_cdc_operation _cdc_version _ingest_timestamp _pipeline_run_id _load_timestamp _is_deleted _is_current "
-    "_valid_from _valid_to _hash_key _version _source_system ingest_date".split()
-)
+    {
+        "_cdc_operation", "_cdc_version", "_ingest_timestamp", "_pipeline_run_id", "_load_timestamp", "_is_deleted",
+        "_is_current", "_valid_from", "_valid_to", "_hash_key", "_version", "_source_system", "ingest_date",
+    }
+)
 
 
 def schema_drift(source: DataFrame, target: DataFrame, ignore=METADATA_COLUMNS) -> dict[str, list[str]]:

@@ -61,7 +61,7 @@ def scd2(
     keys = list(keys)
     source = source.dropna(subset=keys)
     if check_unique:
-        source = one_row_per_key(source, keys)
+        source = one_row_per_key(source, keys, keep_null=False)
     incoming = initial_versions(source, tracked, event_time)
     if target is None:
         return incoming

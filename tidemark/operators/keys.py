@@ -27,6 +27,16 @@ def _offsets(counts: DataFrame) -> DataFrame:
     return inner.join(tops, "_top").select("_bucket", (F.col("_base") + F.col("_inner")).alias("_offset"))
 
 
+def _range_bucket(df: DataFrame, key: str, buckets: int = 256, sample: int = 4096) -> Column:
+    """Number of a range of keys. The bounds come from the keys with the least hashes, so the ranges are about equal;
+    they decide the balance alone, and at most ``sample`` values reach the driver."""
+    rows = df.select(key).dropna().distinct().orderBy(F.xxhash64(key), key).limit(sample).orderBy(key).collect()
+    step = max(1, len(rows) // buckets)
+    bounds = [F.lit(r[0]) for r in rows[step - 1 :: step]]
+    below = F.size(F.filter(F.array(*bounds), lambda b: b < F.col(key))) if bounds else F.lit(0)
+    return below.cast("long")
+
+
 def assign_keys(
     df: DataFrame,
     key: str,
@@ -37,11 +47,13 @@ def assign_keys(
     """Fill null ``surrogate`` values with ``start + rank of the business key``; other rows keep theirs.
 
     Dense, deterministic and equal to ``start + row_number() over (order by key)``, without a global window:
-    buckets of the (integer) key are ranked in parallel and a small table of bucket sizes gives the offsets.
+    buckets of the key are ranked in parallel and a small table of bucket sizes gives the offsets. Integer keys fall into
+    buckets by their high bits, other orderable types by range (:func:`_range_bucket`).
     Keys that are new must be unique, unless ``ordinal`` names a 1-based position within the key.
     """
     start = F.lit(start) if isinstance(start, int) else start
-    bucket = F.shiftright(F.col(key).cast("long"), _BITS)
+    integer = df.schema[key].dataType.typeName() in ("byte", "short", "integer", "long")
+    bucket = F.shiftright(F.col(key).cast("long"), _BITS) if integer else _range_bucket(df, key)
     fresh = F.col(surrogate).isNull()
     if ordinal is not None:
         sizes = df.filter(fresh).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))

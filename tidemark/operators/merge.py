@@ -37,11 +37,12 @@ def _all_keys(keys: Sequence[str]) -> Column:
     return cond
 
 
-def one_row_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def one_row_per_key(df: DataFrame, keys: Sequence[str], keep_null: bool = True) -> DataFrame:
     """Fail at run time when a non-null key occurs twice.
 
     A map-side combined aggregate, not a window, so even a key repeated a billion times reaches the reducer as
-    one row per map task. Rows with a null key match nothing and pass through.
+    one row per map task. Rows with a null key match nothing and pass through (at a second scan), unless the caller has
+    no use for them.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
@@ -51,7 +52,8 @@ def one_row_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     message = F.concat(F.lit("several source rows for one key: "), F.to_json(F.struct(*keys)))
     guarded = keyed.filter(F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
     unique = guarded.select(*keys, *([F.col("_row")[c].alias(c) for c in rest]))
-    return unique.select(*df.columns).unionByName(df.filter(~_all_keys(keys)))
+    unique = unique.select(*df.columns)
+    return unique.unionByName(df.filter(~_all_keys(keys))) if keep_null else unique
 
 
 def merge(
@@ -141,12 +143,14 @@ def apply_cdc(
     op: str = "SYS_CHANGE_OPERATION",
     version: str = "SYS_CHANGE_VERSION",
     tracked_version: str = "_cdc_version",
+    tombstones: bool = False,
 ) -> DataFrame:
     """Apply a change feed: last change per key, then delete / update / insert.
 
     ``hard``: D removes the row. ``soft``: D sets ``_is_deleted``, I and U clear it, an unmatched D is ignored.
     The version of the last applied change stays in ``_cdc_version``, and an older change for the same key is
-    ignored, so batches may arrive late or twice.
+    ignored, so batches may arrive late or twice. With ``tombstones`` a D for a key the table has never seen stays as a
+    deleted row with its version (soft deletes only), so that an older insert arriving later loses.
     """
     keys = list(keys)
     latest = cdc_latest(feed, keys, version)
@@ -178,6 +182,9 @@ def apply_cdc(
         Clause("update", f"s.{op} in ('U', 'I') and {newer}", update_values),
         Clause("insert", f"s.{op} <> 'D'", insert_values),
     ]
+    if tombstones:
+        kept = {**{k: f"s.`{k}`" for k in keys}, tracked_version: f"s.{tracked_version}", "_is_deleted": "true"}
+        clauses.append(Clause("insert", f"s.{op} = 'D'", kept))
     return merge(target, latest, keys, clauses, check_unique=False)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.exprs import full_name
 from tidemark.operators.history import scd2
 from tidemark.operators.keys import MEMBERS, assign_keys, max_key, with_members
+from tidemark.session import durable
 
 AUDIT = "_created_date timestamp, _last_modified_date timestamp, _pipeline_run_id string"
 
@@ -67,7 +68,7 @@ def _scd1_dim(
 ) -> DataFrame:
     """Overwrite attributes of known keys, number new keys, keep the rest, add special members."""
     surrogate = f"{name}_key"
-    rows = _stamp(source.filter(F.col(key).isNotNull()), run_id, now)
+    rows = durable(_stamp(source.filter(F.col(key).isNotNull()), run_id, now), name)  # numbering reads it several times
     if target is None:
         rows = assign_keys(rows.withColumn(surrogate, F.lit(None).cast("long")), key, surrogate)
         return with_members(_shape(rows, name), MEMBERS[name], surrogate)
@@ -115,10 +116,12 @@ def build_dim_customer(
             target, source, ["customer_id"], CUSTOMER_TRACKED, "last_update_date", overwrite=CUSTOMER_OVERWRITE
         )
         start = max_key(target, "dim_customer_key")
-    # one new version per key and batch, so its position among the new rows of the key is always 1
-    merged = merged.withColumn("_ordinal", F.lit(1))
-    keyed = assign_keys(merged, "customer_id", "dim_customer_key", start, "_ordinal").drop("_ordinal")
-    return with_members(_shape(keyed, "dim_customer"), MEMBERS["dim_customer"], "dim_customer_key", target)
+    # the merge runs once; only its new versions, one for each key of the batch at most, are numbered
+    merged = durable(_shape(merged, "dim_customer"), "dim_customer")
+    is_new = F.col("dim_customer_key").isNull()
+    fresh = assign_keys(merged.filter(is_new), "customer_id", "dim_customer_key", start)
+    keyed = merged.filter(~is_new).unionByName(fresh)
+    return with_members(keyed, MEMBERS["dim_customer"], "dim_customer_key", target)
 
 
 def build_dim_product(

@@ -11,7 +11,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemark.operators.history import scd2_feed
-from tidemark.operators.latest import cdc_latest
 from tidemark.operators.merge import apply_cdc, merge_fact
 from tidemark.operators.quality import FAILED, Rule, dq_check, enforce_threshold, error_share
 from tidemark.session import durable
@@ -102,12 +101,11 @@ def stream_apply_changes(
 
     def scd1(target: DataFrame | None, batch: DataFrame) -> DataFrame:
         if target is None:
-            # an empty table of the same shape: a key first seen as a delete becomes a tombstone further down
+            # an empty table of the same shape: a key first seen as a delete becomes a tombstone
             target = batch.limit(0).drop(op, sequence).withColumns(
                 {"_cdc_version": F.lit(None).cast("long"), "_is_deleted": F.lit(False)}
             )
-        applied = apply_cdc(target, batch, keys, delete="soft", op=op, version=sequence)
-        return applied.unionByName(_tombstones(applied, batch, keys, op, sequence), allowMissingColumns=True)
+        return apply_cdc(target, batch, keys, delete="soft", op=op, version=sequence, tombstones=True)
 
     def scd2(target: DataFrame | None, batch: DataFrame) -> DataFrame:
         gone = F.col(op) == "D" if op in batch.columns else None
@@ -121,13 +119,6 @@ def stream_apply_changes(
     return _start(stream, checkpoint, each, once)
 
 
-def _tombstones(applied: DataFrame, batch: DataFrame, keys: Sequence[str], op: str, sequence: str) -> DataFrame:
-    """Deleted keys the table has never seen, kept with their version so that an older insert arriving later loses."""
-    last = cdc_latest(batch, keys, sequence).filter(F.col(op) == "D")
-    unseen = last.join(applied.select(*keys), list(keys), "left_anti")
-    return unseen.select(*keys, F.col(sequence).cast("long").alias("_cdc_version"), F.lit(True).alias("_is_deleted"))
-
-
 def refresh_fact(
     state: PartitionedState, key: str, rows: DataFrame, batch_id: int, deleted: DataFrame | None = None
 ) -> None:

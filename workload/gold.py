@@ -6,16 +6,18 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import UNKNOWN_KEY
+from tidemark.functions.exprs import UNKNOWN_KEY, year_month
 from tidemark.functions.masking import MASKED, mask_email, mask_phone, mask_string
 from tidemark.operators import quality as q
 from tidemark.operators.contracts import CONTRACTS, to_contract
 from tidemark.operators.governance import apply_policy, row_filter
 from tidemark.operators.history import shown_versions
 from tidemark.operators.lineage import dependency_levels
+from tidemark.operators.merge import merge_fact
 from tidemark.operators.quality import reconcile_sum, unknown_usage
 from tidemark.plans import aggregates, facts, views
 from tidemark.plans.metrics import campaign_costs, query_metrics
+from tidemark.plans.published import published
 from tidemark.plans.quality_rules import GOLD_MEASURES, GOLD_UNIQUE, SILVER_DQ
 from tidemark.session import scratch_path
 from tidemark.sources.calendar import calendar_for
@@ -422,6 +424,58 @@ def contract_customer_metrics(spark, sf_dir):
     return plain(out)
 
 
+@query(
+    "contract_dim_customer",
+    sql("dim_customer", body="""SELECT md5(customer_id || '||' || strftime(_valid_from, '%Y-%m-%d %H:%M:%S')) AS customer_sk,
+        CAST(customer_id AS VARCHAR) AS customer_id, split_part(full_name, ' ', 1) AS first_name,
+        CASE WHEN contains(full_name, ' ') THEN substring(full_name, instr(full_name, ' ') + 1) END AS last_name,
+        email, status, strftime(_valid_from, '%Y-%m-%d %H:%M:%S') AS _valid_from,
+        strftime(_valid_to, '%Y-%m-%d %H:%M:%S') AS _valid_to, CAST(_is_current AS INTEGER) AS _is_current, 0 AS _is_deleted
+        FROM dim_customer"""),
+)
+def contract_dim_customer(spark, sf_dir):
+    return plain(published("dim_customer", gold(spark, sf_dir).dim("dim_customer")))
+
+
+@query(
+    "contract_fact_sales",
+    sql("fact_sales", body="""SELECT CAST(line_id AS VARCHAR) AS order_line_id, CAST(order_id AS VARCHAR) AS order_id,
+        CAST(dim_customer_key AS VARCHAR) AS customer_sk, CAST(dim_product_key AS VARCHAR) AS product_sk,
+        CAST(dim_campaign_key AS VARCHAR) AS campaign_sk, order_status, CAST(line_total AS DOUBLE) AS total_amount,
+        CAST(strptime(CAST(dim_date_key AS VARCHAR), '%Y%m%d') AS DATE) AS order_date FROM fact_sales"""),
+)
+def contract_fact_sales(spark, sf_dir):
+    return plain(published("fact_sales", gold(spark, sf_dir).fact("fact_sales")))
+
+
+@query(
+    "contract_campaign_roi",
+    sql("roi", "dim_campaign", body=f"""SELECT CAST(k.campaign_id AS VARCHAR) AS campaign_id,
+        make_date(r.year_month // 100, r.year_month % 100, 1) AS reporting_month, r.total_spend,
+        CAST(r.customers_acquired AS INTEGER) AS customers_acquired, r.customer_acquisition_cost
+        FROM (SELECT {_ROI_SQL} FROM roi) r JOIN dim_campaign k USING (dim_campaign_key)"""),
+)
+def contract_campaign_roi(spark, sf_dir):
+    g = gold(spark, sf_dir)
+    named = g.roi().join(g.dim("dim_campaign").select("dim_campaign_key", "campaign_id"), "dim_campaign_key")
+    return plain(published("agg_monthly_campaign_roi", named))
+
+
+@query(
+    "fact_sales_after_deletes",
+    sql("fact_sales", body="""SELECT line_id, order_year_month, CAST(line_total AS DOUBLE) AS line_total FROM fact_sales
+        WHERE order_status <> 'CANCELLED'"""),
+)
+def fact_sales_after_deletes(spark, sf_dir):
+    # cancelled orders are deleted: the partitions they stood in are rewritten, the others stay
+    fact = gold(spark, sf_dir).fact("fact_sales")
+    gone = fact.filter("order_status = 'CANCELLED'").select("line_id", "order_year_month")
+    touched = [r[0] for r in gone.select("order_year_month").distinct().collect()]
+    merged = merge_fact(fact, fact.limit(0), "line_id", "order_year_month", deleted=gone, touched=touched)
+    stays = fact.filter(~F.coalesce(F.col("order_year_month").isin(touched), F.lit(False)))
+    return plain(merged.unionByName(stays).select("line_id", "order_year_month", "line_total"))
+
+
 # -- marts --------------------------------------------------------------------------------------------------------
 
 @query(
@@ -523,6 +577,37 @@ def metric_clv_by_campaign(spark, sf_dir):
     return out.select("campaign", F.round(F.col("customer_lifetime_value").cast("double"), 2).alias("customer_lifetime_value"))
 
 
+@query(
+    "metric_null_campaign",
+    sql("fact_sales", "dim_campaign", "campaigns", body=f"""SELECT campaign,
+        round(CAST(sum(line_total) AS DOUBLE) - coalesce(max(cost), 0), 2) AS customer_lifetime_value
+        FROM (SELECT nullif(dim_campaign_key, 5) AS campaign, sum(line_total) AS line_total FROM fact_sales GROUP BY 1) f
+        LEFT JOIN (SELECT nullif(dim_campaign_key, 5) AS c, max(acquisition_cost) AS cost FROM ({_COSTS}) GROUP BY 1) k
+        ON f.campaign IS NOT DISTINCT FROM k.c GROUP BY 1"""),
+)
+def metric_null_campaign(spark, sf_dir):
+    # the group without a campaign has revenue and cost like any other
+    tables = {n: t.withColumn("dim_campaign_key", F.expr("nullif(dim_campaign_key, 5)")) for n, t in _metric_tables(gold(spark, sf_dir)).items()}
+    out = query_metrics(tables, ["customer_lifetime_value"], ["campaign"]).filter("customer_lifetime_value is not null")
+    return out.select("campaign", F.round(F.col("customer_lifetime_value").cast("double"), 2).alias("customer_lifetime_value"))
+
+
+@query(
+    "metric_campaign_without_sales",
+    sql("fact_sales", "dim_campaign", "campaigns", body=f"""SELECT coalesce(f.k, c.k) AS campaign, average_order_value, customer_acquisition_cost
+        FROM (SELECT dim_campaign_key AS k, {ratio("sum(line_total) * 100", "count(DISTINCT order_id) * 100")} AS average_order_value
+              FROM fact_sales WHERE dim_campaign_key % 3 <> 0 GROUP BY 1) f
+        FULL JOIN (SELECT dim_campaign_key AS k, {ratio("sum(total_spend) * 100", "sum(customers_acquired) * 100")}
+              AS customer_acquisition_cost FROM ({_COSTS}) GROUP BY 1) c ON f.k = c.k"""),
+)
+def metric_campaign_without_sales(spark, sf_dir):
+    tables = _metric_tables(gold(spark, sf_dir))
+    out = query_metrics(
+        tables, ["average_order_value", "customer_acquisition_cost"], ["campaign"], {"sales": "dim_campaign_key % 3 <> 0"}
+    )
+    return _ratios(out, "average_order_value", "customer_acquisition_cost")
+
+
 @query(
     "metric_clv_by_customer",
     sql("fact_sales", "dim_campaign", "campaigns", body=f"""SELECT dim_customer_key AS customer,
@@ -825,3 +910,24 @@ def stream_gold_interactions(spark, sf_dir):
         F.count_if(F.col("dim_customer_key") == UNKNOWN_KEY).alias("unknown"),
         F.sum("interaction_id").alias("id_sum"),
     )
+
+
+@query(
+    "stream_gold_orders",
+    """SELECT CAST(strftime(CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderdate + INTERVAL 1 MONTH ELSE o_orderdate END,
+              '%Y%m') AS INTEGER) AS m, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS id_sum FROM orders GROUP BY 1""",
+)
+def stream_gold_orders(spark, sf_dir):
+    # some eighty month partitions; the last file moves the urgent orders by a month
+    g = gold(spark, sf_dir)
+    path = scratch_path(spark, "orders")
+    day = F.col("o_orderdate")
+    rows = g.raw.table("orders").select("o_orderkey", "o_orderpriority", year_month(day).alias("m"), day.alias("day"))
+    rows.repartitionByRange(4, "o_orderkey").write.parquet(path)
+    moved = rows.filter("o_orderpriority = '1-URGENT'").withColumn("m", year_month(F.add_months("day", 1)))
+    moved.coalesce(1).write.mode("append").parquet(path)
+    state = PartitionedState(spark, scratch_path(spark, "fact"), "m")
+    jobs.stream_gold(
+        jobs.read_files(spark, path, rows.schema, 2), state, scratch_path(spark, "checkpoint"), "o_orderkey", lambda batch: batch
+    ).awaitTermination()
+    return state.read().groupBy("m").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("id_sum"))

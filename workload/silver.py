@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -221,6 +222,16 @@ def surrogate_keys(spark, sf_dir):
     return assign_keys(orders, "o_orderkey", "order_key", 100)
 
 
+@query(
+    "surrogate_keys_text",
+    """SELECT o_orderkey, row_number() OVER (ORDER BY CAST(o_orderkey AS VARCHAR) COLLATE "binary") AS order_key FROM orders""",
+)
+def surrogate_keys_text(spark, sf_dir):
+    orders = gold(spark, sf_dir).raw.table("orders").selectExpr("o_orderkey", "cast(o_orderkey as string) as name")
+    keyed = assign_keys(orders.withColumn("order_key", F.lit(None).cast("long")), "name", "order_key")
+    return keyed.select("o_orderkey", "order_key")
+
+
 @query(
     "surrogate_keys_per_version",
     """SELECT user_id, event_id, row_number() OVER (ORDER BY user_id, event_id) AS version_key FROM events""",
@@ -729,6 +740,35 @@ def dq_dead_letters(spark, sf_dir):
     )
 
 
+@query(
+    "dlq_warnings",
+    sql("customers", body=f"""SELECT customer_id, rule_id, 'WARNING' AS severity FROM (
+        SELECT customer_id, unnest(list_filter([CASE WHEN NOT regexp_matches(email, {_EMAIL}) THEN 'DQ-F-001' END,
+            CASE WHEN status IS NULL THEN 'STATUS_IS_NULL' END], lambda x: x IS NOT NULL)) AS rule_id
+        FROM customers WHERE customer_id IS NOT NULL AND email IS NOT NULL)"""),
+)
+def dlq_warnings(spark, sf_dir):
+    # rows that load with a warning are logged too
+    good, _ = q.dq_split(gold(spark, sf_dir).silver.standardised("customers"), SILVER_DQ["customers"])
+    log = q.dlq_rows(good, SILVER_DQ["customers"], "run-1", "customers", datetime(2024, 2, 1), q.WARNED)
+    return log.select(F.get_json_object("row_data", "$.customer_id").cast("long").alias("customer_id"), "rule_id", "severity")
+
+
+@query(
+    "dlq_gold_rejects",
+    sql("lines_std", body="""SELECT line_id, unnest(list_filter([CASE WHEN NOT coalesce(line_total >= 1500, false)
+        THEN 'DQ-G-F-001' END, CASE WHEN NOT coalesce(quantity > 2, false) THEN 'DQ-G-F-002' END],
+        lambda x: x IS NOT NULL)) AS rule_id FROM lines_std"""),
+)
+def dlq_gold_rejects(spark, sf_dir):
+    # the rules of the fact with stricter limits, so that there is something to reject
+    limits = {"line_total": "line_total >= 1500", "quantity": "quantity > 2"}
+    rules = [replace(r, valid=limits[r.column]) for r in GOLD_DQ["fact_sales"]]
+    _, bad = q.dq_split(gold(spark, sf_dir).silver.standardised("oe_order_lines_all"), rules)
+    log = q.dlq_rows(bad, rules, "run-1", "fact_sales", datetime(2024, 2, 1))
+    return log.select(F.get_json_object("row_data", "$.line_id").cast("long").alias("line_id"), "rule_id")
+
+
 _SUMMARY_SQL = {
     "customers": ("customers", [("DQ-N-001", "ERROR", "customer_id IS NULL"), ("DQ-N-002", "SKIP_ROW", "email IS NULL"),
                                 ("DQ-F-001", "WARNING", f"NOT regexp_matches(email, {_EMAIL})"),
