@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ann, decontam, jaccard, language, licenses, packing, pii, secret_scan, urls, warc
+from tidemark.llm import ann, decontam, jaccard, language, licenses, oracles, packing, pii, secret_scan, urls, warc
 from tidemark.session import tune
 
 QUERIES: list[tuple] = []
@@ -50,7 +50,7 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digest(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
 
 
-@query("op2_license_scan")
+@query("op2_license_scan", oracles.license_report())
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(licenses.scan_licenses(table(spark, sf_dir, "documents")))
 
@@ -60,30 +60,30 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
-@query("op9_pii")
+@query("op9_pii", oracles.personal_data())
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(pii.pii_spans(table(spark, sf_dir, "documents")))
 
 
-@query("op10_url_filter")
+@query("op10_url_filter", oracles.url_filter(URL_RULES))
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return urls.filter_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
-@query("op8_jaccard_join")
+@query("op8_jaccard_join", oracles.jaccard_components())
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
-@query("op4_warc_chain")
+@query("op4_warc_chain", oracles.warc())
 def op4_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = warc.archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
-@query("op5_decontaminate")
+@query("op5_decontaminate", oracles.contained_items())
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
