@@ -29,6 +29,16 @@ def schema_drift(source: DataFrame, target: DataFrame, ignore=METADATA_COLUMNS)
     }
 
 
+class SchemaDriftError(ValueError):
+    """A batch has lost, gained or retyped columns."""
+
+
+def require_no_drift(source: DataFrame, target: DataFrame, name: str) -> None:
+    found = {kind: columns for kind, columns in schema_drift(source, target).items() if columns}
+    if found:
+        raise SchemaDriftError(f"{name}: {found}")
+
+
 @dataclass(frozen=True)
 class Contract:
     dataset: str

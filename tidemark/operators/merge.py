@@ -188,17 +188,27 @@ def apply_cdc(
     return merge(target, latest, keys, clauses, check_unique=False)
 
 
-def scd1(target: DataFrame | None, source: DataFrame, keys: Sequence[str], check_unique: bool = True) -> DataFrame:
+def scd1(
+    target: DataFrame | None,
+    source: DataFrame,
+    keys: Sequence[str],
+    check_unique: bool = True,
+    version: str | None = None,
+) -> DataFrame:
     """Upsert: source rows win, unmatched target rows stay; columns the source lacks keep the target's values.
 
     Target rows whose key is in the source are dropped by an anti join and the source is appended, so only the
-    source *keys* are shuffled, not its rows.
+    source *keys* are shuffled, not its rows. With ``version`` a source row older than the target's is ignored.
     """
     keys = list(keys)
     if check_unique:
         source = one_row_per_key(source, keys)
     if target is None:
         return source
+    if version is not None and version in target.columns and version in source.columns:
+        known = target.select(*keys, F.col(version).alias("_known"))
+        fresh = F.coalesce(F.col(version) >= F.col("_known"), F.lit(True))
+        source = source.join(known, keys, "left").filter(fresh).drop("_known")
     source = with_kept_columns(source, target, keys)
     untouched = target.join(source.select(*keys), keys, "left_anti")
     return untouched.unionByName(source, allowMissingColumns=True)

@@ -1,7 +1,8 @@
 """The whole run: raw batches -> silver -> gold, written to a folder.
 
-Every layer is stored before the next one reads it, so no lineage spans layers and nothing is computed twice. Silver
-and dimension tables get a new folder per run; facts keep versioned partitions and only touched ones are rewritten.
+Every layer is stored before the next one reads it, so no lineage spans layers and nothing is computed twice. Dimension
+tables get a new folder per run. Silver tables keep versioned key buckets and facts versioned months; a run reads and
+rewrites only those that its batch touches.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality as q
+from tidemark.operators.contracts import require_no_drift
 from tidemark.operators.history import scd2
 from tidemark.operators.joins import hot_keys
 from tidemark.operators.latest import keep_latest
@@ -25,10 +27,10 @@ from tidemark.plans.entities import ENTITIES, standardise
 from tidemark.plans.quality_rules import GOLD_DQ, REFERENTIAL, SILVER_DQ
 from tidemark.session import durable
 from tidemark.sources.calendar import DEFAULT_END, DEFAULT_START, build_dim_date
-from tidemark.streaming.jobs import refresh_fact
+from tidemark.streaming.jobs import BUCKET, refresh_fact, with_bucket
 from tidemark.sources.sinks import append_table, write_table
 from tidemark.sources.tables import is_empty
-from tidemark.streaming.state import PartitionedState
+from tidemark.streaming.state import PartitionedState, touched_values
 
 # The place of each stored table in the run log; new tables go to the end.
 LOGGED = (
@@ -52,16 +54,20 @@ def _store(df: DataFrame, path: str, **layout) -> DataFrame:
 def silver_entity(
     name: str,
     bronze: DataFrame,
-    previous: DataFrame | None,
+    state: PartitionedState,
+    run_no: int,
     path: str,
     run_id: str,
     now: datetime,
     error_limit: float = 0.05,
+    buckets: int = 64,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """One entity: dedupe, standardise, check, merge. Returns (silver table, checked rows, deleted keys of this batch).
 
     Deletes carry no payload, so they skip the quality rules and only mark their key. A batch of which more than
-    ``error_limit`` of the rows would be quarantined, or whose keys are all null, stops the run.
+    ``error_limit`` of the rows would be quarantined, whose keys are all null, or whose columns differ from the stored
+    table's stops the run. Only the key buckets of the batch are read and written; a row older than the stored one is
+    ignored.
     """
     entity = ENTITIES[name]
     keys = list(entity.keys)
@@ -69,22 +75,29 @@ def silver_entity(
     tie = [c for c in bronze.columns if c not in (*order, *(k.upper() for k in keys))]
     latest = keep_latest(bronze, [k.upper() for k in keys], order, tie)
     rows = add_silver_metadata(standardise(name, latest), run_id, now)
+    stored = state.read()
+    if stored is not None:
+        require_no_drift(rows, stored.drop(BUCKET, q.WARNED), name)
     checked = rows.filter(~F.col("_is_deleted")).transform(q.dq_check, SILVER_DQ[name])
     checked = checked.withColumn("quarantined", F.size(q.FAILED) > 0)
     # one pass writes both sides of the split
     staged = _store(checked, f"{path}/checked/{name}", partition_by=["quarantined"])
     q.enforce_threshold(q.quarantine_share(staged, keys[0]), error_limit)
     valid = staged.filter(~F.col("quarantined")).drop("quarantined", q.FAILED)
-    if entity.scd == 2:
-        merged = scd2(previous, valid, keys, entity.tracked, "last_update_date", check_unique=False)
-    else:
-        merged = scd1(previous, valid, keys, check_unique=False)
     gone = _store(rows.filter("_is_deleted").select(*keys), f"{path}/deleted/{name}")
-    if previous is not None:
-        merged = soft_delete(merged, gone, keys)
-    out = _store(merged, f"{path}/silver/{name}", partition_by=[c for c in entity.partition_by if c in merged.columns],
-                 cluster_by=entity.cluster_by)
-    return out, staged, gone
+    if not state.committed(run_no):
+        changed = with_bucket(valid.select(*keys).unionByName(gone), keys, buckets)
+        touched = touched_values(changed, BUCKET)
+        target = state.read(touched)
+        target = None if target is None else target.drop(BUCKET)
+        if entity.scd == 2:
+            merged = scd2(target, valid, keys, entity.tracked, "last_update_date", check_unique=False)
+        else:
+            merged = scd1(target, valid, keys, check_unique=False, version="last_update_date")
+        if target is not None:
+            merged = soft_delete(merged, gone, keys)
+        state.write(with_bucket(merged, keys, buckets), touched or ["0"], run_no)
+    return state.read().drop(BUCKET), staged, gone
 
 
 def _current(df: DataFrame) -> DataFrame:
@@ -161,8 +174,9 @@ def _run_layers(
                 out[name] = previous[name]
             continue
         out[name], staged, deleted[name] = silver_entity(
-            name, bronze[name], previous.get(name), root, run_id, now, error_limit
-        )
+            name, bronze[name], PartitionedState(spark, f"{path.rstrip('/')}/silver/{name}", BUCKET), run_no, root,
+            run_id, now, error_limit,
+        )
         batch_keys[name] = staged.filter(~F.col("quarantined"))
         bad = staged.filter("quarantined").drop("quarantined")
         append_table(q.dlq_rows(bad, SILVER_DQ[name], run_id, name, now), f"{path}/dead_letters")
