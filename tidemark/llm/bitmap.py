@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BITS = 1 << 23
+BITS = 1 << 26
 _PAGE = 32768  # bits of one aggregate
 
 
@@ -19,7 +19,7 @@ def place(key: str | Column) -> Column:
 
 
 def build(keys: DataFrame, key: str) -> np.ndarray:
-    """The map of the values of one column; at most one megabyte is collected."""
+    """The map of the values of one column; at most eight megabytes are collected."""
     rows = keys.groupBy(F.floor(place(key) / _PAGE).alias("page")).agg(
         F.call_function("bitmap_construct_agg", place(key) % _PAGE).alias("bits")
     )

@@ -5,10 +5,12 @@ minus similarity, which is a metric:
 
 1. Equal sets become one point. Points that can link share a shingle among the first ``n - ceil(t * n) + 1`` of their own
    in one global order (any order is right; rare shingles come first, so common passages fall behind). Each such shingle
-   names a cell; the least point of a cell is its **pivot**, and the exact distance of every member to it is computed.
-2. The members of all cells with one pivot are that pivot's **Voronoi region**: some regions overlap, since a boundary
-   document stands in every region whose pivot it met. Members within the radius of a pivot link to it, and so to each
-   other's component, without any pair among them being looked at.
+   names a cell; the least point of a cell is its **pivot**.
+2. The members of all cells with one pivot are that pivot's **Voronoi region**; regions overlap, since a boundary document
+   stands in every region whose pivot it met. Each point has a signature of parity bits, and two sets differ in at least as
+   many shingles as their signatures in bits; members that by this bound can link to nobody drop out. The others get their
+   exact distance to the pivot if they may link to it.
+   Members within the radius of a pivot link to it, and so to each other's component, without a look at any pair of them.
 3. What is left are pairs of one region that don't yet share a component. By the **triangle inequality** such a pair can
    link only if its distances to the pivot differ by no more than the radius; regions are cut into blocks by that
    distance, and only block pairs inside the window are **joined recursively**, exactly, by counting common shingles.
@@ -27,17 +29,17 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm import shingles
+from tidemark.llm import bitmap, shingles
 from tidemark.llm.graph import components
 from tidemark.session import durable
 
-COUNTERS = 1 << 22
-CHUNK = 1 << 16
+COUNTERS = 1 << 24
+CHUNK = 1 << 18
 BINS = 20  # blocks hold one twentieth of the distance scale
-BLOCK = 200_000  # shingles in a block
+BLOCK = 100_000  # shingles or cells in a block
 CELLS = 1 << 24  # entries of the largest matrix built at once
 
 
@@ -46,24 +48,27 @@ def _places(h: np.ndarray) -> np.ndarray:
 
 
 def rarity(docs: DataFrame, k: int) -> np.ndarray:
-    """A class of frequency (about twice the log2 of the count) for each of ``COUNTERS`` hash places, over all texts."""
+    """A class of frequency for each of ``COUNTERS`` hash places, over all texts.
+
+    A task marks the places it has seen with one bit each; the class grows with the number of tasks that did (about four
+    times its log2). So a shingle in many documents stands behind one in few, at any size of the corpus.
+    """
 
     def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(COUNTERS, np.uint8)
+        seen = np.zeros(COUNTERS, bool)
         for batch in batches:
             for _, part in shingles.slices(shingles.encoded(batch["text"])):
-                n = np.bincount(_places(shingles.shingle_hashes(part, k)[0]), minlength=COUNTERS)
-                total = np.minimum(total + n, 255).astype(np.uint8)
-        for i in np.flatnonzero(total.reshape(-1, CHUNK).any(1)):
-            yield pd.DataFrame({"chunk": [i], "n": [total[i * CHUNK : (i + 1) * CHUNK].tobytes()]})
+                seen[_places(shingles.shingle_hashes(part, k)[0])] = True
+        for i in np.flatnonzero(seen.reshape(-1, CHUNK).any(1)):
+            yield pd.DataFrame({"chunk": [i], "n": [np.packbits(seen[i * CHUNK : (i + 1) * CHUNK]).tobytes()]})
 
     def add(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for i, n in zip(batch["chunk"], batch["n"]):
-                sums[i] = sums.get(i, 0) + np.frombuffer(n, np.uint8).astype(np.int64)
+                sums[i] = sums.get(i, 0) + np.unpackbits(np.frombuffer(n, np.uint8)).astype(np.int32)
         for i, n in sums.items():
-            yield pd.DataFrame({"chunk": [i], "n": [np.round(2 * np.log2(np.maximum(n, 1))).astype(np.uint8).tobytes()]})
+            yield pd.DataFrame({"chunk": [i], "n": [np.round(4 * np.log2(np.maximum(n, 1))).astype(np.uint8).tobytes()]})
 
     schema = "chunk int, n binary"
     rows = docs.select("text").mapInPandas(count, schema).repartition(COUNTERS // CHUNK, "chunk").mapInPandas(add, schema)
@@ -79,26 +84,64 @@ def _key(points: np.ndarray) -> bytes:
     return np.array([len(points) * 1_000_003 + int(points.sum()) & (1 << 64) - 1, mixed.sum()], np.uint64).tobytes()
 
 
+def _parity(points: np.ndarray) -> bytes:
+    """One bit for each of at least ``2 * n`` places (a power of two): whether an odd number of shingles falls there."""
+    width = max(64, 1 << (2 * len(points) - 1).bit_length()) if len(points) else 64
+    return np.packbits(np.bincount((points & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1).tobytes()
+
+
+def _differing(first: list[bytes], second: list[bytes] | None = None) -> np.ndarray:
+    """Numbers of differing bits for all pairs of signatures; the longer one of a pair is folded to the shorter.
+
+    Signatures whose lengths differ by more than one doubling belong to sets too different in size: infinity.
+    """
+
+    def by_length(side: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        lengths = np.fromiter(map(len, side), np.int64, len(side))
+        for length in np.unique(lengths):
+            at = np.flatnonzero(lengths == length)
+            yield at, np.unpackbits(np.frombuffer(b"".join(side[i] for i in at), np.uint8)).reshape(len(at), -1)
+
+    def signs(bits: np.ndarray, width: int) -> np.ndarray:
+        if bits.shape[1] > width:
+            bits = bits[:, :width] ^ bits[:, width:]
+        return 1 - 2 * bits.astype(np.float32)
+
+    second = first if second is None else second
+    out = np.full((len(first), len(second)), np.inf)
+    others = list(by_length(second))
+    for rows, left in by_length(first):
+        for columns, right in others:
+            width = min(left.shape[1], right.shape[1])
+            if max(left.shape[1], right.shape[1]) <= 2 * width:
+                out[np.ix_(rows, columns)] = (width - signs(left, width) @ signs(right, width).T) / 2
+    return out
+
+
 def shingle_points(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, point, prefix) of each text; the prefix holds the cells of the point."""
+    """(doc_id, n_shingles, point, prefix, parity) of each text: the cells of its point, and its signature."""
     order = docs.sparkSession.sparkContext.broadcast(rarity(docs, k))
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sizes, keys, cells = [], [], []
+            sizes, keys, cells, bits = [], [], [], []
             for points in shingles.set_rows(shingles.encoded(batch["text"]), k):
                 n = len(points)
                 size = n - -(-n * percent // 100) + 1
                 rank = order.value[_places(points)]
                 # ascending by hash already, so a stable sort by class gives one global order
-                first = points[np.argsort(rank, kind="stable")[:size]] if n else points
+                chosen = np.argsort(rank, kind="stable")[: size if n else 0]
+                first = points[chosen]
                 sizes.append(n)
                 keys.append(_key(points) if n else None)
                 cells.append(first.view(np.int64))
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n_shingles": sizes, "point": keys, "prefix": cells})
+                bits.append(_parity(points))
+            yield pd.DataFrame(
+                {"doc_id": batch["doc_id"].astype("Int64"), "n_shingles": sizes, "point": keys, "prefix": cells, "parity": bits}
+            )
 
     rows = docs.select("doc_id", "text")
-    return rows.mapInPandas(run, "doc_id long, n_shingles long, point binary, prefix array<long>")
+    return rows.mapInPandas(run, "doc_id long, n_shingles long, point binary, prefix array<long>, parity binary")
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -107,56 +150,141 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     Texts are read once more and not shuffled: a bit map of fixed size over the wanted ids lets a task skip the others,
     and the join removes what the map let through.
     """
-    bits = 1 << 23
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
-    rows = (
-        wanted.groupBy((F.floor(place / 32768)).alias("bucket"))
-        .agg(F.call_function("bitmap_construct_agg", place % 32768).alias("bits"))
-        .toLocalIterator()
-    )
-    table = np.zeros(bits // 8, np.uint8)
-    for row in rows:  # one megabyte in all
-        table[row["bucket"] * 4096 : (row["bucket"] + 1) * 4096] = np.frombuffer(row["bits"], np.uint8)
+    table = bitmap.build(wanted, "doc_id")
     sent = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             place = batch["place"].to_numpy(np.int64)
-            batch = batch[(sent.value[place // 8] >> (place % 8)) & 1 == 1]
-            sets = [s for s in shingles.set_rows(shingles.encoded(batch["text"]), k)]
-            yield pd.DataFrame({"point": [_key(s) if len(s) else None for s in sets], "shingles": [s.view(np.int64) for s in sets]})
+            texts = shingles.encoded(batch["text"][bitmap.holds(sent.value, place)])
+            sets = [s for s in shingles.set_rows(texts, k) if len(s)]
+            if sets:
+                yield pd.DataFrame({"point": [_key(s) for s in sets], "shingles": [s.view(np.int64) for s in sets]})
 
-    rows = docs.filter(F.col("doc_id").isNotNull()).select(place.cast("long").alias("place"), "text")
+    rows = docs.filter(F.col("doc_id").isNotNull()).select(bitmap.place("doc_id").alias("place"), "text")
     found = rows.mapInPandas(run, "point binary, shingles array<long>").join(wanted.select("point"), "point", "left_semi")
     return durable(found.groupBy("point").agg(F.first("shingles").alias("shingles")), "sets")
 
 
-def _meet(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarray:
-    """Numbers of common shingles of all pairs of the two lists, by products of 0/1 matrices in bounded pieces."""
-    flat = [np.concatenate(x) for x in (first, second)]
-    common = np.intersect1d(flat[0], flat[1])
-    out = np.zeros((len(first), len(second)), np.float64)
-    width = max(1, CELLS // max(len(first), len(second)))
+def _meet(first: list[np.ndarray], second: list[np.ndarray] | None = None) -> np.ndarray:
+    """Numbers of common values of all pairs of the two lists (or of one with itself), by products of 0/1 matrices.
+
+    The matrices are built in pieces of bounded size.
+    """
+    if second is None:
+        values, n = np.unique(np.concatenate(first), return_counts=True)
+        common = values[n > 1]
+    else:
+        common = np.intersect1d(np.concatenate(first), np.concatenate(second))
+    lists = [first] if second is None else [first, second]
+    out = np.zeros((len(first), len(lists[-1])), np.float64)
+    width = max(1, CELLS // max(map(len, lists)))
     for start in range(0, len(common), width):
         part = common[start : start + width]
         sides = []
-        for sets in (first, second):
+        for sets in lists:
             matrix = np.zeros((len(sets), len(part)), np.float32)
             for i, s in enumerate(sets):
                 at = np.searchsorted(part, s)
                 at[at == len(part)] = 0
                 matrix[i, at[part[at] == s]] = 1
             sides.append(matrix)
-        out += sides[0] @ sides[1].T
+        out += sides[0] @ sides[-1].T
     return out
 
 
+def _total(rows: DataFrame, weight: Column) -> int:
+    return rows.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+
+
+def _by_group(rows: DataFrame, keys: list[str], total: int, work, schema: str) -> DataFrame:
+    """``work(columns, places)`` for the places of each group of ``rows``, many small groups in one call.
+
+    Groups are dealt into buckets by their key, as many as the whole weight asks for, so that a bucket holds little more
+    than its largest group; the groups themselves are bounded blocks.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(max(1, -(-total // (4 * BLOCK)))))
+    names = [f.split()[0] for f in schema.split(", ")]
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        columns = {c: frame[c].to_numpy() for c in frame.columns}
+        parts = [work(columns, places) for places in frame.groupby(keys, sort=False).indices.values()]
+        merged = [np.concatenate([p[i] for p in parts if len(p[i])] or [[]]) for i in range(len(names))]
+        return pd.DataFrame(dict(zip(names, merged)))
+
+    return rows.withColumn("_bucket", bucket).groupBy("_bucket").applyInPandas(run, schema)
+
+
+def _may_link(differing: np.ndarray, sizes: list[np.ndarray], percent: int) -> np.ndarray:
+    """Whether pairs of sets that differ in at least so many shingles can be similar enough."""
+    a, b = sizes[0][:, None], sizes[1][None, :]
+    in_size = 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
+    # links have (100 + percent) * common >= percent * (a + b), and common = (a + b - difference) / 2
+    return in_size & ((100 + percent) * differing <= (100 - percent) * (a + b))
+
+
+def _plausible(star: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """(pivot, point, n, to_pivot, to_other) of region members: with whom the signatures let them link."""
+    members = star.unionByName(star.select("pivot", F.col("pivot").alias("point")).distinct())
+    members = members.join(reps.select("point", "n"), "point")
+    weight = F.col("n") / 4 + 16
+    blocks = members.groupBy("pivot").agg(F.ceil(F.sum(weight) / BLOCK).cast("int").alias("blocks"))
+    blocks = durable(blocks, "regions")
+    salt = F.pmod(F.xxhash64("point"), F.col("blocks")).cast("int")
+    dealt = durable(members, "members").join(blocks, "pivot").withColumn("salt", salt)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    # A member meets its own block and every other; the pivot stands in each block's own group.
+    own = F.col("pivot") == F.col("point")
+    dealt = dealt.select(
+        "pivot", "point", "n", own.alias("own"),
+        F.when(own, F.col("other")).otherwise(F.least("salt", "other")).alias("a"),
+        F.when(own, F.col("other")).otherwise(F.greatest("salt", "other")).alias("b"),
+        F.when(own, F.lit(-1)).otherwise(F.col("salt")).alias("salt"),
+    )
+    def meet(columns: dict, places: np.ndarray) -> tuple:
+        def able(x: np.ndarray, y: np.ndarray | None = None) -> np.ndarray:
+            bits = [list(columns["parity"][x]), None if y is None else list(columns["parity"][y])]
+            sizes = [columns["n"][z].astype(np.int64) for z in (x, x if y is None else y)]
+            return _may_link(_differing(*bits), sizes, percent)
+
+        own = columns["own"][places].astype(bool)
+        rest, pivot = places[~own], places[own][:1]
+        a, b = columns["a"][places[0]], columns["b"][places[0]]
+        to_pivot, to_other = np.zeros(len(rest), bool), np.zeros(len(rest), bool)
+        if a == b:
+            if len(rest):
+                to_pivot = able(rest, pivot)[:, 0]
+            if len(rest) > 1:
+                pairs = able(rest)
+                np.fill_diagonal(pairs, False)
+                to_other = pairs.any(1)
+        else:
+            left = columns["salt"][rest] == a
+            if left.any() and not left.all():
+                pairs = able(rest[left], rest[~left])
+                to_other[left], to_other[~left] = pairs.any(1), pairs.any(0)
+        kept = to_pivot | to_other
+        rest = rest[kept]
+        return columns["pivot"][rest], columns["point"][rest], columns["n"][rest], to_pivot[kept], to_other[kept]
+
+    loaded = dealt.join(reps.select("point", "parity"), "point")
+    schema = "pivot binary, point binary, n long, to_pivot boolean, to_other boolean"
+    found = _by_group(loaded, ["pivot", "a", "b"], int(_total(dealt, weight)), meet, schema)
+    found = found.groupBy("pivot", "point").agg(
+        F.first("n").alias("n"), F.max("to_pivot").alias("to_pivot"), F.max("to_other").alias("to_other")
+    )
+    return durable(found, "plausible")
+
+
 def _block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between members of one region that neither share a component nor stand outside the window."""
+    """Links between members of one region that neither share a component nor stand outside the window.
+
+    ``distance`` is null where the signatures have ruled out a link to the pivot; those stand in a bin of their own.
+    """
     radius = 1 - percent / 100
     mixed = members.groupBy("pivot").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
     rows = members.join(mixed.select("pivot"), "pivot", "left_semi")
-    rows = durable(rows.withColumn("bin", F.floor(F.col("distance") * BINS).cast("int")), "members")
+    rows = durable(rows.withColumn("bin", F.coalesce(F.floor(F.col("distance") * BINS).cast("int"), F.lit(-1))), "mixed")
     blocks = rows.groupBy("pivot", "bin").agg(
         F.ceil(F.sum("n") / BLOCK).cast("int").alias("salts"), F.min("label").alias("lo"), F.max("label").alias("hi")
     )
@@ -166,34 +294,55 @@ def _block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     reach = int(np.ceil(radius * BINS)) + 1  # whole bins, and one for rounding
     pairs = side[0].join(side[1], "pivot").filter(
         (F.struct("bin_a", "salt_a") <= F.struct("bin_b", "salt_b"))
-        & (F.col("bin_b") - F.col("bin_a") <= reach)
+        & ((F.col("bin_a") < 0) | (F.col("bin_b") - F.col("bin_a") <= reach))
         & ~((F.col("lo_a") == F.col("hi_a")) & (F.col("lo_b") == F.col("hi_b")) & (F.col("lo_a") == F.col("lo_b")))
     )
-    pairs = durable(pairs.withColumn("pair", F.xxhash64("pivot", "bin_a", "salt_a", "bin_b", "salt_b")), "block-pairs")
+    pairs = durable(pairs.withColumn("pair", F.xxhash64("bin_a", "salt_a", "bin_b", "salt_b")), "block-pairs")
     dealt = rows.join(blocks.select("pivot", "bin", "salts"), ["pivot", "bin"]).withColumn(
         "salt", F.pmod(F.xxhash64("point"), F.col("salts")).cast("int")
     )
-    keys = ["pivot", "bin", "salt"]
+    alone = (F.col("bin_a") == F.col("bin_b")) & (F.col("salt_a") == F.col("salt_b"))
 
     def placed(x: str) -> DataFrame:
-        use = pairs.select("pair", "pivot", F.col(f"bin_{x}").alias("bin"), F.col(f"salt_{x}").alias("salt"))
-        return use.join(dealt, keys).select("pivot", "pair", F.lit(x).alias("side"), "point", "label", "distance", "n")
-
-    loaded = placed("a").unionByName(placed("b")).join(sets, "point")
-
-    def join(group: pd.DataFrame) -> pd.DataFrame:
-        a, b = (group[group["side"] == x].reset_index(drop=True) for x in "ab")
-        out = {"a": [], "b": []}
-        if len(a) and len(b):
-            sizes = [x["n"].to_numpy(np.float64) for x in (a, b)]
-            shared = _meet(*([np.asarray(s, np.int64) for s in x["shingles"]] for x in (a, b)))
-            close = 100 * shared >= percent * (sizes[0][:, None] + sizes[1][None, :] - shared)
-            close &= a["label"].to_numpy()[:, None] != b["label"].to_numpy()[None, :]
-            left, right = np.nonzero(close)
-            out = {"a": a["point"].to_numpy()[left], "b": b["point"].to_numpy()[right]}
-        return pd.DataFrame(out)
-
-    return loaded.groupBy("pivot", "pair").applyInPandas(join, "a binary, b binary")
+        use = (pairs if x == "a" else pairs.filter(~alone)).select(
+            "pair", "pivot", F.col(f"bin_{x}").alias("bin"), F.col(f"salt_{x}").alias("salt")
+        )
+        return use.join(dealt, ["pivot", "bin", "salt"]).select("pivot", "pair", F.lit(x).alias("side"), "point", "label", "n")
+
+    def join(columns: dict, places: np.ndarray) -> tuple:
+        side = columns["side"][places]
+        a, b = places[side == "a"], places[side == "b"]
+        if not len(a):
+            return [], []
+        sets = [list(columns["shingles"][a]), list(columns["shingles"][b]) if len(b) else None]
+        b = b if len(b) else a
+        sizes = [columns["n"][x].astype(np.int64) for x in (a, b)]
+        shared = _meet(*sets)
+        close = 100 * shared >= percent * (sizes[0][:, None] + sizes[1][None, :] - shared)
+        close &= columns["label"][a][:, None] != columns["label"][b][None, :]
+        left, right = np.nonzero(close)
+        return columns["point"][a[left]], columns["point"][b[right]]
+
+    loaded = durable(placed("a").unionByName(placed("b")), "placed")
+    total = _total(loaded, F.col("n"))
+    return _by_group(loaded.join(sets, "point"), ["pivot", "pair"], total, join, "a binary, b binary")
+
+
+def _star(reps: DataFrame) -> DataFrame:
+    """(pivot, point): the points of each cell with the least of them, once for each pair."""
+    counted = reps.select(F.explode("prefix").alias("cell")).groupBy("cell").count().filter("count > 1").select("cell")
+    # Most cells hold one point; a bit map keeps those out of the second shuffle.
+    sent = reps.sparkSession.sparkContext.broadcast(bitmap.build(counted, "cell"))
+    cells = reps.select("point", F.explode(F.transform("prefix", lambda c: F.struct(c.alias("cell"), bitmap.place(c).alias("at")))).alias("c"))
+
+    @F.pandas_udf("boolean")
+    def shared(places: pd.Series) -> pd.Series:
+        return pd.Series(bitmap.holds(sent.value, places.to_numpy(np.int64)))
+
+    cells = cells.filter(shared("c.at")).select("point", "c.cell")
+    pivots = cells.groupBy("cell").agg(F.min("point").alias("pivot"), F.max("point").alias("last")).filter("pivot <> last")
+    star = cells.join(pivots.select("cell", "pivot"), "cell").filter("point <> pivot").select("pivot", "point")
+    return durable(star.distinct(), "star")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -201,44 +350,37 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     points = durable(shingle_points(narrow, k, percent), "points")
     reps = points.filter("point IS NOT NULL AND doc_id IS NOT NULL").groupBy("point").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n")
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"), F.first("parity").alias("parity")
     )
     reps = durable(reps, "reps")
+    members = _plausible(_star(reps), reps, percent)
 
-    # Cells: one row for each distinct point and prefix shingle; the least point of a cell is its pivot.
-    cells = points.join(reps.select("doc_id", "point"), ["doc_id", "point"], "left_semi")
-    cells = cells.select("point", F.explode("prefix").alias("cell"))
-    pivots = cells.groupBy("cell").agg(F.min("point").alias("pivot"), F.max("point").alias("last")).filter("pivot <> last")
-    star = cells.join(pivots.select("cell", "pivot"), "cell").filter("point <> pivot").select("pivot", "point").distinct()
-    star = durable(star, "star")
-
-    wanted = star.select("point").union(star.select(F.col("pivot").alias("point"))).distinct()
-    wanted = durable(wanted.join(reps, "point"), "wanted")
-    sets = _sets_of(narrow, wanted, k)
-
-    # Exact distances to the pivots.
-    near = star.join(sets, "point").join(sets.select(F.col("point").alias("pivot"), F.col("shingles").alias("other")), "pivot")
+    # Exact distances of the members that may link to their pivot.
+    met = members.filter("to_pivot").select("pivot", "point")
+    wanted = members.select("point").union(met.select(F.col("pivot").alias("point"))).distinct()
+    sets = _sets_of(narrow, durable(wanted.join(reps.select("point", "doc_id"), "point"), "wanted"), k)
+    near = met.join(sets, "point").join(sets.select(F.col("point").alias("pivot"), F.col("shingles").alias("other")), "pivot")
     shared = F.size(F.array_intersect("shingles", "other"))
     total = F.size("shingles") + F.size("other") - shared
     near = near.select(
-        "pivot", "point", F.size("shingles").alias("n"), (1 - shared / total).alias("distance"),
-        (100 * shared >= percent * total).alias("linked"),
-    )
+        "pivot", "point", (1 - shared / total).alias("distance"), (100 * shared >= percent * total).alias("linked")
+    )
     near = durable(near, "near")
     links = near.filter("linked").select(F.col("pivot").alias("a"), F.col("point").alias("b"))
     labels = durable(components(links), "labels")
 
-    members = near.join(labels.withColumnRenamed("node", "point"), "point", "left").withColumn(
-        "label", F.coalesce("label", "point")
-    )
-    more = durable(_block_links(members.drop("linked"), sets, percent).distinct(), "block-links")
+    left = members.filter("to_other").select("pivot", "point", "n").join(near.drop("linked"), ["pivot", "point"], "left")
+    left = left.join(labels.withColumnRenamed("node", "point"), "point", "left").withColumn("label", F.coalesce("label", "point"))
+    more = durable(_block_links(left, sets, percent).distinct(), "block-links")
     joined = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more)
-    labels = components(joined)
+    labels = durable(components(joined), "labels")
 
-    least = reps.join(labels.withColumnRenamed("node", "point"), "point").groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    least = reps.select("point", "doc_id").join(labels.withColumnRenamed("node", "point"), "point").groupBy("label").agg(
+        F.min("doc_id").alias("component_id")
+    )
     grouped = labels.join(least, "label").select(F.col("node").alias("point"), "component_id")
-    named = reps.join(grouped, "point", "left").select("point", F.coalesce("component_id", "doc_id").alias("component_id"))
-    named = durable(named, "components")
+    named = reps.select("point", "doc_id").join(grouped, "point", "left")
+    named = durable(named.select("point", F.coalesce("component_id", "doc_id").alias("component_id")), "components")
     return (
         points.select("doc_id", "n_shingles", "point")
         .join(named, "point", "left")
