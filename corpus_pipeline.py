@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import decontam, jaccard, language, packing, secret_scan
 from tidemark.llm.queries import VOCABULARY, settings, table
-from tidemark.session import durable
+from tidemark.session import drop_scratch, durable, scratch_mark
 
 # A language filter learned from the data and the tokenizer's ids have no form in SQL; tests compare with plain code.
 ORACLE_SQL = None
@@ -55,5 +55,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
+        before = scratch_mark()
         docs = durable(stage(spark, docs, sf_dir), name)
+        drop_scratch(spark, before, scratch_mark() - 1)  # what the stage staged, but not its result
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -103,7 +103,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", url:
         "url-rules",
     )
     kept = pages.drop("host", "path", "rule", "verdict")
-    out = kept.join(best.withColumnRenamed("url", "_rule_url"), kept[url] == F.col("_rule_url"), "left")
+    out = kept.join(best.withColumnRenamed("url", "_rule_url").hint("merge"), kept[url] == F.col("_rule_url"), "left")
     return out.select(
         *kept.columns,
         host_of(F.col(url)).alias("host"),
