@@ -1,5 +1,6 @@
 """Scans, extracts, sinks, partitioned state and streaming jobs."""
 
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.quality import QualityError
 from tidemark.plans.quality_rules import SILVER_DQ
+from tidemark.session import drop_scratch, durable, scratch_mark
 from tidemark.sources import sinks
 from tidemark.sources.increments import cdc_changes, read_increment, split_key_list
 from tidemark.sources.tables import is_empty, jdbc_options, load_tables, read_batch
@@ -150,3 +152,13 @@ def test_stream_dedupe_and_bronze(spark, tmp_path):
     out = str(tmp_path / "out")
     jobs.stream_bronze(stream, out, str(tmp_path / "c")).awaitTermination()
     assert spark.read.parquet(out).count() == 20
+
+
+def test_staged_tables_are_given_back(spark):
+    first = durable(spark.range(3), "kept")
+    mark = scratch_mark()
+    second = durable(spark.range(5), "gone")
+    folder = second.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(folder) and second.count() == 5
+    drop_scratch(spark, mark)
+    assert not os.path.exists(folder) and first.count() == 3

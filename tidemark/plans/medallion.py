@@ -25,7 +25,7 @@ from tidemark.operators.runlog import append_run
 from tidemark.plans import aggregates, dims, facts
 from tidemark.plans.entities import ENTITIES, standardise
 from tidemark.plans.quality_rules import GOLD_DQ, REFERENTIAL, SILVER_DQ
-from tidemark.session import durable
+from tidemark.session import drop_scratch, durable, scratch_mark
 from tidemark.sources.calendar import DEFAULT_END, DEFAULT_START, build_dim_date
 from tidemark.streaming.jobs import BUCKET, refresh_fact, with_bucket
 from tidemark.sources.sinks import append_table, write_table
@@ -136,6 +136,7 @@ def run_medallion(
     run_id = f"run-{run_no}"
     out: dict[str, DataFrame] = {}
     log = f"{path.rstrip('/')}/run_log"
+    mark = scratch_mark()
     try:
         _run_layers(spark, bronze, path, run_no, run_id, previous or {}, now, calendar, error_limit, out)
     except Exception as error:
@@ -147,6 +148,7 @@ def run_medallion(
             spark, log, LOGGED.index(name), run_id, "SUCCESS", records=df.count(), version=run_no,
             mark_initial=run_no == 0, ended_at=now,
         )
+    drop_scratch(spark, mark)  # every table in ``out`` reads from ``path``
     return out
 
 

@@ -18,6 +18,7 @@ RUNTIME = {
 }
 
 _local_dir: tempfile.TemporaryDirectory | None = None
+_staged: list[str] = []  # folders of staged tables, oldest first
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -65,7 +66,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def durable(df, name: str = "stage"):
-    """Write ``df`` to the shared folder and read it back: cuts lineage and survives executor loss."""
+    """Write ``df`` to the shared folder and read it back: cuts lineage and survives executor loss.
+
+    A job that has written its results gives the folders back with ``drop_scratch``.
+    """
     path = scratch_path(df.sparkSession, name)
+    _staged.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def scratch_mark() -> int:
+    """Where the list of staged tables ends now; for ``drop_scratch``."""
+    return len(_staged)
+
+
+def drop_scratch(spark: SparkSession, since: int, until: int | None = None) -> None:
+    """Delete the tables staged between two marks. Nothing that still reads them may be computed afterwards."""
+    paths = _staged[since:until]
+    del _staged[since:until]
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
