@@ -116,8 +116,8 @@ def find_items(texts: list[str | None], block: Block) -> list[list[dict]]:
     return [sorted(x, key=lambda m: m["item_id"]) for x in out]
 
 
-def item_blocks(items: DataFrame, k: int, threshold: float, size: int = BLOCK) -> Iterator[Block]:
-    """The items in blocks of about ``size`` shingles; the driver holds one block at a time."""
+def item_blocks(items: DataFrame, k: int, threshold: float, size: int = BLOCK) -> Iterator[tuple[int, Block]]:
+    """(number of blocks, block) for blocks of about ``size`` shingles; the driver holds one block at a time."""
     rows = items.select(F.col("item_id").cast("long").alias("item_id"), "text").dropna().distinct()
     rows = durable(rows.withColumn("n", F.size(F.split("text", r"\s+"))), "items")
     total = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -125,12 +125,10 @@ def item_blocks(items: DataFrame, k: int, threshold: float, size: int = BLOCK) -
     for number in range(count if total else 0):
         part = rows.filter(F.pmod(F.xxhash64("item_id"), F.lit(count)) == number).select("item_id", "text").toPandas()
         if len(part):
-            yield build_block(part.sort_values(["item_id", "text"]), threshold, k)
+            yield count, build_block(part.sort_values(["item_id", "text"]), threshold, k)
 
 
-def _matches(spark, block: Block):
-    sent = spark.sparkContext.broadcast(block)
-
+def _matches(sent):
     @F.pandas_udf(_MATCH)
     def matches(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
@@ -145,9 +143,13 @@ def contained_items(
     """(doc_id, item_id, n_item_shingles, n_shared, containment) of every item contained to at least ``threshold``."""
     parts = []
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    for block in item_blocks(items, k, threshold):
-        found = narrow.select("doc_id", F.explode(_matches(docs.sparkSession, block)("text")).alias("m"))
-        parts.append(found.select("doc_id", "m.*"))
+    for count, block in item_blocks(items, k, threshold):
+        sent = docs.sparkSession.sparkContext.broadcast(block)
+        found = narrow.select("doc_id", F.explode(_matches(sent)("text")).alias("m")).select("doc_id", "m.*")
+        if count > 1:  # written, so that no other block has to stay in memory
+            found = durable(found, "matches")
+            sent.destroy()
+        parts.append(found)
     if not parts:
         return narrow.sparkSession.createDataFrame(
             [], "doc_id long, item_id long, n_item_shingles long, n_shared long, containment double"
@@ -157,8 +159,10 @@ def contained_items(
 
 def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = 0.8, k: int = 5, text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that contain an item; all columns and other rows as they are."""
-    for number, block in enumerate(item_blocks(items, k, threshold)):
-        if number:
-            docs = durable(docs, "clean")  # one pass and one block in memory at a time
-        docs = docs.filter(F.size(_matches(docs.sparkSession, block)(F.col(text_col))) == 0)
+    for count, block in item_blocks(items, k, threshold):
+        sent = docs.sparkSession.sparkContext.broadcast(block)
+        docs = docs.filter(F.size(_matches(sent)(F.col(text_col))) == 0)
+        if count > 1:
+            docs = durable(docs, "clean")
+            sent.destroy()
     return docs

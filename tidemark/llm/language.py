@@ -23,7 +23,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import durable
+
 HASHES = 2
+MAX_LANGUAGES = 4096  # documented bound: more distinct labels than this are no languages
 SLICE = 1 << 20  # characters worked on at once
 _BLANK = 32
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
@@ -112,8 +115,11 @@ def _places(grams: np.ndarray, bits: int) -> Iterator[np.ndarray]:
 
 def learn(train: DataFrame, min_share: float = 2e-5, bits: int = 20) -> Filters:
     """Filters from ``train`` (text, lang). What is collected is bounded: ``1 / min_share`` n-grams a language."""
-    counts = ngram_counts(train)
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+    counts = durable(ngram_counts(train), "grams")
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).limit(MAX_LANGUAGES + 1).collect()
+    if len(totals) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} labels")
+    totals = train.sparkSession.createDataFrame(totals, "lang string, total long")
     kept = counts.join(F.broadcast(totals), "lang").filter(F.col("n") >= F.col("total") * min_share).select("lang", "gram")
     rows = kept.toPandas()
     languages = sorted(rows["lang"].unique())
