@@ -11,7 +11,7 @@ from tidemark.functions.masking import MASKED, mask_email, mask_phone, mask_stri
 from tidemark.operators import quality as q
 from tidemark.operators.contracts import CONTRACTS, to_contract
 from tidemark.operators.governance import apply_policy, row_filter
-from tidemark.operators.history import shown_versions
+from tidemark.operators.history import scd2, shown_versions
 from tidemark.operators.lineage import dependency_levels
 from tidemark.operators.merge import merge_fact
 from tidemark.operators.quality import reconcile_sum, unknown_usage
@@ -297,6 +297,37 @@ def _score(col: str, cuts: list[int]) -> str:
     return "1 + " + " + ".join(f"CAST({col} > {c} AS INTEGER)" for c in cuts)
 
 
+@query(
+    "tier_history",
+    sql("fact_sales", "dim_customer", body="""WITH spent AS (
+          SELECT c.customer_id, CAST(sum(line_total) FILTER (dim_date_key < 19980101) AS DOUBLE) AS early,
+                 CAST(sum(line_total) AS DOUBLE) AS late
+          FROM fact_sales f JOIN dim_customer c USING (dim_customer_key) WHERE c.customer_id > 0 GROUP BY 1),
+        tiers AS (SELECT customer_id, CASE WHEN early >= 1500000 THEN 'Platinum' WHEN early >= 750000 THEN 'Gold'
+                    WHEN early >= 250000 THEN 'Silver' WHEN early IS NOT NULL THEN 'Bronze' END AS a,
+                    CASE WHEN late >= 1500000 THEN 'Platinum' WHEN late >= 750000 THEN 'Gold'
+                    WHEN late >= 250000 THEN 'Silver' ELSE 'Bronze' END AS b FROM spent)
+        SELECT customer_id, a AS loyalty_tier, '1998-01-01 00:00:00' AS _valid_from,
+               CASE WHEN a <> b THEN '2002-01-01 00:00:00' END AS _valid_to, 1 AS _version FROM tiers WHERE a IS NOT NULL
+        UNION ALL
+        SELECT customer_id, b, '2002-01-01 00:00:00', NULL, CASE WHEN a IS NULL THEN 1 ELSE 2 END FROM tiers
+        WHERE a IS DISTINCT FROM b"""),
+)
+def tier_history(spark, sf_dir):
+    # the tier of each customer as it stood on two days, as type 2 history
+    g = gold(spark, sf_dir)
+    spent = g.fact("fact_sales").join(g.dim("dim_customer").select("dim_customer_key", "customer_id"), "dim_customer_key")
+
+    def tiers(rows, day: str):
+        total = rows.filter("customer_id > 0").groupBy("customer_id").agg(F.sum("line_total").alias("lifetime_revenue"))
+        return aggregates.loyalty_tier(total, _TIERS).withColumn("as_of", F.lit(day).cast("timestamp"))
+
+    args = (["customer_id"], ["loyalty_tier"], "as_of")
+    first = scd2(None, tiers(spent.filter("dim_date_key < 19980101"), "1998-01-01"), *args)
+    out = scd2(first, tiers(spent, "2002-01-01"), *args)
+    return plain(out.select("customer_id", "loyalty_tier", "_valid_from", "_valid_to", "_version"))
+
+
 def _quantile_score(col: str) -> str:
     return "1 + " + " + ".join(f"CAST({col} > quantile_disc({col}, {i / 5}) OVER () AS INTEGER)" for i in range(1, 5))
 
