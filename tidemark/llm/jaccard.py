@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import bitmap, shingles
 from tidemark.llm.graph import components
-from tidemark.session import durable
+from tidemark.session import drop_scratch, durable, scratch_mark
 
 COUNTERS = 1 << 24
 CHUNK = 1 << 18
@@ -349,6 +349,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """(doc_id, n_shingles, component_id) of each row; the component is named by its least doc_id."""
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     points = durable(shingle_points(narrow, k, percent), "points")
+    mark = scratch_mark()
     reps = points.filter("point IS NOT NULL AND doc_id IS NOT NULL").groupBy("point").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"), F.first("parity").alias("parity")
     )
@@ -381,6 +382,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     grouped = labels.join(least, "label").select(F.col("node").alias("point"), "component_id")
     named = reps.select("point", "doc_id").join(grouped, "point", "left")
     named = durable(named.select("point", F.coalesce("component_id", "doc_id").alias("component_id")), "components")
+    drop_scratch(docs.sparkSession, mark, scratch_mark() - 1)  # the result reads the points and the components only
     return (
         points.select("doc_id", "n_shingles", "point")
         .join(named, "point", "left")
