@@ -299,7 +299,7 @@ def _score(col: str, cuts: list[int]) -> str:
 
 @query(
     "tier_history",
-    sql("fact_sales", "dim_customer", body="""WITH spent AS (
+    sql("fact_sales", "dim_customer", body="""FROM (WITH spent AS (
           SELECT c.customer_id, CAST(sum(line_total) FILTER (dim_date_key < 19980101) AS DOUBLE) AS early,
                  CAST(sum(line_total) AS DOUBLE) AS late
           FROM fact_sales f JOIN dim_customer c USING (dim_customer_key) WHERE c.customer_id > 0 GROUP BY 1),
@@ -311,7 +311,7 @@ def _score(col: str, cuts: list[int]) -> str:
                CASE WHEN a <> b THEN '2002-01-01 00:00:00' END AS _valid_to, 1 AS _version FROM tiers WHERE a IS NOT NULL
         UNION ALL
         SELECT customer_id, b, '2002-01-01 00:00:00', NULL, CASE WHEN a IS NULL THEN 1 ELSE 2 END FROM tiers
-        WHERE a IS DISTINCT FROM b"""),
+        WHERE a IS DISTINCT FROM b)"""),
 )
 def tier_history(spark, sf_dir):
     # the tier of each customer as it stood on two days, as type 2 history
