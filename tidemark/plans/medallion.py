@@ -175,10 +175,11 @@ def _run_layers(
             if name in previous:
                 out[name] = previous[name]
             continue
-        out[name], staged, deleted[name] = silver_entity(
-            name, bronze[name], PartitionedState(spark, f"{path.rstrip('/')}/silver/{name}", BUCKET), run_no, root,
-            run_id, now, error_limit,
-        )
+        entity = ENTITIES[name]
+        state = PartitionedState(
+            spark, f"{path.rstrip('/')}/silver/{name}", BUCKET, (*entity.partition_by, *entity.cluster_by)
+        )
+        out[name], staged, deleted[name] = silver_entity(name, bronze[name], state, run_no, root, run_id, now, error_limit)
         batch_keys[name] = staged.filter(~F.col("quarantined"))
         bad = staged.filter("quarantined").drop("quarantined")
         append_table(q.dlq_rows(bad, SILVER_DQ[name], run_id, name, now), f"{path}/dead_letters")

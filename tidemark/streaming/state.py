@@ -8,7 +8,7 @@ folder. The manifest has at most one row per partition and batch, and only (part
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +20,9 @@ NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 class PartitionedState:
-    def __init__(self, spark: SparkSession, path: str, partition: str):
-        self.spark, self.path, self.partition = spark, path.rstrip("/"), partition
+    def __init__(self, spark: SparkSession, path: str, partition: str, cluster_by: Sequence[str] = ()):
+        """``cluster_by``: columns that rows are sorted by inside a partition, so that row groups can be skipped."""
+        self.spark, self.path, self.partition, self.cluster_by = spark, path.rstrip("/"), partition, cluster_by
         self._manifest = f"{self.path}/_commits"
 
     def _commits(self) -> DataFrame | None:
@@ -55,7 +56,10 @@ class PartitionedState:
     def write(self, rows: DataFrame, touched: Iterable[str], batch_id: int) -> None:
         """Replace the touched partitions and commit. A partition that lost all its rows stays as an empty file."""
         folder = f"{self.path}/data/v={batch_id}"
-        rebalanced(rows, [self.partition]).write.mode("overwrite").partitionBy(self.partition).parquet(folder)
+        ordered = rebalanced(rows, [self.partition])
+        if inside := [c for c in self.cluster_by if c in rows.columns]:
+            ordered = ordered.sortWithinPartitions(self.partition, *inside)
+        ordered.write.mode("overwrite").partitionBy(self.partition).parquet(folder)
         touched = list(touched)
         empty = rows.limit(0).drop(self.partition)
         present = self._present(folder)
