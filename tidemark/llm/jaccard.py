@@ -40,7 +40,7 @@ COUNTERS = 1 << 24
 CHUNK = 1 << 18
 BINS = 20  # blocks hold one twentieth of the distance scale
 BLOCK = 100_000  # shingles or cells in a block
-CELLS = 1 << 24  # entries of the largest matrix built at once
+CELLS = 1 << 22  # entries of the largest matrix built at once
 
 
 def _places(h: np.ndarray) -> np.ndarray:
