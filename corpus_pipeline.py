@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import decontam, jaccard, language, packing, secret_scan
-from tidemark.llm.queries import VOCABULARY, settings, table
+from tidemark.llm.queries import settings, table
 from tidemark.session import drop_scratch, durable, scratch_mark
 
 # A language filter learned from the data and the tokenizer's ids have no form in SQL; tests compare with plain code.
@@ -39,7 +39,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their sequence and place in it."""
-    return packing.pack(packing.token_pieces(docs, VOCABULARY))
+    return packing.pack(packing.token_pieces(docs, packing.default_vocabulary()))
 
 
 STAGES = [

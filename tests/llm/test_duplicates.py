@@ -8,9 +8,9 @@ import pytest
 import corpus_pipeline
 from tidemark.llm import decontam, jaccard, packing, secret_scan, shingles
 from tidemark.llm.graph import components
-from tidemark.llm.queries import VOCABULARY
 
 SF = "/root/testdata/sf0.001"
+VOCABULARY = packing.default_vocabulary()
 
 
 def groups(rows, percent=80):

@@ -12,9 +12,9 @@ import pytest
 from tokenizers import Tokenizer
 
 from tidemark.llm import ann, language, packing, warc
-from tidemark.llm.queries import VOCABULARY
 
 SF = "/root/testdata/sf0.01"
+VOCABULARY = packing.default_vocabulary()
 
 
 def test_language_held_out_accuracy(llm):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import ann, decontam, jaccard, language, licenses, oracles, packing, pii, secret_scan, urls, warc
@@ -10,9 +9,6 @@ from tidemark.session import tune
 
 QUERIES: list[tuple] = []
 
-# The same vocabulary and ids as byte_bpe_50k.json (a test compares them), in the form that is encoded faster.
-VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
-
 # The rules of the URL query.
 URL_RULES = (
     ("com", "/", "allow"),
@@ -96,7 +92,7 @@ def op6_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_best_fit_packing")
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), VOCABULARY)
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), packing.default_vocabulary())
     return packing.pack(pieces).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )
