@@ -29,7 +29,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import bitmap, shingles
@@ -390,15 +390,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
 
 
-def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without all but the least document of each component; of repeated rows of that document one stays.
 
-    Rows with a null id stay as they are.
+    Rows that share an id but not the text are different documents, and rows with a null id stay as they are.
     """
-    from pyspark.sql import Window
-
     kept = durable(found.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct(), "kept")
     rows = docs.filter(F.col(id_col).isNotNull()).join(kept, F.col(id_col).cast("long") == F.col("_kept"), "left_semi")
-    order = Window.partitionBy(id_col).orderBy(*(F.xxhash64(c) for c in docs.columns if c != id_col))
+    order = Window.partitionBy(id_col, F.xxhash64(text_col)).orderBy(*(F.xxhash64(c) for c in docs.columns if c != id_col))
     one = rows.withColumn("_place", F.row_number().over(order)).filter("_place = 1").drop("_place")
     return one.unionByName(docs.filter(F.col(id_col).isNull()))
