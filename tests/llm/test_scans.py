@@ -157,6 +157,100 @@ def test_licences(documents):
     assert "Python" not in plan and "Pandas" not in plan
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 A. Holder
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD2 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+DISCLAIMER = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+ENDORSE = """
+3. Neither the name of {} nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+WHOLE = [
+    ("MIT", MIT), ("BSD-2-Clause", BSD2 + DISCLAIMER), ("BSD-3-Clause", BSD2 + ENDORSE.format("the copyright holder") + DISCLAIMER),
+    ("BSD-3-Clause", BSD2 + ENDORSE.format("Holder Inc. and Sons") + DISCLAIMER), ("Apache-2.0", APACHE), ("GPL-3.0-or-later", GPL),
+    ("GPL-2.0-or-later", GPL.replace("software:", "software;").replace("Foundation, either version 3", "Foundation; either version 2")),
+]
+
+
+def test_whole_licence_texts_wrapped_and_unwrapped(documents):
+    forms = {
+        "wrapped": lambda t: t,
+        "crlf": lambda t: t.replace("\n", "\r\n"),
+        "unwrapped": lambda t: "\n\n".join(" ".join(p.split()) for p in t.split("\n\n")),
+        "one line": lambda t: " ".join(t.split()),
+        "comment": lambda t: "".join(f" * {line}\n" for line in t.split("\n")),
+    }
+    # a line of its own counts, also where a line without a full stop follows; a blank line parts two sentences
+    rows = [(i, form(t)) for i, form in enumerate(forms.values()) for _, t in WHOLE]
+    rows += [(9, "Copyright 2020 A\nAll rights reserved\nand more"), (9, "released under the\n\nmit license"), (9, "released under the\nmit license")]
+    docs = documents(list(enumerate(t for _, t in rows)))
+    got = {r.doc_id: r.licenses for r in licenses.license_report(licenses.scan_licenses(docs)).collect()}
+    assert [got[i] for i in range(len(rows))] == [name for name, _ in WHOLE] * len(forms) + ["Proprietary", "", "MIT"]
+
+
 URLS = [
     "http://a.example.com/en/1?x", "https://WWW.Example.com/en/", "https://x.www.example.com/en/q#f", "http://b.net/es/1",
     "http://net/fr/", "http://netx/fr/", "http://b.net/fr", "ftp://c.com", "http://c.com/", "no scheme", None, "",

@@ -1,8 +1,10 @@
 """Licence recognition by sentences: sentence identifiers first, then ordered rules over their sequence. JVM only.
 
-A text is cut into sentences; each is normalised (lower case, letters, digits and dots only) and looked up in a table of
-known licence sentences. The identifiers found, in text order, form a sequence. Rules, in order, each consume every run
-of identifiers they state; what is left belongs to no licence.
+A text is normalised (lower case, letters, digits and dots only) with a mark at each sentence end and line break. A known
+licence sentence is found where it stands between two marks, a long one also behind a title on its line. Single line
+breaks inside it count as blanks, so wrapped and commented texts give the same sentences as unwrapped ones; a blank line or
+a sentence end is never crossed. The identifiers found, in text order, form a sequence. Rules, in order, each consume every
+run of identifiers they state; what is left belongs to no licence.
 
 Defined results: null or empty text has no sentence; repeated rows are scanned each; an empty table gives no row; other
 columns of the input are ignored. Sentences without an identifier don't break a sequence.
@@ -10,10 +12,13 @@ columns of the input are ignored. Sentences without an identifier don't break a
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Known sentences of licence texts and references, normalised, with an identifier of our own.
+# Known sentences of licence texts and references, normalised, with an identifier of our own. A word ``*``
+# stands for the name of a holder, of up to ``NAME`` words.
 SENTENCES = {
     "licensed under the apache license version 2.0": "ApacheRef",
     "licensed under the apache license version 2.0 the license": "ApacheRef",
@@ -44,7 +49,32 @@ SENTENCES = {
     "redistributions in binary form must reproduce the above copyright notice": "BsdBinary",
     "neither the name of the copyright holder nor the names of its contributors may be used to endorse": "BsdEndorse",
     "all rights reserved": "AllRights",
+    # The same sentences at the length they have in the full texts.
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+    "documentation files the software to deal in the software without restriction including without limitation the rights "
+    "to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to "
+    "whom the software is furnished to do so subject to the following conditions": "MitGrant",
+    "the above copyright notice and this permission notice including the next paragraph shall be included in all copies or "
+    "substantial portions of the software": "MitNotice",
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the "
+    "warranties of merchantability fitness for a particular purpose and noninfringement": "AsIs",
+    "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following "
+    "disclaimer in the documentation and or other materials provided with the distribution": "BsdBinary",
+    "neither the name * nor the names of * contributors may be used to endorse or promote products derived from this "
+    "software without specific prior written permission": "BsdEndorse",
+    "the name of * may not be used to endorse or promote products derived from this software without specific prior "
+    "written permission": "BsdEndorse",
+    "license shall mean the terms and conditions for use reproduction and distribution as defined by sections 1 through 9 "
+    "of this document": "ApacheRef",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free "
+    "software foundation": "GplGrant",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free "
+    "software foundation either version 3 of the license or at your option any later version": "Gpl3Grant",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free "
+    "software foundation either version 2 of the license or at your option any later version": "Gpl2Grant",
 }
+NAME = 12
+LONG = 20  # words from which a sentence needs no mark in front: a title without an end may stand there
 # In order, the sequence a rule consumes and the licence it stands for. Longer sequences come first.
 RULES = (
     (("BsdGrant", "BsdSource", "BsdBinary", "BsdEndorse"), "BSD-3-Clause"),
@@ -54,6 +84,8 @@ RULES = (
     (("ApacheRef", "ApacheUse", "ApacheCopy"), "Apache-2.0"),
     (("GplGrant", "Version3OrLater"), "GPL-3.0-or-later"),
     (("GplGrant", "Version2OrLater"), "GPL-2.0-or-later"),
+    (("Gpl3Grant",), "GPL-3.0-or-later"),
+    (("Gpl2Grant",), "GPL-2.0-or-later"),
     (("ApacheRef",), "Apache-2.0"),
     (("MitRef",), "MIT"),
     (("Gpl3Ref",), "GPL-3.0-only"),
@@ -63,24 +95,43 @@ RULES = (
     (("CcBy4Ref",), "CC-BY-4.0"),
     (("AllRights",), "Proprietary"),
 )
-# Every sentence of the table holds one of these words, so a text without them needs no cutting.
+# Every sentence of the table holds one of these words, so a text without them needs no scan.
 _GATE = r"(?i)licen[cs]e|permission|warrant|copyright|redistribut|rights\W+reserved"
-_CUT = r"[\r\n]+|(?<![.!?;:])[.!?;:]++\s+"
+_END, _LINE = "\u0001", "\u0002"  # marks of sentence ends and line breaks
+_SENTENCE_END = r"(?<![.!?;:])[.!?;:]++\s+"
+
 
+def normalised(text: Column) -> Column:
+    """Lower case with marks; other characters than letters, digits and dots inside numbers become one blank."""
+    marked = F.regexp_replace(F.translate(F.lower(text), _END + _LINE, "  "), _SENTENCE_END, _END)
+    marked = F.regexp_replace(marked, r"\r\n?|\n", _LINE)
+    words = F.regexp_replace(marked, rf"[^a-z0-9.{_END}{_LINE}]+|\.(?![0-9])|(?<![0-9])\.", " ")
+    return F.trim(F.regexp_replace(F.regexp_replace(words, " {2,}", " "), f" ?([{_END}{_LINE}]) ?", "$1"))
 
-def normalised(sentence: Column) -> Column:
-    """Lower case; other characters than letters, digits and dots inside numbers become one blank."""
-    words = F.regexp_replace(F.lower(sentence), r"[^a-z0-9.]+|\.(?![0-9])|(?<![0-9])\.", " ")
-    return F.trim(F.regexp_replace(words, " {2,}", " "))
+
+def _pattern(sentence: str) -> str:
+    """A known sentence over blanks and single line breaks; the name of a holder may hold a sentence end (Inc.)."""
+    name = f"[a-z0-9.]++(?:[ {_END}{_LINE}][a-z0-9.]++){{0,{NAME - 1}}}?"
+    return f"[ {_LINE}]".join(name if w == "*" else re.escape(w) for w in sentence.split())
 
 
 def sentence_ids(text: Column, sentences: dict[str, str] | None = None) -> Column:
-    """Identifiers of the known sentences of a text, in its order."""
-    table = F.create_map(*(F.lit(x) for pair in (sentences or SENTENCES).items() for x in pair))
-    known = F.filter(
-        F.transform(F.split(text, _CUT, -1), lambda s: F.element_at(table, normalised(s))), lambda x: x.isNotNull()
-    )
-    return F.when(text.rlike(_GATE), known).otherwise(F.array().cast("array<string>"))
+    """Identifiers of the known sentences of a text, in its order. Of two that start together the longer one counts."""
+    sentences = sentences or SENTENCES
+    table = F.create_map(*(F.lit(x) for pair in sentences.items() for x in pair))
+    ordered = sorted(sentences, key=lambda s: (-len(s), s))
+    every = "|".join(map(_pattern, ordered))
+    long = "|".join(_pattern(s) for s in ordered if len(s.split()) >= LONG) or "(?!)"
+    # up to a mark, and from one or behind a number of a list
+    wanted = f"((?<![^{_END}{_LINE} ])(?:{long})|(?:(?<![^{_END}{_LINE}])|(?<=(?<![^{_END}{_LINE}])[0-9]{{1,2}} ))(?:{every}))(?![^{_END}{_LINE}])"
+    hits = F.regexp_extract_all(normalised(text), F.lit(wanted), 1)
+    named = [s for s in sentences if "*" in s.split()]
+
+    def identify(hit: Column) -> Column:
+        exact = F.element_at(table, F.translate(hit, _LINE, " "))
+        return F.coalesce(exact, *(F.when(hit.rlike(f"^(?:{_pattern(s)})$"), F.lit(sentences[s])) for s in named))
+
+    return F.when(text.rlike(_GATE), F.transform(hits, identify)).otherwise(F.array().cast("array<string>"))
 
 
 def match_rules(ids: Column, rules=RULES) -> tuple[Column, Column]:
