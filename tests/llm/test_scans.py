@@ -73,6 +73,35 @@ def test_guess_cost_is_the_least_of_all_segmentations():
         assert secret_scan.guess_cost(value) == pytest.approx(slow(value))
 
 
+STATED = [
+    ("DB_PASSWORD=", "xK9#mQ2$vL7@"), ('client_secret: "', "q!8Zr#Vt2$pL"), ("secret_key=", "v8!Kq2#zLw9"), ("access_token=", "a9$Kq2#zLw"),
+    ("pwd: ", "qjxvzkwpfbgm"), ("passphrase=", "KQZVXWPLMTRN"), ("clientSecret => ", "v8!Kq2#zLw9"), ("token->", "v8!Kq2#zLw9"),
+    ("password:\t", "xK9#mQ2$vL7@"), ("api-key =\n  ", "xK9#mQ2$vL7@"), ("credentials:\n  login: ann\n  passwd: ", "xK9#mQ2$vL7@"),
+    ("the password was\n", "xK9#mQ2$vL7@"), ("secrets:\n  access_token: ", "q!8Zr#Vt2$pL"), ("the secret password: ", "xK9#mQ2$vL7@"),
+    ('pwd="', "xK9#mQ2$vL7!"), ("the secret pwd=", "qjxvzkwpfbgm"),
+]
+
+
+@pytest.mark.parametrize("before, value", STATED)
+def test_values_behind_credential_words_are_priced(before, value):
+    start = len(before)
+    text = before + value + ('"' if before[-1] == '"' else "\nnext")
+    assert [s[:3] for s in secret_scan.find_secrets(text)] == [(start, 3, start + len(value))]
+
+
+@pytest.mark.parametrize("text", [
+    "Author: Christopherson", "the secretary: Wilhelmina", "tokenizer=sentencepiece", "the secret communication", "password=password123",
+    "a bearer was understanding", "auth", "secret:", "token =",
+])
+def test_prose_and_cheap_values_are_no_secrets(text):
+    assert secret_scan.find_secrets(text) == []
+
+
+def test_many_credential_words_take_linear_time():
+    for text in ("token=" * 100_000, "token" * 100_000, "token" + " " * 200_000, "secret " * 50_000, "token-" * 100_000 + "=x"):
+        assert secret_scan.find_secrets(text[:-1]) is not None
+
+
 def test_redaction_keeps_rows_and_columns(documents):
     docs = documents(TEXTS)
     out = secret_scan.redact_secrets(docs)

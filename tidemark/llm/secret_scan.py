@@ -2,7 +2,8 @@
 
 The cost of a value is the least log10 of guesses over all its segmentations into dictionary words, dates, repeats,
 keyboard or alphabet walks and brute-force spans. A value that stands after a credential word and costs at least
-``min_log10`` guesses is a secret of kind ``guess``; values like ``password123`` are not.
+``min_log10`` guesses is a secret of kind ``guess``; values like ``password123`` are not. The word may be a part of an
+identifier if a connector follows; without a connector the word stands alone and the value must not look like prose.
 
 Defined results: null text counts as empty; repeated rows are scanned each; an empty table gives no row; other columns
 of the input are ignored. Values of any length are priced in one pass that is linear in the length.
@@ -26,12 +27,16 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "guess")
-# A credential word, an optional connector, and a value without blanks or quotes.
-CONTEXT = re.compile(
-    r"""\b(?:password|passwd|passphrase|passcode|pwd|secret|token|api[_-]?key|credentials?|bearer|auth)\b["']?"""
-    r"""(?:\x20{0,4}(?:[:=]|=>|->|is|was)\x20{0,4}|\x20)["'`]?([^\s"'`<>,;]{8,})""",
+# A credential word anywhere in an identifier; words of prose that only begin like one are none.
+KEYWORD = re.compile(
+    r"password|passwd|passphrase|passcode|pwd|secret(?!ar|ion|iv|ly|e[ds]?\b)|token(?!i[sz])|api[_-]?key|credential|bearer"
+    r"|auth(?!or(?!iz)|entic(?!at))",
     re.IGNORECASE | re.ASCII,
 )
+REST = re.compile(r"(?:[A-Za-z0-9_]|-(?!>))*+")
+STATED = re.compile(r"""["'`]?\s*+(?:[:=]++>?|->)\s*+["'`]?""", re.ASCII)
+SAID = re.compile(r"""["']?\s{1,4}+(?:(?:is|was)\s{1,4}+)?["'`]?""", re.IGNORECASE | re.ASCII)
+VALUE = re.compile(r"""[^\s"'`<>,;]{8,}+""", re.ASCII)
 # Frequent passwords and password parts, most frequent first; the place is the number of guesses.
 WORDS = (
     "password pass admin welcome letmein login master secret dragon monkey shadow sunshine princess football baseball "
@@ -106,21 +111,60 @@ def guess_cost(value: str) -> float:
     return best
 
 
+def _said_alone(text: str, start: int, stop: int) -> int:
+    """Where the word at ``start`` ends if it stands alone, with a plural s at most; else -1."""
+    stop += text[stop : stop + 1] in ("s", "S")
+    return -1 if start and _word(text[start - 1]) or _word(text[stop : stop + 1]) else stop
+
+
+def _word(char: str) -> bool:
+    return char == "_" or char.isascii() and char.isalnum()
+
+
+def context_values(text: str) -> Iterator[tuple[int, str, bool]]:
+    """(start, value, whether a connector states it) of the values behind credential words.
+
+    A stated value that begins inside an earlier stated one is left out: it is a part of that one, which costs no less.
+    """
+    rest = reached = 0
+    for m in KEYWORD.finditer(text):
+        link, stated = None, False
+        if m.end() > rest:  # once for each identifier
+            rest = REST.match(text, m.end()).end()
+            link = STATED.match(text, rest)
+            stated = link is not None
+        if not stated and (end := _said_alone(text, m.start(), m.end())) >= 0:
+            link = SAID.match(text, end)
+        value = VALUE.match(text, link.end()) if link and link.end() >= reached else None
+        if not value:
+            continue
+        found, stop = value[0], value.end()
+        if stated and found[-1] == ":" and "\n" in link[0]:
+            continue  # the key of the next line
+        if stated:
+            reached = stop
+        if not (stated and link[0][-1] in "\"'`" and text[stop : stop + 1] == link[0][-1]):
+            found = found.rstrip(".:)]}" if stated else ".!?:)]}")
+        if len(found) >= 8:
+            yield value.start(), found, stated
+
+
 def find_secrets(text: str, min_log10: float = 10.0) -> list[tuple[int, int, int, float]]:
     """(start, kind number, stop, log10 of guesses) in order. Costs are those of the value, not of the whole span."""
-    found, values = [], set()
+    found, stops = [], {}
     for m in ASSIGN.finditer(text):
         if len(m[2]) >= 12:
             found.append((m.start(), 0, m.end(), guess_cost(m[2])))
-            values.add(m.start(2))
+            stops[m.start(2)] = m.end()
     found += ((m.start(), 1, m.end(), guess_cost(m[0])) for m in ACCESS.finditer(text))
     found += ((m.start(), 2, m.end(), guess_cost(m[0])) for m in HEX.finditer(text))
-    for m in CONTEXT.finditer(text):
-        value = m[1].rstrip(".!?:)]}")
-        if m.start(1) not in values and len(value) >= 8 and (mixed(value)):
+    seen = 0
+    for start, value, stated in context_values(text):
+        if start >= seen and start not in stops and (stated or mixed(value)):
             cost = guess_cost(value)
             if cost >= min_log10:
-                found.append((m.start(1), 3, m.start(1) + len(value), cost))
+                seen = start + len(value)
+                found.append((start, 3, seen, cost))
     return sorted(found)
 
 
