@@ -97,6 +97,16 @@ def test_prose_and_cheap_values_are_no_secrets(text):
     assert secret_scan.find_secrets(text) == []
 
 
+@pytest.mark.parametrize("text, spans", [
+    ("password=Tr0ub4dorxyz9!$kQ7# x", [(0, 0, 22), (9, 3, 28)]), ("token: abcdefghijkl#mnop, x", [(0, 0, 19), (7, 3, 24)]),
+    ("secret==abc=def/ghi+jkl", [(0, 0, 23)]), ("password=passwordpassword!x", [(0, 0, 25), (9, 3, 27)]), ("token=abcdefghijkl.", [(0, 0, 19)]),
+])
+def test_no_half_of_a_secret_stays(documents, text, spans):
+    assert [s[:3] for s in secret_scan.find_secrets(text)] == spans
+    head, tail = text[: spans[0][0]], text[spans[-1][2] :]
+    assert secret_scan.redact_secrets(documents([(1, text)])).first().text == f"{head}<SECRET>{tail}"
+
+
 def test_many_credential_words_take_linear_time():
     for text in ("token=" * 100_000, "token" * 100_000, "token" + " " * 200_000, "secret " * 50_000, "token-" * 100_000 + "=x"):
         assert secret_scan.find_secrets(text[:-1]) is not None

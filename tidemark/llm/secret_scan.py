@@ -3,7 +3,8 @@
 The cost of a value is the least log10 of guesses over all its segmentations into dictionary words, dates, repeats,
 keyboard or alphabet walks and brute-force spans. A value that stands after a credential word and costs at least
 ``min_log10`` guesses is a secret of kind ``guess``; values like ``password123`` are not. The word may be a part of an
-identifier if a connector follows; without a connector the word stands alone and the value must not look like prose.
+identifier if a connector follows; without a connector the word stands alone and the value must not look like prose. A
+value that goes on behind the span of a stated pattern is a secret as a whole, whatever its price.
 
 Defined results: null text counts as empty; repeated rows are scanned each; an empty table gives no row; other columns
 of the input are ignored. Values of any length are priced in one pass that is linear in the length.
@@ -11,6 +12,7 @@ of the input are ignored. Values of any length are priced in one pass that is li
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
@@ -151,20 +153,26 @@ def context_values(text: str) -> Iterator[tuple[int, str, bool]]:
 
 def find_secrets(text: str, min_log10: float = 10.0) -> list[tuple[int, int, int, float]]:
     """(start, kind number, stop, log10 of guesses) in order. Costs are those of the value, not of the whole span."""
-    found, stops = [], {}
+    found, starts, stops = [], [], []
     for m in ASSIGN.finditer(text):
         if len(m[2]) >= 12:
             found.append((m.start(), 0, m.end(), guess_cost(m[2])))
-            stops[m.start(2)] = m.end()
+            starts.append(m.start(2))
+            stops.append(m.end())
     found += ((m.start(), 1, m.end(), guess_cost(m[0])) for m in ACCESS.finditer(text))
     found += ((m.start(), 2, m.end(), guess_cost(m[0])) for m in HEX.finditer(text))
     seen = 0
     for start, value, stated in context_values(text):
-        if start >= seen and start not in stops and (stated or mixed(value)):
+        stop = start + len(value)
+        base = bisect.bisect_right(starts, start) - 1
+        held = base >= 0 and start < stops[base]  # a stated pattern holds its beginning, and perhaps all of it
+        if start < seen or held and stop <= stops[base]:
+            continue
+        if held or stated or mixed(value):
             cost = guess_cost(value)
-            if cost >= min_log10:
-                seen = start + len(value)
-                found.append((start, 3, seen, cost))
+            if held or cost >= min_log10:
+                seen = stop
+                found.append((start, 3, stop, cost))
     return sorted(found)
 
 
