@@ -163,6 +163,20 @@ def test_personal_data(documents):
     assert pii.pii_spans(documents([])).count() == 0
 
 
+def test_account_numbers_end_where_the_country_says(documents):
+    numbers = [
+        "BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "ES91 2100 0418 4502 0005 1332", "SE45 5000 0000 0583 9825 7466",
+        "PL61 1090 1014 0000 0712 1981 2874", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947", "BE68539007547034",
+    ]
+    words = ["BIC GKCCBEBB", "EUR 100", "BANK", "A", "BE71 0961 2345 6769", "", "."]
+    rows = [(i, f"IBAN {n} {w}") for i, (n, w) in enumerate((n, w) for n in numbers for w in words)]
+    got = {r.doc_id: r for r in pii.pii_digest(pii.pii_spans(documents(rows))).collect()}
+    for i, text in rows:
+        number, word = numbers[i // len(words)], words[i % len(words)]
+        want = [f"iban:5:{5 + len(number)}"] + ([f"iban:{6 + len(number)}:{len(text)}"] if word.startswith("BE71") else [])
+        assert [s for s in got[i].spans.split(",") if s.startswith("iban")] == want, text
+
+
 def test_long_runs_neither_overflow_nor_crawl(documents):
     got = pii.pii_digest(pii.pii_spans(documents([PII[4], (10, "+1" + "(" * 100_000), (11, "1.1." * 50_000)]))).collect()
     assert {r.doc_id: r.n_email for r in got} == {5: 1, 10: 0, 11: 0}

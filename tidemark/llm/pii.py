@@ -62,6 +62,26 @@ class Kind:
     base: bool = True
 
 
+# Characters of an account number by country, as registered.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban() -> str:
+    """The length of the country comes first, so that a next word in capitals stays outside; other lengths by the form."""
+    forms = []
+    for length, codes in IBAN_LENGTHS.items():
+        groups, rest = divmod(length - 4, 4)
+        last = rf"\x20?[A-Z0-9]{{{rest}}}" if rest else ""
+        forms.append(rf"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{groups}}}{last}")
+    forms.append(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?")
+    return rf"(?<![A-Za-z0-9])(?:{'|'.join(forms)})(?![A-Za-z0-9])"
+
+
 # The four base patterns and context words are fixed values.
 KINDS = (
     Kind(
@@ -82,7 +102,7 @@ KINDS = (
         lambda t: t.contains("+"), phone_digits, 0.5, "phone|call|mobile|cell|tel|fax|whatsapp",
     ),
     Kind(
-        "iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+        "iban", _iban(),
         lambda t: t.rlike(r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]{4}"), mod97, 0.8, "iban|account|bank|transfer|swift", False,
     ),
     Kind(
