@@ -11,6 +11,7 @@ from tidemark.plans.entities import ENTITIES
 from tidemark.operators.contracts import SchemaDriftError
 from tidemark.operators.quality import QualityError
 from tidemark.plans.medallion import LOGGED, run_medallion
+from tidemark.plans.published import check_published, published
 from tidemark.sources.fixtures import Raw
 from tidemark.streaming.jobs import BUCKET
 from tidemark.streaming.state import PartitionedState
@@ -89,3 +90,42 @@ def test_breaker_stops_the_run_and_is_logged(spark, tmp_path):
         run_medallion(spark, {"surveys": surveys}, str(tmp_path), 0, now=datetime(2024, 1, 1))
     row = spark.read.parquet(f"{tmp_path}/run_log").first()
     assert row.status == "FAILED" and row.table_id == LOGGED.index("surveys") and row.error_message
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
+def test_deleted_customers_are_published_as_deleted(spark, tmp_path):
+    customers = Raw(spark, SF).customers()
+    path = str(tmp_path)
+
+    def run(no, batch, before):
+        return run_medallion(spark, {"customers": batch}, path, no, before, now=datetime(2024, 1, 1 + no), error_limit=0.6)
+
+    def flagged(tables):
+        rows = published("dim_customer", tables["dim_customer"]).filter("_is_deleted").collect()
+        assert all(r._is_current for r in rows)
+        return sorted(r.customer_id for r in rows)
+
+    first = run(0, customers, None)
+    assert flagged(first) == []
+    ids = sorted(r.customer_id for r in first["dim_customer"].filter("_is_current and customer_id > 0").collect())[:3]
+    gone = customers.filter(F.col("CUSTOMER_ID").cast("long").isin(ids)).withColumn("_cdc_operation", F.lit("D"))
+    second = run(1, gone, first)
+    assert flagged(second) == sorted(map(str, ids))
+    assert second["dim_customer"].count() == first["dim_customer"].count()
+    # a later batch of other customers leaves the flags
+    third = run(2, Raw(spark, SF).customers_change().filter(~F.col("CUSTOMER_ID").cast("long").isin(ids)), second)
+    assert flagged(third) == sorted(map(str, ids))
+
+    # the two published tables join on the customer's key, the unknown member included
+    dim = third["dim_customer"]
+    sales = dim.select(
+        F.col("dim_customer_key").alias("line_id"), F.lit(1).alias("order_id"), "dim_customer_key",
+        F.lit(1).alias("dim_product_key"), F.lit(1).alias("dim_campaign_key"), F.lit(20240101).alias("dim_date_key"),
+        F.lit(1).alias("line_total"), F.lit("SHIPPED").alias("order_status"),
+    )
+    fact = published("fact_sales", sales, dim)
+    joined = fact.join(published("dim_customer", dim), "customer_sk")
+    assert joined.count() == sales.count() > 0
+    assert not check_published("fact_sales", sales, dim)["breaking"]
+    owner = dim.select(F.col("dim_customer_key").cast("string").alias("order_line_id"), F.col("customer_id").cast("string").alias("_owner"))
+    assert joined.join(owner, "order_line_id").filter("customer_id <> _owner").count() == 0

@@ -20,6 +20,7 @@ SCHEMAS = {
         "dim_customer_key bigint, customer_id bigint, email string, phone string, full_name string, gender string, "
         "customer_type string, status string, marketing_opt_in boolean, registration_date timestamp, "
         "_valid_from timestamp, _valid_to timestamp, _is_current boolean, _version int, _hash_key string, " + AUDIT
+        + ", _is_deleted boolean"
     ),
     "dim_product": (
         "dim_product_key bigint, inventory_item_id bigint, sku string, product_name string, category_name string, "
@@ -102,9 +103,14 @@ def customer_source(silver: DataFrame) -> DataFrame:
 
 
 def build_dim_customer(
-    target: DataFrame | None, silver: DataFrame, run_id: str | None = None, now: datetime | None = None
+    target: DataFrame | None, silver: DataFrame, run_id: str | None = None, now: datetime | None = None,
+    deleted: DataFrame | None = None,
 ) -> DataFrame:
-    """Type 2 on type, status and opt-in; type 1 on the rest; event time is ``last_update_date``."""
+    """Type 2 on type, status and opt-in; type 1 on the rest; event time is ``last_update_date``.
+
+    ``deleted`` holds the ids of all customers that are deleted by now. Their last version stays the current one, so that
+    facts and customer figures keep their owner, and is flagged; a customer that comes back loses the flag.
+    """
     source = _stamp(customer_source(silver), run_id, now)
     first_load = target is None
     if first_load:
@@ -117,7 +123,13 @@ def build_dim_customer(
         )
         start = max_key(target, "dim_customer_key")
     # the merge runs once; only its new versions, one for each key of the batch at most, are numbered
-    merged = durable(_shape(merged, "dim_customer"), "dim_customer")
+    merged = _shape(merged, "dim_customer")
+    if deleted is not None:
+        marks = deleted.select("customer_id").distinct().withColumn("_gone", F.lit(True))
+        marked = merged.join(marks, "customer_id", "left")
+        flag = F.coalesce("_gone", F.lit(False)) & F.coalesce("_is_current", F.lit(False))
+        merged = marked.withColumn("_is_deleted", flag).select(*merged.columns)
+    merged = durable(merged.withColumn("_is_deleted", F.coalesce("_is_deleted", F.lit(False))), "dim_customer")
     is_new = F.col("dim_customer_key").isNull()
     fresh = assign_keys(merged.filter(is_new), "customer_id", "dim_customer_key", start)
     keyed = merged.filter(~is_new).unionByName(fresh)

@@ -194,8 +194,12 @@ def _run_layers(
         out["ri_warnings"] = _store(warnings, f"{root}/ri_warnings")
 
     now_of = {n: _current(df) for n, df in out.items() if n in ENTITIES}
+    gone = None
+    if "customers" in out:
+        gone = out["customers"].filter("_is_deleted").select("customer_id").distinct()
+        gone = gone.join(now_of["customers"].select("customer_id"), "customer_id", "left_anti")
     builders = {
-        "dim_customer": ("customers", lambda t: dims.build_dim_customer(t, now_of["customers"], run_id, now)),
+        "dim_customer": ("customers", lambda t: dims.build_dim_customer(t, now_of["customers"], run_id, now, gone)),
         "dim_product": (
             "mtl_system_items_b",
             lambda t: dims.build_dim_product(
