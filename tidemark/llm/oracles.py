@@ -143,3 +143,53 @@ def license_report() -> str:
                array_to_string(list_filter(names, lambda x, i: x IS NOT NULL AND list_position(names, x) = i), ',') AS licenses,
                len(regexp_extract_all(coalesce({last}, ''), '<')) AS n_unmatched
         FROM (SELECT *, [{", ".join(names)}] AS names FROM ({state}))"""
+
+
+def fill_in_middle() -> str:
+    def number(group: int) -> str:
+        return f"CAST('0x' || substring(h, {8 * group + 1}, 8) AS BIGINT)"
+
+    def joined(first: str, last: str) -> str:
+        return f"array_to_string(lines[{first} : {last}], '')"
+
+    return f"""
+        WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || doc_id) AS h FROM documents),
+             cut AS (SELECT *, regexp_extract_all(text, '[^\\n]*\\n|[^\\n]+') AS lines FROM docs),
+             drawn AS (SELECT *, len(lines) AS n, {number(0)} % (len(lines) + 1) AS c1, {number(1)} % (len(lines) + 1) AS c2,
+                              CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                                     OR {number(2)} % 100 >= 100 THEN 'plain'
+                                   WHEN {number(3)} % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM cut),
+             parts AS (SELECT *, {joined("1", "least(c1, c2)")} AS p, {joined("least(c1, c2) + 1", "greatest(c1, c2)")} AS m,
+                              {joined("greatest(c1, c2) + 1", "n")} AS s FROM drawn)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                      ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+               sha256(text) AS restored_sha256 FROM parts"""
+
+
+def centroid_clusters(k: int = 8, rounds: int = 10) -> str:
+    def assigned(i: int) -> str:
+        return f"""a{i} AS MATERIALIZED (
+            SELECT r, vec_id, v, unnest(list_min(list_transform(c, lambda q: struct_pack(
+                     d := CAST(list_sum(list_transform(list_zip(v, q.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT), j := q.j))))
+            FROM kept, (SELECT list(struct_pack(j := j, v := v) ORDER BY j) AS c FROM c{i}))"""
+
+    def moved(i: int) -> str:
+        return f"""s{i} AS (SELECT j, list(f ORDER BY p) AS v FROM (
+              SELECT j, p, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS f
+              FROM (SELECT j, unnest(v) AS x, unnest(range(1, 65)) AS p FROM a{i}) GROUP BY 1, 2) GROUP BY 1),
+            c{i + 1} AS MATERIALIZED (SELECT j, CAST(coalesce(s{i}.v, c{i}.v) AS BIGINT[]) AS v FROM c{i} LEFT JOIN s{i} USING (j))"""
+
+    steps = ", ".join(f"{assigned(i)}, {moved(i)}" for i in range(rounds))
+    return f"""
+        WITH kept AS MATERIALIZED (
+               SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+               FROM embeddings WHERE len(embedding) = 64
+                 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+             c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY h, v) - 1 AS INTEGER) AS j, v FROM (
+               SELECT sha256('3:' || vec_id) AS h, v FROM kept WHERE vec_id IS NOT NULL ORDER BY 1, 2 LIMIT {k})),
+             {steps}, {assigned(rounds)}
+        SELECT vec_id, a{rounds}.j AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY a{rounds}.j) AS BIGINT) AS cluster_inertia,
+               CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256
+        FROM a{rounds} JOIN c{rounds} USING (j)"""

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ann, decontam, jaccard, language, licenses, oracles, packing, pii, secret_scan, urls, warc
+from tidemark.llm import (
+    ann, clustering, decontam, jaccard, language, licenses, middle, oracles, packing, pii, secret_scan, simhash, urls, warc,
+)
 from tidemark.session import tune
 
 QUERIES: list[tuple] = []
@@ -96,3 +98,18 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )
+
+
+@query("op11_fill_in_middle", oracles.fill_in_middle())
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return middle.middle_digest(middle.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
+@query("op12_simhash_dedup")
+def op12_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
+@query("op13_centroid_clustering", oracles.centroid_clusters())
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster_vectors(table(spark, sf_dir, "embeddings")).drop("centroid")
