@@ -134,7 +134,7 @@ def test_contained_items(llm, documents, size, monkeypatch):
     rng = random.Random(7)
     words = [f"w{i}" for i in range(60)]
     items = [(i, " ".join(rng.choices(words, k=rng.choice([1, 2, 4, 5, 6, 20, 45])))) for i in range(30)]
-    items += [(50, None), (51, ""), (0, items[0][1])]
+    items += [(50, None), (51, ""), (0, items[0][1]), (None, items[5][1]), (None, items[6][1]), (2**53 + 1, items[5][1])]
     rows = []
     for i in range(150):
         text = rng.choices(words, k=rng.randrange(5, 400))

@@ -53,6 +53,50 @@ def test_language_filters_hold_what_was_learned():
     assert ((words[first] & words[second]) == 2).all()
 
 
+def test_every_labelled_language_is_learned(llm):
+    """Thousands of letters, no trigram twice; and more n-grams than a filter holds."""
+    rng = random.Random(8)
+    rows = [(i, "".join(chr(0x4E00 + rng.randrange(6000)) for _ in range(80)), "zh") for i in range(300)]
+    rows += [(1000 + i, " ".join(rng.choices("the of and a to in is you that it he was for on are".split(), k=60)), "en") for i in range(300)]
+    rows += [(2000 + i, " ".join("".join(rng.choices("\u0430\u0431\u0432\u0433\u0434\u0435\u0436\u0437\u0438\u043a\u043b\u043c\u043d\u043e", k=6)) for _ in range(60)), "ru") for i in range(300)]
+    df = llm.createDataFrame(rows, "doc_id long, text string, lang string")
+    truth = {i: lang for i, _, lang in rows}
+    assert all(r.lang_pred == truth[r.doc_id] and r.score > 0.5 for r in language.identify(df).collect())
+    assert language.keep_identified(df).count() == len(rows)
+    small = language.learn(df.select("text", "lang"), max_grams=200)
+    assert small.languages == ["en", "ru", "zh"] and (small.fill * len(small.words) <= 2 * 300).all()
+    names, _ = language.judge([t for _, t, _ in rows], small)
+    assert np.mean([n == truth[i] for n, (i, *_) in zip(names, rows)]) > 0.99
+
+
+def plain_judge(texts, train):
+    """Shares of n-grams seen in each language, by sets: filters without false positives."""
+
+    def grams(text):
+        letters = [chr(c) if c != 32 else " " for c in (language._table()[ord(x)] for x in f"\n{text}\n")]
+        line = " ".join("".join(letters).split())
+        return [line_[i : i + 3] for line_ in [f" {line} "] for i in range(len(line) + 0) if line_[i + 1] != " "]
+
+    known = {lang: {g for t, x in train if x == lang for g in grams(t)} for lang in sorted({x for _, x in train})}
+    out = []
+    for text in texts:
+        mine = grams(text)
+        shares = [sum(g in s for g in mine) / len(mine) for s in known.values()] if mine else []
+        out.append((list(known)[int(np.argmax(shares))] if mine else "und", max(shares, default=0.0)))
+    return out
+
+
+def test_language_judge_against_plain_counting(llm):
+    docs = llm.read.parquet(f"{SF}/documents.parquet").select("text", "lang").limit(300).collect()
+    train = [(r.text, r.lang) for r in docs if r.text and r.lang][:150]
+    filters = language.learn(llm.createDataFrame(train, "text string, lang string"))
+    texts = [r.text or "" for r in docs] + ["", "12 !", "a", "A b-c", "Zz\u0301 \u00c9t\u00e9"]
+    names, scores = language.judge(texts, filters)
+    want = plain_judge(texts, train)
+    assert np.allclose(scores, [s for _, s in want], atol=0.02)
+    assert [n for n, s in zip(names, scores) if s > 0.1] == [n for (n, _), s in zip(want, scores) if s > 0.1]
+
+
 def archived(rows):
     groups = collections.defaultdict(list)
     for page, _, html in rows:
@@ -148,6 +192,18 @@ def test_neighbours_edges(llm, monkeypatch):
     assert ann.nearest(df.filter("vec_id < 0"), df).count() == 0
 
 
+def test_neighbours_of_extreme_magnitudes_and_other_lengths(llm):
+    rows = [(0, [1.0, 1.0]), (1, [1e200, 1e200]), (2, [1e-200, 1e-200]), (3, [5e-324, 5e-324]), (4, [1.7e308, 0.0]), (5, [-1e-310, -1e-310])]
+    rows += [(50, [1.0, 0.0, 1e-300]), (51, [0.0, 1e300, 0.0]), (52, [3.0, 0.0, 0.0])]
+    df = llm.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in sorted(ann.nearest(df, df.filter("vec_id % 50 = 0")).collect(), key=lambda r: (r.query_id, r["rank"])):
+        got.setdefault(r.query_id, []).append((r.vec_id, round(r.score, 12)))
+    # equal but for the last bit
+    assert sorted(got[0], key=lambda x: (-x[1], x[0])) == [(1, 1.0), (2, 1.0), (3, 1.0), (4, round(0.5**0.5, 12)), (5, -1.0)]
+    assert got[50] == [(52, 1.0), (51, 0.0)]
+
+
 def test_parts_are_balanced():
     x = ann.unit(np.random.default_rng(3).normal(size=(600, 8)))
     sizes = np.bincount(ann.balanced_parts(ann.neighbour_graph(x, 10), 12), minlength=12)

@@ -52,7 +52,8 @@ def test_secret_spans(documents):
 
 
 @pytest.mark.parametrize(
-    "weak, strong", [("password123", "xK9#mQ2$vL7@"), ("qwertyuiop12", "qjxvzkwpfbgm"), ("2019-12-31", "8302957146"), ("abcabcabcabc", "abcxqzvjkwpf")]
+    "weak, strong", [("password123", "xK9#mQ2$vL7@"), ("qwertyuiop12", "qjxvzkwpfbgm"), ("2019-12-31", "8302957146"), ("abcabcabcabc", "abcxqzvjkwpf"),
+     ("481592637481592637", "481592637481592636")]
 )
 def test_guess_costs(weak, strong):
     assert secret_scan.guess_cost(weak) < 8 <= secret_scan.guess_cost(strong) + 1e-9 or secret_scan.guess_cost(weak) + 3 < secret_scan.guess_cost(strong)
@@ -69,7 +70,7 @@ def test_guess_cost_is_the_least_of_all_segmentations():
             best.append(min(options))
         return best[-1]
 
-    for value in ("password2019xk9", "aaaabbbbqwerty", "l3tm31n-99", "zzz", "x", "2020-01-01abcabc"):
+    for value in ("password2019xk9", "481592637481592637x", "abcdefghijk-abcdefghijk-", "aaaabbbbqwerty", "l3tm31n-99", "zzz", "x", "2020-01-01abcabc"):
         assert secret_scan.guess_cost(value) == pytest.approx(slow(value))
 
 

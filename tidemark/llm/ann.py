@@ -8,10 +8,11 @@ The sample holds at most ``SAMPLE`` vectors (those with the least hash of the id
 block of rows are cut into blocks, and the queries of a part meet each block of it, so that neither a large part nor many
 equal vectors stand in one task. No row is left out of a part.
 
-Defined results: vectors that are null, empty, zero, hold null or non-finite numbers, or whose length isn't the most
-frequent one, and rows with a null id, take no part; rows of one id are one candidate, with the best of their scores; ties
-go to the smaller id; fewer candidates than asked for give fewer rows; an empty table gives no row; other columns of the
-input are ignored.
+Defined results: vectors that are null, empty, zero, or hold null or non-finite numbers, and rows with a null id, take no
+part; a vector is compared with those of its own length, and all lengths but the most frequent one are compared in full;
+scores are right for components of any magnitude; rows of one id are one candidate, with the best of their scores; ties go
+to the smaller id; fewer candidates than asked for give fewer rows; an empty table gives no row; other columns of the input
+are ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ QUERIES = 16384  # queries of one block
 
 def unit(x: np.ndarray) -> np.ndarray:
     """Rows of length one; scaled by the largest component first, so that nothing over- or underflows."""
-    x = x / np.abs(x).max(1, keepdims=True)
+    x = scaled(x)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -147,18 +148,22 @@ def learn_parts(sample: np.ndarray, parts: int = PARTS) -> Router:
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(vec_id, v) of the rows that take part."""
+    """(vec_id, v) of the rows that take part: no null, zero or non-finite vector."""
     big = float(np.finfo(np.float64).max)
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v"))
-    rows = rows.filter("vec_id IS NOT NULL AND v IS NOT NULL AND size(v) > 0").filter(
+    return rows.filter("vec_id IS NOT NULL AND v IS NOT NULL AND size(v) > 0").filter(
         F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) <= big)) & F.exists("v", lambda x: x != 0)
     )
-    most = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.filter(F.size("v") == (most["n"] if most else 0))
+
+
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings their largest component near one: exact, and no square over- or underflows."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
 
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosine of each pair of rows, each summed in the same order whatever stands beside it."""
+    a, b = scaled(a), scaled(b)
     return (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
 
 
@@ -199,7 +204,9 @@ def nearest(
 
     spark = vectors.sparkSession
     rows, asked = usable(vectors, id_col, vec_col), usable(queries, id_col, vec_col)
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toPandas()
+    most = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
+    width_of_most = most["n"] if most else 0
+    sample = rows.filter(F.size("v") == width_of_most).orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toPandas()
     schema = "query_id long, rank int, vec_id long, score double"
     if sample.empty:
         return spark.createDataFrame([], schema)
@@ -211,6 +218,11 @@ def nearest(
     def routed(df: DataFrame, width: int) -> DataFrame:
         def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
+                lengths = batch["v"].map(len).to_numpy()
+                usual = lengths == width_of_most
+                for other in np.flatnonzero(~usual):  # vectors of another length are a part of their own
+                    yield batch.iloc[[other]].assign(parts=[np.array([-lengths[other]])])
+                batch = batch[usual]
                 if len(batch):
                     chosen = np.zeros((len(batch), 1), np.int64)
                     if sent.value is not None:

@@ -9,8 +9,8 @@ up in documents large enough to contain its least item. Candidates are then chec
 
 Items are a stated query set and meet all documents in blocks of bounded size, one pass for each block; documents are
 never shuffled. Defined results: null, empty or blank items and texts match nothing; items with fewer words than a
-shingle are looked for as whole word sequences; repeated documents are judged each, repeated items count once; an empty
-table gives no row; other columns of the input are ignored.
+shingle are looked for as whole word sequences; an item with a null id is found like any other; repeated documents are
+judged each, repeated items count once; an empty table gives no row; other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ _MATCH = "array<struct<item_id:long,n_item_shingles:long,n_shared:long,containme
 class Block:
     """Signatures of some items: sorted hashes, with the item, size class bound and shingle length of each."""
 
-    ids: list[int]
+    ids: list[int | None]
     texts: list[str]
     sizes: np.ndarray
     threshold: float
@@ -68,7 +68,7 @@ def _narrow(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
 
 def build_block(items: pd.DataFrame, threshold: float, k: int) -> Block:
     """Signatures of the items (item_id, text) of one block."""
-    ids, texts = items["item_id"].tolist(), items["text"].tolist()
+    ids, texts = [None if pd.isna(i) else int(i) for i in items["item_id"]], items["text"].tolist()
     widths = [_width(t, k) for t in texts]
     sizes, least, found = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64), {}
     for width in sorted({*widths} - {0}):
@@ -113,17 +113,18 @@ def find_items(texts: list[str | None], block: Block) -> list[list[dict]]:
                 if shared >= block.threshold * len(kept[x]) - 1e-9:
                     size = len(kept[x])
                     out[i].append({"item_id": block.ids[x], "n_item_shingles": size, "n_shared": shared, "containment": shared / size})
-    return [sorted(x, key=lambda m: m["item_id"]) for x in out]
+    return [sorted(x, key=lambda m: (m["item_id"] is None, m["item_id"])) for x in out]
 
 
 def item_blocks(items: DataFrame, k: int, threshold: float, size: int = BLOCK) -> Iterator[tuple[int, Block]]:
     """(number of blocks, block) for blocks of about ``size`` shingles; the driver holds one block at a time."""
-    rows = items.select(F.col("item_id").cast("long").alias("item_id"), "text").dropna().distinct()
+    rows = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text IS NOT NULL").distinct()
     rows = durable(rows.withColumn("n", F.size(F.split("text", r"\s+"))), "items")
     total = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     count = max(1, -(-total // size))
     for number in range(count if total else 0):
-        part = rows.filter(F.pmod(F.xxhash64("item_id"), F.lit(count)) == number).select("item_id", "text").toPandas()
+        part = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == number)
+        part = part.select(F.col("item_id").cast("string").alias("item_id"), "text").toPandas()  # as text: ids may be null
         if len(part):
             yield count, build_block(part.sort_values(["item_id", "text"]), threshold, k)
 

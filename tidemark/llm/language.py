@@ -4,9 +4,10 @@ The filters are bit-sliced Bloom filters: one table of ``2**bits`` words in whic
 AND of an n-gram's ``HASHES`` words gives all languages that contain it at once. Per language the hits are counted, the
 expected false positives are taken off (fill rate to the power of the number of hashes), and the largest share wins.
 
-An n-gram belongs to a language if it makes up at least ``min_share`` of that language's n-grams. A language therefore
-holds at most ``1 / min_share`` n-grams: the filters have that size whatever the corpus, so they can be sent to tasks.
-Counts cover every training document.
+N-grams are trigrams of letters; a letter of a script with thousands of them is an n-gram by itself. A language's filter
+holds its ``max_grams`` most frequent ones: of those that are equally frequent at the border, a share chosen by hash. So
+every labelled language with a letter has a filter, of bounded size whatever the corpus, that can be sent to tasks; a
+hit counts the more the less of its language's n-grams the filter covers. Counts cover every training document.
 
 Defined results: null text, text without a letter, or no learned language give ``und`` with score 0; ties go to the
 first language by name; repeated rows are judged each; other columns of the input are ignored. Rows with a null id or
@@ -29,6 +30,7 @@ HASHES = 2
 MAX_LANGUAGES = 4096  # documented bound: more distinct labels than this are no languages
 SLICE = 1 << 20  # characters worked on at once
 _BLANK = 32
+WIDE = 0x2E80  # from here on scripts have thousands of letters (ideographs, syllables)
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 _letters: np.ndarray | None = None
 
@@ -54,7 +56,10 @@ def _hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     codes, owner = codes[keep].astype(np.uint64), owner[keep]
     if len(codes) < 3:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    h = codes[:-2] * _MIX[0] ^ codes[1:-1] * _MIX[1] ^ codes[2:] * _MIX[2]
+    # a wide letter stands alone; to its neighbours it is a blank
+    alone, narrow = codes[1:-1] >= WIDE, np.where(codes >= WIDE, np.uint64(_BLANK), codes)
+    left, right = (np.where(alone, np.uint64(1), side) for side in (narrow[:-2], narrow[2:]))
+    h = left * _MIX[0] ^ codes[1:-1] * _MIX[1] ^ right * _MIX[2]
     h ^= h >> np.uint64(29)
     h *= _MIX[0]
     h ^= h >> np.uint64(32)
@@ -102,6 +107,7 @@ class Filters:
     languages: list[str]
     words: np.ndarray  # 2**bits rows, one 64-bit word for each 64 languages
     fill: np.ndarray  # share of set bits of each language
+    covered: np.ndarray  # share of each language's n-grams, with repeats, that its filter holds
 
     @property
     def bits(self) -> int:
@@ -113,24 +119,38 @@ def _places(grams: np.ndarray, bits: int) -> Iterator[np.ndarray]:
         yield ((grams >> np.uint64(k * bits)) & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
-def learn(train: DataFrame, min_share: float = 2e-5, bits: int = 20) -> Filters:
-    """Filters from ``train`` (text, lang). What is collected is bounded: ``1 / min_share`` n-grams a language."""
-    counts = durable(ngram_counts(train), "grams")
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).limit(MAX_LANGUAGES + 1).collect()
-    if len(totals) > MAX_LANGUAGES:
+def learn(train: DataFrame, max_grams: int = 50_000, bits: int = 20) -> Filters:
+    """Filters from ``train`` (text, lang). What is collected is bounded: about ``max_grams`` n-grams a language."""
+    counts = ngram_counts(train).withColumn("level", F.floor(4 * F.log2("n")).cast("int"))
+    counts = durable(counts, "grams")
+    levels = counts.groupBy("lang", "level").agg(F.count("*").alias("grams"), F.sum("n").alias("n"))
+    found = levels.limit(256 * MAX_LANGUAGES + 1).toPandas()  # at most 256 levels of a language
+    if len(found) > 256 * MAX_LANGUAGES or found["lang"].nunique() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} labels")
-    totals = train.sparkSession.createDataFrame(totals, "lang string, total long")
-    kept = counts.join(F.broadcast(totals), "lang").filter(F.col("n") >= F.col("total") * min_share).select("lang", "gram")
-    rows = kept.toPandas()
-    languages = sorted(rows["lang"].unique())
-    words = np.zeros((1 << bits, max(1, -(-len(languages) // 64))), np.uint64)
+    cuts, covered = [], {}
+    for lang, mine in found.sort_values("level", ascending=False).groupby("lang"):
+        held = mine["grams"].cumsum()
+        border = mine[held > max_grams].head(1)  # the level that doesn't fit as a whole
+        level = int(border["level"].iloc[0]) if len(border) else -1
+        above = mine[mine["level"] > level]
+        share = (max_grams - int(above["grams"].sum())) / int(border["grams"].iloc[0]) if len(border) else 0.0
+        cuts.append((lang, level, share))
+        covered[lang] = (above["n"].sum() + share * border["n"].sum()) / mine["n"].sum()
+    if not cuts:
+        return Filters([], np.zeros((1 << bits, 1), np.uint64), np.zeros(0), np.zeros(0))
+    cut = train.sparkSession.createDataFrame(cuts, "lang string, cut int, share double")
+    chosen = F.pmod(F.xxhash64("gram"), F.lit(1 << 20)) < F.col("share") * (1 << 20)
+    kept = counts.join(F.broadcast(cut), "lang").filter((F.col("level") > F.col("cut")) | ((F.col("level") == F.col("cut")) & chosen))
+    rows = kept.select("lang", "gram").toPandas()
+    languages = sorted(covered)
+    words = np.zeros((1 << bits, -(-len(languages) // 64)), np.uint64)
     fill = np.zeros(len(languages))
     for number, lang in enumerate(languages):
         grams = rows.loc[rows["lang"] == lang, "gram"].to_numpy(np.int64).view(np.uint64)
         places = np.unique(np.concatenate(list(_places(grams, bits))))
         words[places, number // 64] |= np.uint64(1 << (number % 64))
         fill[number] = len(places) / len(words)
-    return Filters(languages, words, fill)
+    return Filters(languages, words, fill, np.array([covered[lang] for lang in languages]))
 
 
 def judge(texts: list[str], filters: Filters) -> tuple[list[str], np.ndarray]:
@@ -151,11 +171,11 @@ def judge(texts: list[str], filters: Filters) -> tuple[list[str], np.ndarray]:
             bit = (hit[:, number // 64] >> np.uint64(number % 64)) & np.uint64(1)
             n = np.bincount(owner, weights=bit, minlength=len(part))
             expected = total * false_rate[number]
-            shares[number] = (n - expected) / np.maximum(total - expected, 1e-9)
+            shares[number] = (n - expected) / np.maximum(total - expected, 1e-9) / max(filters.covered[number], 1e-9)
         best = shares.argmax(0)
         for i in np.flatnonzero(total):
             names[start + i] = filters.languages[best[i]]
-            scores[start + i] = min(max(shares[best[i], i], 0.0), 1.0)
+            scores[start + i] = min(max(float(shares[best[i], i]), 0.0), 1.0)
     return names, scores
 
 

@@ -73,7 +73,7 @@ SENTENCES = {
     "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free "
     "software foundation either version 2 of the license or at your option any later version": "Gpl2Grant",
 }
-NAME = 12
+NAME = 100  # documented bound: a sentence whose holder has a longer name isn't known
 LONG = 20  # words from which a sentence needs no mark in front: a title without an end may stand there
 # In order, the sequence a rule consumes and the licence it stands for. Longer sequences come first.
 RULES = (

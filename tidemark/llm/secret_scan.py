@@ -18,6 +18,7 @@ import math
 import re
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,7 +56,7 @@ NEXT = {pair for row in ROWS for pair in zip(row, row[1:])}
 NEXT |= {(b, a) for a, b in NEXT}
 DATE = re.compile(r"(?:19|20)\d\d(?:[-/._]?(?:0[1-9]|1[0-2])(?:[-/._]?(?:0[1-9]|[12]\d|3[01]))?)?|"
                   r"(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d")
-UNIT = 8  # longest repeated unit; a longer unit costs more than any threshold on its own, or is priced by its parts
+UNIT = 128  # longest unit of a repeat that is priced as one; a longer one takes more than 10^128 guesses
 PART = math.log10(4)  # what one more segment costs: the guesser doesn't know where segments end
 
 
@@ -79,7 +80,7 @@ def _segments(value: str) -> Iterator[tuple[int, int, float]]:
             if i - start >= 3:
                 yield start, i, math.log10(40) + 2 * math.log10(i - start)
             start = i
-    for unit in range(1, min(UNIT, n // 2) + 1):
+    for unit in _units(value):
         start = 0
         for i in range(unit, n + 1):
             if i == n or value[i] != value[i - unit]:
@@ -88,6 +89,20 @@ def _segments(value: str) -> Iterator[tuple[int, int, float]]:
                 start = i - unit + 1
 
 
+def _units(value: str) -> Iterator[int]:
+    """Lengths of the units that may be repeated in ``value``; of more than eight, only those at which it meets itself."""
+    n = len(value)
+    yield from range(1, min(8, n // 2) + 1)
+    if n < 18 or len({value[i : i + 9] for i in range(n - 8)}) == n - 8:
+        return
+    codes = np.frombuffer(value.encode("utf-32-le", "surrogatepass"), np.uint32)
+    for unit in range(9, min(UNIT, n // 2) + 1):
+        differ = np.flatnonzero(codes[unit:] != codes[:-unit])
+        borders = np.concatenate([[-1], differ, [n - unit]])
+        if (np.diff(borders) > unit).any():
+            yield unit
+
+
 def _per_char(part: str) -> float:
     if part.isdigit():
         return 1.0
