@@ -278,9 +278,3 @@ def merge_fact(
         source = source.withColumn(created, F.coalesce("_first", created)).drop("_first")
     source = with_kept_columns(source, target_rows, [key])
     return rest.unionByName(source, allowMissingColumns=True)
-
-
-def emptied_partitions(target: DataFrame, merged: DataFrame, source: DataFrame, key: str, partition: str) -> DataFrame:
-    """Partitions that lose their last row in a fact merge: a dynamic overwrite cannot clear these by itself."""
-    moved = target.join(source.select(F.col(key).alias("_k")), F.col(key) == F.col("_k"), "left_semi")
-    return moved.select(partition).distinct().join(merged.select(partition).distinct(), partition, "left_anti")

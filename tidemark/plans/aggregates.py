@@ -20,28 +20,55 @@ from tidemark.functions.exprs import (
     span_frequency,
 )
 from tidemark.operators.joins import salted_lookup
+from tidemark.operators.maintain import ROWS, maintain, summarise
 
+CAMPAIGN_GROUP, CAMPAIGN_SUMS = ("year_month", "dim_campaign_key"), ("total_revenue", "total_orders")
+# keys, sums, least and greatest values of the customer measures
+CUSTOMER_SUMMARY = (
+    ("dim_customer_key",), ("lifetime_revenue", "total_orders", "total_items_purchased"), ("first_order_date",),
+    ("last_order_date",),
+)
 
-def campaign_roi(fact: DataFrame, dim_date: DataFrame, dim_campaign: DataFrame, campaigns: DataFrame) -> DataFrame:
-    """Month and campaign: revenue, orders, spend, acquisition cost (0 for organic), return on ad spend."""
+
+def campaign_orders(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """What each order gives to a month and campaign: its revenue, and one order if it has a number."""
     months = dim_date.select("dim_date_key", (F.col("year") * 100 + F.col("month_number")).alias("year_month"))
     # lines are reduced to orders of a day before the calendar joins; a day it lacks keeps the month of its key
-    monthly = (
+    daily = (
         fact.groupBy("dim_date_key", "dim_campaign_key", "order_number")
         .agg(F.sum("line_total").alias("line_total"))
         .join(months, "dim_date_key", "left")
         .withColumn("year_month", F.coalesce("year_month", F.when(F.col("dim_date_key") > 0, F.expr("dim_date_key div 100")).cast("int")))
-        .groupBy("year_month", "dim_campaign_key")
-        .agg(
-            F.sum("line_total").cast("decimal(25,2)").alias("total_revenue"),
-            F.countDistinct("order_number").alias("total_orders"),
-        )
     )
+    return daily.groupBy("year_month", "dim_campaign_key", "order_number").agg(
+        F.sum("line_total").alias("total_revenue"),
+        F.max(F.col("order_number").isNotNull().cast("long")).alias("total_orders"),
+    )
+
+
+def campaign_measures(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Month and campaign: revenue and orders, in the form that ``follow_campaigns`` maintains."""
+    summary = summarise(campaign_orders(fact, dim_date), CAMPAIGN_GROUP, CAMPAIGN_SUMS)
+    return summary.withColumn("total_revenue", F.col("total_revenue").cast("decimal(25,2)"))
+
+
+def follow_campaigns(state: DataFrame, before: DataFrame, after: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """``campaign_measures`` after the sales facts ``before`` became ``after`` (all rows of the touched order numbers)."""
+    sides = (campaign_orders(side, dim_date) for side in (before, after))
+    return maintain(state, *sides, CAMPAIGN_GROUP, CAMPAIGN_SUMS)
+
+
+def campaign_roi(fact: DataFrame, dim_date: DataFrame, dim_campaign: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """Month and campaign: revenue, orders, spend, acquisition cost (0 for organic), return on ad spend."""
+    return finish_campaign_roi(campaign_measures(fact, dim_date), dim_campaign, campaigns)
+
+
+def finish_campaign_roi(measures: DataFrame, dim_campaign: DataFrame, campaigns: DataFrame) -> DataFrame:
     spend = campaigns.groupBy("campaign_id").agg(
         F.max("total_spend").alias("total_spend"), F.max("customers_acquired").alias("customers_acquired")
     )
     names = dim_campaign.select("dim_campaign_key", "campaign_id", "campaign_name", "channel")
-    wide = monthly.join(names, "dim_campaign_key").join(spend, "campaign_id", "left")
+    wide = measures.join(names, "dim_campaign_key").join(spend, "campaign_id", "left")
     return wide.select(
         "year_month",
         "dim_campaign_key",
@@ -108,16 +135,57 @@ def _customer_kpis(df: DataFrame, end: Column) -> DataFrame:
     )
 
 
+def _customer_orders(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """What each order gives to a customer version."""
+    return _orders(fact, dim_date).select(
+        "dim_customer_key",
+        F.col("line_total").alias("lifetime_revenue"),
+        F.col("order_number").isNotNull().cast("long").alias("total_orders"),
+        F.col("quantity").alias("total_items_purchased"),
+        F.col("first_date").alias("first_order_date"),
+        F.col("last_date").alias("last_order_date"),
+    )
+
+
+def customer_measures(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Customer version: revenue, orders, items, first and last day, in the form that ``follow_customers`` maintains."""
+    return summarise(_customer_orders(fact, dim_date), *CUSTOMER_SUMMARY)
+
+
+def follow_customers(
+    state: DataFrame, before: DataFrame, after: DataFrame, fact: DataFrame, dim_date: DataFrame
+) -> DataFrame:
+    """``customer_measures`` after the sales facts ``before`` became ``after`` (all rows of the touched order numbers).
+
+    ``fact`` is the whole new table; it is read only for customers that lost their first or last day.
+    """
+
+    def whole(groups: DataFrame) -> DataFrame:
+        return _customer_orders(fact.join(groups, "dim_customer_key", "left_semi"), dim_date)
+
+    sides = (_customer_orders(side, dim_date) for side in (before, after))
+    return maintain(state, *sides, *CUSTOMER_SUMMARY, recompute=whole)
+
+
 def customer_clv(fact: DataFrame, dim_customer: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Metrics per customer version."""
-    measures = _customer_measures(F.count("order_number"))
-    per_key = _orders(fact, dim_date).groupBy("dim_customer_key").agg(*measures)
+    return finish_customer_clv(customer_measures(fact, dim_date), dim_customer)
+
+
+def finish_customer_clv(measures: DataFrame, dim_customer: DataFrame) -> DataFrame:
     names = dim_customer.select("dim_customer_key", "customer_id", "status", "_valid_from", "registration_date")
     churned = F.when(F.col("status") == "CHURNED", F.col("_valid_from").cast("date"))
-    wide = _customer_kpis(per_key.join(names, "dim_customer_key"), F.coalesce(churned, F.col("last_order_date")))
+    wide = measures.drop(ROWS).join(names, "dim_customer_key")
+    wide = _customer_kpis(wide, F.coalesce(churned, F.col("last_order_date")))
     return wide.drop("_valid_from", "registration_date")
 
 
+def touched_facts(fact: DataFrame, numbers: DataFrame) -> DataFrame:
+    """All rows of some order numbers (null is one): whole contributions to both aggregates above."""
+    wanted = numbers.select(F.col("order_number").alias("_number")).distinct()
+    return fact.join(wanted, F.col("order_number").eqNullSafe(F.col("_number")), "left_semi")
+
+
 def churn_dates(dim_customer: DataFrame) -> DataFrame:
     """First time each customer became CHURNED."""
     return (

@@ -53,6 +53,45 @@ class PartitionedState:
         folders = [f"{self.path}/data/v={v}/{self.partition}={p}" for p, v in sorted(wanted.items())]
         return self.spark.read.option("basePath", f"{self.path}/data").parquet(*folders).drop("v")
 
+    def buckets(self, rows: int, per_bucket: int = 250_000, least: int = 64) -> int:
+        """Number of key buckets of this table: chosen from its first rows (a power of two) and kept with it for good."""
+        path = f"{self.path}/_layout"
+        try:
+            return self.spark.read.schema("buckets int").parquet(path).first()[0]
+        except Exception as error:
+            if "PATH_NOT_FOUND" not in str(error):
+                raise
+        count = least if self.versions() else max(least, 1 << (max(1, -(-rows // per_bucket)) - 1).bit_length())
+        self.spark.createDataFrame([(count,)], "buckets int").coalesce(1).write.mode("overwrite").parquet(path)
+        return count
+
+    def prune(self, before: int) -> None:
+        """Delete what no reader of a batch from ``before`` on can need: files and commits superseded by then.
+
+        Frames that were read earlier from older versions must no longer be used, and batches before ``before`` can't be
+        retried. Commits are written anew before the old list is deleted, so a crash leaves repeats at worst.
+        """
+        commits = self._commits()
+        if commits is None:
+            return
+        newest = commits.filter(F.col("v") <= before).groupBy("part").agg(F.max("v").alias("_kept"))
+        marked = commits.distinct().join(newest, "part", "left")
+        old = F.coalesce(F.col("v") < F.col("_kept"), F.lit(False))
+        rows = [(r["part"], r["v"], r["old"]) for r in marked.select("part", "v", old.alias("old")).collect()]
+        if not any(r[2] for r in rows):
+            return
+        spark = self.spark
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        manifest = hadoop.Path(self._manifest)
+        files = manifest.getFileSystem(spark._jsc.hadoopConfiguration())
+        listed = [status.getPath() for status in files.listStatus(manifest)]
+        append_table(spark.createDataFrame([r[:2] for r in rows if not r[2]], "part string, v long").coalesce(1), self._manifest)
+        for path in listed:
+            files.delete(path, True)
+        for part, v, is_old in rows:
+            if is_old:
+                files.delete(hadoop.Path(f"{self.path}/data/v={v}/{self.partition}={part}"), True)
+
     def write(self, rows: DataFrame, touched: Iterable[str], batch_id: int) -> None:
         """Replace the touched partitions and commit. A partition that lost all its rows stays as an empty file."""
         folder = f"{self.path}/data/v={batch_id}"
