@@ -61,6 +61,54 @@ def test_jaccard_join(llm, documents, monkeypatch, block):
     assert sorted(map(tuple, got)) == groups(rows)
 
 
+def plain_links(rows, percent=80):
+    sets = {}
+    for doc_id, text in rows:
+        if doc_id is not None and (s := frozenset(shingles.shingle_set(text))):
+            sets.setdefault(s, []).append(doc_id)
+    names = [(min(ids), s, len(ids)) for s, ids in sets.items()]
+    links = {
+        (min(a, b), max(a, b)) for i, (a, s, _) in enumerate(names) for b, t, _ in names[:i]
+        if 100 * len(s & t) >= percent * len(s | t)
+    }
+    copies = {a: n for a, _, n in names}
+    count = {a: n - 1 + sum(copies[y if x == a else x] for x, y in links if a in (x, y)) for a, n in copies.items()}
+    name_of = {i: min(ids) for ids in sets.values() for i in ids}
+    return links, sorted((i, name_of.get(i, i), count.get(name_of.get(i), 0)) for i, _ in rows if i is not None)
+
+
+@pytest.mark.parametrize("block", [300, 100_000])
+def test_jaccard_links(llm, documents, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    rows = near_copies(6, 220) + [(1000, None), (1001, " "), (1002, "w0 w1"), (1003, "W0 w1")]
+    rows += [rows[3], rows[3], (2000, rows[4][1])]
+    links, counts = jaccard.jaccard_links(documents(rows + [(None, rows[4][1])]))
+    want, per_row = plain_links(rows)
+    got = [tuple(r) for r in links.collect()]
+    assert set(got) == want and len(got) == len(want) > 50
+    counts = [tuple(r) for r in counts.collect()]
+    assert (None, None, 0) in counts and sorted(c for c in counts if c[0] is not None) == per_row
+
+
+def test_many_copies_take_linear_work(llm, documents):
+    """One cluster of thousands of near copies that all meet its pivot: no pair of them is looked at."""
+    base = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join([*base[: i % 290], f"x{i}", *base[i % 290 + 1 :]])) for i in range(3000)]
+    seen = []
+    real = jaccard._able_to_link
+
+    def watched(members, described, percent):
+        seen.append(members.count())
+        return real(members, described, percent)
+
+    jaccard._able_to_link = watched
+    try:
+        got = jaccard.jaccard_components(documents(rows)).select("component_id").distinct().collect()
+    finally:
+        jaccard._able_to_link = real
+    assert [r.component_id for r in got] == [0] and seen == [0]
+
+
 def test_jaccard_null_ids_and_empty_table(llm, documents):
     text = "a b c d e f g h"
     got = jaccard.jaccard_components(documents([(None, text), (3, text), (4, "x")])).collect()

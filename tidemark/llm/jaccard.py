@@ -6,16 +6,18 @@ minus similarity, which is a metric:
 1. Equal sets become one point. Points that can link share a shingle among the first ``n - ceil(t * n) + 1`` of their own
    in one global order (any order is right; rare shingles come first, so common passages fall behind). Each such shingle
    names a cell; the least point of a cell is its **pivot**.
-2. The members of all cells with one pivot are that pivot's **Voronoi region**; regions overlap, since a boundary document
-   stands in every region whose pivot it met. Each point has a signature of parity bits, and two sets differ in at least as
-   many shingles as their signatures in bits; members that by this bound can link to nobody drop out. The others get their
-   exact distance to the pivot if they may link to it.
-   Members within the radius of a pivot link to it, and so to each other's component, without a look at any pair of them.
-3. What is left are pairs of one region that don't yet share a component. By the **triangle inequality** such a pair can
-   link only if its distances to the pivot differ by no more than the radius; regions are cut into blocks by that
-   distance, and only block pairs inside the window are **joined recursively**, exactly, by counting common shingles.
-
-Any linked pair shares a cell, hence a region, and is met in step 2 or 3: no link between different components is lost.
+2. The members of all cells with one pivot are that pivot's **region**; regions overlap, since a boundary document stands in
+   every region whose pivot it met. Each point has a signature of parity bits, and two sets differ in at least as many
+   shingles as their signatures in bits, which bounds their distance from below. Members that the bound lets link to their
+   pivot get their exact distance to it. All within the radius of a pivot link to it, and so to each other's component,
+   without a look at any pair of them: a region of copies of one text is done here, in linear work.
+3. What is left are pairs with a member that didn't link. By the **triangle inequality** such a member can link to one that
+   did only if it is within two radii of the pivot; large regions are cut into blocks by that and by the size of the sets,
+   and only blocks that may hold links meet. Signatures tell which members can link to another one at all.
+4. These are **joined exactly** by counting common shingles, in blocks by their distance to the pivot that meet inside the
+   window of one radius, and only where they don't share a component yet.
+
+Any linked pair shares a cell, hence a region, and is met in step 2 or 4: no link between different components is lost.
 
 The order of step 1 comes from a table of counters of fixed size that has counted every shingle of every text; only the
 order depends on it, never the result. Defined results: null, empty or blank texts have an empty set, link with nothing
@@ -118,52 +120,76 @@ def _differing(first: list[bytes], second: list[bytes] | None = None) -> np.ndar
     return out
 
 
-def shingle_points(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, point, prefix, parity) of each text: the cells of its point, and its signature."""
-    order = docs.sparkSession.sparkContext.broadcast(rarity(docs, k))
+def shingle_points(docs: DataFrame, k: int) -> DataFrame:
+    """(doc_id, n_shingles, point) of each text."""
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sizes, keys, cells, bits = [], [], [], []
+            sizes, keys = [], []
             for points in shingles.set_rows(shingles.encoded(batch["text"]), k):
-                n = len(points)
-                size = n - -(-n * percent // 100) + 1
-                rank = order.value[_places(points)]
-                # ascending by hash already, so a stable sort by class gives one global order
-                chosen = np.argsort(rank, kind="stable")[: size if n else 0]
-                first = points[chosen]
-                sizes.append(n)
-                keys.append(_key(points) if n else None)
-                cells.append(first.view(np.int64))
-                bits.append(_parity(points))
-            yield pd.DataFrame(
-                {"doc_id": batch["doc_id"].astype("Int64"), "n_shingles": sizes, "point": keys, "prefix": cells, "parity": bits}
-            )
-
-    rows = docs.select("doc_id", "text")
-    return rows.mapInPandas(run, "doc_id long, n_shingles long, point binary, prefix array<long>, parity binary")
+                sizes.append(len(points))
+                keys.append(_key(points) if len(points) else None)
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n_shingles": sizes, "point": keys})
 
+    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n_shingles long, point binary")
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(point, shingles) of the wanted points, from the texts of their least ids.
 
-    Texts are read once more and not shuffled: a bit map of fixed size over the wanted ids lets a task skip the others,
-    and the join removes what the map let through.
+def representatives(points: DataFrame) -> DataFrame:
+    """(point, doc_id, n, rows): the least document of each point, and how many equal rows it has."""
+    known = points.filter("point IS NOT NULL AND doc_id IS NOT NULL")
+    counted = known.groupBy("point", "doc_id").agg(F.first("n_shingles").alias("n"), F.count("*").alias("rows"))
+    least = counted.groupBy("point").agg(F.min(F.struct("doc_id", "n", "rows")).alias("r"))
+    return least.select("point", "r.doc_id", "r.n", "r.rows")
+
+
+def _of_points(docs: DataFrame, wanted: DataFrame, k: int, describe, schema: str, name: str) -> DataFrame:
+    """``describe(points)`` of the wanted points (point, doc_id, rows), from the texts of their documents.
+
+    Texts are read once more and not shuffled: a bit map of fixed size over the wanted ids lets a task skip the others, and
+    the join removes what the map let through. A task gives each point once, so rows that are repeated many times don't
+    meet in one place.
     """
-    table = bitmap.build(wanted, "doc_id")
-    sent = docs.sparkSession.sparkContext.broadcast(table)
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap.build(wanted, "doc_id"))
+    names = [f.split()[0] for f in schema.split(", ")]
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[tuple] = set()
         for batch in batches:
-            place = batch["place"].to_numpy(np.int64)
-            texts = shingles.encoded(batch["text"][bitmap.holds(sent.value, place)])
-            sets = [s for s in shingles.set_rows(texts, k) if len(s)]
-            if sets:
-                yield pd.DataFrame({"point": [_key(s) for s in sets], "shingles": [s.view(np.int64) for s in sets]})
+            held = bitmap.holds(sent.value, batch["place"].to_numpy(np.int64))
+            ids, texts = batch["doc_id"][held].tolist(), shingles.encoded(batch["text"][held])
+            for start, part in shingles.slices(texts):
+                rows = []
+                for doc_id, points in zip(ids[start:], shingles.set_rows(part, k)):
+                    key = _key(points) if len(points) else None
+                    if key is not None and (doc_id, key) not in seen:
+                        seen.add((doc_id, key))
+                        rows.append((key, doc_id, *describe(points)))
+                if rows:
+                    yield pd.DataFrame(rows, columns=["point", "doc_id", *names])
+
+    rows = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", bitmap.place("doc_id").alias("place"), "text")
+    found = rows.mapInPandas(run, f"point binary, doc_id long, {schema}")
+    found = durable(found.join(wanted.select("point", "doc_id", "rows"), ["point", "doc_id"]), name)
+    once = found.filter("rows = 1").unionByName(found.filter("rows > 1").dropDuplicates(["point"]))
+    return once.drop("doc_id", "rows")
+
+
+def _described(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
+    """(point, n, prefix, parity) of each point: its cells and its signature."""
+    order = docs.sparkSession.sparkContext.broadcast(rarity(docs, k))
+
+    def describe(points: np.ndarray) -> tuple:
+        n = len(points)
+        # ascending by hash already, so a stable sort by class gives one global order
+        chosen = np.argsort(order.value[_places(points)], kind="stable")[: n - -(-n * percent // 100) + 1]
+        return n, points[chosen].view(np.int64), _parity(points)
 
-    rows = docs.filter(F.col("doc_id").isNotNull()).select(bitmap.place("doc_id").alias("place"), "text")
-    found = rows.mapInPandas(run, "point binary, shingles array<long>").join(wanted.select("point"), "point", "left_semi")
-    return durable(found.groupBy("point").agg(F.first("shingles").alias("shingles")), "sets")
+    return _of_points(docs, reps, k, describe, "n long, prefix array<long>, parity binary", "described")
+
+
+def _sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """(point, shingles) of the wanted points."""
+    return _of_points(docs, wanted, k, lambda points: (points.view(np.int64),), "shingles array<long>", "sets")
 
 
 def _meet(first: list[np.ndarray], second: list[np.ndarray] | None = None) -> np.ndarray:
@@ -223,57 +249,91 @@ def _may_link(differing: np.ndarray, sizes: list[np.ndarray], percent: int) -> n
     return in_size & ((100 + percent) * differing <= (100 - percent) * (a + b))
 
 
-def _plausible(star: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """(pivot, point, n, to_pivot, to_other) of region members: with whom the signatures let them link."""
-    members = star.unionByName(star.select("pivot", F.col("pivot").alias("point")).distinct())
-    members = members.join(reps.select("point", "n"), "point")
+def _bounds(star: DataFrame, described: DataFrame, percent: int) -> DataFrame:
+    """(pivot, point, n, able, close): whether the signatures let a member link to its pivot, or be within two radii."""
+
+    @F.pandas_udf("struct<able:boolean,close:boolean>")
+    def judge(n: pd.Series, parity: pd.Series, m: pd.Series, other: pd.Series) -> pd.DataFrame:
+        differing = np.full(len(n), np.inf)
+        for i, (p, q) in enumerate(zip(parity, other)):
+            p, q = (p, q) if len(p) <= len(q) else (q, p)
+            if len(q) <= 2 * len(p):
+                whole = int.from_bytes(q[: len(p)], "big") ^ int.from_bytes(q[len(p) :], "big")
+                differing[i] = (int.from_bytes(p, "big") ^ whole).bit_count()
+        a, b = n.to_numpy(np.int64), m.to_numpy(np.int64)
+        able = 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
+        able &= (100 + percent) * differing <= (100 - percent) * (a + b)
+        least = np.where(np.isinf(differing), 0, np.maximum(differing, np.abs(a - b)))
+        close = 100 * least <= (100 - percent) * (a + b + least)  # a distance of 2 * least / (a + b + least)
+        far = np.isinf(differing) & (100 * np.minimum(a, b) < (2 * percent - 100) * np.maximum(a, b))
+        return pd.DataFrame({"able": able, "close": close & ~far})
+
+    rows = star.join(described.select("point", "n", "parity"), "point")
+    pivots = described.select(F.col("point").alias("pivot"), F.col("n").alias("m"), F.col("parity").alias("other"))
+    rows = rows.join(pivots, "pivot").select("pivot", "point", "n", judge("n", "parity", "m", "other").alias("j"))
+    return durable(rows.select("pivot", "point", "n", "j.able", "j.close"), "bounds")
+
+
+# What a member of a region is: linked to the pivot; not linked, but perhaps within two radii; farther.
+LINKED, CLOSE, FAR = 0, 1, 2
+SIZES = 1.2  # sets in blocks of sizes that aren't neighbours on this scale can't link at 80 percent
+
+
+def _able_to_link(members: DataFrame, described: DataFrame, percent: int) -> DataFrame:
+    """(pivot, point) of the members (pivot, point, n, kind) that the signatures let link to another one.
+
+    Two linked members, or a linked and a far one, don't meet.
+    """
     weight = F.col("n") / 4 + 16
-    blocks = members.groupBy("pivot").agg(F.ceil(F.sum(weight) / BLOCK).cast("int").alias("blocks"))
-    blocks = durable(blocks, "regions")
-    salt = F.pmod(F.xxhash64("point"), F.col("blocks")).cast("int")
-    dealt = durable(members, "members").join(blocks, "pivot").withColumn("salt", salt)
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    # A member meets its own block and every other; the pivot stands in each block's own group.
-    own = F.col("pivot") == F.col("point")
-    dealt = dealt.select(
-        "pivot", "point", "n", own.alias("own"),
-        F.when(own, F.col("other")).otherwise(F.least("salt", "other")).alias("a"),
-        F.when(own, F.col("other")).otherwise(F.greatest("salt", "other")).alias("b"),
-        F.when(own, F.lit(-1)).otherwise(F.col("salt")).alias("salt"),
-    )
-    def meet(columns: dict, places: np.ndarray) -> tuple:
-        def able(x: np.ndarray, y: np.ndarray | None = None) -> np.ndarray:
-            bits = [list(columns["parity"][x]), None if y is None else list(columns["parity"][y])]
-            sizes = [columns["n"][z].astype(np.int64) for z in (x, x if y is None else y)]
-            return _may_link(_differing(*bits), sizes, percent)
-
-        own = columns["own"][places].astype(bool)
-        rest, pivot = places[~own], places[own][:1]
-        a, b = columns["a"][places[0]], columns["b"][places[0]]
-        to_pivot, to_other = np.zeros(len(rest), bool), np.zeros(len(rest), bool)
-        if a == b:
-            if len(rest):
-                to_pivot = able(rest, pivot)[:, 0]
-            if len(rest) > 1:
-                pairs = able(rest)
-                np.fill_diagonal(pairs, False)
-                to_other = pairs.any(1)
-        else:
-            left = columns["salt"][rest] == a
-            if left.any() and not left.all():
-                pairs = able(rest[left], rest[~left])
-                to_other[left], to_other[~left] = pairs.any(1), pairs.any(0)
-        kept = to_pivot | to_other
-        rest = rest[kept]
-        return columns["pivot"][rest], columns["point"][rest], columns["n"][rest], to_pivot[kept], to_other[kept]
-
-    loaded = dealt.join(reps.select("point", "parity"), "point")
-    schema = "pivot binary, point binary, n long, to_pivot boolean, to_other boolean"
-    found = _by_group(loaded, ["pivot", "a", "b"], int(_total(dealt, weight)), meet, schema)
-    found = found.groupBy("pivot", "point").agg(
-        F.first("n").alias("n"), F.max("to_pivot").alias("to_pivot"), F.max("to_other").alias("to_other")
+    step = np.log(SIZES)
+    rows = members.withColumn("weight", weight)
+    wide = durable(rows.groupBy("pivot").agg(F.sum("weight").alias("w")).filter(F.col("w") > BLOCK).select("pivot"), "wide")
+    rows = rows.join(wide.withColumn("wide", F.lit(True)), "pivot", "left").fillna(False, ["wide"])
+    # a region of less than a block isn't cut
+    rows = rows.withColumn("sort", F.when(F.col("wide"), F.col("kind")).otherwise(F.lit(-1)))
+    rows = rows.withColumn("size", F.when(F.col("wide"), F.floor(F.log("n") / F.lit(float(step))).cast("int")).otherwise(F.lit(0)))
+    rows = durable(rows.drop("wide"), "members")
+    blocks = rows.groupBy("pivot", "sort", "size").agg(F.ceil(F.sum("weight") / BLOCK).cast("int").alias("salts"))
+    blocks = durable(blocks, "blocks")
+    salted = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    side = [salted.select("pivot", *(F.col(c).alias(f"{c}_{x}") for c in ("sort", "size", "salt"))) for x in "ab"]
+    reach = int(np.ceil(np.log(100 / percent) / step))
+    meet = (F.struct("sort_a", "size_a", "salt_a") <= F.struct("sort_b", "size_b", "salt_b")) & (
+        F.abs(F.col("size_a") - F.col("size_b")) <= reach
     )
-    return durable(found, "plausible")
+    meet &= ~((F.col("sort_a") == LINKED) & F.col("sort_b").isin(LINKED, FAR))
+    pairs = side[0].join(side[1], "pivot").filter(meet)
+    pairs = durable(pairs.withColumn("pair", F.xxhash64("sort_a", "size_a", "salt_a", "sort_b", "size_b", "salt_b")), "pairs")
+    dealt = rows.join(blocks, ["pivot", "sort", "size"])
+    dealt = dealt.withColumn("salt", F.pmod(F.xxhash64("point"), F.col("salts")).cast("int"))
+    alone = (F.col("sort_a") == F.col("sort_b")) & (F.col("size_a") == F.col("size_b")) & (F.col("salt_a") == F.col("salt_b"))
+
+    def placed(x: str) -> DataFrame:
+        use = pairs if x == "a" else pairs.filter(~alone)
+        use = use.select("pair", "pivot", *(F.col(f"{c}_{x}").alias(c) for c in ("sort", "size", "salt")))
+        return use.join(dealt, ["pivot", "sort", "size", "salt"]).select("pivot", "pair", F.lit(x).alias("side"), "point", "n", "kind", "weight")
+
+    def able(columns: dict, places: np.ndarray) -> tuple:
+        side, kind = columns["side"][places], columns["kind"]
+        a, b = places[side == "a"], places[side == "b"]
+        single = not len(b)
+        if not len(a) or single and len(a) < 2:
+            return [], []
+        bits = [list(columns["parity"][a]), None if single else list(columns["parity"][b])]
+        b = a if single else b
+        sizes = [columns["n"][x].astype(np.int64) for x in (a, b)]
+        may = _may_link(_differing(*bits), sizes, percent)
+        if single:
+            np.fill_diagonal(may, False)
+        x, y = kind[a][:, None], kind[b][None, :]
+        may &= ~((np.minimum(x, y) == LINKED) & (np.maximum(x, y) != CLOSE))
+        found = np.concatenate([a[may.any(1)], b[may.any(0)]])
+        return columns["pivot"][found], columns["point"][found]
+
+    loaded = durable(placed("a").unionByName(placed("b")), "placed-members")
+    total = int(_total(loaded, F.col("weight")))
+    loaded = loaded.join(described.select("point", "parity"), "point")
+    return durable(_by_group(loaded, ["pivot", "pair"], total, able, "pivot binary, point binary").distinct(), "able")
 
 
 def _block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -345,34 +405,57 @@ def _star(reps: DataFrame) -> DataFrame:
     return durable(star.distinct(), "star")
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of each row; the component is named by its least doc_id."""
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    points = durable(shingle_points(narrow, k, percent), "points")
-    mark = scratch_mark()
-    reps = points.filter("point IS NOT NULL AND doc_id IS NOT NULL").groupBy("point").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"), F.first("parity").alias("parity")
-    )
-    reps = durable(reps, "reps")
-    members = _plausible(_star(reps), reps, percent)
-
-    # Exact distances of the members that may link to their pivot.
-    met = members.filter("to_pivot").select("pivot", "point")
-    wanted = members.select("point").union(met.select(F.col("pivot").alias("point"))).distinct()
-    sets = _sets_of(narrow, durable(wanted.join(reps.select("point", "doc_id"), "point"), "wanted"), k)
+def _met(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, ...]:
+    """Steps 1 and 2: (points, reps, described, bounds, sets of those that may link to a pivot, distances to pivots)."""
+    points = durable(shingle_points(docs, k), "points")
+    reps = durable(representatives(points), "reps")
+    described = _described(docs, reps, k, percent)
+    bounds = _bounds(_star(described), described, percent)
+    met = bounds.filter("able").select("pivot", "point")
+    wanted = met.select("point").union(met.select(F.col("pivot").alias("point"))).distinct()
+    sets = _sets_of(docs, durable(wanted.join(reps.drop("n"), "point"), "wanted"), k)
     near = met.join(sets, "point").join(sets.select(F.col("point").alias("pivot"), F.col("shingles").alias("other")), "pivot")
     shared = F.size(F.array_intersect("shingles", "other"))
     total = F.size("shingles") + F.size("other") - shared
     near = near.select(
         "pivot", "point", (1 - shared / total).alias("distance"), (100 * shared >= percent * total).alias("linked")
     )
-    near = durable(near, "near")
+    return points, reps, described, bounds, sets, durable(near, "near")
+
+
+def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+
+
+def _more_sets(docs: DataFrame, sets: DataFrame, able: DataFrame, reps: DataFrame, k: int) -> DataFrame:
+    """The sets of all points of ``able``; those that are there already are not made again."""
+    wanted = able.select("point").distinct()
+    missing = wanted.join(sets.select("point"), "point", "left_anti").join(reps.drop("n"), "point")
+    return sets.join(wanted, "point", "left_semi").unionByName(_sets_of(docs, durable(missing, "missing"), k))
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of each row; the component is named by its least doc_id."""
+    mark = scratch_mark()
+    narrow = _narrow(docs, id_col, text_col)
+    points, reps, described, bounds, sets, near = _met(narrow, k, percent)
     links = near.filter("linked").select(F.col("pivot").alias("a"), F.col("point").alias("b"))
     labels = durable(components(links), "labels")
 
-    left = members.filter("to_other").select("pivot", "point", "n").join(near.drop("linked"), ["pivot", "point"], "left")
+    # Regions with members that didn't link to their pivot; the pivot and the linked ones may meet the close ones of these.
+    members = bounds.join(near.select("pivot", "point", "linked", "distance"), ["pivot", "point"], "left")
+    kind = F.when(F.coalesce("linked", F.lit(False)), LINKED).when(F.col("close"), CLOSE).otherwise(FAR)
+    members = durable(members.select("pivot", "point", "n", kind.alias("kind"), "distance"), "kinds")
+    count = lambda which: F.count(F.when(F.col("kind") == which, F.lit(1)))
+    regions = members.groupBy("pivot").agg(count(LINKED).alias("linked"), count(CLOSE).alias("close"), count(FAR).alias("far"))
+    # the pivot itself is known not to link to the rest, so two others at least have to be there
+    open_ = regions.filter("close + far > 1 OR close > 0 AND linked > 0").select("pivot", (F.col("close") > 0).alias("meets"))
+    left = members.join(open_, "pivot").filter((F.col("kind") != LINKED) | F.col("meets")).drop("meets")
+    left = durable(left, "left")
+    able = _able_to_link(left.drop("distance"), described, percent)
+    left = left.drop("kind").join(able, ["pivot", "point"], "left_semi")
     left = left.join(labels.withColumnRenamed("node", "point"), "point", "left").withColumn("label", F.coalesce("label", "point"))
-    more = durable(_block_links(left, sets, percent).distinct(), "block-links")
+    more = durable(_block_links(left, _more_sets(narrow, sets, able, reps, k), percent).distinct(), "block-links")
     joined = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more)
     labels = durable(components(joined), "labels")
 
@@ -382,7 +465,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     grouped = labels.join(least, "label").select(F.col("node").alias("point"), "component_id")
     named = reps.select("point", "doc_id").join(grouped, "point", "left")
     named = durable(named.select("point", F.coalesce("component_id", "doc_id").alias("component_id")), "components")
-    drop_scratch(docs.sparkSession, mark, scratch_mark() - 1)  # the result reads the points and the components only
+    drop_scratch(docs.sparkSession, mark + 1, scratch_mark() - 1)  # the result reads the points and the components only
     return (
         points.select("doc_id", "n_shingles", "point")
         .join(named, "point", "left")
@@ -390,6 +473,45 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
 
 
+def jaccard_links(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80
+) -> tuple[DataFrame, DataFrame]:
+    """The join itself: all links between different texts, and how many links each document has.
+
+    The first frame has (doc_a, doc_b), doc_a < doc_b, once for each pair of linked texts, which are named by their least
+    documents. The second has (doc_id, text_id, n_links) for each row of ``docs``: its text's name, and the number of other
+    rows it links to, copies of its own text included; a row with a null id, or without words, has none. Here members of a
+    region are compared whether or not they share a component.
+    """
+    narrow = _narrow(docs, id_col, text_col)
+    points, reps, described, bounds, sets, near = _met(narrow, k, percent)
+    members = durable(bounds.select("pivot", "point", "n", F.lit(CLOSE).alias("kind")), "members")
+    able = _able_to_link(members, described, percent)
+    left = members.drop("kind").join(able, ["pivot", "point"], "left_semi")
+    left = left.join(near.drop("linked"), ["pivot", "point"], "left").withColumn("label", F.col("point"))
+    found = _block_links(left, _more_sets(narrow, sets, able, reps, k), percent)
+    found = found.unionByName(near.filter("linked").select(F.col("pivot").alias("a"), F.col("point").alias("b")))
+    ids = [reps.select(F.col("point").alias(x), F.col("doc_id").alias(f"doc_{x}")) for x in "ab"]
+    found = found.join(ids[0], "a").join(ids[1], "b")
+    links = found.select(F.least("doc_a", "doc_b").alias("doc_a"), F.greatest("doc_a", "doc_b").alias("doc_b")).distinct()
+    links = durable(links, "links")
+    rows = points.filter("doc_id IS NOT NULL AND point IS NOT NULL").groupBy("point").agg(F.count("*").alias("copies"))
+    rows = durable(rows.join(reps.select("point", F.col("doc_id").alias("text_id")), "point"), "copies")
+    both = links.select(F.col("doc_a").alias("text_id"), F.col("doc_b").alias("other"))
+    both = both.unionByName(links.select(F.col("doc_b").alias("text_id"), F.col("doc_a").alias("other")))
+    others = rows.select(F.col("text_id").alias("other"), F.col("copies").alias("n"))
+    theirs = both.join(others, "other").groupBy("text_id").agg(F.sum("n").alias("n"))
+    counted = rows.join(theirs, "text_id", "left")
+    counted = counted.select("point", "text_id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    known = F.col("doc_id").isNotNull()
+    per_row = points.select("doc_id", "point").join(durable(counted, "counted"), "point", "left").select(
+        "doc_id",
+        F.when(known, F.coalesce("text_id", "doc_id")).alias("text_id"),
+        F.when(known, F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_links"),
+    )
+    return links, per_row
+
+
 def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without all but the least document of each component; of repeated rows of that document one stays.
 
