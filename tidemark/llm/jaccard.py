@@ -142,12 +142,12 @@ def representatives(points: DataFrame) -> DataFrame:
     return least.select("point", "r.doc_id", "r.n", "r.rows")
 
 
-def _of_points(docs: DataFrame, wanted: DataFrame, k: int, describe, schema: str, name: str) -> DataFrame:
-    """``describe(points)`` of the wanted points (point, doc_id, rows), from the texts of their documents.
+def _of_points(docs: DataFrame, wanted: DataFrame, k: int, describe, schema: str) -> DataFrame:
+    """(point, doc_id, ...) with ``describe(points)`` of the wanted points (point, doc_id, rows), from their texts.
 
-    Texts are read once more and not shuffled: a bit map of fixed size over the wanted ids lets a task skip the others, and
-    the join removes what the map let through. A task gives each point once, so rows that are repeated many times don't
-    meet in one place.
+    Texts are read once more and not shuffled: a bit map of fixed size over the wanted ids lets a task skip the others. A
+    task gives each document's point once, so rows that are repeated many times don't meet in one place. What the map let
+    through, and a point of rows in several tasks, is still there; ``_once`` removes both.
     """
     sent = docs.sparkSession.sparkContext.broadcast(bitmap.build(wanted, "doc_id"))
     names = [f.split()[0] for f in schema.split(", ")]
@@ -168,14 +168,21 @@ def _of_points(docs: DataFrame, wanted: DataFrame, k: int, describe, schema: str
                     yield pd.DataFrame(rows, columns=["point", "doc_id", *names])
 
     rows = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", bitmap.place("doc_id").alias("place"), "text")
-    found = rows.mapInPandas(run, f"point binary, doc_id long, {schema}")
+    return rows.mapInPandas(run, f"point binary, doc_id long, {schema}")
+
+
+def _once(found: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
+    """One row for each wanted point (point, doc_id, rows) of a result of ``_of_points``."""
     found = durable(found.join(wanted.select("point", "doc_id", "rows"), ["point", "doc_id"]), name)
     once = found.filter("rows = 1").unionByName(found.filter("rows > 1").dropDuplicates(["point"]))
     return once.drop("doc_id", "rows")
 
 
-def _described(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
-    """(point, n, prefix, parity) of each point: its cells and its signature."""
+def _described(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(point, prefix) and (point, n, parity): the cells, where a point may be repeated, and the signature of each point.
+
+    The cells are the wide part; they are written where they are made, and no join moves them.
+    """
     order = docs.sparkSession.sparkContext.broadcast(rarity(docs, k))
 
     def describe(points: np.ndarray) -> tuple:
@@ -184,12 +191,13 @@ def _described(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFr
         chosen = np.argsort(order.value[_places(points)], kind="stable")[: n - -(-n * percent // 100) + 1]
         return n, points[chosen].view(np.int64), _parity(points)
 
-    return _of_points(docs, reps, k, describe, "n long, prefix array<long>, parity binary", "described")
+    found = durable(_of_points(docs, reps, k, describe, "n long, prefix array<long>, parity binary"), "described")
+    return found.select("point", "prefix"), _once(found.drop("prefix"), reps, "signatures")
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """(point, shingles) of the wanted points."""
-    return _of_points(docs, wanted, k, lambda points: (points.view(np.int64),), "shingles array<long>", "sets")
+    return _once(_of_points(docs, wanted, k, lambda points: (points.view(np.int64),), "shingles array<long>"), wanted, "sets")
 
 
 def _meet(first: list[np.ndarray], second: list[np.ndarray] | None = None) -> np.ndarray:
@@ -388,12 +396,12 @@ def _block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     return _by_group(loaded.join(sets, "point"), ["pivot", "pair"], total, join, "a binary, b binary")
 
 
-def _star(reps: DataFrame) -> DataFrame:
+def _star(prefixes: DataFrame) -> DataFrame:
     """(pivot, point): the points of each cell with the least of them, once for each pair."""
-    counted = reps.select(F.explode("prefix").alias("cell")).groupBy("cell").count().filter("count > 1").select("cell")
+    counted = prefixes.select(F.explode("prefix").alias("cell")).groupBy("cell").count().filter("count > 1").select("cell")
     # Most cells hold one point; a bit map keeps those out of the second shuffle.
-    sent = reps.sparkSession.sparkContext.broadcast(bitmap.build(counted, "cell"))
-    cells = reps.select("point", F.explode(F.transform("prefix", lambda c: F.struct(c.alias("cell"), bitmap.place(c).alias("at")))).alias("c"))
+    sent = prefixes.sparkSession.sparkContext.broadcast(bitmap.build(counted, "cell"))
+    cells = prefixes.select("point", F.explode(F.transform("prefix", lambda c: F.struct(c.alias("cell"), bitmap.place(c).alias("at")))).alias("c"))
 
     @F.pandas_udf("boolean")
     def shared(places: pd.Series) -> pd.Series:
@@ -409,8 +417,8 @@ def _met(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, ...]:
     """Steps 1 and 2: (points, reps, described, bounds, sets of those that may link to a pivot, distances to pivots)."""
     points = durable(shingle_points(docs, k), "points")
     reps = durable(representatives(points), "reps")
-    described = _described(docs, reps, k, percent)
-    bounds = _bounds(_star(described), described, percent)
+    prefixes, described = _described(docs, reps, k, percent)
+    bounds = _bounds(_star(prefixes), described, percent)
     met = bounds.filter("able").select("pivot", "point")
     wanted = met.select("point").union(met.select(F.col("pivot").alias("point"))).distinct()
     sets = _sets_of(docs, durable(wanted.join(reps.drop("n"), "point"), "wanted"), k)
