@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,36 +14,125 @@ class CycleError(ValueError):
     """The dependency edges contain a cycle."""
 
 
-def dependency_levels(nodes: DataFrame, edges: DataFrame, node: str = "node", parent: str = "depends_on") -> DataFrame:
+def _edges(ids: DataFrame, edges: DataFrame, node: str, parent: str) -> DataFrame:
+    """(p, n, w, need): every edge once, with the number of parents of its node."""
+    pairs = edges.select(F.col(node).alias("n"), F.col(parent).alias("p")).distinct()
+    pairs = pairs.join(ids, "n", "left_semi").join(ids.withColumnRenamed("n", "p"), "p", "left_semi")
+    return _counted(pairs.select("p", "n", F.lit(1).cast("long").alias("w")))
+
+
+def _counted(links: DataFrame) -> DataFrame:
+    links = durable(links, "edges")
+    return durable(links.join(links.groupBy("n").agg(F.count(F.lit(1)).alias("need")), "n").select("p", "n", "w", "need"), "edges")
+
+
+def _reach(links: DataFrame, frontier: DataFrame, counters: list[DataFrame]) -> DataFrame:
+    """(n, got, best, need): the counters of the nodes that an edge out of ``frontier`` reaches, earlier rounds included."""
+    sources = frontier.select(F.col("n").alias("p"), "level")
+    hits = links.join(sources, "p").groupBy("n").agg(
+        F.count(F.lit(1)).alias("got"), F.max(F.col("level") + F.col("w")).alias("best"), F.max("need").alias("need")
+    )
+    if not counters:
+        return durable(hits, "counters")
+    hits = durable(hits, "reached")
+    # counters only grow, so the greatest of a node's entries is its last
+    before = _latest(counters).join(hits.select("n"), "n", "left_semi")
+    before = before.groupBy("n").agg(F.max("got").alias("_got"), F.max("best").alias("_best"))
+    got = F.col("got") + F.coalesce("_got", F.lit(0))
+    return durable(
+        hits.join(before, "n", "left").select("n", got.alias("got"), F.greatest("best", "_best").alias("best"), "need"), "counters"
+    )
+
+
+def _latest(counters: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [c.select("n", "got", "best") for c in counters])
+
+
+def _jump(single: DataFrame) -> DataFrame:
+    """(n, p, w, b) with one open parent each -> the same nodes, hung on the nearest ancestor that isn't one of them.
+
+    A level is max(b, level of p + w); such functions compose, so every round halves the way that is left.
+    """
+    jumps = durable(single, "jumps")
+    for _ in range(jumps.count().bit_length() + 1):
+        up = jumps.select(F.col("n").alias("_n"), F.col("p").alias("_p"), F.col("w").alias("_w"), F.col("b").alias("_b"))
+        longer = jumps.join(up, F.col("p") == F.col("_n"), "left")
+        if longer.filter("_n is not null").isEmpty():
+            return jumps
+        jumps = durable(
+            longer.select(
+                "n", F.coalesce("_p", "p").alias("p"), (F.col("w") + F.coalesce("_w", F.lit(0))).alias("w"),
+                F.greatest("b", F.col("_b") + F.col("w")).alias("b"),
+            ),
+            "jumps",
+        )
+    raise CycleError("nodes with one open parent form a cycle")
+
+
+def _contract(links: DataFrame, consumed: list[DataFrame], counters: list[DataFrame]):
+    """Edges, counters and hung nodes after chains of nodes with one open parent are taken out of the graph."""
+    gone = reduce(DataFrame.unionByName, [c.select(F.col("n").alias("p")) for c in consumed])
+    left = durable(links.join(gone, "p", "left_anti").select("p", "n", "w"), "edges")
+    best = _latest(counters).groupBy("n").agg(F.max("best").alias("b"))
+    open_ = left.groupBy("n").agg(F.count(F.lit(1)).alias("need"), F.min("p").alias("p"), F.min("w").alias("w"))
+    single = open_.filter("need = 1").join(best, "n", "left")
+    hung = _jump(single.select("n", "p", "w", "b"))
+    up = hung.select(F.col("n").alias("p"), F.col("p").alias("_p"), F.col("w").alias("_w"), "b")
+    rest = left.join(hung.select("n"), "n", "left_anti").join(up, "p", "left")
+    rest = durable(
+        rest.groupBy("n", F.coalesce("_p", "p").alias("p")).agg(
+            F.max(F.col("w") + F.coalesce("_w", F.lit(0))).alias("w"), F.max(F.col("b") + F.col("w")).alias("b")
+        ),
+        "edges",
+    )
+    floor = rest.select("n", "b").unionByName(best.join(rest.select("n"), "n", "left_semi"))
+    floor = floor.groupBy("n").agg(F.max("b").alias("best")).filter("best is not null")
+    state = floor.select("n", F.lit(0).cast("long").alias("got"), "best", F.lit(0).cast("long").alias("need"))
+    return _counted(rest.select("p", "n", "w")), [durable(state, "counters")], hung
+
+
+def dependency_levels(
+    nodes: DataFrame, edges: DataFrame, node: str = "node", parent: str = "depends_on", peel: int = 16
+) -> DataFrame:
     """Longest path from the roots: level 0 has no parent, otherwise 1 + the highest level of the parents.
 
-    Roots are peeled off round by round: a node is placed once all its parents are placed, so the work is linear
-    in the edges that are left, not in the number of paths. Rounds equal the depth of the graph, not its size.
-    Each round is written to the shared folder, which keeps the lineage flat and survives executor loss. Only
-    edges whose ends are both nodes count. A round that places nothing while edges remain is a cycle.
+    Every node keeps a counter of the parents placed so far. A round looks only at the edges out of the nodes placed in
+    the round before, adds to the counters of the nodes these reach, and places those whose counter is full; nothing
+    else is written. After ``peel`` rounds, and whenever their number has doubled since, chains of nodes with one open
+    parent are taken out by pointer doubling and hung back at the end, so a long chain takes logarithmically many rounds
+    instead of its length. Every round is written to the shared folder, which keeps the lineage flat and survives
+    executor loss. Only edges whose ends are both nodes count. Nodes that are never placed are a cycle.
     """
     ids = durable(nodes.select(F.col(node).alias("n")).distinct(), "nodes")
-    left = edges.select(F.col(node).alias("n"), F.col(parent).alias("p")).distinct()
-    left = left.join(ids, "n", "left_semi").join(ids.withColumnRenamed("n", "p"), "p", "left_semi").select("n", "p")
-    left = durable(left, "edges")
-    # round 0: nodes without any edge
-    placed = durable(ids.join(left, "n", "left_anti").withColumn("level", F.lit(0)), "level")
-    levels = [placed]
-    while not left.isEmpty():
-        done = placed.select(F.col("n").alias("p"), F.lit(True).alias("done"))
-        marked = left.join(done, "p", "left")
-        # a node is ready when this round settles the last of its open edges
-        open_edges = marked.groupBy("n").agg(F.count_if(F.col("done").isNull()).alias("open"))
-        ready = open_edges.filter("open = 0").select("n", F.lit(len(levels)).alias("level"))
-        placed = durable(ready, "level")
-        if placed.isEmpty():
-            raise CycleError(f"no node can be placed at level {len(levels)}: the edges contain a cycle")
-        left = durable(marked.filter(F.col("done").isNull()).select("n", "p"), "edges")
-        levels.append(placed)
-    out = levels[0]
-    for part in levels[1:]:
-        out = out.unionByName(part)
-    out = out.withColumnRenamed("n", node)
+    links = _edges(ids, edges, node, parent)
+    frontier = durable(ids.join(links, "n", "left_anti").select("n", F.lit(0).cast("long").alias("level")), "level")
+    levels, hung, counters, consumed = [frontier], [], [], []
+    ready, placed, rounds = frontier.count(), 0, 0
+    while ready:
+        placed += ready
+        rounds += 1
+        reached = _reach(links, frontier, counters)
+        full = F.col("got") == F.col("need")
+        ready, waiting = reached.agg(F.count_if(full), F.count_if(~full)).first()
+        consumed.append(frontier)
+        if waiting:
+            counters.append(reached.filter(~full))
+        frontier = reached.filter(full).select("n", F.col("best").alias("level"))
+        levels.append(frontier)
+        if ready and rounds == peel:
+            peel *= 2
+            links, counters, taken = _contract(links, consumed, counters or [reached.limit(0)])
+            hung.append(taken)
+            consumed = []
+    if placed + sum(h.count() for h in hung) < ids.count():
+        raise CycleError(f"{ids.count()} nodes, not all of which can be placed: the edges contain a cycle")
+    out = reduce(DataFrame.unionByName, levels)
+    for taken in reversed(hung):
+        out = durable(out, "level")
+        above = out.select(F.col("n").alias("p"), "level")
+        level = F.greatest("b", F.col("level") + F.col("w"))
+        out = out.unionByName(taken.join(above, "p").select("n", level.alias("level")))
+    out = out.select(F.col("n").alias(node), F.col("level").cast("int").alias("level"))
     # further node attributes come back in one join
     return out if nodes.columns == [node] else nodes.join(out, node)
 

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.keys import assign_keys
+
 _AGGREGATES = {"sum": F.sum, "count_distinct": F.countDistinct, "min": F.min, "max": F.max, "avg": F.avg}
 
 
@@ -81,11 +83,18 @@ MODELS = {
             Measure("customers_acquired", "sum", "customers_acquired"),
         ),
     ),
+    "locations": Model(
+        "locations",
+        "dim_location",
+        entities={"location": "dim_location_key"},
+        dimensions={"city_tier": "city_tier", "state": "state"},
+    ),
 }
 
 METRICS = {
     m.name: m
     for m in (
+        derived("orders", "order_count", "order_count"),
         ratio("average_order_value", "total_sales_amount", "order_count"),
         ratio("customer_acquisition_cost", "total_spend", "customers_acquired"),
         derived(
@@ -129,6 +138,53 @@ def _aggregate(table: DataFrame, model: Model, names: Sequence[str], by: Sequenc
     return rows.groupBy(*keys).agg(*exprs)
 
 
+def _path(models: Mapping[str, Model], start: str, goal: str, usable) -> list[tuple[str, str]]:
+    """The shortest way from one model to another: (shared entity, model it leads to) for each step."""
+    ways, seen = [[(None, start)]], {start}
+    for way in ways:
+        here = way[-1][1]
+        if here == goal:
+            return way[1:]
+        for name, model in models.items():
+            shared = next((e for e in model.entities if e in models[here].entities), None)
+            if shared and name not in seen and (name == goal or usable(name)):
+                seen.add(name)
+                ways.append([*way, (shared, name)])
+    raise ValueError(f"no entities lead from {start} to {goal}")
+
+
+def _distinct_counts(groups: DataFrame, rows: DataFrame, entity: str, exprs: Mapping[str, str], group_by: Sequence[str]):
+    """Exact distinct counts per group over values that several entities, and several groups, may share.
+
+    Values get dense ranks, a group holds one bitmap for each 32,768 ranks it meets, and bitmaps are united in the map
+    tasks, so that a group with most of the values is never one list. ``groups``: group columns and the entity.
+    """
+    parts = []
+    for name, expr in exprs.items():
+        values = rows.select(entity, F.expr(expr).alias("_v")).dropna().distinct()
+        ranked = assign_keys(values.select("_v").distinct().withColumn("_number", F.lit(None).cast("long")), "_v", "_number")
+        met = groups.join(values.join(ranked, "_v").select(entity, "_number"), entity)
+        bits = met.groupBy(*group_by, F.bitmap_bucket_number("_number").alias("_bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("_number")).alias("_bits")
+        )
+        parts.append(bits.select(*group_by, F.lit(name).alias("_name"), F.bitmap_count("_bits").alias("_n")))
+    counts = (F.sum(F.when(F.col("_name") == n, F.col("_n")).otherwise(0)).alias(n) for n in exprs)
+    return reduce(DataFrame.unionByName, parts).groupBy(*group_by).agg(*counts)
+
+
+def _beside(left: DataFrame, right: DataFrame, group_by: Sequence[str]) -> DataFrame:
+    """Both sides' columns per group; a group may stand on one side only, and null is a group like any other."""
+    if not group_by:  # each side is one row
+        return left.select("*", *[right.select(c).scalar().alias(c) for c in right.columns])
+    a, b = left.alias("l"), right.alias("r")
+    same = reduce(lambda x, y: x & y, (F.col(f"l.{g}").eqNullSafe(F.col(f"r.{g}")) for g in group_by))
+    return a.join(b, same, "full_outer").select(
+        *[F.coalesce(f"l.{g}", f"r.{g}").alias(g) for g in group_by],
+        *[F.col(f"l.{c}") for c in left.columns if c not in group_by],
+        *[F.col(f"r.{c}") for c in right.columns if c not in group_by],
+    )
+
+
 def query_metrics(
     tables: Mapping[str, DataFrame],
     metrics: Sequence[str],
@@ -139,9 +195,10 @@ def query_metrics(
 ) -> DataFrame:
     """Metrics at the grain of ``group_by``.
 
-    A model that has all grouping columns is grouped by them. One that has not is reached through an entity it
-    shares with the first model that has: it is aggregated per entity, joined to the distinct (group, entity)
-    pairs and aggregated again with the same function (sum, min, max).
+    A model that has all grouping columns is grouped by them. One that has not is reached through entities, over further
+    models where it takes them, from the first model that has: the distinct (group, entity) pairs of the way are joined
+    to its rows. Sums, least and greatest values are aggregated per entity before and with the same function after;
+    distinct counts are counted anew over the values that a group meets.
     """
     group_by = list(group_by)
     where = where or {}
@@ -152,45 +209,49 @@ def query_metrics(
             names = wanted.setdefault(owner.name, [])
             if name not in names:
                 names.append(name)
-    direct = [n for n in wanted if all(models[n].column(g) for g in group_by)]
-    if not direct:
+
+    def has_all(name: str) -> bool:
+        return all(models[name].column(g) for g in group_by)
+
+    def rows_of(name: str) -> DataFrame:
+        rows = tables[models[name].table]
+        return rows.filter(where[name]) if where.get(name) else rows
+
+    direct = [n for n in wanted if has_all(n)]
+    base = next((n for n in [*direct, *models] if has_all(n) and models[n].table in tables), None)
+    if base is None:
         raise ValueError(f"no model can be grouped by {group_by}")
-    base = models[direct[0]]
 
     out = None
     for name in direct + [n for n in wanted if n not in direct]:
         model = models[name]
-        table = tables[model.table]
         if name in direct:
-            part = _aggregate(table, model, wanted[name], group_by, where.get(name))
-        else:
-            entity = next(e for e in model.entities if e in base.entities)
-            per_entity = _aggregate(table, model, wanted[name], [entity], where.get(name))
-            base_rows = tables[base.table]
-            if where.get(base.name):
-                base_rows = base_rows.filter(where[base.name])
-            pairs = base_rows.select(
-                *[F.expr(base.column(g)).alias(g) for g in group_by], F.expr(base.entities[entity]).alias(entity)
-            ).distinct()
-            kinds = {m.name: m.agg for m in model.measures}
-            if any(kinds[n] not in ("sum", "min", "max") for n in wanted[name]):
-                raise ValueError(f"{wanted[name]} cannot be aggregated a second time")
-            again = [_AGGREGATES[kinds[n]](n).alias(n) for n in wanted[name]]
-            part = pairs.join(per_entity, entity).groupBy(*group_by).agg(*again)
-        if out is None:
-            out = part
-        elif group_by:
-            # a group may stand on one side only, and null is a group like any other
-            left, right = out.alias("l"), part.alias("r")
-            same = reduce(lambda a, b: a & b, (F.col(f"l.{g}").eqNullSafe(F.col(f"r.{g}")) for g in group_by))
-            out = left.join(right, same, "full_outer").select(
-                *[F.coalesce(f"l.{g}", f"r.{g}").alias(g) for g in group_by],
-                *[F.col(f"l.{c}") for c in out.columns if c not in group_by],
-                *[F.col(f"r.{c}") for c in part.columns if c not in group_by],
-            )
+            part = _aggregate(rows_of(name), model, wanted[name], group_by, None)
         else:
-            # no grouping: each side is one row
-            out = out.select("*", *[part.select(c).scalar().alias(c) for c in part.columns])
+            groups, here = rows_of(base), base
+            keys = [F.expr(models[base].column(g)).alias(f"_g{i}") for i, g in enumerate(group_by)]
+            held = [f"_g{i}" for i in range(len(group_by))]
+            for entity, step in _path(models, base, name, lambda n: models[n].table in tables):
+                over = F.expr(models[here].entities[entity]).alias("_e")
+                if here == base:
+                    groups = groups.select(*keys, over).distinct()
+                else:
+                    links = rows_of(here).select(F.expr(models[here].entities[last]).alias("_from"), over).distinct()
+                    groups = groups.withColumnRenamed("_e", "_from").join(links, "_from").select(*held, "_e").distinct()
+                last, here = entity, step
+            measures = {m.name: m for m in model.measures}
+            distinct = {n: measures[n].expr for n in wanted[name] if measures[n].agg == "count_distinct"}
+            again = [n for n in wanted[name] if n not in distinct]
+            if any(measures[n].agg not in ("sum", "min", "max") for n in again):
+                raise ValueError(f"{again} cannot be aggregated a second time")
+            rows = rows_of(name).withColumn("_e", F.expr(model.entities[last]))
+            once = rows.groupBy("_e").agg(*[_AGGREGATES[measures[n].agg](F.expr(measures[n].expr)).alias(n) for n in again], F.lit(1).alias("_"))
+            part = groups.join(once, "_e").groupBy(*held).agg(*[_AGGREGATES[measures[n].agg](n).alias(n) for n in again], F.lit(1).alias("_"))
+            if distinct:
+                counted = _distinct_counts(groups, rows, "_e", distinct, held)
+                part = _beside(part, counted, held).fillna(0, list(distinct))
+            part = part.select(*[F.col(h).alias(g) for h, g in zip(held, group_by)], *wanted[name])
+        out = part if out is None else _beside(out, part, group_by)
     for name, value in (params or {}).items():
         out = out.withColumn(name, value)
     return out.select(*group_by, *[F.expr(METRICS[m].expr).alias(m) for m in metrics])

@@ -10,6 +10,7 @@ from tidemark.functions.exprs import UNKNOWN_KEY, year_month
 from tidemark.functions.masking import MASKED, mask_email, mask_phone, mask_string
 from tidemark.operators import quality as q
 from tidemark.operators.contracts import CONTRACTS, to_contract
+from tidemark.operators.digests import reconcile_ranges
 from tidemark.operators.governance import apply_policy, row_filter
 from tidemark.operators.history import scd2, shown_versions
 from tidemark.operators.lineage import dependency_levels
@@ -699,6 +700,10 @@ def _metric_tables(g):
     }
 
 
+def _located_tables(g):
+    return {**_metric_tables(g), "dim_location": g.dim("dim_location")}
+
+
 _COSTS = """SELECT dim_campaign_key, k.channel, k.campaign_name, m.total_spend, m.customers_acquired,
     CASE WHEN k.channel = 'ORGANIC' THEN 0.0 WHEN m.customers_acquired = 0 THEN NULL
     ELSE CAST((2 * CAST(m.total_spend * 100 AS BIGINT) + m.customers_acquired) // (2 * m.customers_acquired) AS DOUBLE) / 100
@@ -800,6 +805,38 @@ def metric_frequency(spark, sf_dir):
     return _ratios(out, "purchase_frequency", "tenure_frequency")
 
 
+@query(
+    "metric_orders_by_tier",
+    sql("fact_sales", "dim_location", body="""SELECT city_tier, count(DISTINCT order_id) AS orders
+        FROM fact_sales JOIN dim_location USING (dim_location_key) GROUP BY 1"""),
+)
+def metric_orders_by_tier(spark, sf_dir):
+    # the fact has no tier: distinct orders are counted again over the locations of a tier
+    return query_metrics(_located_tables(gold(spark, sf_dir)), ["orders"], ["city_tier"])
+
+
+@query(
+    "metric_orders_by_channel",
+    sql("fact_sales", "dim_campaign", body="""SELECT channel, count(DISTINCT order_id) AS orders
+        FROM fact_sales JOIN dim_campaign USING (dim_campaign_key) GROUP BY 1"""),
+)
+def metric_orders_by_channel(spark, sf_dir):
+    return query_metrics(_metric_tables(gold(spark, sf_dir)), ["orders"], ["channel"])
+
+
+@query(
+    "metric_cac_by_tier",
+    sql("fact_sales", "dim_location", "dim_campaign", "campaigns", body=f"""
+        SELECT city_tier, {ratio("sum(total_spend) * 100", "sum(customers_acquired) * 100")} AS customer_acquisition_cost
+        FROM (SELECT DISTINCT city_tier, dim_campaign_key FROM fact_sales JOIN dim_location USING (dim_location_key))
+        JOIN ({_COSTS}) USING (dim_campaign_key) GROUP BY 1"""),
+)
+def metric_cac_by_tier(spark, sf_dir):
+    # two steps: locations to sales, sales to campaigns; a campaign counts once for each tier it reached
+    out = query_metrics(_located_tables(gold(spark, sf_dir)), ["customer_acquisition_cost"], ["city_tier"])
+    return _ratios(out, "customer_acquisition_cost")
+
+
 @query(
     "metric_total_aov_cac",
     sql("fact_sales", "campaigns", body="""SELECT
@@ -935,6 +972,49 @@ def sink_partition_overwrite(spark, sf_dir):
     )
 
 
+@query(
+    "sink_interleaved_layout",
+    """SELECT 'o_custkey' AS filtered, count(*) AS n, 1 AS bounded FROM orders
+         WHERE o_custkey >= (SELECT quantile_disc(o_custkey, 0.45) FROM orders) AND o_custkey <= (SELECT quantile_disc(o_custkey, 0.5) FROM orders)
+       UNION ALL SELECT 'o_totalprice', count(*), 1 FROM orders
+         WHERE o_totalprice >= (SELECT quantile_disc(o_totalprice, 0.45) FROM orders)
+           AND o_totalprice <= (SELECT quantile_disc(o_totalprice, 0.5) FROM orders)""",
+)
+def sink_interleaved_layout(spark, sf_dir):
+    # a twentieth of the values of either column stands in at most half of the 64 files
+    o = gold(spark, sf_dir).raw.table("orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    path = scratch_path(spark, "orders")
+    write_table(o, path, cluster_by=["o_custkey", "o_totalprice"], files=64)
+    back = spark.read.parquet(path)
+    out = []
+    for c in ("o_custkey", "o_totalprice"):
+        found = aggregates.exact_quantiles(back, c, (0.45, 0.5)).scalar()
+        low, high = F.get(found, F.lit(0)), F.get(found, F.lit(1))
+        hit = F.col(c).between(low, high)
+        files = back.withColumn("_file", F.input_file_name()).groupBy("_file").agg(F.count_if(hit).alias("n"))
+        out.append(
+            files.agg(F.sum("n").alias("n"), (F.count_if(F.col("n") > 0) <= F.count(F.lit(1)) / 2).cast("int").alias("bounded")).select(
+                F.lit(c).alias("filtered"), "n", "bounded"
+            )
+        )
+    return out[0].unionByName(out[1])
+
+
+@query(
+    "reconcile_ranges",
+    """SELECT o_orderkey, 'changed' AS status, 1::BIGINT AS n_left, 1::BIGINT AS n_right FROM orders WHERE o_orderkey < 300
+       UNION ALL SELECT o_orderkey, 'missing', 1, 0 FROM orders WHERE o_orderkey BETWEEN 300 AND 500
+       UNION ALL SELECT o_orderkey + 10000000000, 'extra', 0, 1 FROM orders WHERE o_orderstatus = 'P'""",
+)
+def reconcile_orders(spark, sf_dir):
+    # a copy of orders with repriced and lost orders in a few ranges, and strange ones behind all others
+    o = gold(spark, sf_dir).raw.table("orders")
+    price = F.when(F.col("o_orderkey") < 300, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    copy = o.filter("o_orderkey not between 300 and 500").withColumn("o_totalprice", price)
+    strange = o.filter("o_orderstatus = 'P'").withColumn("o_orderkey", F.col("o_orderkey") + F.lit(10**10))
+    return reconcile_ranges(o, copy.unionByName(strange), "o_orderkey")
+
+
 @query(
     "sink_append_quarantine",
     sql("headers_std", "surveys_std", body="""SELECT 'orders' AS source, count(*) AS n FROM headers_std
