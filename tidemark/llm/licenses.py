@@ -72,6 +72,26 @@ SENTENCES = {
     "software foundation either version 3 of the license or at your option any later version": "Gpl3Grant",
     "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free "
     "software foundation either version 2 of the license or at your option any later version": "Gpl2Grant",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the "
+    "free software foundation": "LgplGrant",
+    "either version 2.1 of the license or at your option any later version": "Version21OrLater",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the "
+    "free software foundation either version 2.1 of the license or at your option any later version": "Lgpl21Grant",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the "
+    "free software foundation either version 3 of the license or at your option any later version": "Lgpl3Grant",
+    "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the "
+    "free software foundation": "AgplGrant",
+    "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the "
+    "free software foundation either version 3 of the license or at your option any later version": "Agpl3Grant",
+    "this source code form is subject to the terms of the mozilla public license v": "MplGrant",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+    "provided that the above copyright notice and this permission notice appear in all copies": "IscGrant",
+    "this is free and unencumbered software released into the public domain": "Unencumbered",
+    "to the extent possible under law * has waived all copyright and related or neighboring rights to this work": "CcZeroWaiver",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2.0 which "
+    "is available at https www eclipse org legal epl 2.0": "Epl2Grant",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2.0 which "
+    "is available at http www eclipse org legal epl 2.0": "Epl2Grant",
 }
 NAME = 100  # documented bound: a sentence whose holder has a longer name isn't known
 LONG = 20  # words from which a sentence needs no mark in front: a title without an end may stand there
@@ -86,6 +106,17 @@ RULES = (
     (("GplGrant", "Version2OrLater"), "GPL-2.0-or-later"),
     (("Gpl3Grant",), "GPL-3.0-or-later"),
     (("Gpl2Grant",), "GPL-2.0-or-later"),
+    (("LgplGrant", "Version21OrLater"), "LGPL-2.1-or-later"),
+    (("LgplGrant", "Version3OrLater"), "LGPL-3.0-or-later"),
+    (("AgplGrant", "Version3OrLater"), "AGPL-3.0-or-later"),
+    (("Lgpl21Grant",), "LGPL-2.1-or-later"),
+    (("Lgpl3Grant",), "LGPL-3.0-or-later"),
+    (("Agpl3Grant",), "AGPL-3.0-or-later"),
+    (("MplGrant",), "MPL-2.0"),
+    (("IscGrant",), "ISC"),
+    (("Unencumbered",), "Unlicense"),
+    (("CcZeroWaiver",), "CC0-1.0"),
+    (("Epl2Grant",), "EPL-2.0"),
     (("ApacheRef",), "Apache-2.0"),
     (("MitRef",), "MIT"),
     (("Gpl3Ref",), "GPL-3.0-only"),
@@ -96,7 +127,7 @@ RULES = (
     (("AllRights",), "Proprietary"),
 )
 # Every sentence of the table holds one of these words, so a text without them needs no scan.
-_GATE = r"(?i)licen[cs]e|permission|warrant|copyright|redistribut|rights\W+reserved"
+_GATE = r"(?i)licen[cs]e|permission|warrant|copyright|redistribut|rights\W+reserved|unencumbered"
 _END, _LINE = "\u0001", "\u0002"  # marks of sentence ends and line breaks
 _SENTENCE_END = r"(?<![.!?;:])[.!?;:]++\s+"
 

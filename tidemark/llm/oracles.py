@@ -71,15 +71,18 @@ def jaccard_components() -> str:
 
 
 def personal_data() -> str:
+    iban = pii.KINDS[4].pattern.removeprefix("(?<![A-Za-z0-9])").removesuffix("(?![A-Za-z0-9])")
     # The stated patterns, without the possessive repeats and look-behinds that only spare work.
     patterns = {
         "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
         "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
         "card": r"[0-9](?:[\x20-]?[0-9])+",
         "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-        "iban": r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b",
-        "ssn": r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
+        "iban": rf"\b(?:{iban})\b",
+        "ssn": r"\b[0-9]{3}_[0-9]{2}_[0-9]{4}\b",
     }
+    # \b stands for the look-around once the characters on one side of it are those of a word, one for one
+    seen = {"iban": "replace(text, '_', '-')", "ssn": "replace(regexp_replace(text, '[^0-9-]', ' ', 'g'), '-', '_')"}
     digits = "regexp_replace(hit, '[^0-9]', '', 'g')"
     double = "list_transform(list_reverse(string_split({0}, '')), lambda c, i: CASE WHEN i % 2 = 1 THEN CAST(c AS INTEGER) ELSE " \
              "CAST(c AS INTEGER) * 2 - 9 * CAST(CAST(c AS INTEGER) > 4 AS INTEGER) END)"
@@ -94,7 +97,7 @@ def personal_data() -> str:
         "card": f"length({digits}) BETWEEN 14 AND 19 AND list_sum({double.format(digits)}) % 10 = 0",
         "phone": f"length({digits}) BETWEEN 10 AND 15",
         "iban": f"length({flat}) BETWEEN 15 AND 34 AND {mod97} = 1",
-        "ssn": "NOT regexp_matches(hit, '^(?:000|666|9)|-00-|-0000$')",
+        "ssn": "NOT regexp_matches(hit, '^(?:000|666|9)|_00_|_0000$')",
     }
     found = []
     for number_, kind in enumerate(pii.KINDS):
@@ -105,8 +108,9 @@ def personal_data() -> str:
             FROM (SELECT doc_id, text, hits[i] AS hit, CAST(list_sum(list_transform(gaps[1:i], lambda g: length(g)))
                     + coalesce(list_sum(list_transform(hits[1:i - 1], lambda h: length(h))), 0) AS BIGINT) AS start
                   FROM (SELECT *, unnest(range(1, CAST(len(hits) + 1 AS BIGINT))) AS i FROM (
-                    SELECT doc_id, text, regexp_split_to_array(text, '{patterns[kind.name]}') AS gaps,
-                           regexp_extract_all(text, '{patterns[kind.name]}') AS hits FROM docs)))""")
+                    SELECT doc_id, text, regexp_split_to_array(seen, '{patterns[kind.name]}') AS gaps,
+                           regexp_extract_all(seen, '{patterns[kind.name]}') AS hits
+                    FROM (SELECT *, {seen.get(kind.name, "text")} AS seen FROM docs))))""")
     base = sum(k.base for k in pii.KINDS)
     counts = ", ".join(f"count(*) FILTER (name = '{k.name}') AS n_{k.name}" for k in pii.KINDS)
     span = "name || ':' || start || ':' || stop"
@@ -121,10 +125,28 @@ def personal_data() -> str:
 
 
 def license_report() -> str:
-    table = ", ".join(f"({_quoted(s)}, '{i}')" for s, i in licenses.SENTENCES.items())
-    inner = "regexp_replace(regexp_replace({0}, '([0-9])\\.([0-9])', '\\1\u00a7\\2', 'g'), '([0-9])\\.([0-9])', '\\1\u00a7\\2', 'g')"
-    text = inner.format("lower(sentence)")
-    normal = f"trim(regexp_replace(replace(regexp_replace({text}, '[^a-z0-9\u00a7]+', ' ', 'g'), '\u00a7', '.'), ' +', ' ', 'g'))"
+    end, line, blank = "\u0001", "\u0002", r"\x20\t-\r"
+    text = f"regexp_replace(translate(lower(text), '{end}{line}\u00a7', '   '), '[.!?;:]+[{blank}]+', '{end}', 'g')"
+    text = f"regexp_replace({text}, '\\r\\n?|\\n', '{line}', 'g')"
+    for _ in range(2):  # a dot inside a number stays; twice, since matches don't overlap
+        text = f"regexp_replace({text}, '([0-9])\\.([0-9])', '\\1\u00a7\\2', 'g')"
+    text = f"replace(regexp_replace({text}, '[^a-z0-9\u00a7{end}{line}]+', ' ', 'g'), '\u00a7', '.')"
+    text = f"trim(regexp_replace({text}, ' ?([{end}{line}]) ?', '\\1', 'g'), ' ')"
+
+    # Every mark is doubled: a match may then consume one on either side, where the operator looks around.
+    def doubled(sentence: str) -> str:
+        name = f"[a-z0-9.]+(?:(?:  |{end}{end}|{line}{line})[a-z0-9.]+){{0,{licenses.NAME - 1}}}?"
+        return f"(?:  |{line}{line})".join(name if w == "*" else w.replace(".", "[.]") for w in sentence.split())
+
+    ordered = sorted(licenses.SENTENCES, key=lambda x: (-len(x), x))
+    every = "|".join(map(doubled, ordered))
+    long = "|".join(doubled(x) for x in ordered if len(x.split()) >= licenses.LONG)
+    close = f"(?:$|[{end}{line}])"
+    wanted = f"(?:^|[{end}{line} ])({long}){close}|(?:^|[{end}{line}])(?:[0-9]{{1,2}}  )?({every}){close}"
+    table = ", ".join(f"({_quoted(x)}, '{i}')" for x, i in licenses.SENTENCES.items())
+    plain = f"replace(replace(hit, '{line}{line}', ' '), '  ', ' ')"
+    named = "".join(f"WHEN regexp_full_match(hit, '{doubled(x)}') THEN '{i}' " for x, i in licenses.SENTENCES.items() if "*" in x.split())
+    twice = f"replace(replace(replace(norm, ' ', '  '), '{end}', '{end}{end}'), '{line}', '{line}{line}')"
     state = "SELECT *, list_aggregate(list_transform(ids, lambda x: '<' || x || '>'), 'string_agg', '') AS r0 FROM found"
     names = []
     for n, (sequence, name) in enumerate(licenses.RULES):
@@ -134,11 +156,14 @@ def license_report() -> str:
     last = f"r{len(licenses.RULES)}"
     return f"""
         WITH known(sentence, id) AS (VALUES {table}),
-             cut AS (SELECT doc_id, unnest(range(1, CAST(len(parts) + 1 AS BIGINT))) AS i, unnest(parts) AS sentence FROM (
-                       SELECT doc_id, regexp_split_to_array(text, '[\\r\\n]+|[.!?;:]+\\s+') AS parts FROM documents WHERE text IS NOT NULL)),
-             found AS (SELECT d.doc_id, coalesce(list(k.id ORDER BY c.i) FILTER (k.id IS NOT NULL), []) AS ids FROM documents d
-                       LEFT JOIN (SELECT doc_id, i, {normal} AS sentence FROM cut) c USING (doc_id)
-                       LEFT JOIN known k ON k.sentence = c.sentence GROUP BY 1)
+             norm AS (SELECT doc_id, {text} AS norm FROM documents WHERE regexp_matches(text, '{licenses._GATE}')),
+             hits AS (SELECT doc_id, regexp_extract_all(x, '{wanted}', 1) AS a, regexp_extract_all(x, '{wanted}', 2) AS b
+                      FROM (SELECT doc_id, {twice} AS x FROM norm)),
+             cut AS (SELECT doc_id, unnest(range(1, CAST(len(a) + 1 AS BIGINT))) AS i,
+                            unnest(list_transform(list_zip(a, b), lambda z: coalesce(z[1], z[2]))) AS hit FROM hits),
+             found AS (SELECT d.doc_id, coalesce(list(c.id ORDER BY c.i) FILTER (c.id IS NOT NULL), []) AS ids FROM documents d
+                       LEFT JOIN (SELECT doc_id, i, coalesce(k.id, CASE {named} END) AS id
+                                  FROM cut LEFT JOIN known k ON k.sentence = {plain}) c USING (doc_id) GROUP BY 1)
         SELECT doc_id, len(ids) AS n_sentences, array_to_string(ids, ',') AS sentence_ids,
                array_to_string(list_filter(names, lambda x, i: x IS NOT NULL AND list_position(names, x) = i), ',') AS licenses,
                len(regexp_extract_all(coalesce({last}, ''), '<')) AS n_unmatched

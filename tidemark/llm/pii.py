@@ -91,7 +91,7 @@ KINDS = (
     ),
     Kind(
         "ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-        lambda t: t.rlike(r"[0-9]\.[0-9]"), octets, 0.6, r"\bip\b|host|server|address|client|login",
+        lambda t: t.rlike(r"[0-9]\.[0-9]"), octets, 0.6, r"(?:^|[^a-z0-9_])ip(?:$|[^a-z0-9_])|host|server|address|client|login",
     ),
     Kind(
         "card", r"[0-9](?:[\x20-]?+[0-9])++",
