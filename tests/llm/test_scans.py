@@ -113,6 +113,32 @@ def test_many_credential_words_take_linear_time():
         assert secret_scan.find_secrets(text[:-1]) is not None
 
 
+PROSE = [
+    "secret: information and more", "auth: unauthorized", "password: elephants", "bearer: environment", "password: os.environ['X']",
+    "password: ${DB_PASSWORD_VALUE}", 'password = "${vault:db/password}"', "token = $ACCESS_TOKEN", "password=settings.DATABASES.password",
+    "pwd = getpass.getpass()", "pwd: get_it(user, host)", "auth = auths[index]", "api_key: {{secrets.API_KEY}}", "https://user:${PASSWORD}@host/",
+]
+TRUE = [
+    "secret: qjxvzkwpfbgm", "password: $ecr3t9#Qx!", "pwd = xK9mQ2vL7(d", "password = 'os.environ9#Kx2'", "https://user:xK9mQ2vL7d@host/",
+    "passphrase: elephants-environment-information", "pwd: hunter(9$kdQ", "auth: ab.cd9ef.gh1jk",
+]
+
+
+def test_words_of_the_corpus_and_references_are_no_secrets(documents):
+    prose = "Elephants (and information) on the environment; unauthorized copies. The key: qjxvzkwpfbgm"
+    rows = list(enumerate([*PROSE, *TRUE, prose, prose, prose, "", None]))
+    rank = secret_scan.learn_words(documents(rows))
+    assert {"elephants", "information", "environment", "unauthorized", "copies"} < set(rank) and "qjxvzkwpfbgm" not in rank
+    assert rank["copies"] > len(secret_scan.WORDS) >= rank["password"]
+    assert secret_scan.learn_words(documents(rows), limit=3) == secret_scan.RANK  # a class that holds too many is left out
+    assert secret_scan.learn_words(documents([])) == secret_scan.RANK
+    got = {r.doc_id: {s.kind for s in r.spans} for r in secret_scan.scan_secrets(documents(rows)).collect()}
+    assert [t for i, t in rows[: len(PROSE)] if got[i] - {"assign"}] == []
+    assert [t for i, t in rows[len(PROSE) : len(PROSE) + len(TRUE)] if not got[i]] == []
+    cleaned = {r.doc_id: r.text for r in secret_scan.redact_secrets(documents(rows)).collect()}
+    assert cleaned[2] == "password: elephants" and "xK9mQ2vL7d" not in cleaned[len(PROSE) + 4]
+
+
 def test_redaction_keeps_rows_and_columns(documents):
     docs = documents(TEXTS)
     out = secret_scan.redact_secrets(docs)

@@ -6,6 +6,10 @@ keyboard or alphabet walks and brute-force spans. A value that stands after a cr
 identifier if a connector follows; without a connector the word stands alone and the value must not look like prose. A
 value that goes on behind the span of a stated pattern is a secret as a whole, whatever its price.
 
+Words are a fixed list and the frequent words of the corpus itself (``learn_words``): those that stand free in prose, with
+their rank among all documents as the number of guesses. A value that refers to a variable, a subscript or a call, like
+``${DB_PASSWORD}``, ``os.environ[`` or ``self.get_password()``, is no value. Passwords in URLs are stated values.
+
 Defined results: null text counts as empty; repeated rows are scanned each; an empty table gives no row; other columns
 of the input are ignored. Values of any length are priced in one pass that is linear in the length.
 """
@@ -14,6 +18,7 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import heapq
 import math
 import re
 from collections.abc import Iterable, Iterator
@@ -23,6 +28,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import durable
+
 # The three stated patterns. Short matches are dropped after matching, never retried.
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
@@ -40,6 +47,19 @@ REST = re.compile(r"(?:[A-Za-z0-9_]|-(?!>))*+")
 STATED = re.compile(r"""["'`]?\s*+(?:[:=]++>?|->)\s*+["'`]?""", re.ASCII)
 SAID = re.compile(r"""["']?\s{1,4}+(?:(?:is|was)\s{1,4}+)?["'`]?""", re.IGNORECASE | re.ASCII)
 VALUE = re.compile(r"""[^\s"'`<>,;]{8,}+""", re.ASCII)
+IN_URL = re.compile(r"""://[^\s"'`<>/:@]*+:([^\s"'`<>/@]{8,}+)@""", re.ASCII)
+# References in code, not values: variables of shells and templates, subscripts and calls of names, paths of known owners.
+NAME = r"_*+[A-Za-z]++[0-9]{0,3}+(?:_++[A-Za-z]++[0-9]{0,3}+)*+"
+OWNERS = (
+    "self|this|cls|os|env|environ|process|config|conf|settings|options|args|kwargs|params|props|request|context|ctx|app|vault|"
+    "secrets|credentials"
+)
+VARIABLE = re.compile(r"\$\{[^\s{}]++\}|\$\([^\s()]++\)|\{\{[^\s{}]++\}\}|%[A-Za-z_][A-Za-z0-9_]*+%", re.ASCII)
+REFERENCE = re.compile(
+    rf"\$(?:{NAME})$|(?:{NAME})(?:\.(?:{NAME}))*+(?:\((?:$|\)|(?:{NAME})[.,)(\[]|(?:{NAME})$)|\[(?:$|(?:{NAME})[\].]|[0-9]++\]))"
+    rf"|(?:{OWNERS})(?:\.(?:{NAME}))+[.:)\]}}]*+$",
+    re.ASCII,
+)
 # Frequent passwords and password parts, most frequent first; the place is the number of guesses.
 WORDS = (
     "password pass admin welcome letmein login master secret dragon monkey shadow sunshine princess football baseball "
@@ -49,7 +69,10 @@ WORDS = (
     "cloud docker production staging service account client none null true false undefined placeholder your here xxx"
 ).split()
 RANK = {word: place for place, word in enumerate(WORDS, 1)}
-LONGEST = max(map(len, WORDS))
+LONGEST = 24  # letters of the longest word that counts as one
+LEARNED = 50_000  # documented bound: most words taken from a corpus
+# A word of prose: between blanks or punctuation, and not where a value would stand.
+PROSE = r"""(?<![^\s("'])(?<![:=>]["']?\s{0,4}["']?)[A-Za-z][a-z]{3,23}(?=[.,;!?)"']*(?:\s|$))"""
 LEET = str.maketrans("@4301$5!7", "aaeoissit")
 ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
 NEXT = {pair for row in ROWS for pair in zip(row, row[1:])}
@@ -60,16 +83,38 @@ UNIT = 128  # longest unit of a repeat that is priced as one; a longer one takes
 PART = math.log10(4)  # what one more segment costs: the guesser doesn't know where segments end
 
 
-def _segments(value: str) -> Iterator[tuple[int, int, float]]:
+def learn_words(docs: DataFrame, text_col: str = "text", limit: int = LEARNED) -> dict[str, int]:
+    """The words of at most ``limit`` that stand in the most documents, by rank behind the fixed ones.
+
+    All words of all documents are counted. The least count that is taken comes from a histogram of counts in some 500
+    classes, so that the driver sees this and the words taken; words of one document only are never taken.
+    """
+    found = F.array_distinct(F.regexp_extract_all(F.col(text_col), F.lit(PROSE), 0))
+    words = docs.select(F.explode(F.array_distinct(F.transform(found, F.lower))).alias("word"))
+    counts = durable(words.groupBy("word").count().filter("count > 1"), "words")
+    grade = F.floor(F.log2("count") * 8)
+    taken, least = 0, None
+    for row in counts.groupBy(grade.alias("grade")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("grade")).collect():
+        if (taken := taken + row.n) > limit:
+            break
+        least = row.grade
+    if least is None:
+        return dict(RANK)
+    rows = counts.filter(grade >= least).orderBy(F.desc("count"), "word").collect()
+    rank = {row.word: place for place, row in enumerate(rows, len(WORDS) + 1)}
+    return {**rank, **RANK}
+
+
+def _segments(value: str, rank: dict[str, int] = RANK) -> Iterator[tuple[int, int, float]]:
     """(start, stop, log10 of guesses) of every pattern in ``value``, without brute force."""
     low = value.lower()
     plain = low.translate(LEET)
     n = len(value)
     for i in range(n):
         for j in range(i + 3, min(n, i + LONGEST) + 1):
-            place = RANK.get(low[i:j]) or RANK.get(plain[i:j])
+            place = rank.get(low[i:j]) or rank.get(plain[i:j])
             if place:
-                changed = (low[i:j] not in RANK) + any(map(str.isupper, value[i:j]))
+                changed = (low[i:j] not in rank) + any(map(str.isupper, value[i:j]))
                 yield i, j, math.log10(place) + changed * math.log10(4)
     for m in DATE.finditer(value):
         yield m.start(), m.end(), math.log10(365 * 120 if m.end() - m.start() > 6 else 12 * 120)
@@ -113,10 +158,10 @@ def _per_char(part: str) -> float:
     return math.log10(max(size, 10))
 
 
-def guess_cost(value: str) -> float:
+def guess_cost(value: str, rank: dict[str, int] = RANK) -> float:
     """Least log10 of guesses over all segmentations of ``value``."""
     ends: dict[int, list[tuple[int, float]]] = {}
-    for start, stop, cost in _segments(value):
+    for start, stop, cost in _segments(value, rank):
         ends.setdefault(stop, []).append((start, cost))
     char = _per_char(value)
     best, brute = 0.0, math.inf  # cheapest price of the prefix; of those, ending in a brute-force span
@@ -160,31 +205,34 @@ def context_values(text: str) -> Iterator[tuple[int, str, bool]]:
             continue  # the key of the next line
         if stated:
             reached = stop
+            if VARIABLE.match(found) or link[0][-1] not in "\"'`" and REFERENCE.match(found):
+                continue
         if not (stated and link[0][-1] in "\"'`" and text[stop : stop + 1] == link[0][-1]):
             found = found.rstrip(".:)]}" if stated else ".!?:)]}")
         if len(found) >= 8:
             yield value.start(), found, stated
 
 
-def find_secrets(text: str, min_log10: float = 10.0) -> list[tuple[int, int, int, float]]:
+def find_secrets(text: str, min_log10: float = 10.0, rank: dict[str, int] = RANK) -> list[tuple[int, int, int, float]]:
     """(start, kind number, stop, log10 of guesses) in order. Costs are those of the value, not of the whole span."""
     found, starts, stops = [], [], []
     for m in ASSIGN.finditer(text):
         if len(m[2]) >= 12:
-            found.append((m.start(), 0, m.end(), guess_cost(m[2])))
+            found.append((m.start(), 0, m.end(), guess_cost(m[2], rank)))
             starts.append(m.start(2))
             stops.append(m.end())
-    found += ((m.start(), 1, m.end(), guess_cost(m[0])) for m in ACCESS.finditer(text))
-    found += ((m.start(), 2, m.end(), guess_cost(m[0])) for m in HEX.finditer(text))
+    found += ((m.start(), 1, m.end(), guess_cost(m[0], rank)) for m in ACCESS.finditer(text))
+    found += ((m.start(), 2, m.end(), guess_cost(m[0], rank)) for m in HEX.finditer(text))
     seen = 0
-    for start, value, stated in context_values(text):
+    in_urls = ((m.start(1), m[1], True) for m in IN_URL.finditer(text) if not VARIABLE.match(m[1]))
+    for start, value, stated in heapq.merge(context_values(text), in_urls):
         stop = start + len(value)
         base = bisect.bisect_right(starts, start) - 1
         held = base >= 0 and start < stops[base]  # a stated pattern holds its beginning, and perhaps all of it
         if start < seen or held and stop <= stops[base]:
             continue
         if held or stated or mixed(value):
-            cost = guess_cost(value)
+            cost = guess_cost(value, rank)
             if held or cost >= min_log10:
                 seen = stop
                 found.append((start, 3, stop, cost))
@@ -205,11 +253,12 @@ def scan_secrets(
 ) -> DataFrame:
     """One row per document: ``spans`` array of (start, kind, stop, log10 of guesses) over the whole text."""
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rank = learn_words(docs, text_col)
 
     def scan(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             spans = [
-                [{"start": s, "kind": KINDS[k], "stop": e, "log10_guesses": c} for s, k, e, c in find_secrets(t or "", min_log10)]
+                [{"start": s, "kind": KINDS[k], "stop": e, "log10_guesses": c} for s, k, e, c in find_secrets(t or "", min_log10, rank)]
                 for t in batch["text"]
             ]
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "spans": spans})
@@ -241,11 +290,13 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", min_log10: float = 1
     Overlapping spans are replaced as one. ``n_chars`` is counted anew where the input has it.
     """
 
+    rank = learn_words(docs, text_col)
+
     def clean(text: str | None) -> str | None:
         if text is None:
             return None
         parts, at = [], 0
-        for start, _, stop, _ in find_secrets(text, min_log10):
+        for start, _, stop, _ in find_secrets(text, min_log10, rank):
             if start >= at:
                 parts += (text[at:start], mask)
             at = max(at, stop)
