@@ -276,6 +276,9 @@ def _bounds(star: DataFrame, described: DataFrame, percent: int) -> DataFrame:
         far = np.isinf(differing) & (100 * np.minimum(a, b) < (2 * percent - 100) * np.maximum(a, b))
         return pd.DataFrame({"able": able, "close": close & ~far})
 
+    # most points share no cell, and their signatures stay where they are
+    ends = star.select("point").unionByName(star.select(F.col("pivot").alias("point"))).distinct()
+    described = described.filter(bitmap.may_hold(ends, "point")("point"))
     rows = star.join(described.select("point", "n", "parity"), "point")
     pivots = described.select(F.col("point").alias("pivot"), F.col("n").alias("m"), F.col("parity").alias("other"))
     rows = rows.join(pivots, "pivot").select("pivot", "point", "n", judge("n", "parity", "m", "other").alias("j"))
@@ -408,7 +411,7 @@ def _star(prefixes: DataFrame) -> DataFrame:
         return pd.Series(bitmap.holds(sent.value, places.to_numpy(np.int64)))
 
     cells = cells.filter(shared("c.at")).select("point", "c.cell")
-    pivots = cells.groupBy("cell").agg(F.min("point").alias("pivot"), F.max("point").alias("last")).filter("pivot <> last")
+    pivots = cells.groupBy("cell").agg(F.min("point").alias("pivot"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     star = cells.join(pivots.select("cell", "pivot"), "cell").filter("point <> pivot").select("pivot", "point")
     return durable(star.distinct(), "star")
 
