@@ -1,10 +1,12 @@
-"""Dependency levels over an edge table."""
+"""Dependency levels over an edge table, and the sources of columns read from analysed plans."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import durable
@@ -140,3 +142,161 @@ def dependency_levels(
 def load_order(tables: DataFrame, edges: DataFrame) -> DataFrame:
     """Tables by level, priority and name. ``tables``: node, load_priority, table_name."""
     return dependency_levels(tables, edges).orderBy("level", "load_priority", "table_name")
+
+
+# -- columns ------------------------------------------------------------------------------------------------------
+
+_MARK = "_table_"
+_CONSTANT = {"LocalRelation", "OneRowRelation", "Range"}
+
+
+@dataclass(frozen=True)
+class ColumnSource:
+    """A column and one of the columns its values are made of.
+
+    ``source_table`` is None where the plan reads something that isn't a marked table. ``copied``: the values are passed
+    on as they are (renamed, cast, or with a constant for nulls), not computed.
+    """
+
+    table: str
+    column: str
+    source_table: str | None
+    source_column: str
+    copied: bool
+
+
+def as_table(df: DataFrame, table: str) -> DataFrame:
+    """``df``, known as a table to ``column_sources``; rows and columns stay the same."""
+    return df.alias(_MARK + table)
+
+
+def _seq(items) -> list:
+    return [items.apply(i) for i in range(items.size())]
+
+
+def _kind(node) -> str:
+    return node.getClass().getSimpleName()
+
+
+def _id(attribute) -> int:
+    return attribute.exprId().id()
+
+
+def _refs(expression) -> set[int]:
+    return {_id(a) for a in _seq(expression.references().toSeq())}
+
+
+def _copied(expression) -> bool:
+    while _kind(expression) in ("Alias", "Cast"):
+        expression = expression.child()
+    if _kind(expression) == "Coalesce":
+        values = [c for c in _seq(expression.children()) if _refs(c)]
+        return len(values) == 1 and _copied(values[0])
+    return _kind(expression) == "AttributeReference"
+
+
+class _Trace:
+    """What each attribute of a plan is made of: other attributes, or a column of a table."""
+
+    def __init__(self) -> None:
+        self.made: dict[int, list[tuple[int, bool]]] = {}
+        self.ends: dict[int, tuple[str | None, str]] = {}
+
+    def visit(self, plan) -> None:
+        kind = _kind(plan)
+        if kind == "SubqueryAlias" and plan.alias().startswith(_MARK):
+            table = plan.alias().removeprefix(_MARK)
+            self.ends.update({_id(a): (table, a.name()) for a in _seq(plan.output())})
+            return
+        children, inner = _seq(plan.children()), _seq(plan.subqueries())
+        if not children and kind not in _CONSTANT:
+            self.ends.update({_id(a): (None, a.name()) for a in _seq(plan.output())})
+            return
+        for child in (*children, *inner):
+            self.visit(child)
+        outputs = [[_id(a) for a in _seq(c.output())] for c in children]
+        below = {i for ids in outputs for i in ids}
+        if kind == "Union":
+            for place, a in enumerate(_seq(plan.output())):
+                self.made.setdefault(_id(a), []).extend((ids[place], True) for ids in outputs if ids[place] != _id(a))
+            return
+        looked_up = [(_id(a), False) for q in inner for a in _seq(q.output())]
+        used = set()
+        for expression in _seq(plan.expressions()):
+            refs = _refs(expression)
+            used |= refs
+            if _kind(expression) == "Alias":
+                copied = _copied(expression)
+                self.made[_id(expression)] = [(r, copied) for r in refs] + looked_up
+        for i in (_id(a) for a in _seq(plan.output())):
+            if i not in below and i not in self.made:  # generators, Python functions over groups
+                self.made[i] = [(r, False) for r in used - {i}] + looked_up
+
+    def sources(self, attribute: int) -> Iterator[tuple[str | None, str, bool]]:
+        open_, seen = [(attribute, True)], set()
+        while open_:
+            at = open_.pop()
+            if at in seen:
+                continue
+            seen.add(at)
+            i, copied = at
+            if i in self.ends:
+                yield (*self.ends[i], copied)
+            open_ += [(j, copied and c) for j, c in self.made.get(i, [])]
+
+
+def _merged(rows: Iterable[ColumnSource]) -> list[ColumnSource]:
+    """Each pair of columns once; copied only if it is so on every path."""
+    found: dict[tuple, bool] = {}
+    for r in rows:
+        key = (r.table, r.column, r.source_table, r.source_column)
+        found[key] = found.get(key, True) and r.copied
+    return [ColumnSource(*key, copied) for key, copied in found.items()]
+
+
+def column_sources(table: str, df: DataFrame) -> list[ColumnSource]:
+    """Where the values of each column of ``df`` come from, by the expressions of its analysed plan.
+
+    Tables are the frames that went through ``as_table``. Renames, joins, unions, windows, aggregates and generated rows are
+    followed; columns that only decide which rows there are (filters, join keys) are no sources. A member of a struct that
+    is built in one expression has all the struct's columns as sources. Constants have none; what is read from anything
+    else, as from a written intermediate result, has a source without a table. No data is read.
+    """
+    plan = df._jdf.queryExecution().analyzed()
+    trace = _Trace()
+    trace.visit(plan)
+    return _merged(
+        ColumnSource(table, a.name(), *source) for a in _seq(plan.output()) for source in trace.sources(_id(a))
+    )
+
+
+def close_sources(rows: Iterable[ColumnSource]) -> list[ColumnSource]:
+    """The same columns with sources in derived tables replaced by these tables' own, down to tables that aren't derived.
+
+    A derived column without sources (a constant, an assigned key) is the end of its path.
+    """
+    rows = list(rows)
+    by_column: dict[tuple[str, str], list[ColumnSource]] = {}
+    for r in rows:
+        by_column.setdefault((r.table, r.column), []).append(r)
+
+    def ends(r: ColumnSource, path: tuple) -> Iterator[ColumnSource]:
+        source = (r.source_table, r.source_column)
+        if source not in by_column or source in path:
+            yield r
+            return
+        for s in by_column[source]:
+            yield from ends(
+                ColumnSource(r.table, r.column, s.source_table, s.source_column, r.copied and s.copied), (*path, source)
+            )
+
+    return _merged(end for r in rows for end in ends(r, ((r.table, r.column),)))
+
+
+def sources_frame(spark: SparkSession, rows: Iterable[ColumnSource], run_id: str | None = None) -> DataFrame:
+    """Lineage rows as a table of the run."""
+    schema = (
+        "pipeline_run_id string, target_table string, target_column string, source_table string, source_column string, "
+        "copied boolean"
+    )
+    return spark.createDataFrame([(run_id, r.table, r.column, r.source_table, r.source_column, r.copied) for r in rows], schema)

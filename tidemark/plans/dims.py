@@ -50,7 +50,7 @@ def _stamp(df: DataFrame, run_id: str | None, now: datetime | None) -> DataFrame
     )
 
 
-def _shape(df: DataFrame, name: str) -> DataFrame:
+def shape(df: DataFrame, name: str) -> DataFrame:
     """Project onto the gold schema; columns the source does not have become null."""
     have = {c.lower() for c in df.columns}
     out = []
@@ -72,13 +72,13 @@ def _scd1_dim(
     rows = durable(_stamp(source.filter(F.col(key).isNotNull()), run_id, now), name)  # numbering reads it several times
     if target is None:
         rows = assign_keys(rows.withColumn(surrogate, F.lit(None).cast("long")), key, surrogate)
-        return with_members(_shape(rows, name), MEMBERS[name], surrogate)
+        return with_members(shape(rows, name), MEMBERS[name], surrogate)
     known = target.select(key, surrogate, F.col("_created_date").alias("_first_created"))
     rows = rows.join(known, key, "left")
     rows = rows.withColumn("_created_date", F.coalesce("_first_created", "_created_date"))
     rows = assign_keys(rows, key, surrogate, max_key(target, surrogate))
     untouched = target.join(source.select(key), key, "left_anti").select(*target.columns)
-    return with_members(untouched.unionByName(_shape(rows, name)), MEMBERS[name], surrogate, target)
+    return with_members(untouched.unionByName(shape(rows, name)), MEMBERS[name], surrogate, target)
 
 
 def customer_source(silver: DataFrame) -> DataFrame:
@@ -115,7 +115,7 @@ def build_dim_customer(
     first_load = target is None
     if first_load:
         merged = scd2(None, source, ["customer_id"], CUSTOMER_TRACKED, "last_update_date")
-        merged = _shape(merged, "dim_customer")
+        merged = shape(merged, "dim_customer")
         start = 0
     else:
         merged = scd2(
@@ -123,7 +123,7 @@ def build_dim_customer(
         )
         start = max_key(target, "dim_customer_key")
     # the merge runs once; only its new versions, one for each key of the batch at most, are numbered
-    merged = _shape(merged, "dim_customer")
+    merged = shape(merged, "dim_customer")
     if deleted is not None:
         marks = deleted.select("customer_id").distinct().withColumn("_gone", F.lit(True))
         marked = merged.join(marks, "customer_id", "left")
@@ -136,24 +136,30 @@ def build_dim_customer(
     return with_members(keyed, MEMBERS["dim_customer"], "dim_customer_key", target)
 
 
+def product_source(items: DataFrame, categories: DataFrame, brands: DataFrame) -> DataFrame:
+    return items.join(categories.select("category_id", "category_name"), "category_id", "left").join(
+        brands.select("brand_id", "brand_name"), "brand_id", "left"
+    )
+
+
+def location_source(addresses: DataFrame, city_tiers: DataFrame) -> DataFrame:
+    return addresses.join(city_tiers.select("city", "state", "tier"), ["city", "state"], "left").withColumn(
+        "city_tier", F.coalesce("tier", F.lit("UNKNOWN"))
+    )
+
+
 def build_dim_product(
     target: DataFrame | None, items: DataFrame, categories: DataFrame, brands: DataFrame,
     run_id: str | None = None, now: datetime | None = None,
 ) -> DataFrame:
-    source = items.join(categories.select("category_id", "category_name"), "category_id", "left").join(
-        brands.select("brand_id", "brand_name"), "brand_id", "left"
-    )
-    return _scd1_dim("dim_product", "inventory_item_id", target, source, run_id, now)
+    return _scd1_dim("dim_product", "inventory_item_id", target, product_source(items, categories, brands), run_id, now)
 
 
 def build_dim_location(
     target: DataFrame | None, addresses: DataFrame, city_tiers: DataFrame,
     run_id: str | None = None, now: datetime | None = None,
 ) -> DataFrame:
-    source = addresses.join(city_tiers.select("city", "state", "tier"), ["city", "state"], "left").withColumn(
-        "city_tier", F.coalesce("tier", F.lit("UNKNOWN"))
-    )
-    return _scd1_dim("dim_location", "address_id", target, source, run_id, now)
+    return _scd1_dim("dim_location", "address_id", target, location_source(addresses, city_tiers), run_id, now)
 
 
 def build_dim_campaign(

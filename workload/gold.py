@@ -632,10 +632,7 @@ def fact_sales_after_deletes(spark, sf_dir):
 
 # -- marts --------------------------------------------------------------------------------------------------------
 
-@query(
-    "mart_sales_dashboard",
-    sql("fact_sales", "dim_date", "dim_customer", "dim_product", "dim_location", "dim_campaign", body="""
-        FROM (WITH who AS (SELECT dim_customer_key, customer_type, full_name AS customer_name FROM dim_customer),
+_DASHBOARD_SQL = """WITH who AS (SELECT dim_customer_key, customer_type, full_name AS customer_name FROM dim_customer),
              place AS (SELECT dim_location_key, state, city FROM dim_location),
              item AS (SELECT dim_product_key, brand_name, category_name, product_name FROM dim_product),
              source AS (SELECT dim_campaign_key, channel AS acquisition_channel, campaign_name FROM dim_campaign),
@@ -643,8 +640,12 @@ def fact_sales_after_deletes(spark, sf_dir):
                         allocated_discount_amount, CAST(line_total AS DOUBLE) AS line_total,
                         CAST(strptime(CAST(dim_date_key AS VARCHAR), '%Y%m%d') AS DATE) AS order_date FROM fact_sales)
         SELECT * EXCLUDE (dim_campaign_key, dim_location_key, dim_product_key, dim_customer_key)
-        FROM line NATURAL JOIN source NATURAL JOIN place NATURAL JOIN item NATURAL JOIN who)"""),
-)
+        FROM line JOIN source USING (dim_campaign_key) JOIN place USING (dim_location_key) JOIN item USING (dim_product_key)
+             JOIN who USING (dim_customer_key)"""
+_DASHBOARD_TABLES = ("fact_sales", "dim_date", "dim_customer", "dim_product", "dim_location", "dim_campaign")
+
+
+@query("mart_sales_dashboard", sql(*_DASHBOARD_TABLES, body=f"FROM ({_DASHBOARD_SQL})"))
 def mart_sales_dashboard(spark, sf_dir):
     g = gold(spark, sf_dir)
     return plain(views.vw_sales_dashboard(g.fact("fact_sales"), g.dims()))
@@ -891,6 +892,29 @@ def policy_customers(spark, sf_dir):
     return out.select("customer_id", "email", "phone", "first_name", "last_name", "status")
 
 
+@query(
+    "policy_sales_dashboard",
+    sql(*_DASHBOARD_TABLES, body=f"""SELECT * REPLACE (CASE WHEN customer_name IS NOT NULL THEN '***MASKED***' END AS customer_name)
+        FROM ({_DASHBOARD_SQL})"""),
+)
+def policy_sales_dashboard(spark, sf_dir):
+    # the mart states no class; its customer name has one by lineage
+    g = gold(spark, sf_dir)
+    mart = views.vw_sales_dashboard(g.fact("fact_sales"), g.dims())
+    return plain(apply_policy(mart, "vw_sales_dashboard", ["analysts_na"], g.policy))
+
+
+@query(
+    "policy_dim_location",
+    sql("dim_location", body="""SELECT * REPLACE (CASE WHEN postal_code IS NOT NULL THEN '[REDACTED]' END AS postal_code)
+        FROM dim_location"""),
+)
+def policy_dim_location(spark, sf_dir):
+    g = gold(spark, sf_dir)
+    d = g.dim("dim_location").drop("_created_date", "_last_modified_date", "_pipeline_run_id")
+    return apply_policy(d, "dim_location", [], g.policy)
+
+
 @query(
     "row_filter_locations",
     sql("dim_location", body="SELECT * FROM dim_location WHERE state IN ('ASIA', 'EUROPE')"),

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.governance import ColumnClass, inherited
 from tidemark.plans import aggregates, dims, facts
-from tidemark.plans.entities import standardise
+from tidemark.plans.entities import ENTITIES, standardise
+from tidemark.plans.origins import medallion_sources
 from tidemark.session import durable, tune
 from tidemark.sources.fixtures import CALENDAR, Silver
 from tidemark.sources.calendar import build_dim_date
@@ -77,6 +81,12 @@ class Gold:
     def fact(self, name: str) -> DataFrame:
         return self._stage(name, lambda: self.build_fact(name))
 
+    # -- classes -------------------------------------------------------------------------------------------
+    @cached_property
+    def policy(self) -> tuple[ColumnClass, ...]:
+        """The stated classes, and those that gold columns have by their lineage."""
+        return inherited(medallion_sources(self.spark, {name: getattr(self.raw, name)() for name in ENTITIES}))
+
     # -- aggregates ----------------------------------------------------------------------------------------
     def roi(self) -> DataFrame:
         return aggregates.campaign_roi(
