@@ -228,12 +228,27 @@ def chain_versions(
             "_version": F.when(shown, F.col("_version")),
         }
     ).drop(slices.SLICE, "_state", "_before", "_opens", "_versions_before", "_next_start", "_starts")
-    return rows if keep_events else shown_versions(rows)
+    return rows.withColumn("_folded", F.lit(False)) if keep_events else shown_versions(rows)
 
 
 def shown_versions(events: DataFrame) -> DataFrame:
     """The versions of a table that :func:`scd2_feed` keeps."""
-    return events.filter("_shown").drop("_shown", "_gone")
+    return events.filter("_shown").drop("_shown", "_gone", "_folded")
+
+
+def fold_events(events: DataFrame, keys: Sequence[str], horizon: Column) -> DataFrame:
+    """A table that :func:`scd2_feed` keeps, without the hidden events before ``horizon``.
+
+    Nothing earlier than the horizon may arrive any more. A repeat can't become a version then and goes; so does a delete,
+    whose moment stays as the end of its version (``_folded``), from which :func:`scd2_feed` makes the event again when the
+    key changes later. Versions, and every later event, stay: the history is the same as if nothing had been folded.
+    """
+    keys = list(keys)
+    events = events.withColumn("_old", F.coalesce(F.col("_valid_from") < horizon, F.lit(False)))
+    ends = events.filter("_old AND _gone").select(*keys, F.col("_valid_from").alias("_valid_to"), F.lit(True).alias("_deleted"))
+    kept = events.filter("_shown OR NOT _old").join(ends, [*keys, "_valid_to"], "left")
+    kept = kept.withColumn("_folded", F.col("_folded") | F.coalesce("_deleted", F.lit(False)))
+    return kept.select(*[c for c in events.columns if c != "_old"])
 
 
 def scd2_feed(
@@ -262,10 +277,13 @@ def scd2_feed(
     incoming = changes.withColumns(
         {"_valid_from": F.col(event_time).cast("timestamp"), "_gone": gone, "_incoming": F.lit(1)}
     )
+    # deletes that have been folded into the end of their version; an event at the same moment counts before them
+    ends = stored.filter("_folded").select(
+        *keys, F.col("_valid_to").alias("_valid_from"), F.lit(True).alias("_gone"), F.lit(-1).alias("_incoming")
+    )
+    known = stored.drop("_valid_to", "_is_current", "_version", "_hash_key", "_shown", "_folded")
     rebuilt = chain_versions(
-        stored.drop("_valid_to", "_is_current", "_version", "_hash_key", "_shown").unionByName(
-            incoming, allowMissingColumns=True
-        ),
+        known.unionByName(ends, allowMissingColumns=True).unionByName(incoming, allowMissingColumns=True),
         keys,
         tracked,
         "_valid_from",

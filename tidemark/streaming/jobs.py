@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tidemark.operators.history import scd2_feed
+from tidemark.operators.history import fold_events, scd2_feed
 from tidemark.operators.merge import apply_cdc, merge_fact
 from tidemark.operators.quality import FAILED, Rule, dq_check, enforce_threshold, error_share
 from tidemark.session import durable
@@ -91,13 +91,22 @@ def stream_apply_changes(
     event_time: str | None = None,
     buckets: int = 64,
     once: bool = True,
+    keep: int | None = None,
+    late: str | None = None,
 ) -> StreamingQuery:
     """Apply a change stream in ``sequence`` order, whatever order it arrives in.
 
     SCD 1 keeps deleted rows as soft deletes: their version must stay, or a late update would bring the row back.
     SCD 2 chains every change of a key into versions and keeps all events (``shown_versions`` gives the versions); a
     delete closes the version before it.
+
+    With ``keep``, the state is bounded. What is more than ``keep`` behind the newest event of earlier batches (units of
+    ``sequence`` for SCD 1, seconds of ``event_time`` for SCD 2, where moments in the future count as now) is late: it goes to
+    the folder ``late``, a subfolder for each batch, and not into the table. Tombstones and hidden events beyond it can't
+    matter any more and are dropped from the buckets a batch touches. Everything else is as without ``keep``.
     """
+    if (keep is None) != (late is None):
+        raise ValueError("keep and late go together")
 
     def scd1(target: DataFrame | None, batch: DataFrame) -> DataFrame:
         if target is None:
@@ -113,8 +122,30 @@ def stream_apply_changes(
 
     change = scd1 if scd == 1 else scd2
 
+    def fold(rows: DataFrame, limit: int) -> DataFrame:
+        if scd == 1:
+            return rows.filter(~F.coalesce(F.col("_is_deleted") & (F.col("_cdc_version") < limit), F.lit(False)))
+        return fold_events(durable(rows, "events"), keys, F.timestamp_micros(F.lit(limit)))  # looks at them twice
+
     def each(batch: DataFrame, batch_id: int) -> None:
-        apply_to_state(state, batch, batch_id, keys, buckets, change)
+        if keep is None:
+            apply_to_state(state, batch, batch_id, keys, buckets, change)
+            return
+        if state.committed(batch_id):
+            return
+        moment, scale = F.col(sequence).cast("long"), 1
+        if scd != 1:
+            moment, scale = F.unix_micros(F.least(F.col(event_time).cast("timestamp"), F.current_timestamp())), 1_000_000
+        newest = batch.agg(F.max(moment)).first()[0]
+        if newest is not None:
+            state.advance(batch_id, newest - keep * scale)
+        limit = state.horizon(batch_id)
+        if limit is None:
+            apply_to_state(state, batch, batch_id, keys, buckets, change)
+            return
+        is_late = F.coalesce(moment < limit, F.lit(False))
+        batch.filter(is_late).write.mode("overwrite").parquet(f"{late}/batch={batch_id}")
+        apply_to_state(state, batch.filter(~is_late), batch_id, keys, buckets, lambda old, new: fold(change(old, new), limit))
 
     return _start(stream, checkpoint, each, once)
 

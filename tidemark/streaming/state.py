@@ -65,6 +65,20 @@ class PartitionedState:
         self.spark.createDataFrame([(count,)], "buckets int").coalesce(1).write.mode("overwrite").parquet(path)
         return count
 
+    def horizon(self, batch_id: int) -> int | None:
+        """The moment before which a batch's events are late: what earlier batches have set; None for the first."""
+        try:
+            marks = self.spark.read.schema("v long, h long").parquet(f"{self.path}/_horizon")
+        except Exception as error:
+            if "PATH_NOT_FOUND" not in str(error):
+                raise
+            return None
+        return marks.filter(F.col("v") < batch_id).agg(F.max("h")).first()[0]
+
+    def advance(self, batch_id: int, moment: int) -> None:
+        """Set the horizon for the batches after this one; it never goes back."""
+        append_table(self.spark.createDataFrame([(batch_id, moment)], "v long, h long").coalesce(1), f"{self.path}/_horizon")
+
     def prune(self, before: int) -> None:
         """Delete what no reader of a batch from ``before`` on can need: files and commits superseded by then.
 
