@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from tidemark.functions.exprs import change_hash, hash_key, nps_category, year_month, year_month_text
 from tidemark.operators import quality as q
 from tidemark.operators.contracts import key_issues
-from tidemark.operators.history import chain_versions, initial_versions, late_changes, scd2, scd2_feed, shown_versions
+from tidemark.operators.history import (
+    chain_versions, fold_events, initial_versions, late_changes, scd2, scd2_feed, shown_versions,
+)
 from tidemark.operators.joins import asof_join, orphans, with_parent
 from tidemark.operators.keys import assign_keys
 from tidemark.operators.latest import cdc_latest, keep_latest
@@ -484,18 +486,18 @@ def scd2_same_instant(spark, sf_dir):
     return plain(shown_versions(out).select(*_CHAIN_COLS))
 
 
-@query(
-    "scd2_deletes",
-    """SELECT user_id, kind, _valid_from, _valid_to, _is_current,
-              CAST(row_number() OVER (PARTITION BY user_id ORDER BY _valid_from) AS INTEGER) AS _version
-       FROM (SELECT user_id, kind, strftime(ts, '%Y-%m-%d %H:%M:%S') AS _valid_from,
-                    strftime(lead(ts) OVER w, '%Y-%m-%d %H:%M:%S') AS _valid_to,
-                    CAST(lead(ts) OVER w IS NULL AS INTEGER) AS _is_current
-             FROM (SELECT user_id, ts, event_type AS kind, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS before
-                   FROM events)
-             WHERE before IS NULL OR before <> kind WINDOW w AS (PARTITION BY user_id ORDER BY ts))
-       WHERE kind <> 'error'""",
-)
+_CHAIN_DELETES = """SELECT user_id, kind, _valid_from, _valid_to, _is_current,
+           CAST(row_number() OVER (PARTITION BY user_id ORDER BY _valid_from) AS INTEGER) AS _version
+    FROM (SELECT user_id, kind, strftime(ts, '%Y-%m-%d %H:%M:%S') AS _valid_from,
+                 strftime(lead(ts) OVER w, '%Y-%m-%d %H:%M:%S') AS _valid_to,
+                 CAST(lead(ts) OVER w IS NULL AS INTEGER) AS _is_current
+          FROM (SELECT user_id, ts, event_type AS kind, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS before
+                FROM events)
+          WHERE before IS NULL OR before <> kind WINDOW w AS (PARTITION BY user_id ORDER BY ts))
+    WHERE kind <> 'error'"""
+
+
+@query("scd2_deletes", _CHAIN_DELETES)
 def scd2_deletes(spark, sf_dir):
     changes = _event_changes(gold(spark, sf_dir))
     gone = F.col("kind") == "error"
@@ -504,6 +506,17 @@ def scd2_deletes(spark, sf_dir):
     return plain(shown_versions(out).select(*_CHAIN_COLS))
 
 
+@query("scd2_retired", _CHAIN_DELETES)
+def scd2_retired(spark, sf_dir):
+    # what is hidden before the 16th is folded away before the rest arrives
+    changes = _event_changes(gold(spark, sf_dir))
+    gone, horizon = F.col("kind") == "error", F.lit("2024-01-16").cast("timestamp")
+    first = scd2_feed(None, changes.filter(F.col("ts") < horizon), ["user_id"], ["kind"], "ts", ["event_id"], gone)
+    first = durable(fold_events(durable(first, "events"), ["user_id"], horizon), "retired")
+    out = scd2_feed(first, changes.filter(F.col("ts") >= horizon), ["user_id"], ["kind"], "ts", ["event_id"], gone)
+    return plain(shown_versions(out).select(*_CHAIN_COLS))
+
+
 @query(
     "scd2_null_event_time",
     sql("customers", "customers_v2", body=_SCD2.replace(
