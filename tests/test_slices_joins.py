@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import slices
-from tidemark.operators.joins import asof_join, hot_keys, orphans, salted_lookup, with_parent
+from tidemark.operators.joins import asof_join, hot_keys, key_sketch, orphans, salted_lookup, sketched_keys, with_parent
 
 T0 = datetime(2023, 1, 1)
 
@@ -108,6 +108,28 @@ def test_salted_lookup_equals_plain_join(spark):
 def test_hot_keys(spark):
     df = spark.createDataFrame([(1,)] * 60 + [(i,) for i in range(2, 42)], "k int")
     assert hot_keys(df, "k", 0.1) == [1]
+    assert hot_keys(df.limit(0), "k") == [] and hot_keys(df.filter("k > 1"), "k", 0.1) == []
+    # nulls have no share: each of the 40 other keys has 2.5 percent of the rest
+    assert hot_keys(df.selectExpr("case when k > 1 then k end as k"), "k", 0.02) == list(range(2, 42))
+
+
+def test_hot_keys_equal_counting(spark):
+    # a key with a third of the rows, a few hundred frequent ones around the share, 40,000 rare ones, and nulls
+    rows = spark.range(120_000).selectExpr(
+        "case when id % 3 = 0 then 7 when id % 3 = 1 then 100 + pmod(hash(id), 1 + id % 180) when id % 30 = 2 then null else id end as k"
+    )
+    counts = {r.k: r["count"] for r in rows.dropna().groupBy("k").count().collect()}
+    total = sum(counts.values())
+    for share in (0.005, 0.02, 0.4):
+        want = sorted(k for k, n in counts.items() if n > total * share)
+        assert hot_keys(rows, "k", share) == want
+        # kept by batch and merged: none is missing, and what is there besides has nearly the share
+        kept = key_sketch(rows.withColumn("batch", F.col("k") % 4), "k", share, ["batch"])
+        got = sketched_keys(kept, share)
+        assert set(want) <= set(got) and all(counts[k] > total * share / 4 for k in got)
+    assert sketched_keys(kept.limit(0), 0.4) == []
+    names = rows.selectExpr("concat('k', k) as k")
+    assert hot_keys(names, "k", 0.3) == ["k7"]
 
 
 def test_orphans_and_parents(spark):

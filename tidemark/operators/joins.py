@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,15 +14,45 @@ from tidemark.operators import slices
 SALT = "_salt"
 
 
+def key_sketch(df: DataFrame, key: str, share: float = 0.005, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., sketch, n): a frequent-items sketch of the non-null keys and their number, made in the map tasks.
+
+    Only sketches of fixed size are shuffled, however many keys there are. Kept in a table, one row per batch, they answer
+    ``sketched_keys`` without a look at the rows.
+    """
+    # a sketch of t items is wrong by less than 2.7 / t of the rows, and lists what has more than twice that
+    tracked = math.ceil(8 / share)
+    made = F.expr(f"approx_top_k_accumulate(`{key}`, {tracked})").alias("sketch")
+    return df.filter(F.col(key).isNotNull()).groupBy(*by).agg(made, F.count(F.lit(1)).alias("n"))
+
+
+def sketched_keys(sketches: DataFrame, share: float = 0.005) -> list:
+    """All keys with more than ``share`` of the rows behind ``sketches`` (of one key, made for this share), in ascending order.
+
+    A key with a little less than the share may be among them; for salting that does no harm. None is missing.
+    """
+    limit = math.ceil(4 / share)  # the listed keys have at least a quarter of the share each
+    # grouped, so that no sketches at all give no row instead of an error
+    merged = sketches.groupBy(F.col("n").isNull()).agg(F.expr("approx_top_k_combine(sketch)").alias("sketch"), F.sum("n").alias("n"))
+    found = merged.select("n", F.inline(F.expr(f"approx_top_k_estimate(sketch, {limit})")))
+    return sorted(r[0] for r in found.filter(F.col("count") > F.col("n") * share).select("item").collect())
+
+
 def hot_keys(df: DataFrame, key: str, share: float = 0.005) -> list:
-    """Key values that each hold more than ``share`` of the non-null rows.
+    """Key values that each hold more than ``share`` of the non-null rows, in ascending order.
 
-    At most ``1 / share`` values can qualify, so the list on the driver is bounded whatever the table size.
+    A sketch proposes them and their rows are counted; no other key is shuffled. At most ``1 / share`` values can qualify,
+    so the list on the driver is bounded whatever the table size.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col(key).isNotNull())
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    rows = counts.filter(F.col("_n") > F.lit(total * share)).select(key).collect()
-    return [r[0] for r in rows]
+    sketch = key_sketch(df, key, share)
+    total = F.sum(F.when(F.col(key).isNotNull(), 1))
+    proposed = sketched_keys(sketch, share)
+    if not proposed:
+        return []
+    known = F.col(key).isin(proposed)
+    counts = df.groupBy(F.when(known, F.col(key)).alias("_key")).agg(total.alias("_n")).collect()
+    rows = sum(r["_n"] or 0 for r in counts)
+    return sorted(r["_key"] for r in counts if r["_key"] is not None and r["_n"] > rows * share)
 
 
 def salted_lookup(
