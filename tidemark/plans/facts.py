@@ -95,8 +95,11 @@ def build_fact_sales(
     h = lookup(h, dims["dim_location"], "shipping_address_id", "address_id", "dim_location_key", UNKNOWN_KEY)
     h = h.withColumns({"dim_date_key": date_key("order_date"), "order_year_month": year_month("order_date")})
     h = h.drop("customer_id", "shipping_address_id", "order_date")
+    # the product is looked up on the narrow lines, before the order's columns hang on each of them
+    valid = lookup(
+        valid, dims["dim_product"], "product_id", "inventory_item_id", "dim_product_key", UNKNOWN_KEY, hot_products
+    )
     f = valid.join(h, "order_id")
-    f = lookup(f, dims["dim_product"], "product_id", "inventory_item_id", "dim_product_key", UNKNOWN_KEY, hot_products)
     f = f.select(
         "dim_date_key",
         "dim_customer_key",

@@ -19,7 +19,9 @@ from tidemark.sources.calendar import build_dim_date
 
 # Calendar of the test data, and the tie order that makes duplicate order lines unambiguous.
 CALENDAR = (date(1994, 1, 1), date(2025, 12, 31))
-LINE_TIE = ("_PARTKEY", "_SUPPKEY", "_PRICE", "_QTY", "_DISC", "_TAX", "_RFLAG", "_LSTATUS")
+LINE_TIE = (
+    "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"
+)
 CHANNELS = ("Paid Social", "Organic", "Affiliate", "Direct", "Email", "Search", "Display")
 
 
@@ -103,12 +105,18 @@ class Raw:
             "'I' as _cdc_operation",
         )
 
-    def oe_order_lines_all(self) -> DataFrame:
+    def keyed_lines(self) -> DataFrame:
+        """The staged columns of the order lines with their key; everything else of a line is derived from them."""
+        return self.table("lineitem").selectExpr(
+            "l_orderkey * 10 + l_linenumber as LINE_ID", "l_orderkey", "l_shipdate", *LINE_TIE
+        )
+
+    def oe_order_lines_all(self, keyed: DataFrame | None = None) -> DataFrame:
         cents = "cast(round(l_extendedprice * 100) as bigint)"
         qty = "cast(l_quantity as bigint)"
         sign = "case when l_suppkey % 51 = 0 then -1 else 1 end"
-        return self.table("lineitem").selectExpr(
-            "l_orderkey * 10 + l_linenumber as LINE_ID",
+        return (self.keyed_lines() if keyed is None else keyed).selectExpr(
+            "LINE_ID",
             "l_orderkey as ORDER_ID",
             "l_partkey as PRODUCT_ID",
             "case when l_suppkey % 50 = 0 then 0 else cast(l_quantity as int) end as QUANTITY",
@@ -118,8 +126,6 @@ class Raw:
             "l_shipdate as LAST_UPDATE_DATE",
             "l_shipdate as _ingest_timestamp",
             "'I' as _cdc_operation",
-            "l_partkey as _PARTKEY", "l_suppkey as _SUPPKEY", "l_extendedprice as _PRICE", "l_quantity as _QTY",
-            "l_discount as _DISC", "l_tax as _TAX", "l_returnflag as _RFLAG", "l_linestatus as _LSTATUS",
         )
 
     def addresses(self) -> DataFrame:
@@ -274,12 +280,11 @@ class Silver:
         self.raw = Raw(spark, sf_dir)
 
     def deduped(self, name: str) -> DataFrame:
-        raw = getattr(self.raw, name)()
-        keys = [k.upper() for k in ENTITIES[name].keys]
         if name == "oe_order_lines_all":
-            # part, supplier, price and so on only break ties between copies of a line with the same time
-            return keep_latest(raw, keys, ["_ingest_timestamp"], LINE_TIE).drop(*LINE_TIE)
-        return raw
+            # part, supplier, price and so on only break ties between copies of a line with the same time; the rows are
+            # sorted and moved as staged, and amounts are derived from those that stay
+            return self.raw.oe_order_lines_all(keep_latest(self.raw.keyed_lines(), ["LINE_ID"], ["l_shipdate"], LINE_TIE))
+        return getattr(self.raw, name)()
 
     def standardised(self, name: str) -> DataFrame:
         return standardise(name, self.deduped(name))
