@@ -6,6 +6,8 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from tidemark.operators import lineage
+from tidemark.operators.lineage import dependency_levels
 from tidemark.plans import facts
 from tidemark.session import SPLIT, SPLIT_DEFAULT, tune
 from tidemark.sources.fixtures import Silver
@@ -79,3 +81,33 @@ def test_only_the_default_split_is_made_smaller(spark):
         assert tune(spark).conf.get(SPLIT) == "16m"
     finally:
         spark.conf.set(SPLIT, was)
+
+
+def levels_of(spark, nodes, edges):
+    frame = None if nodes is None else spark.createDataFrame([(n,) for n in nodes], "node string")
+    found = dependency_levels(frame, spark.createDataFrame(edges, "node string, depends_on string"))
+    return sorted(((r.node, r.level) for r in found.collect()), key=str)
+
+
+def test_levels_without_a_list_of_nodes(spark):
+    edges = [("line", "order"), ("line", "part"), ("line", "part"), ("order", "customer"), ("part", "brand"), ("lost", None), (None, "part")]
+    want = [("brand", 0), ("customer", 0), ("line", 2), ("lost", 0), ("order", 1), ("part", 1), (None, 0)]
+    assert levels_of(spark, None, edges) == sorted(want, key=str)
+    nodes = [n for n, _ in want]
+    assert levels_of(spark, [*nodes, "alone", "line"], edges) == sorted([*want, ("alone", 0)], key=str)
+    # a parent that is no node doesn't count
+    assert levels_of(spark, ["line", "part"], edges) == [("line", 1), ("part", 0)]
+
+
+def test_edges_of_nodes_without_dependents_are_followed_once(spark, monkeypatch):
+    followed = []
+    reach = lineage._reach
+
+    def counted(links, frontier, counters):
+        followed.append(links.count())
+        return reach(links, frontier, counters)
+
+    monkeypatch.setattr(lineage, "_reach", counted)
+    edges = [(f"line{i}", "order") for i in range(20)] + [("order", "address"), ("address", "customer")]
+    assert dict(levels_of(spark, None, edges))["line7"] == 3
+    assert followed == [2, 2]  # the lines' edges are in no round, and no round follows the last placed node

@@ -16,11 +16,42 @@ class CycleError(ValueError):
     """The dependency edges contain a cycle."""
 
 
-def _edges(ids: DataFrame, edges: DataFrame, node: str, parent: str) -> DataFrame:
-    """(p, n, w, need): every edge once, with the number of parents of its node."""
-    pairs = edges.select(F.col(node).alias("n"), F.col(parent).alias("p")).distinct()
-    pairs = pairs.join(ids, "n", "left_semi").join(ids.withColumnRenamed("n", "p"), "p", "left_semi")
-    return _counted(pairs.select("p", "n", F.lit(1).cast("long").alias("w")))
+def _names(nodes: DataFrame | None, pairs: DataFrame, node: str) -> DataFrame:
+    """(n, listed, need, children): every name once, with the number of edges into and out of it.
+
+    A repeated edge counts as often as it is listed, here and whenever it is followed. An edge with a null end counts
+    nowhere, but null may be a node.
+    """
+    whole = F.when(F.col("n").isNotNull() & F.col("p").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("long")
+    zero, every = F.lit(0).cast("long"), F.lit(nodes is None)
+    ends = F.array(
+        F.struct(F.col("n").alias("n"), whole.alias("need"), zero.alias("children")),
+        F.struct(F.col("p").alias("n"), zero.alias("need"), whole.alias("children")),
+    )
+    names = pairs.select(F.inline(ends)).withColumn("listed", every)
+    if nodes is not None:
+        listed = nodes.select(F.col(node).alias("n"), zero.alias("need"), zero.alias("children"), F.lit(True).alias("listed"))
+        names = names.unionByName(listed)
+    sums = (F.sum(c).alias(c) for c in ("need", "children"))
+    return durable(names.groupBy("n").agg(F.max("listed").alias("listed"), *sums), "nodes")
+
+
+def _graph(nodes: DataFrame | None, edges: DataFrame, node: str, parent: str) -> tuple[DataFrame, DataFrame]:
+    """The names that are nodes, and (p, n, w, need, inner) for every edge between two of them.
+
+    ``inner``: other nodes depend on the node. Edges move once, to the counters of their nodes; only where some end is no
+    node are they cut down first.
+    """
+    pairs = edges.select(F.col(node).alias("n"), F.col(parent).alias("p"))
+    names = _names(nodes, pairs, node)
+    if not names.filter(~F.col("listed")).isEmpty():
+        ids = names.filter("listed").select("n")
+        pairs = pairs.join(ids, "n", "left_semi").join(ids.withColumnRenamed("n", "p"), "p", "left_semi")
+        pairs = durable(pairs.select("n", "p"), "edges")
+        names = _names(ids, pairs, "n")
+    known = names.filter("need > 0").select("n", "need", (F.col("children") > 0).alias("inner"))
+    links = pairs.filter("p is not null").join(known, "n")
+    return names, durable(links.select("p", "n", F.lit(1).cast("long").alias("w"), "need", "inner"), "edges")
 
 
 def _counted(links: DataFrame) -> DataFrame:
@@ -74,7 +105,7 @@ def _jump(single: DataFrame) -> DataFrame:
 def _contract(links: DataFrame, consumed: list[DataFrame], counters: list[DataFrame]):
     """Edges, counters and hung nodes after chains of nodes with one open parent are taken out of the graph."""
     gone = reduce(DataFrame.unionByName, [c.select(F.col("n").alias("p")) for c in consumed])
-    left = durable(links.join(gone, "p", "left_anti").select("p", "n", "w"), "edges")
+    left = durable(links.join(gone, "p", "left_anti").select("p", "n", "w").distinct(), "edges")
     best = _latest(counters).groupBy("n").agg(F.max("best").alias("b"))
     open_ = left.groupBy("n").agg(F.count(F.lit(1)).alias("need"), F.min("p").alias("p"), F.min("w").alias("w"))
     single = open_.filter("need = 1").join(best, "n", "left")
@@ -94,49 +125,59 @@ def _contract(links: DataFrame, consumed: list[DataFrame], counters: list[DataFr
 
 
 def dependency_levels(
-    nodes: DataFrame, edges: DataFrame, node: str = "node", parent: str = "depends_on", peel: int = 16
+    nodes: DataFrame | None, edges: DataFrame, node: str = "node", parent: str = "depends_on", peel: int = 16
 ) -> DataFrame:
     """Longest path from the roots: level 0 has no parent, otherwise 1 + the highest level of the parents.
 
     Every node keeps a counter of the parents placed so far. A round looks only at the edges out of the nodes placed in
     the round before, adds to the counters of the nodes these reach, and places those whose counter is full; nothing
-    else is written. After ``peel`` rounds, and whenever their number has doubled since, chains of nodes with one open
+    else is written. Nodes that nothing depends on are left out of the rounds: when all others are placed, their edges are
+    followed once. After ``peel`` rounds, and whenever their number has doubled since, chains of nodes with one open
     parent are taken out by pointer doubling and hung back at the end, so a long chain takes logarithmically many rounds
     instead of its length. Every round is written to the shared folder, which keeps the lineage flat and survives
-    executor loss. Only edges whose ends are both nodes count. Nodes that are never placed are a cycle.
+    executor loss. Only edges whose ends are both nodes count; without ``nodes`` every end of an edge is one. Nodes that
+    are never placed are a cycle.
     """
-    ids = durable(nodes.select(F.col(node).alias("n")).distinct(), "nodes")
-    links = _edges(ids, edges, node, parent)
-    frontier = durable(ids.join(links, "n", "left_anti").select("n", F.lit(0).cast("long").alias("level")), "level")
+    names, every = _graph(nodes, edges, node, parent)
+    links = every.filter("inner").drop("inner")
+    level = F.lit(0).cast("long").alias("level")
+    frontier = names.filter("need = 0 and children > 0").select("n", level)
     levels, hung, counters, consumed = [frontier], [], [], []
-    ready, placed, rounds = frontier.count(), 0, 0
-    while ready:
-        placed += ready
+    inner, ready = names.agg(F.count_if(F.col("children") > 0), F.count_if(F.expr("need = 0 and children > 0"))).first()
+    placed, rounds = ready, 0
+    while ready and placed < inner:
         rounds += 1
         reached = _reach(links, frontier, counters)
         full = F.col("got") == F.col("need")
         ready, waiting = reached.agg(F.count_if(full), F.count_if(~full)).first()
+        placed += ready
         consumed.append(frontier)
         if waiting:
             counters.append(reached.filter(~full))
         frontier = reached.filter(full).select("n", F.col("best").alias("level"))
         levels.append(frontier)
-        if ready and rounds == peel:
+        if ready and placed < inner and rounds == peel:
             peel *= 2
             links, counters, taken = _contract(links, consumed, counters or [reached.limit(0)])
             hung.append(taken)
+            placed += taken.count()
             consumed = []
-    if placed + sum(h.count() for h in hung) < ids.count():
-        raise CycleError(f"{ids.count()} nodes, not all of which can be placed: the edges contain a cycle")
+    if placed < inner:
+        raise CycleError(f"{inner} nodes with dependents, not all of which can be placed: the edges contain a cycle")
     out = reduce(DataFrame.unionByName, levels)
     for taken in reversed(hung):
         out = durable(out, "level")
         above = out.select(F.col("n").alias("p"), "level")
-        level = F.greatest("b", F.col("level") + F.col("w"))
-        out = out.unionByName(taken.join(above, "p").select("n", level.alias("level")))
+        level_below = F.greatest("b", F.col("level") + F.col("w"))
+        out = out.unionByName(taken.join(above, "p").select("n", level_below.alias("level")))
+    above = out.select(F.col("n").alias("p"), "level")
+    outer = every.filter(~F.col("inner")).select("n", "p").join(above, "p")
+    outer = outer.groupBy("n").agg((F.max("level") + 1).alias("level"))
+    alone = names.filter("need = 0 and children = 0").select("n", level)
+    out = out.unionByName(outer).unionByName(alone)
     out = out.select(F.col("n").alias(node), F.col("level").cast("int").alias("level"))
     # further node attributes come back in one join
-    return out if nodes.columns == [node] else nodes.join(out, node)
+    return out if nodes is None or nodes.columns == [node] else nodes.join(out, node)
 
 
 def load_order(tables: DataFrame, edges: DataFrame) -> DataFrame:

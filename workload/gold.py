@@ -962,29 +962,25 @@ def _record_edges(raw):
     """Record-level dependencies of the sales data, in the shape of the table-level dependency graph."""
     line = F.concat(F.lit("line:"), "l_orderkey", F.lit(":"), "l_linenumber")
 
-    def pair(df, node, parent):
-        return df.select(node.alias("node"), parent.alias("depends_on"))
+    def edges(df, node, *parents):
+        return df.select(node.alias("node"), F.explode(F.array(*parents)).alias("depends_on"))
 
     def ident(kind, col):
         return F.concat(F.lit(f"{kind}:"), col)
 
+    # a table is read once for all its kinds of edges, so that the edges of a record stay together
     li, o, c, p = (raw.table(t) for t in ("lineitem", "orders", "customer", "part"))
     return (
-        pair(li, line, ident("order", "l_orderkey"))
-        .unionByName(pair(li, line, ident("part", "l_partkey")))
-        .unionByName(pair(o, ident("order", "o_orderkey"), ident("customer", "o_custkey")))
-        .unionByName(pair(o, ident("order", "o_orderkey"), ident("address", "o_custkey")))
-        .unionByName(pair(c, ident("address", "c_custkey"), ident("customer", "c_custkey")))
-        .unionByName(pair(c, ident("address", "c_custkey"), ident("city", "c_nationkey")))
-        .unionByName(pair(p, ident("part", "p_partkey"), ident("brand", "p_brand")))
+        edges(li, line, ident("order", "l_orderkey"), ident("part", "l_partkey"))
+        .unionByName(edges(o, ident("order", "o_orderkey"), ident("customer", "o_custkey"), ident("address", "o_custkey")))
+        .unionByName(edges(c, ident("address", "c_custkey"), ident("customer", "c_custkey"), ident("city", "c_nationkey")))
+        .unionByName(edges(p, ident("part", "p_partkey"), ident("brand", "p_brand")))
     )
 
 
 @query("dependency_levels", f"WITH RECURSIVE {_EDGE_SQL} SELECT node, max(level) AS level FROM walk GROUP BY 1")
 def record_levels(spark, sf_dir):
-    edges = _record_edges(gold(spark, sf_dir).raw)
-    nodes = edges.select("node").unionByName(edges.select(F.col("depends_on").alias("node"))).distinct()
-    return dependency_levels(nodes, edges)
+    return dependency_levels(None, _record_edges(gold(spark, sf_dir).raw))  # both ends of every edge are nodes
 
 
 # -- sinks --------------------------------------------------------------------------------------------------------
