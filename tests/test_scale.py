@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import lineage
@@ -11,6 +12,8 @@ from tidemark.operators.lineage import dependency_levels
 from tidemark.plans import facts
 from tidemark.session import SPLIT, SPLIT_DEFAULT, tune
 from tidemark.sources.fixtures import Silver
+from tidemark.streaming import jobs
+from tidemark.streaming.state import NULL_FOLDER, PartitionedState
 
 LINE = (
     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
@@ -111,3 +114,25 @@ def test_edges_of_nodes_without_dependents_are_followed_once(spark, monkeypatch)
     edges = [(f"line{i}", "order") for i in range(20)] + [("order", "address"), ("address", "customer")]
     assert dict(levels_of(spark, None, edges))["line7"] == 3
     assert followed == [2, 2]  # the lines' edges are in no round, and no round follows the last placed node
+
+
+def test_first_facts_are_computed_once_and_written_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "durable", lambda *_: pytest.fail("the first batch is written twice"))
+    state = PartitionedState(spark, str(tmp_path / "fact"), "month")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.createDataFrame([(1, "1996-01"), (2, None), (3, "1996-02"), (4, "1996-01")], "line_id long, month string")
+    jobs.refresh_fact(state, "line_id", rows.mapInArrow(counted, rows.schema), 0)
+    assert seen.value == 4
+    assert sorted(state.versions()) == ["1996-01", "1996-02", NULL_FOLDER]
+    assert sorted((r.line_id, r.month) for r in state.read().selectExpr("line_id", "cast(month as string) as month").collect()) == [
+        (1, "1996-01"), (2, None), (3, "1996-02"), (4, "1996-01"),
+    ]
+    empty = PartitionedState(spark, str(tmp_path / "none"), "month")
+    jobs.refresh_fact(empty, "line_id", rows.limit(0), 0)
+    assert empty.versions() == {} and empty.read() is None

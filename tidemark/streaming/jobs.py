@@ -154,11 +154,11 @@ def refresh_fact(
     state: PartitionedState, key: str, rows: DataFrame, batch_id: int, deleted: DataFrame | None = None
 ) -> None:
     """Merge a batch of fact rows, and the keys of deleted ones, into the stored partitions they touch."""
-    rows = durable(rows, "fact")  # looked at several times below
     target = state.read()
     if target is None:
-        state.write(rows, touched_values(rows, state.partition), batch_id)
+        state.write(rows, None, batch_id)
         return
+    rows = durable(rows, "fact")  # looked at several times below
     gone = rows.select(key) if deleted is None else rows.select(key).unionByName(deleted.select(key))
     moved = target.join(gone.distinct(), key, "left_semi").select(state.partition)
     touched = touched_values(moved.unionByName(rows.select(state.partition)), state.partition)

@@ -106,13 +106,18 @@ class PartitionedState:
             if is_old:
                 files.delete(hadoop.Path(f"{self.path}/data/v={v}/{self.partition}={part}"), True)
 
-    def write(self, rows: DataFrame, touched: Iterable[str], batch_id: int) -> None:
-        """Replace the touched partitions and commit. A partition that lost all its rows stays as an empty file."""
+    def write(self, rows: DataFrame, touched: Iterable[str] | None, batch_id: int) -> None:
+        """Replace the touched partitions and commit. A partition that lost all its rows stays as an empty file.
+
+        Without ``touched`` the partitions are those that the rows turn out to be in: they are computed once, for the write.
+        """
         folder = f"{self.path}/data/v={batch_id}"
         ordered = rebalanced(rows, [self.partition])
         if inside := [c for c in self.cluster_by if c in rows.columns]:
             ordered = ordered.sortWithinPartitions(self.partition, *inside)
         ordered.write.mode("overwrite").partitionBy(self.partition).parquet(folder)
+        if touched is None:
+            touched = touched_values(self.spark.read.schema(rows.schema).parquet(folder), self.partition)
         touched = list(touched)
         empty = rows.limit(0).drop(self.partition)
         present = self._present(folder)

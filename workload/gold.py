@@ -145,11 +145,11 @@ def _refreshed(spark, old, new, key, partition, deleted=None):
     return state.read()
 
 
-def _sales_after(spark, g, old, orders, found, bound):
+def _sales_after(spark, g, old, headers, lines, orders, found, bound):
     """``old`` after the sales facts of some orders were built anew."""
     s = g.silver
     orders = durable(impact.union_keys(orders, "order_id"), "orders")
-    headers, lines = (s(n).join(orders, "order_id", "left_semi") for n in ("oe_order_headers_all", "oe_order_lines_all"))
+    headers, lines = (rows.join(orders, "order_id", "left_semi") for rows in (headers, lines))
     rows = facts.build_fact_sales(lines, headers, found, s("customer_registration_source"), versions_per_key=bound)
     return _refreshed(spark, old, rows, "line_id", "order_year_month")
 
@@ -169,12 +169,12 @@ def fact_sales_after_lookup_change(spark, sf_dir):
         {"campaign_id": F.when(third, F.col("campaign_id") % 11 + 1).otherwise(F.col("campaign_id")),
          "channel": F.when(third, F.lit("ORGANIC")).otherwise(F.col("channel"))}
     )
-    headers, lines = s("oe_order_headers_all"), s("oe_order_lines_all")
+    headers, lines = s("oe_order_headers_all"), g.stored_lines()
     old = facts.build_fact_sales(lines, headers, found, was, versions_per_key=bound)
     answers = (facts.campaign_attribution(x, found["dim_campaign"]) for x in (was, crs))
     attributed = impact.changed_keys(*answers, "customer_id", ["dim_campaign_key"])
     orders = impact.sales_orders(headers, lines, attributed=attributed)
-    out = _sales_after(spark, g, old, orders, found, bound)
+    out = _sales_after(spark, g, old, headers, lines, orders, found, bound)
     return plain(out.drop("_created_date", "_last_modified_date", "_pipeline_run_id"))
 
 
@@ -189,14 +189,14 @@ def fact_sales_late_customer(spark, sf_dir):
     s, customers = g.silver, g.silver("customers")
     early = durable(dims.build_dim_customer(None, customers.filter("customer_id % 5 <> 0")), "dim_customer")
     found = {**g.dims(), "dim_customer": early}
-    headers, lines = s("oe_order_headers_all"), s("oe_order_lines_all")
+    headers, lines = s("oe_order_headers_all"), g.stored_lines()
     old = facts.build_fact_sales(lines, headers, found, s("customer_registration_source"), versions_per_key=1)
     arrived = durable(dims.build_dim_customer(early, customers), "dim_customer")
     late = durable(dims.build_dim_customer(arrived, g.customers_v2()), "dim_customer")
     members = (d.filter("dim_customer_key > 0") for d in (early, late))
     moved = impact.changed_since(*members, "customer_id", "dim_customer_key")
     orders = impact.sales_orders(headers, lines, customers=moved)
-    out = _sales_after(spark, g, old, orders, {**found, "dim_customer": late}, facts.version_bound(late))
+    out = _sales_after(spark, g, old, headers, lines, orders, {**found, "dim_customer": late}, facts.version_bound(late))
     owner = late.select("dim_customer_key", "customer_id", "_version")
     return out.join(owner, "dim_customer_key").select("line_id", "customer_id", "_version")
 

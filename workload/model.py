@@ -35,6 +35,10 @@ class Gold:
     def customers_v2(self) -> DataFrame:
         return standardise("customers", self.raw.customers_change()).filter("customer_id is not null")
 
+    def stored_lines(self) -> DataFrame:
+        """Silver order lines as a table, for work that reads them several times: they are deduplicated once."""
+        return self._stage("oe_order_lines_all", lambda: self.silver("oe_order_lines_all"))
+
     # -- dimensions ----------------------------------------------------------------------------------------
     def build_dim(self, name: str) -> DataFrame:
         s = self.silver
