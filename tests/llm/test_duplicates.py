@@ -1,13 +1,16 @@
 """Jaccard join, components, decontamination and the pipeline against brute force."""
 
 import random
+import time
 from collections import Counter
+from pathlib import Path
 
 import pytest
 
 import corpus_pipeline
-from tidemark.llm import decontam, jaccard, packing, secret_scan, shingles
+from tidemark.llm import bitmap, decontam, jaccard, packing, secret_scan, shingles
 from tidemark.llm.graph import components
+from tidemark.session import CLEANUP, durable
 
 SF = "/root/testdata/sf0.001"
 VOCABULARY = packing.default_vocabulary()
@@ -109,6 +112,65 @@ def test_many_copies_take_linear_work(llm, documents):
     assert [r.component_id for r in got] == [0] and seen == [0]
 
 
+def test_sets_and_signatures_move_to_their_pivots_only(llm, documents, monkeypatch):
+    """Beside a repeated row's one copy (once for each side) nothing wide is shuffled but by its pivot."""
+    plans, real = {}, jaccard.durable
+
+    def watched(df, name="stage"):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return real(df, name)
+
+    monkeypatch.setattr(jaccard, "durable", watched)
+    before = llm.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    llm.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = near_copies(8, 60)
+        got = jaccard.jaccard_components(documents(rows)).collect()
+    finally:
+        llm.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(map(tuple, got)) == groups(rows)
+    for name in ("bounds", "near"):
+        assert plans[name].count("Exchange hashpartitioning(pivot") == 2, name
+        assert plans[name].count("Exchange hashpartitioning(") == 4, name
+
+
+@pytest.mark.parametrize("chunk", [7, 1 << 20])
+def test_shared_cells(llm, monkeypatch, chunk):
+    monkeypatch.setattr(jaccard, "CHUNK_CELLS", chunk)
+    rng = random.Random(3)
+    cells = [rng.randrange(-(2**63), 2**63) for _ in range(400)] + [0, -1, -(2**63), 2**63 - 1]
+    rows = [[77, *rng.sample(cells, rng.randrange(5))] for _ in range(150)]
+    table = llm.createDataFrame([(row,) for row in rows] + [([],)], "prefix array<long>").repartition(3)
+    seen = Counter(c % 2**64 >> 64 - jaccard.KEY_BITS for row in rows for c in row)
+    got = jaccard._shared_cells(table, sum(map(len, rows)))
+    assert sorted(r.key for r in got.collect()) == sorted(c for c, n in seen.items() if n > 1)
+    assert jaccard._shared_cells(table.limit(0), 0).count() == 0
+    keyed = llm.createDataFrame([(c,) for c in cells], "cell long").select("cell", jaccard._cell_key("cell").alias("key"))
+    assert all(r.key == r.cell % 2**64 >> 64 - jaccard.KEY_BITS for r in keyed.collect())
+
+
+def test_map_grows_with_its_keys(llm):
+    assert bitmap.bits_for(0) == bitmap.bits_for(8_000_000) == bitmap.BITS
+    assert bitmap.bits_for(9_000_000) == 2 * bitmap.BITS and bitmap.bits_for(10**10) == bitmap.MOST_BITS
+    keys = llm.range(1000).withColumn("at", bitmap.place("id", 4 * bitmap.BITS))
+    table = bitmap.build(keys, "id", 4 * bitmap.BITS)
+    assert bitmap.holds(table, keys.toPandas()["at"].to_numpy()).all() and len(table) == bitmap.BITS // 2
+
+
+def test_staged_tables_keep_no_shuffles(llm):
+    def files():
+        folders = llm._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+        return {f for d in folders for f in Path(str(d)).rglob("shuffle_*")}
+
+    before, setting = files(), llm.conf.get(CLEANUP, None)
+    table = durable(llm.range(1000).repartition(3, "id"))
+    deadline = time.time() + 20
+    while files() - before and time.time() < deadline:
+        time.sleep(0.1)
+    assert not files() - before and table.count() == 1000
+    assert llm.conf.get(CLEANUP, None) == setting
+
+
 def test_jaccard_null_ids_and_empty_table(llm, documents):
     text = "a b c d e f g h"
     got = jaccard.jaccard_components(documents([(None, text), (3, text), (4, "x")])).collect()

@@ -43,6 +43,8 @@ CHUNK = 1 << 18
 BINS = 20  # blocks hold one twentieth of the distance scale
 BLOCK = 100_000  # shingles or cells in a block
 CELLS = 1 << 22  # entries of the largest matrix built at once
+CHUNK_CELLS = 1 << 20  # cells whose keys a task sorts at once, and about those of one bucket
+KEY_BITS = 40  # of a cell's upper bits, where shared cells are looked for
 
 
 def _places(h: np.ndarray) -> np.ndarray:
@@ -75,7 +77,7 @@ def rarity(docs: DataFrame, k: int) -> np.ndarray:
     schema = "chunk int, n binary"
     rows = docs.select("text").mapInPandas(count, schema).repartition(COUNTERS // CHUNK, "chunk").mapInPandas(add, schema)
     out = np.zeros(COUNTERS, np.uint8)
-    for row in rows.toLocalIterator():  # COUNTERS bytes in all, whatever the corpus
+    for row in durable(rows, "rarity").toLocalIterator():  # COUNTERS bytes in all, whatever the corpus
         out[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(row["n"], np.uint8)
     return out
 
@@ -171,15 +173,35 @@ def _of_points(docs: DataFrame, wanted: DataFrame, k: int, describe, schema: str
     return rows.mapInPandas(run, f"point binary, doc_id long, {schema}")
 
 
+def _ends(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """(point, pivots, is_pivot, doc_id, rows) of all points of ``pairs`` (pivot, point).
+
+    A point has no more pivots than cells, so the array is bounded by the point's own text.
+    """
+    both = pairs.select("point", "pivot").unionByName(pairs.select(F.col("pivot").alias("point"), F.lit(None).cast("binary").alias("pivot")))
+    ends = both.groupBy("point").agg(F.collect_list("pivot").alias("pivots"), F.max(F.col("pivot").isNull()).alias("is_pivot"))
+    return ends.join(reps.drop("n"), "point")
+
+
+def _facing(held: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Each member of ``held`` (point, pivots, is_pivot, ...) beside ``columns`` of its pivot under their new names.
+
+    What is wide moves by its pivot only, once as a member's and once as a pivot's.
+    """
+    members = held.withColumn("pivot", F.explode("pivots")).drop("pivots", "is_pivot")
+    pivots = held.filter("is_pivot").select(F.col("point").alias("pivot"), *(F.col(c).alias(new) for c, new in columns.items()))
+    return members.join(pivots, "pivot")
+
+
 def _once(found: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
-    """One row for each wanted point (point, doc_id, rows) of a result of ``_of_points``."""
-    found = durable(found.join(wanted.select("point", "doc_id", "rows"), ["point", "doc_id"]), name)
+    """One row for each wanted point (point, doc_id, rows, ...) of a result of ``_of_points``."""
+    found = durable(found.join(wanted, ["point", "doc_id"]), name)
     once = found.filter("rows = 1").unionByName(found.filter("rows > 1").dropDuplicates(["point"]))
     return once.drop("doc_id", "rows")
 
 
-def _described(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(point, prefix) and (point, n, parity): the cells, where a point may be repeated, and the signature of each point.
+def _described(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
+    """(point, doc_id, n, prefix, parity): the cells and the signature of each point, where a point may be repeated.
 
     The cells are the wide part; they are written where they are made, and no join moves them.
     """
@@ -191,12 +213,11 @@ def _described(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> tuple[
         chosen = np.argsort(order.value[_places(points)], kind="stable")[: n - -(-n * percent // 100) + 1]
         return n, points[chosen].view(np.int64), _parity(points)
 
-    found = durable(_of_points(docs, reps, k, describe, "n long, prefix array<long>, parity binary"), "described")
-    return found.select("point", "prefix"), _once(found.drop("prefix"), reps, "signatures")
+    return durable(_of_points(docs, reps, k, describe, "n long, prefix array<long>, parity binary"), "described")
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(point, shingles) of the wanted points."""
+    """(point, shingles) of the wanted points (point, doc_id, rows, ...), and what else is known of them."""
     return _once(_of_points(docs, wanted, k, lambda points: (points.view(np.int64),), "shingles array<long>"), wanted, "sets")
 
 
@@ -257,7 +278,7 @@ def _may_link(differing: np.ndarray, sizes: list[np.ndarray], percent: int) -> n
     return in_size & ((100 + percent) * differing <= (100 - percent) * (a + b))
 
 
-def _bounds(star: DataFrame, described: DataFrame, percent: int) -> DataFrame:
+def _bounds(signatures: DataFrame, percent: int) -> DataFrame:
     """(pivot, point, n, able, close): whether the signatures let a member link to its pivot, or be within two radii."""
 
     @F.pandas_udf("struct<able:boolean,close:boolean>")
@@ -276,12 +297,8 @@ def _bounds(star: DataFrame, described: DataFrame, percent: int) -> DataFrame:
         far = np.isinf(differing) & (100 * np.minimum(a, b) < (2 * percent - 100) * np.maximum(a, b))
         return pd.DataFrame({"able": able, "close": close & ~far})
 
-    # most points share no cell, and their signatures stay where they are
-    ends = star.select("point").unionByName(star.select(F.col("pivot").alias("point"))).distinct()
-    described = described.filter(bitmap.may_hold(ends, "point")("point"))
-    rows = star.join(described.select("point", "n", "parity"), "point")
-    pivots = described.select(F.col("point").alias("pivot"), F.col("n").alias("m"), F.col("parity").alias("other"))
-    rows = rows.join(pivots, "pivot").select("pivot", "point", "n", judge("n", "parity", "m", "other").alias("j"))
+    rows = _facing(signatures, {"n": "m", "parity": "other"})
+    rows = rows.select("pivot", "point", "n", judge("n", "parity", "m", "other").alias("j"))
     return durable(rows.select("pivot", "point", "n", "j.able", "j.close"), "bounds")
 
 
@@ -290,7 +307,7 @@ LINKED, CLOSE, FAR = 0, 1, 2
 SIZES = 1.2  # sets in blocks of sizes that aren't neighbours on this scale can't link at 80 percent
 
 
-def _able_to_link(members: DataFrame, described: DataFrame, percent: int) -> DataFrame:
+def _able_to_link(members: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
     """(pivot, point) of the members (pivot, point, n, kind) that the signatures let link to another one.
 
     Two linked members, or a linked and a far one, don't meet.
@@ -343,7 +360,7 @@ def _able_to_link(members: DataFrame, described: DataFrame, percent: int) -> Dat
 
     loaded = durable(placed("a").unionByName(placed("b")), "placed-members")
     total = int(_total(loaded, F.col("weight")))
-    loaded = loaded.join(described.select("point", "parity"), "point")
+    loaded = loaded.join(signatures.select("point", "parity"), "point")
     return durable(_by_group(loaded, ["pivot", "pair"], total, able, "pivot binary, point binary").distinct(), "able")
 
 
@@ -399,12 +416,62 @@ def _block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     return _by_group(loaded.join(sets, "point"), ["pivot", "pair"], total, join, "a binary, b binary")
 
 
-def _star(prefixes: DataFrame) -> DataFrame:
+def _shared_cells(prefixes: DataFrame, total: int) -> DataFrame:
+    """The keys (``_cell_key``) of all cells that two rows of ``prefixes`` have; ``total`` is about the number of cells.
+
+    Most cells hold one point. A task sends the keys of a chunk of cells sorted, as the gaps between them, and a key that
+    comes up more often in the chunk twice: about three bytes for a cell, and a frequent cell is no load.
+    """
+    buckets = 1 << max(6, (total // CHUNK_CELLS).bit_length())
+    width = (1 << KEY_BITS) // buckets
+
+    def packed(cells: list[np.ndarray]) -> pd.DataFrame:
+        keys, n = np.unique(np.concatenate(cells).view(np.uint64) >> np.uint64(64 - KEY_BITS), return_counts=True)
+        keys = np.repeat(keys.astype(np.int64), np.minimum(n, 2))
+        bounds = np.searchsorted(keys, np.arange(buckets + 1) * width)
+        full = np.flatnonzero(bounds[1:] > bounds[:-1])
+        gaps = [np.diff(keys[bounds[i] : bounds[i + 1]], prepend=i * width) for i in full]
+        # the bytes of one place of all gaps lie together, so that those of the upper places, mostly zero, take no room
+        return pd.DataFrame({"bucket": full, "gaps": [g.view(np.uint8).reshape(-1, 8)[:, : KEY_BITS // 8].T.tobytes() for g in gaps]})
+
+    def pack(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+        for batch in batches:
+            for prefix in batch["prefix"]:
+                held.append(prefix)
+                size += len(prefix)
+                if size >= CHUNK_CELLS:
+                    yield packed(held)
+                    held, size = [], 0
+        if size:
+            yield packed(held)
+
+    def meet(frame: pd.DataFrame) -> pd.DataFrame:
+        keys = []
+        for bucket, gaps in zip(frame["bucket"], frame["gaps"]):
+            wide = np.zeros((len(gaps) // (KEY_BITS // 8), 8), np.uint8)
+            wide[:, : KEY_BITS // 8] = np.frombuffer(gaps, np.uint8).reshape(KEY_BITS // 8, -1).T
+            keys.append(np.cumsum(wide.view(np.int64)[:, 0]) + bucket * width)
+        keys = np.sort(np.concatenate(keys))
+        return pd.DataFrame({"key": np.unique(keys[1:][keys[1:] == keys[:-1]])})
+
+    rows = prefixes.select("prefix").mapInPandas(pack, "bucket long, gaps binary")
+    return durable(rows.groupBy("bucket").applyInPandas(meet, "key long"), "shared-cells")
+
+
+def _cell_key(cell: Column) -> Column:
+    return F.shiftrightunsigned(cell, 64 - KEY_BITS)
+
+
+def _star(prefixes: DataFrame, total: int) -> DataFrame:
     """(pivot, point): the points of each cell with the least of them, once for each pair."""
-    counted = prefixes.select(F.explode("prefix").alias("cell")).groupBy("cell").count().filter("count > 1").select("cell")
-    # Most cells hold one point; a bit map keeps those out of the second shuffle.
-    sent = prefixes.sparkSession.sparkContext.broadcast(bitmap.build(counted, "cell"))
-    cells = prefixes.select("point", F.explode(F.transform("prefix", lambda c: F.struct(c.alias("cell"), bitmap.place(c).alias("at")))).alias("c"))
+    # Most cells hold one point; a bit map keeps those out of the shuffle. A map that fills up would let them through.
+    keys = _shared_cells(prefixes, total)
+    bits = bitmap.bits_for(keys.count())
+    sent = prefixes.sparkSession.sparkContext.broadcast(bitmap.build(keys, "key", bits))
+    cells = prefixes.select(
+        "point", F.explode(F.transform("prefix", lambda c: F.struct(c.alias("cell"), bitmap.place(_cell_key(c), bits).alias("at")))).alias("c")
+    )
 
     @F.pandas_udf("boolean")
     def shared(places: pd.Series) -> pd.Series:
@@ -417,21 +484,30 @@ def _star(prefixes: DataFrame) -> DataFrame:
 
 
 def _met(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, ...]:
-    """Steps 1 and 2: (points, reps, described, bounds, sets of those that may link to a pivot, distances to pivots)."""
+    """Steps 1 and 2: (points, reps, signatures of points that share a cell, bounds, sets of those that may link to a pivot,
+    distances to pivots)."""
     points = durable(shingle_points(docs, k), "points")
     reps = durable(representatives(points), "reps")
-    prefixes, described = _described(docs, reps, k, percent)
-    bounds = _bounds(_star(prefixes), described, percent)
-    met = bounds.filter("able").select("pivot", "point")
-    wanted = met.select("point").union(met.select(F.col("pivot").alias("point"))).distinct()
-    sets = _sets_of(docs, durable(wanted.join(reps.drop("n"), "point"), "wanted"), k)
-    near = met.join(sets, "point").join(sets.select(F.col("point").alias("pivot"), F.col("shingles").alias("other")), "pivot")
+    mark = scratch_mark()
+    described = _described(docs, reps, k, percent)
+    star = _star(described.select("point", "prefix"), int(_total(reps, F.col("n") * (100 - percent) / 100 + 1)))
+    # most points share no cell, and their signatures stay where they are
+    ends = durable(_ends(star, reps), "ends")
+    shown = described.drop("prefix").filter(bitmap.may_hold(ends, "point")("point"))
+    kept = scratch_mark()
+    signatures = _once(shown, ends, "signatures")
+    drop_scratch(docs.sparkSession, mark, kept)  # the cells are the widest table
+    bounds = _bounds(signatures, percent)
+    wanted = durable(_ends(bounds.filter("able").select("pivot", "point"), reps), "wanted")
+    sets = _sets_of(docs, wanted, k)
+    near = _facing(sets, {"shingles": "other"})
     shared = F.size(F.array_intersect("shingles", "other"))
     total = F.size("shingles") + F.size("other") - shared
     near = near.select(
         "pivot", "point", (1 - shared / total).alias("distance"), (100 * shared >= percent * total).alias("linked")
     )
-    return points, reps, described, bounds, sets, durable(near, "near")
+    near = durable(near, "near")
+    return points, reps, signatures.select("point", "n", "parity"), bounds, sets.select("point", "shingles"), near
 
 
 def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -449,7 +525,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """(doc_id, n_shingles, component_id) of each row; the component is named by its least doc_id."""
     mark = scratch_mark()
     narrow = _narrow(docs, id_col, text_col)
-    points, reps, described, bounds, sets, near = _met(narrow, k, percent)
+    points, reps, signatures, bounds, sets, near = _met(narrow, k, percent)
     links = near.filter("linked").select(F.col("pivot").alias("a"), F.col("point").alias("b"))
     labels = durable(components(links), "labels")
 
@@ -463,7 +539,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     open_ = regions.filter("close + far > 1 OR close > 0 AND linked > 0").select("pivot", (F.col("close") > 0).alias("meets"))
     left = members.join(open_, "pivot").filter((F.col("kind") != LINKED) | F.col("meets")).drop("meets")
     left = durable(left, "left")
-    able = _able_to_link(left.drop("distance"), described, percent)
+    able = _able_to_link(left.drop("distance"), signatures, percent)
     left = left.drop("kind").join(able, ["pivot", "point"], "left_semi")
     left = left.join(labels.withColumnRenamed("node", "point"), "point", "left").withColumn("label", F.coalesce("label", "point"))
     more = durable(_block_links(left, _more_sets(narrow, sets, able, reps, k), percent).distinct(), "block-links")
@@ -495,9 +571,9 @@ def jaccard_links(
     region are compared whether or not they share a component.
     """
     narrow = _narrow(docs, id_col, text_col)
-    points, reps, described, bounds, sets, near = _met(narrow, k, percent)
+    points, reps, signatures, bounds, sets, near = _met(narrow, k, percent)
     members = durable(bounds.select("pivot", "point", "n", F.lit(CLOSE).alias("kind")), "members")
-    able = _able_to_link(members, described, percent)
+    able = _able_to_link(members, signatures, percent)
     left = members.drop("kind").join(able, ["pivot", "point"], "left_semi")
     left = left.join(near.drop("linked"), ["pivot", "point"], "left").withColumn("label", F.col("point"))
     found = _block_links(left, _more_sets(narrow, sets, able, reps, k), percent)
