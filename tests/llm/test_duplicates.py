@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 
 import corpus_pipeline
-from tidemark.llm import bitmap, decontam, jaccard, packing, secret_scan, shingles
+from tidemark.llm import bitmap, decontam, graph, jaccard, packing, secret_scan, shingles
 from tidemark.llm.graph import components
 from tidemark.session import CLEANUP, durable
 
@@ -211,6 +211,66 @@ def test_components(llm, edges):
     assert sorted(map(tuple, got)) == sorted((x, find(x)) for x in parent)
 
 
+def test_components_take_no_more_rounds_than_the_links_need(llm, monkeypatch):
+    """Stars are their own answer; each round writes two tables, and none is written only to see that nothing changes."""
+    written, real = [], graph.durable
+    monkeypatch.setattr(graph, "durable", lambda df, name="stage": written.append(name) or real(df, name))
+    stars = [(i % 3, i) for i in range(3, 400)]
+    got = components(llm.createDataFrame(stars, "a long, b long")).collect()
+    assert {tuple(r) for r in got} == {(i, i % 3) for i in range(400)} and len(got) == 400
+    assert len(written) == 1
+    written.clear()
+    got = components(llm.createDataFrame([*stars, (5, 400), (400, 401)], "a long, b long")).collect()
+    assert {tuple(r) for r in got} == {(i, 2 if i > 399 else i % 3) for i in range(402)}
+    assert len(written) <= 5
+
+
+def test_small_staged_tables_are_few_files(llm, documents, monkeypatch):
+    """However many shuffle partitions there are, a table of a few rows isn't written as a file for each."""
+    files, real = {}, jaccard.durable
+
+    def watched(df, name="stage"):
+        out = real(df, name)
+        files[name] = max(files.get(name, 0), len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(jaccard, "durable", watched)
+    before = {k: llm.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    for key, value in zip(before, ("20", "false")):
+        llm.conf.set(key, value)
+    try:
+        rows = near_copies(9, 60)
+        got = sorted(map(tuple, jaccard.jaccard_components(documents(rows)).collect()))
+    finally:
+        for key, value in before.items():
+            llm.conf.set(key, value)
+    assert got == groups(rows)
+    cores = llm.sparkContext.defaultParallelism
+    for name in ("reps", "ends", "wanted", "labels", "kinds", "left", "members", "blocks", "able", "components"):
+        assert files[name] <= 2 * cores, name
+
+
+@pytest.mark.parametrize("share", [0.001, 1.0])
+def test_components_with_hot_nodes(llm, monkeypatch, share):
+    """Binary nodes, some with hundreds of neighbours, whose rows are looked up or meet in one place."""
+    monkeypatch.setattr(graph, "HOT_SHARE", share)
+    rng = random.Random(11)
+    links = {(rng.choice([70, 300, 555]), rng.randrange(600)) for _ in range(700)} | {(rng.randrange(600, 900), rng.randrange(600, 900)) for _ in range(200)}
+    parent = list(range(900))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for x, y in links:
+        x, y = sorted((find(x), find(y)))
+        parent[y] = x
+    name = lambda x: x.to_bytes(4, "big")
+    got = components(llm.createDataFrame([(bytearray(name(x)), bytearray(name(y))) for x, y in links], "a binary, b binary")).collect()
+    assert sorted((bytes(r.node), bytes(r.label)) for r in got) == sorted((name(x), name(find(x))) for x in {z for link in links for z in link})
+
+
 def test_shingle_hashes_follow_the_words():
     texts = ["a b c d e f", "A b\tC d E", "x", "", "one two", " é É a b c", "a b c d e f a b c d e", None, "  a"]
     sets = list(shingles.set_rows(shingles.encoded(texts)))

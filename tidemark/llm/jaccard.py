@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import bitmap, shingles
 from tidemark.llm.graph import components
-from tidemark.session import drop_scratch, durable, scratch_mark
+from tidemark.session import drop_scratch, durable, files_for, in_files, scratch_mark
 
 COUNTERS = 1 << 24
 CHUNK = 1 << 18
@@ -44,6 +44,7 @@ BINS = 20  # blocks hold one twentieth of the distance scale
 BLOCK = 100_000  # shingles or cells in a block
 CELLS = 1 << 22  # entries of the largest matrix built at once
 CHUNK_CELLS = 1 << 20  # cells whose keys a task sorts at once, and about those of one bucket
+WIDE = 64  # narrow rows that two sets or signatures weigh
 KEY_BITS = 40  # of a cell's upper bits, where shared cells are looked for
 
 
@@ -75,7 +76,8 @@ def rarity(docs: DataFrame, k: int) -> np.ndarray:
             yield pd.DataFrame({"chunk": [i], "n": [np.round(4 * np.log2(np.maximum(n, 1))).astype(np.uint8).tobytes()]})
 
     schema = "chunk int, n binary"
-    rows = docs.select("text").mapInPandas(count, schema).repartition(COUNTERS // CHUNK, "chunk").mapInPandas(add, schema)
+    chunks = docs.select("text").mapInPandas(count, schema).repartition(COUNTERS // CHUNK, "chunk").coalesce(COUNTERS // CHUNK)
+    rows = chunks.mapInPandas(add, schema)
     out = np.zeros(COUNTERS, np.uint8)
     for row in durable(rows, "rarity").toLocalIterator():  # COUNTERS bytes in all, whatever the corpus
         out[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(row["n"], np.uint8)
@@ -258,7 +260,8 @@ def _by_group(rows: DataFrame, keys: list[str], total: int, work, schema: str) -
     Groups are dealt into buckets by their key, as many as the whole weight asks for, so that a bucket holds little more
     than its largest group; the groups themselves are bounded blocks.
     """
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(max(1, -(-total // (4 * BLOCK)))))
+    buckets = max(1, -(-total // (4 * BLOCK)))
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
     names = [f.split()[0] for f in schema.split(", ")]
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
@@ -267,7 +270,8 @@ def _by_group(rows: DataFrame, keys: list[str], total: int, work, schema: str) -
         merged = [np.concatenate([p[i] for p in parts if len(p[i])] or [[]]) for i in range(len(names))]
         return pd.DataFrame(dict(zip(names, merged)))
 
-    return rows.withColumn("_bucket", bucket).groupBy("_bucket").applyInPandas(run, schema)
+    done = rows.withColumn("_bucket", bucket).groupBy("_bucket").applyInPandas(run, schema)
+    return done.coalesce(max(buckets, files_for(rows.sparkSession, 0)))  # no Python for partitions without a bucket
 
 
 def _may_link(differing: np.ndarray, sizes: list[np.ndarray], percent: int) -> np.ndarray:
@@ -278,8 +282,11 @@ def _may_link(differing: np.ndarray, sizes: list[np.ndarray], percent: int) -> n
     return in_size & ((100 + percent) * differing <= (100 - percent) * (a + b))
 
 
-def _bounds(signatures: DataFrame, percent: int) -> DataFrame:
-    """(pivot, point, n, able, close): whether the signatures let a member link to its pivot, or be within two radii."""
+def _bounds(signatures: DataFrame, percent: int, pairs: int) -> DataFrame:
+    """(pivot, point, n, able, close): whether the signatures let a member link to its pivot, or be within two radii.
+
+    There are ``pairs`` rows.
+    """
 
     @F.pandas_udf("struct<able:boolean,close:boolean>")
     def judge(n: pd.Series, parity: pd.Series, m: pd.Series, other: pd.Series) -> pd.DataFrame:
@@ -299,7 +306,7 @@ def _bounds(signatures: DataFrame, percent: int) -> DataFrame:
 
     rows = _facing(signatures, {"n": "m", "parity": "other"})
     rows = rows.select("pivot", "point", "n", judge("n", "parity", "m", "other").alias("j"))
-    return durable(rows.select("pivot", "point", "n", "j.able", "j.close"), "bounds")
+    return durable(in_files(rows.select("pivot", "point", "n", "j.able", "j.close"), WIDE * pairs), "bounds")
 
 
 # What a member of a region is: linked to the pivot; not linked, but perhaps within two radii; farther.
@@ -315,14 +322,16 @@ def _able_to_link(members: DataFrame, signatures: DataFrame, percent: int) -> Da
     weight = F.col("n") / 4 + 16
     step = np.log(SIZES)
     rows = members.withColumn("weight", weight)
-    wide = durable(rows.groupBy("pivot").agg(F.sum("weight").alias("w")).filter(F.col("w") > BLOCK).select("pivot"), "wide")
+    n = members.count()
+    heavy = rows.groupBy("pivot").agg(F.sum("weight").alias("w")).filter(F.col("w") > BLOCK)
+    wide = durable(in_files(heavy.select("pivot"), n), "wide")
     rows = rows.join(wide.withColumn("wide", F.lit(True)), "pivot", "left").fillna(False, ["wide"])
     # a region of less than a block isn't cut
     rows = rows.withColumn("sort", F.when(F.col("wide"), F.col("kind")).otherwise(F.lit(-1)))
     rows = rows.withColumn("size", F.when(F.col("wide"), F.floor(F.log("n") / F.lit(float(step))).cast("int")).otherwise(F.lit(0)))
-    rows = durable(rows.drop("wide"), "members")
+    rows = durable(in_files(rows.drop("wide"), n), "members")
     blocks = rows.groupBy("pivot", "sort", "size").agg(F.ceil(F.sum("weight") / BLOCK).cast("int").alias("salts"))
-    blocks = durable(blocks, "blocks")
+    blocks = durable(in_files(blocks, n), "blocks")
     salted = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     side = [salted.select("pivot", *(F.col(c).alias(f"{c}_{x}") for c in ("sort", "size", "salt"))) for x in "ab"]
     reach = int(np.ceil(np.log(100 / percent) / step))
@@ -361,7 +370,8 @@ def _able_to_link(members: DataFrame, signatures: DataFrame, percent: int) -> Da
     loaded = durable(placed("a").unionByName(placed("b")), "placed-members")
     total = int(_total(loaded, F.col("weight")))
     loaded = loaded.join(signatures.select("point", "parity"), "point")
-    return durable(_by_group(loaded, ["pivot", "pair"], total, able, "pivot binary, point binary").distinct(), "able")
+    found = _by_group(loaded, ["pivot", "pair"], total, able, "pivot binary, point binary").distinct()
+    return durable(in_files(found, n), "able")
 
 
 def _block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -456,7 +466,7 @@ def _shared_cells(prefixes: DataFrame, total: int) -> DataFrame:
         return pd.DataFrame({"key": np.unique(keys[1:][keys[1:] == keys[:-1]])})
 
     rows = prefixes.select("prefix").mapInPandas(pack, "bucket long, gaps binary")
-    return durable(rows.groupBy("bucket").applyInPandas(meet, "key long"), "shared-cells")
+    return durable(rows.groupBy("bucket").applyInPandas(meet, "key long").coalesce(buckets), "shared-cells")
 
 
 def _cell_key(cell: Column) -> Column:
@@ -487,18 +497,19 @@ def _met(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, ...]:
     """Steps 1 and 2: (points, reps, signatures of points that share a cell, bounds, sets of those that may link to a pivot,
     distances to pivots)."""
     points = durable(shingle_points(docs, k), "points")
-    reps = durable(representatives(points), "reps")
+    reps = durable(in_files(representatives(points), points.count()), "reps")
     mark = scratch_mark()
     described = _described(docs, reps, k, percent)
     star = _star(described.select("point", "prefix"), int(_total(reps, F.col("n") * (100 - percent) / 100 + 1)))
     # most points share no cell, and their signatures stay where they are
-    ends = durable(_ends(star, reps), "ends")
+    pairs = star.count()
+    ends = durable(in_files(_ends(star, reps), 2 * pairs), "ends")
     shown = described.drop("prefix").filter(bitmap.may_hold(ends, "point")("point"))
     kept = scratch_mark()
     signatures = _once(shown, ends, "signatures")
     drop_scratch(docs.sparkSession, mark, kept)  # the cells are the widest table
-    bounds = _bounds(signatures, percent)
-    wanted = durable(_ends(bounds.filter("able").select("pivot", "point"), reps), "wanted")
+    bounds = _bounds(signatures, percent, pairs)
+    wanted = durable(in_files(_ends(bounds.filter("able").select("pivot", "point"), reps), 2 * pairs), "wanted")
     sets = _sets_of(docs, wanted, k)
     near = _facing(sets, {"shingles": "other"})
     shared = F.size(F.array_intersect("shingles", "other"))
@@ -506,7 +517,7 @@ def _met(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, ...]:
     near = near.select(
         "pivot", "point", (1 - shared / total).alias("distance"), (100 * shared >= percent * total).alias("linked")
     )
-    near = durable(near, "near")
+    near = durable(in_files(near, WIDE * pairs), "near")
     return points, reps, signatures.select("point", "n", "parity"), bounds, sets.select("point", "shingles"), near
 
 
@@ -518,7 +529,8 @@ def _more_sets(docs: DataFrame, sets: DataFrame, able: DataFrame, reps: DataFram
     """The sets of all points of ``able``; those that are there already are not made again."""
     wanted = able.select("point").distinct()
     missing = wanted.join(sets.select("point"), "point", "left_anti").join(reps.drop("n"), "point")
-    return sets.join(wanted, "point", "left_semi").unionByName(_sets_of(docs, durable(missing, "missing"), k))
+    missing = durable(in_files(missing, able.count()), "missing")
+    return sets.join(wanted, "point", "left_semi").unionByName(_sets_of(docs, missing, k))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -527,31 +539,33 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     narrow = _narrow(docs, id_col, text_col)
     points, reps, signatures, bounds, sets, near = _met(narrow, k, percent)
     links = near.filter("linked").select(F.col("pivot").alias("a"), F.col("point").alias("b"))
-    labels = durable(components(links), "labels")
+    pairs = bounds.count()
+    labels = durable(in_files(components(links), 2 * pairs), "labels")
 
     # Regions with members that didn't link to their pivot; the pivot and the linked ones may meet the close ones of these.
     members = bounds.join(near.select("pivot", "point", "linked", "distance"), ["pivot", "point"], "left")
     kind = F.when(F.coalesce("linked", F.lit(False)), LINKED).when(F.col("close"), CLOSE).otherwise(FAR)
-    members = durable(members.select("pivot", "point", "n", kind.alias("kind"), "distance"), "kinds")
+    members = durable(in_files(members.select("pivot", "point", "n", kind.alias("kind"), "distance"), pairs), "kinds")
     count = lambda which: F.count(F.when(F.col("kind") == which, F.lit(1)))
     regions = members.groupBy("pivot").agg(count(LINKED).alias("linked"), count(CLOSE).alias("close"), count(FAR).alias("far"))
     # the pivot itself is known not to link to the rest, so two others at least have to be there
     open_ = regions.filter("close + far > 1 OR close > 0 AND linked > 0").select("pivot", (F.col("close") > 0).alias("meets"))
     left = members.join(open_, "pivot").filter((F.col("kind") != LINKED) | F.col("meets")).drop("meets")
-    left = durable(left, "left")
+    left = durable(in_files(left, pairs), "left")
     able = _able_to_link(left.drop("distance"), signatures, percent)
     left = left.drop("kind").join(able, ["pivot", "point"], "left_semi")
     left = left.join(labels.withColumnRenamed("node", "point"), "point", "left").withColumn("label", F.coalesce("label", "point"))
     more = durable(_block_links(left, _more_sets(narrow, sets, able, reps, k), percent).distinct(), "block-links")
     joined = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more)
-    labels = durable(components(joined), "labels")
+    labels = durable(in_files(components(joined), labels.count() + 2 * more.count()), "labels")
 
     least = reps.select("point", "doc_id").join(labels.withColumnRenamed("node", "point"), "point").groupBy("label").agg(
         F.min("doc_id").alias("component_id")
     )
     grouped = labels.join(least, "label").select(F.col("node").alias("point"), "component_id")
     named = reps.select("point", "doc_id").join(grouped, "point", "left")
-    named = durable(named.select("point", F.coalesce("component_id", "doc_id").alias("component_id")), "components")
+    named = named.select("point", F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = durable(in_files(named, reps.count()), "components")
     drop_scratch(docs.sparkSession, mark + 1, scratch_mark() - 1)  # the result reads the points and the components only
     return (
         points.select("doc_id", "n_shingles", "point")
