@@ -139,6 +139,19 @@ def test_near_links_keep_components(llm, radius):
     )
 
 
+def test_exploded_half_words_are_not_broadcast(llm):
+    # Spark sizes a table after an explode like the one before it
+    rng = random.Random(9)
+    first = [rng.getrandbits(63) for _ in range(40)]
+    prints = llm.createDataFrame([(p,) for p in first + [first[0] ^ 1, first[1] ^ (1 << 40)]], "fingerprint long")
+    able = simhash._with_near_half(prints, 1)
+    assert sorted(map(tuple, able.collect())) == sorted(
+        (p, half) for pair, both in ((0, 1), (1, 1 << 40)) for p in (first[pair], first[pair] ^ both) for half in (0, 1)
+    )
+    plan = able._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") >= 2 and "Broadcast" not in plan
+
+
 def plain_clusters(rows, k=8, rounds=10, width=64):
     """Rows (vec_id, vector) by Python integers."""
 

@@ -117,11 +117,12 @@ def _with_near_half(prints: DataFrame, s: int) -> DataFrame:
     near = words.filter("n > 1").select("word")
     if s:
         others = words.select("word", _each(_masks(range(HALF), range(1, s + 1))).alias("mask"))
-        others = others.select(F.col("word").bitwiseXOR(F.col("mask")).alias("word"))
+        # Spark sizes exploded rows as if they were not exploded: neither side of these joins may be broadcast
+        others = others.select(F.col("word").bitwiseXOR(F.col("mask")).alias("word")).hint("merge")
         near = near.union(words.select("word").join(others, "word", "left_semi")).distinct()
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     hot = [r["word"] for r in words.filter(F.col("n") > HOT_SHARE * total).select("word").collect()]
-    return salted_lookup(rows, near, "word", hot).select("fingerprint", "half")
+    return salted_lookup(rows, near.hint("merge"), "word", hot).select("fingerprint", "half")
 
 
 def near_links(prints: DataFrame, radius: int = 3) -> DataFrame:
