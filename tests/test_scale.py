@@ -7,13 +7,16 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import session
 from tidemark.operators import lineage
 from tidemark.operators.lineage import dependency_levels
+from tidemark.operators.merge import merge_fact
 from tidemark.plans import facts
 from tidemark.session import SPLIT, SPLIT_DEFAULT, tune
 from tidemark.sources.fixtures import Silver
 from tidemark.streaming import jobs
 from tidemark.streaming.state import NULL_FOLDER, PartitionedState
+from workload.model import LINES, Gold
 
 LINE = (
     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
@@ -136,3 +139,90 @@ def test_first_facts_are_computed_once_and_written_once(spark, tmp_path, monkeyp
     empty = PartitionedState(spark, str(tmp_path / "none"), "month")
     jobs.refresh_fact(empty, "line_id", rows.limit(0), 0)
     assert empty.versions() == {} and empty.read() is None
+
+
+FACT = "line_id long, month string, x int, _created_date timestamp"
+
+
+@pytest.mark.parametrize("batch, gone", [
+    ([(2, "1996-03", 20, DAY), (9, "1996-07", 90, DAY), (6, None, 60, DAY), (None, "1996-02", 0, DAY)], [4, 77, None]),
+    ([(1, "1996-01", 10, DAY)], None),
+    ([], [3, 5]),
+])
+def test_large_facts_are_merged_some_partitions_at_a_time(spark, tmp_path, monkeypatch, batch, gone):
+    first = datetime(1995, 1, 1)
+    months = ["1996-01", "1996-02", "1996-03", None, "1996-04", "1996-05"]
+    old = spark.createDataFrame([(i, months[i % 6], i, first) for i in range(1, 13)], FACT)
+    new = spark.createDataFrame(batch, FACT)
+    deleted = None if gone is None else spark.createDataFrame([(k,) for k in gone], "line_id long")
+    gone_keys = {r[0] for r in batch} | set(gone or ())
+    touched = {r[1] for r in batch} | {r.month for r in old.collect() if r.line_id in gone_keys}
+    changed = merge_fact(old, new, "line_id", "month", deleted=deleted)
+    untouched = old.collect() if not touched else [r for r in old.collect() if r.month not in touched]
+    want = sorted(map(tuple, [*changed.collect(), *untouched]), key=str)
+
+    state, parts, write = PartitionedState(spark, str(tmp_path / "fact"), "month"), [], PartitionedState.write
+
+    def seen(self, rows, *rest):
+        def each():
+            for part in [rows] if hasattr(rows, "columns") else rows:
+                parts.append({r.month for r in part.select("month").distinct().collect()})
+                yield part
+
+        write(self, each(), *rest)
+
+    jobs.refresh_fact(state, "line_id", old, 0)
+    monkeypatch.setattr(session, "PART_ROWS", 4)
+    monkeypatch.setattr(PartitionedState, "write", seen)
+    jobs.refresh_fact(state, "line_id", new, 1, deleted)
+    got = state.read().select("line_id", F.col("month").cast("string").alias("month"), "x", "_created_date")
+    assert sorted(map(tuple, got.collect()), key=str) == want
+    assert len(parts) == min(3, len(touched))
+    assert sum(len(p) for p in parts) == len(set().union(*parts))  # no partition is in two of them
+    with pytest.raises(Exception, match="several source rows"):
+        twice = spark.createDataFrame([(1, "1996-01", 1, DAY), (1, "1996-05", 2, DAY)], FACT)
+        jobs.refresh_fact(state, "line_id", twice, 2)
+    assert not state.committed(2)
+
+
+def test_writes_keep_no_shuffles(spark, tmp_path, monkeypatch):
+    seen, writer = {}, type(spark.range(1).write)
+    plain = writer.parquet
+
+    def parquet(self, path, *rest, **named):
+        seen[path.rpartition("/")[2]] = spark.conf.get(session.CLEANUP, None)
+        plain(self, path, *rest, **named)
+
+    monkeypatch.setattr(writer, "parquet", parquet)
+    was = spark.conf.get(session.CLEANUP, None)
+    state = PartitionedState(spark, str(tmp_path / "fact"), "month")
+    halves = (spark.range(40).selectExpr("id", "cast(id % 3 as string) as month").filter(f"id % 2 = {i}") for i in (0, 1))
+    state.write(halves, None, 0)
+    assert seen["v=0"] == "true"
+    assert spark.conf.get(session.CLEANUP, None) == was
+    assert sorted(r.id for r in state.read().collect()) == list(range(40)) and len(state.versions()) == 3
+
+
+def test_order_slices_hold_all_orders_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "PART_ROWS", 2)
+    model = Gold(spark, lines_folder(spark, tmp_path))
+    headers = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d"), (None, "e")], "order_id long, x string")
+    assert model.order_slices == 3
+    whole = {(r.line_id, r.order_id) for r in model.silver(LINES).collect()}
+
+    def sides(orders=None):
+        found = [(h.collect(), its.collect()) for h, its in model.in_slices(headers, orders)]
+        assert len(found) == 3
+        for h, its in found:  # lines are with their order
+            ids = {r.order_id for r in h}
+            assert all(r.order_id in ids for r in its)
+        return sorted(r.x for h, _ in found for r in h), sorted((r.line_id, r.order_id) for _, its in found for r in its)
+
+    assert sides() == (["a", "b", "c", "d", "e"], sorted(whole))
+    some = spark.createDataFrame([(2,), (4,), (9,)], "order_id long")
+    assert sides(some) == (["b", "d"], sorted(r for r in whole if r[1] == 2))
+    folder = model._folders[LINES]
+    model.unstage(LINES)
+    model.unstage(LINES)
+    assert folder not in session._staged
+    assert sides(some)[0] == ["b", "d"]  # built anew

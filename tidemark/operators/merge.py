@@ -272,9 +272,14 @@ def merge_fact(
     changed = source.select(F.col(partition).alias("_p")).unionByName(moved).distinct()
     rest = target_rows.join(changed, F.col(partition).eqNullSafe(F.col("_p")), "left_semi")
     rest = rest.join(gone, key, "left_anti").select(*target.columns)
-    if created is not None and created in target.columns:
-        first_seen = target_rows.select(key, F.col(created).alias("_first"))
+    source = with_first_values(source, target_rows, key, created)
+    return rest.unionByName(source, allowMissingColumns=True)
+
+
+def with_first_values(source: DataFrame, stored: DataFrame, key: str, created: str | None = "_created_date") -> DataFrame:
+    """``source`` with what the stored row of its key keeps: when it was created, and the columns the source lacks."""
+    if created is not None and created in stored.columns:
+        first_seen = stored.select(key, F.col(created).alias("_first"))
         source = source.join(first_seen, key, "left")
         source = source.withColumn(created, F.coalesce("_first", created)).drop("_first")
-    source = with_kept_columns(source, target_rows, [key])
-    return rest.unionByName(source, allowMissingColumns=True)
+    return with_kept_columns(source, stored, [key])

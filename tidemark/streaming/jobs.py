@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemark.operators.history import fold_events, scd2_feed
-from tidemark.operators.merge import apply_cdc, merge_fact
+from tidemark.operators.merge import apply_cdc, one_row_per_key, with_first_values
 from tidemark.operators.quality import FAILED, Rule, dq_check, enforce_threshold, error_share
-from tidemark.session import durable
+from tidemark.session import durable, parts_for
 from tidemark.streaming.state import NULL_FOLDER, PartitionedState, touched_values
 
 BUCKET = "_bucket"
@@ -151,20 +152,56 @@ def stream_apply_changes(
 
 
 def refresh_fact(
-    state: PartitionedState, key: str, rows: DataFrame, batch_id: int, deleted: DataFrame | None = None
+    state: PartitionedState,
+    key: str,
+    rows: DataFrame | Iterable[DataFrame],
+    batch_id: int,
+    deleted: DataFrame | None = None,
+    stored: bool = False,
 ) -> None:
-    """Merge a batch of fact rows, and the keys of deleted ones, into the stored partitions they touch."""
+    """Merge a batch of fact rows, and the keys of deleted ones, into the stored partitions they touch.
+
+    As ``merge_fact``, but a large table is merged some of its partitions at a time: only the keys of the batch and what
+    their stored rows keep move as a whole. The rows of the first batch may come in parts. ``stored``: ``rows`` are read
+    from a table already.
+    """
     target = state.read()
     if target is None:
         state.write(rows, None, batch_id)
         return
-    rows = durable(rows, "fact")  # looked at several times below
-    gone = rows.select(key) if deleted is None else rows.select(key).unionByName(deleted.select(key))
-    moved = target.join(gone.distinct(), key, "left_semi").select(state.partition)
-    touched = touched_values(moved.unionByName(rows.select(state.partition)), state.partition)
-    values = [None if v == NULL_FOLDER else v for v in touched]
-    if values:
-        state.write(merge_fact(target, rows, key, state.partition, deleted=deleted, touched=values), touched, batch_id)
+    if not stored:
+        rows = durable(rows, "fact")  # looked at several times below
+    keys = one_row_per_key(rows.select(key), [key], keep_null=False)
+    if deleted is not None:
+        keys = keys.unionByName(deleted.select(key)).distinct()
+    keys = durable(keys, "fact-keys")  # repeated keys fail here
+    have = {c.lower() for c in rows.columns}
+    kept = [c for c in target.columns if c.lower() not in have or c == "_created_date"]
+    old = target.select(key, state.partition, *kept).join(keys, key, "left_semi")
+    old = durable(old, "fact-old")
+    moved = old.select(state.partition).unionByName(rows.select(state.partition))
+    touched = touched_values(moved, state.partition)
+    if not touched:
+        return
+    n = min(len(touched), parts_for(target.count()))
+    groups = [touched[i::n] for i in range(n)]
+    in_group = [_in_partitions(state.partition, g) for g in groups]
+    # whatever is in no other group is in the last one
+    in_group_new = [*in_group[:-1], ~reduce(Column.__or__, in_group[:-1], F.lit(False))]
+
+    def merged(stored_rows: Column, new_rows: Column) -> DataFrame:
+        rest = target.filter(stored_rows).join(old.filter(stored_rows).select(key), key, "left_anti").select(*target.columns)
+        source = with_first_values(rows.filter(new_rows), old, key)
+        return rest.unionByName(source, allowMissingColumns=True)
+
+    state.write((merged(*g) for g in zip(in_group, in_group_new)), touched, batch_id)
+
+
+def _in_partitions(partition: str, folders: Sequence[str]) -> Column:
+    """Whether a row is in one of the folders; never null."""
+    part = F.col(partition).cast("string")
+    hit = F.coalesce(part.isin([v for v in folders if v != NULL_FOLDER]), F.lit(False))
+    return hit | part.isNull() if NULL_FOLDER in folders else hit
 
 
 def stream_quality(

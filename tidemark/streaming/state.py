@@ -13,6 +13,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import shuffles_freed
 from tidemark.sources.sinks import append_table, rebalanced
 
 # Fixed value: folder name of a null partition value.
@@ -106,16 +107,22 @@ class PartitionedState:
             if is_old:
                 files.delete(hadoop.Path(f"{self.path}/data/v={v}/{self.partition}={part}"), True)
 
-    def write(self, rows: DataFrame, touched: Iterable[str] | None, batch_id: int) -> None:
+    def write(self, rows: DataFrame | Iterable[DataFrame], touched: Iterable[str] | None, batch_id: int) -> None:
         """Replace the touched partitions and commit. A partition that lost all its rows stays as an empty file.
 
         Without ``touched`` the partitions are those that the rows turn out to be in: they are computed once, for the write.
+        Rows may come in parts: each is written by a job of its own, and all are committed together.
         """
         folder = f"{self.path}/data/v={batch_id}"
-        ordered = rebalanced(rows, [self.partition])
-        if inside := [c for c in self.cluster_by if c in rows.columns]:
-            ordered = ordered.sortWithinPartitions(self.partition, *inside)
-        ordered.write.mode("overwrite").partitionBy(self.partition).parquet(folder)
+        mode = "overwrite"
+        for part in [rows] if isinstance(rows, DataFrame) else rows:
+            rows = part
+            ordered = rebalanced(part, [self.partition])
+            if inside := [c for c in self.cluster_by if c in part.columns]:
+                ordered = ordered.sortWithinPartitions(self.partition, *inside)
+            with shuffles_freed(self.spark):
+                ordered.write.mode(mode).partitionBy(self.partition).parquet(folder)
+            mode = "append"
         if touched is None:
             touched = touched_values(self.spark.read.schema(rows.schema).parquet(folder), self.partition)
         touched = list(touched)

@@ -21,12 +21,12 @@ from tidemark.plans import aggregates, dims, facts, impact, views
 from tidemark.plans.metrics import campaign_costs, query_metrics
 from tidemark.plans.published import published
 from tidemark.plans.quality_rules import GOLD_MEASURES, GOLD_UNIQUE, SILVER_DQ
-from tidemark.session import durable, scratch_path
+from tidemark.session import durable, durable_parts, scratch_path
 from tidemark.sources.calendar import calendar_for
 from tidemark.sources.sinks import append_table, overwrite_partitions, write_table
 from tidemark.streaming import jobs
 from tidemark.streaming.state import PartitionedState
-from workload.model import gold, plain, r4
+from workload.model import LINES, gold, plain, r4
 from workload.silver import TS, ts
 from workload.sql_entities import cents, ratio, sql
 
@@ -145,13 +145,18 @@ def _refreshed(spark, old, new, key, partition, deleted=None):
     return state.read()
 
 
-def _sales_after(spark, g, old, headers, lines, orders, found, bound):
-    """``old`` after the sales facts of some orders were built anew."""
-    s = g.silver
-    orders = durable(impact.union_keys(orders, "order_id"), "orders")
-    headers, lines = (rows.join(orders, "order_id", "left_semi") for rows in (headers, lines))
-    rows = facts.build_fact_sales(lines, headers, found, s("customer_registration_source"), versions_per_key=bound)
-    return _refreshed(spark, old, rows, "line_id", "order_year_month")
+def _sales_after(spark, g, old, headers, orders, found, bound):
+    """Stored sales facts, given as slices ``old``, after those of some orders were built anew."""
+    state = PartitionedState(spark, scratch_path(spark, "fact"), "order_year_month")
+    jobs.refresh_fact(state, "line_id", old, 0)
+    orders, crs = durable(impact.union_keys(orders, "order_id"), "orders"), g.silver("customer_registration_source")
+    slices = g.in_slices(headers, orders)
+    rows = (facts.build_fact_sales(lines, some, found, crs, versions_per_key=bound) for some, lines in slices)
+    rows = durable_parts(spark, rows, "fact")
+    g.unstage(LINES)
+    jobs.refresh_fact(state, "line_id", rows, 1, stored=True)
+    state.prune(1)  # nobody else reads the facts as they were
+    return state.read()
 
 
 @query(
@@ -170,11 +175,11 @@ def fact_sales_after_lookup_change(spark, sf_dir):
          "channel": F.when(third, F.lit("ORGANIC")).otherwise(F.col("channel"))}
     )
     headers, lines = s("oe_order_headers_all"), g.stored_lines()
-    old = facts.build_fact_sales(lines, headers, found, was, versions_per_key=bound)
+    old = (facts.build_fact_sales(its, some, found, was, versions_per_key=bound) for some, its in g.in_slices(headers))
     answers = (facts.campaign_attribution(x, found["dim_campaign"]) for x in (was, crs))
     attributed = impact.changed_keys(*answers, "customer_id", ["dim_campaign_key"])
     orders = impact.sales_orders(headers, lines, attributed=attributed)
-    out = _sales_after(spark, g, old, headers, lines, orders, found, bound)
+    out = _sales_after(spark, g, old, headers, orders, found, bound)
     return plain(out.drop("_created_date", "_last_modified_date", "_pipeline_run_id"))
 
 
@@ -190,13 +195,14 @@ def fact_sales_late_customer(spark, sf_dir):
     early = durable(dims.build_dim_customer(None, customers.filter("customer_id % 5 <> 0")), "dim_customer")
     found = {**g.dims(), "dim_customer": early}
     headers, lines = s("oe_order_headers_all"), g.stored_lines()
-    old = facts.build_fact_sales(lines, headers, found, s("customer_registration_source"), versions_per_key=1)
+    crs = s("customer_registration_source")
+    old = (facts.build_fact_sales(its, some, found, crs, versions_per_key=1) for some, its in g.in_slices(headers))
     arrived = durable(dims.build_dim_customer(early, customers), "dim_customer")
     late = durable(dims.build_dim_customer(arrived, g.customers_v2()), "dim_customer")
     members = (d.filter("dim_customer_key > 0") for d in (early, late))
     moved = impact.changed_since(*members, "customer_id", "dim_customer_key")
     orders = impact.sales_orders(headers, lines, customers=moved)
-    out = _sales_after(spark, g, old, headers, lines, orders, {**found, "dim_customer": late}, facts.version_bound(late))
+    out = _sales_after(spark, g, old, headers, orders, {**found, "dim_customer": late}, facts.version_bound(late))
     owner = late.select("dim_customer_key", "customer_id", "_version")
     return out.join(owner, "dim_customer_key").select("line_id", "customer_id", "_version")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,10 +12,11 @@ from tidemark.operators.governance import ColumnClass, inherited
 from tidemark.plans import aggregates, dims, facts
 from tidemark.plans.entities import ENTITIES, standardise
 from tidemark.plans.origins import medallion_sources
-from tidemark.session import durable, tune
+from tidemark.session import drop_table, durable, last_staged, parts_for, tune
 from tidemark.sources.fixtures import CALENDAR, Silver
 from tidemark.sources.calendar import build_dim_date
 
+LINES, SLICE = "oe_order_lines_all", "_slice"
 DIM_NAMES = ("dim_customer", "dim_product", "dim_location", "dim_campaign", "dim_registration_source")
 _models: dict[tuple[str, str], "Gold"] = {}
 
@@ -25,19 +27,47 @@ class Gold:
         self.silver = Silver(spark, sf_dir)
         self.raw = self.silver.raw
         self._staged: dict[str, DataFrame] = {}
+        self._folders: dict[str, str] = {}
 
-    def _stage(self, name: str, build) -> DataFrame:
+    def _stage(self, name: str, build, partition_by: Sequence[str] = ()) -> DataFrame:
         if name not in self._staged:
-            self._staged[name] = durable(build(), name)
+            self._staged[name] = durable(build(), name, partition_by)
+            self._folders[name] = last_staged()
         return self._staged[name]
 
+    def unstage(self, name: str) -> None:
+        """Give a table's disk back; whoever needs it again builds it anew."""
+        if self._staged.pop(name, None) is not None:
+            drop_table(self.spark, self._folders.pop(name))
+
     # -- inputs --------------------------------------------------------------------------------------------
     def customers_v2(self) -> DataFrame:
         return standardise("customers", self.raw.customers_change()).filter("customer_id is not null")
 
+    @cached_property
+    def order_slices(self) -> int:
+        """In how many slices of the orders the sales facts of this folder are built."""
+        return parts_for(self.raw.table("lineitem").count())
+
     def stored_lines(self) -> DataFrame:
-        """Silver order lines as a table, for work that reads them several times: they are deduplicated once."""
-        return self._stage("oe_order_lines_all", lambda: self.silver("oe_order_lines_all"))
+        """Silver order lines as a table, for work that reads them several times: they are deduplicated once.
+
+        Each slice of the orders has its own folder, so that it can be read alone.
+        """
+        return self._stage(LINES, lambda: self.silver(LINES).withColumn(SLICE, self._slice()), [SLICE])
+
+    def _slice(self) -> Column:
+        return F.pmod(F.xxhash64(F.col("order_id").cast("long")), F.lit(self.order_slices)).cast("int")
+
+    def in_slices(self, headers: DataFrame, orders: DataFrame | None = None) -> Iterator[tuple[DataFrame, DataFrame]]:
+        """The given headers and the stored lines of each slice of the orders, or of some of the orders only."""
+        lines, place = self.stored_lines(), self._slice()
+        for i in range(self.order_slices):
+            sides = headers.filter(place == i), lines.filter(F.col(SLICE) == i).drop(SLICE)
+            if orders is not None:
+                wanted = orders.filter(place == i)
+                sides = tuple(rows.join(wanted, "order_id", "left_semi") for rows in sides)
+            yield sides
 
     # -- dimensions ----------------------------------------------------------------------------------------
     def build_dim(self, name: str) -> DataFrame:
